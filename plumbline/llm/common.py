@@ -91,3 +91,71 @@ def small_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4_000
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+#: Fixed odd multiplier and seed of the word hashes.
+_FACTOR = 0x9E3779B97F4A7C15
+_SEED = 20_240_229
+
+
+def _inverse(odd: int) -> int:
+    return pow(odd, -1, 1 << 64)
+
+
+class WordHasher:
+    """64-bit hashes of the words in a buffer of UTF-8 texts, in whole-array steps.
+
+    A word is a maximal run of bytes for which ``is_word`` holds, within one text; A-Z counts as a-z.
+    """
+
+    def __init__(self, is_word: np.ndarray):
+        table = np.random.default_rng(_SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1]
+        self.is_word, self.table = is_word, table
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            with np.errstate(over="ignore"):
+                for name, factor in (("up", _FACTOR), ("down", _inverse(_FACTOR))):
+                    steps = np.full(n, factor, np.uint64)
+                    steps[0] = 1
+                    setattr(self, name, np.multiply.accumulate(steps))
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First bytes, ends, text numbers and hashes of all words, in order."""
+        n = len(data)
+        if not n:
+            none = np.zeros(0, np.int64)
+            return none, none, none, np.zeros(0, np.uint64)
+        self._powers(n)
+        inside = self.is_word[data]
+        begins, stops = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        stops[:-1] &= ~inside[1:]
+        edges = offsets[1:-1]
+        edges = edges[(edges > 0) & (edges < n)]
+        begins[edges] |= inside[edges]
+        stops[edges - 1] |= inside[edges - 1]
+        first, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        text = np.searchsorted(offsets, first, side="right") - 1
+        with np.errstate(over="ignore"):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(self.table[data] * self.up[:n], out=sums[1:])
+            h = (sums[end] - sums[first]) * self.down[first]
+            return first, end, text, mixed(h + (end - first).astype(np.uint64))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads the bits of each hash over all 64."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return h ^ (h >> np.uint64(32))
+
+
+def chained(h: np.ndarray, nxt: np.ndarray) -> np.ndarray:
+    """Hash of a sequence that ``h`` stands for, followed by ``nxt``."""
+    with np.errstate(over="ignore"):
+        return mixed(h * np.uint64(_FACTOR) + nxt)
