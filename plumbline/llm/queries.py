@@ -1,14 +1,18 @@
 """The queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import mixing, quality_rules, secrets
+from . import decontaminate, mixing, quality_model, quality_rules, secrets, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op5_secret_scan": secrets.op5,
+    "op7_decontaminate": decontaminate.op7,
+    "op8_token_counts": token_counts.op8,
+    "op9_quality_model": quality_model.op9,
     "op10_source_mix": mixing.op10,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.op1_sql(),
     "op5_secret_scan": secrets.op5_sql(),
+    "op7_decontaminate": decontaminate.op7_sql(),
 }
