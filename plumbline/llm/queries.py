@@ -1,9 +1,10 @@
 """The queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import decontaminate, mixing, quality_model, quality_rules, secrets, token_counts
+from . import decontaminate, mixing, pii, quality_model, quality_rules, secrets, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
+    "op2_pii": pii.op2,
     "op5_secret_scan": secrets.op5,
     "op7_decontaminate": decontaminate.op7,
     "op8_token_counts": token_counts.op8,
