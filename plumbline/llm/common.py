@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ def utf8_buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
 
 def small_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4_000_000):
     """Slices of a batch of about ``most`` UTF-8 bytes each, so memory doesn't follow the number of rows in a batch."""
-    sizes = np.nan_to_num(np.array(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), float))
+    sizes = np.nan_to_num(np.array(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), float))
     part = (np.cumsum(sizes) // most).astype(np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
     for a, b in zip(cuts[:-1], cuts[1:]):
