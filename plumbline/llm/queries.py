@@ -1,11 +1,12 @@
 """The queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import decontaminate, mixing, pii, quality_model, quality_rules, secrets, token_counts
+from . import decontaminate, jaccard_join, mixing, pii, quality_model, quality_rules, secrets, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_pii": pii.op2,
     "op5_secret_scan": secrets.op5,
+    "op6_jaccard_join": jaccard_join.op6,
     "op7_decontaminate": decontaminate.op7,
     "op8_token_counts": token_counts.op8,
     "op9_quality_model": quality_model.op9,
@@ -15,5 +16,6 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality_rules.op1_sql(),
     "op5_secret_scan": secrets.op5_sql(),
+    "op6_jaccard_join": jaccard_join.op6_sql(),
     "op7_decontaminate": decontaminate.op7_sql(),
 }
