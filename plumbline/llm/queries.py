@@ -1,10 +1,11 @@
 """The queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import decontaminate, jaccard_join, mixing, pii, quality_model, quality_rules, secrets, token_counts
+from . import decontaminate, jaccard_join, mixing, pii, quality_model, quality_rules, secrets, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_pii": pii.op2,
+    "op4_suffix_dedup": suffix_dedup.op4,
     "op5_secret_scan": secrets.op5,
     "op6_jaccard_join": jaccard_join.op6,
     "op7_decontaminate": decontaminate.op7,
