@@ -43,6 +43,8 @@ CHUNK = 1 << 12
 RESIDUES = 64
 #: Bits of the table that tells which sets are worth sending for verification: 4 MB, whatever the input.
 FILTER_BITS = 25
+#: Lists of ids of up to so many rows (some 20 bytes each) are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 1_000_000
 #: How much larger each block of pivots is than the one before.
 GROWTH = 4
 
@@ -281,6 +283,20 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     return rows.join(named, ["n", "a", "b"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without those whose component has a lesser id; equal rows become one. Columns are unchanged."""
+    found = scratch(components(docs, percent, id_col, text_col), "jaccard-found")
+    ids = found.groupBy(F.col(id_col).alias("_id")).agg(F.min("component_id").alias("c"), F.count("*").alias("times"))
+    known = F.col(id_col).eqNullSafe(F.col("_id"))
+    lesser, repeated = (scratch(ids.where(t).select("_id"), "jaccard-ids") for t in (F.col("c") != F.col("_id"), (F.col("times") > 1) & ((F.col("c") == F.col("_id")) | F.col("_id").isNull())))
+    small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    rest = docs.join(small(lesser), known, "left_anti")
+    if repeated.isEmpty():
+        return rest
+    again = small(repeated)
+    return rest.join(again, known, "left_anti").unionByName(rest.join(again, known, "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     return components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -288,7 +304,8 @@ def op6(spark, sf_dir: str) -> DataFrame:
 def op6_sql() -> str:
     """The same rows in DuckDB SQL."""
     return rf"""
-WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 g AS (SELECT DISTINCT rid, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS g FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
 x AS (SELECT a.rid AS p, b.rid AS q, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.rid <> b.rid GROUP BY 1, 2),

@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,17 +115,23 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     return fit(features(rows[:, 1:]), rows[:, 0])
 
 
-def score(docs: DataFrame, model: Trees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, score, predicted."""
+def score(docs: DataFrame, model: Trees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: id, score, predicted, and the columns to carry. Only the counts go to Python and back."""
 
-    def walk(batches):
-        for b in batches:
-            counts = np.column_stack([b.column(c).to_numpy() for c in COUNTS]) if b.num_rows else np.zeros((0, len(COUNTS)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(model.score(features(counts)))], names=["id", "score"])
+    @F.pandas_udf("double")
+    def walk(*counts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(features(np.column_stack([c.to_numpy() for c in counts]))))
 
-    counted = statistics(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text").select("id", *COUNTS)
-    got = counted.mapInArrow(walk, f"id {docs.schema[id_col].dataType.simpleString()}, score double")
-    return got.select(F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    key = F.struct(F.col(id_col).alias("id"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
+    counted = statistics(docs.select(key.alias("_key"), F.col(text_col).alias("text")), "_key", "text")
+    scored = counted.select("_key", walk(*COUNTS).alias("score"))
+    return scored.select(F.col("_key.id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(F.col(f"_key.c{k}").alias(c) for k, c in enumerate(carry)))
+
+
+def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that the model doesn't reject, all columns unchanged; nothing is shuffled."""
+    rest = tuple(c for c in docs.columns if c != id_col)
+    return score(docs, model, threshold, id_col, text_col, rest).where(F.col("predicted") == 1).select(*docs.columns)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

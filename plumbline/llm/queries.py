@@ -1,10 +1,11 @@
 """The queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import decontaminate, jaccard_join, mixing, pii, quality_model, quality_rules, secrets, suffix_dedup, token_counts
+from . import decontaminate, jaccard_join, line_dedup, mixing, pii, quality_model, quality_rules, secrets, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_pii": pii.op2,
+    "op3_line_dedup": line_dedup.op3,
     "op4_suffix_dedup": suffix_dedup.op4,
     "op5_secret_scan": secrets.op5,
     "op6_jaccard_join": jaccard_join.op6,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality_rules.op1_sql(),
+    "op3_line_dedup": line_dedup.op3_sql(),
     "op5_secret_scan": secrets.op5_sql(),
     "op6_jaccard_join": jaccard_join.op6_sql(),
     "op7_decontaminate": decontaminate.op7_sql(),
