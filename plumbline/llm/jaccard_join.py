@@ -5,8 +5,9 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| for their sets of 5-wor
 1. One pass over the texts hashes all shingles, counts them in a table of fixed size (how common
    a shingle is only decides the order; results don't depend on it) and digests each set.
    Documents with equal sets form a class and go on as one.
-2. Each class emits its prefix: the rarest |A| - ceil(0.75 |A|) + 1 of its shingles. Classes that
-   link share one of them. Shingles in one prefix only go at once.
+2. Each class has a prefix: the rarest |A| - ceil(0.75 |A|) + 1 of its shingles. Classes that
+   link share one of them. A first pass sorts out the shingles that only one prefix has (by their sorted
+   digests, in ranges), so only the others are sent with their places.
 3. In the group of a shingle the members are ordered. Round by round, a block of pivots is
    paired with the later members that aren't known to be connected to them, if sizes (length
    filter), places in the prefixes (positional filter) and counts of the shingles in residue
@@ -37,9 +38,13 @@ from .common import WordHasher, chained, cut, mixed, scratch, small_batches, utf
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 75
-#: Cells of the table of shingle counts: 2 ** 18 numbers of four bytes, whatever the input.
-CELL_BITS = 18
-CHUNK = 1 << 12
+#: Cells of the table of shingle counts: 2 ** 22, of one byte each when it is broadcast, whatever the input.
+CELL_BITS = 22
+CHUNK = 1 << 16
+#: Prefix shingles that meet in one group when those that occur once are told from the others, on average.
+RANGE_SHINGLES = 2_000_000
+#: Up to so many shared shingles (8 bytes each) are broadcast; beyond that all prefixes are shuffled.
+SHARED_SHINGLES = 4_000_000
 RESIDUES = 64
 #: Bits of the table that tells which sets are worth sending for verification: 4 MB, whatever the input.
 FILTER_BITS = 25
@@ -127,6 +132,7 @@ def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(a), pa.array(b), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
         if id_arrow is not None:
             k = len(counts) // CHUNK
+            counts = np.minimum(counts, np.iinfo(np.uint16).max).astype(np.uint16)  # of one task
             parts = [counts[i * CHUNK : (i + 1) * CHUNK].tobytes() for i in range(k)]
             yield pa.RecordBatch.from_arrays([pa.nulls(k, id_arrow), *[pa.nulls(k, pa.int64())] * 3, pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
@@ -140,7 +146,7 @@ def _table(digests: DataFrame) -> np.ndarray:
         total = np.zeros(CHUNK, np.int64)
         for b in batches:
             for row in b.column("counts"):
-                total += np.frombuffer(row.as_py(), np.int64)
+                total += np.frombuffer(row.as_py(), np.uint16)
         small = np.minimum(255, np.round(8 * np.log2(1 + total))).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([small.tobytes()], pa.binary())], names=["chunk", "counts"])
 
@@ -151,24 +157,73 @@ def _table(digests: DataFrame) -> np.ndarray:
     return table
 
 
-def _prefixes(docs: DataFrame, table: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, a, b, prefix): the rarest shingles, of which a linking set must share one."""
+def _prefix(shingler: Shingler, rare: np.ndarray, percent: int, texts: pa.Array):
+    """Sets of a batch (hashes, offsets), and the prefixes: hashes, text numbers and places of the rarest shingles."""
+    h, at = shingler(texts)
+    n = np.diff(at)
+    of = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((h, rare[cells(h)], of))
+    size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+    place = np.arange(len(h)) - at[:-1][of]
+    keep = place < size[of]
+    return h, at, h[order][keep], of[keep], place[keep]
+
+
+def _shared(docs: DataFrame, table: np.ndarray, total: int, percent: int, text_col: str) -> DataFrame:
+    """(h): prefix shingles that several rows have. Each batch sends the sorted digests of a range as one row."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    parts = max(1, -(-total // RANGE_SHINGLES))
+    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+    def send(batches):
+        shingler, rare = Shingler(), shared.value
+        for whole in batches:
+            for batch in small_batches(whole):
+                _, _, h, _, _ = _prefix(shingler, rare, percent, batch.column("text"))
+                own, times = np.unique(h, return_counts=True)
+                at = np.r_[0, np.searchsorted(own, cuts), len(own)]
+                twice = np.minimum(times, 2).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()) for x in (own, twice))], names=["part", "own", "times"])
+
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, times = ([], [])
+        for b in batches:
+            own += [np.frombuffer(x.as_py(), np.uint64) for x in b.column("own")]
+            times += [np.frombuffer(x.as_py(), np.uint8) for x in b.column("times")]
+        h, index = np.unique(np.concatenate(own), return_inverse=True)
+        several = h[np.bincount(index, np.concatenate(times), len(h)) > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(several.view(np.int64))], names=["h"])
+
+    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(send, "part int, own binary, times binary")
+    return sent.groupBy("part").applyInArrow(merge, "h bigint")
+
+
+def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray | None, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, a, b, prefix, residues) of the rows that have a wanted prefix shingle; prefix: struct(h, pos)."""
+    shared = docs.sparkSession.sparkContext.broadcast((table, wanted))
     rows, id_type = _rows(docs, id_col, text_col)
+    pair = pa.struct([("h", pa.int64()), ("pos", pa.int64())])
 
     def emit(batches):
-        shingler, rare = Shingler(), shared.value
+        shingler, (rare, some) = Shingler(), shared.value
         for whole in batches:
             for batch in small_batches(whole):
-                h, at = shingler(batch.column("text"))
+                h, at, ph, of, pos = _prefix(shingler, rare, percent, batch.column("text"))
                 n, (a, b) = np.diff(at), _set_digests(h, at)
-                of = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((h, rare[cells(h)], of))
-                size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
-                keep = np.arange(len(h)) - at[:-1][of] < size[of]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(a), pa.array(b), _lists(h[order][keep], np.r_[0, np.cumsum(size)])], names=["id", "n", "a", "b", "prefix"])
-
-    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<bigint>")
+                if some is not None and len(ph):
+                    near = np.minimum(np.searchsorted(some, ph), len(some) - 1)
+                    keep = some[near] == ph if len(some) else np.zeros(len(ph), bool)
+                    ph, of, pos = ph[keep], of[keep], pos[keep]
+                count = np.bincount(of, minlength=len(n))
+                rows = count > 0
+                cell = np.repeat(np.arange(len(n)), n) * RESIDUES + (h & np.uint64(RESIDUES - 1)).astype(np.int64)
+                residues = np.bincount(cell, minlength=len(n) * RESIDUES).reshape(-1, RESIDUES)[rows].astype(np.int32)
+                structs = pa.StructArray.from_arrays([pa.array(ph.view(np.int64)), pa.array(pos)], fields=list(pair))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count[rows])], pa.int32()), structs)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(residues) + 1) * RESIDUES, pa.int32()), pa.array(residues.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(rows)), pa.array(n[rows]), pa.array(a[rows]), pa.array(b[rows]), lists, flat], names=["id", "n", "a", "b", "prefix", "residues"])
+
+    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<struct<h:bigint,pos:bigint>>, residues array<int>")
 
 
 def _bits(classes: DataFrame) -> np.ndarray:
@@ -182,7 +237,7 @@ def _bits(classes: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cid, members, residues) of the classes given as cid, node, a, b, n."""
+    """(cid, members) of the classes given as cid, node, a, b, n."""
     shared = docs.sparkSession.sparkContext.broadcast(_bits(classes))
     rows, id_type = _rows(docs, id_col, text_col)
 
@@ -195,16 +250,11 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
                 spot = a & ((1 << FILTER_BITS) - 1)
                 some = (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1) & (n > 0)
                 of = np.repeat(np.arange(len(n)), n)
-                cell = of * RESIDUES + (h & np.uint64(RESIDUES - 1)).astype(np.int64)
-                residues = np.bincount(cell, minlength=len(n) * RESIDUES).reshape(-1, RESIDUES)[some]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").filter(pa.array(some)), pa.array(n[some]), pa.array(a[some]), pa.array(b[some]), _lists(h[some[of]], np.r_[0, np.cumsum(n[some])]), _lists(residues.ravel(), np.arange(len(residues) + 1) * RESIDUES)],
-                    names=["id", "n", "a", "b", "members", "residues"],
-                )
-
-    found = rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, members array<bigint>, residues array<bigint>")
+                yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), pa.array(n[some]), pa.array(a[some]), pa.array(b[some]), _lists(h[some[of]], np.r_[0, np.cumsum(n[some])])], names=["id", "n", "a", "b", "members"])
+
+    found = rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, members array<bigint>")
     own = classes.select("cid", F.col("node").alias("id"), "n", "a", "b")
-    return found.join(own, ["id", "n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members", "residues")
+    return found.join(own, ["id", "n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members")
 
 
 def _connected(links: DataFrame) -> DataFrame:
@@ -235,41 +285,53 @@ def _candidates(groups: DataFrame, low: int, high: int, percent: int) -> DataFra
     return pairs.select("x", F.col("cid").alias("y"), (both).alias("both")).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y, linked) of all pairs: the residues' room first, then the whole sets of those that have it."""
-    side = lambda c, *names: sets.select(F.col("cid").alias(c), *(F.col(n).alias(f"{n}_{c}") for n in names))
-    room = F.aggregate(F.zip_with("residues_x", "residues_y", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    enough = lambda shared: shared * (100 + percent) >= percent * F.col("both")
-    roomy = pairs.join(side("x", "residues"), "x").join(side("y", "residues"), "y").where(enough(room)).select("x", "y", "both")
-    shared = F.size(F.array_intersect("members_x", "members_y"))
-    return roomy.join(side("y", "members"), "y").join(side("x", "members"), "x").where(enough(shared)).select("x", "y")
+def _with(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """The pairs with both sides' values of a column of (cid, column), as column_x and column_y."""
+    for side in ("y", "x"):
+        pairs = pairs.join(table.select(F.col("cid").alias(side), F.col(column).alias(f"{column}_{side}")), side)
+    return pairs
 
 
-def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", shared_shingles: int = SHARED_SHINGLES) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id reachable by links)."""
     digests = scratch(_digests(docs, id_col, text_col), "jaccard-digests")
     table = _table(digests)
     rows = digests.where(F.col("chunk").isNull()).select("id", "n", "a", "b")
     classes = rows.where(F.col("n") > 0).groupBy("n", "a", "b").agg(F.min("id").alias("node"))
     classes = scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+    total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
+    several = scratch(_shared(docs, table, int(total), percent, text_col), "jaccard-shared")
+    wanted = None
+    if several.count() <= shared_shingles:
+        wanted = np.sort(several.toPandas()["h"].to_numpy(np.int64).view(np.uint64))
     # The row of the least id speaks for its class. If it is there twice, its ranks tie.
-    own = _prefixes(docs, table, percent, id_col, text_col).withColumnRenamed("id", "node").join(classes, ["n", "a", "b", "node"]).select("cid", "n", F.posexplode("prefix").alias("pos", "h"))
+    own = _entries(docs, table, wanted, percent, id_col, text_col).withColumnRenamed("id", "node").join(classes, ["n", "a", "b", "node"])
+    own = scratch(own.select("cid", "n", "prefix", "residues"), "jaccard-prefixes")
+    meta = own.select("cid", "residues").dropDuplicates(["cid"])
     members = W.partitionBy("h").orderBy("n", "cid")
-    ranked = own.withColumn("r", F.dense_rank().over(members)).withColumn("prev", F.lag("cid").over(members)).withColumn("next", F.lead("cid").over(members))
-    several = F.when(F.col("r") == 1, F.col("next") != F.col("cid")).otherwise(F.col("prev") != F.col("cid"))
-    groups = scratch(ranked.where(several).select("h", "cid", "n", "pos", "r"), "jaccard-groups")
-    sets = scratch(_sets(docs, classes.join(groups.select("cid").distinct(), "cid", "left_semi"), id_col, text_col), "jaccard-sets")
-    groups = groups.withColumn("comp", F.col("cid"))
-    links = tested = comps = None
+    ranked = own.select("cid", "n", F.explode("prefix").alias("p")).select("cid", "n", "p.h", "p.pos")
+    ranked = ranked.withColumn("r", F.dense_rank().over(members)).withColumn("prev", F.lag("cid").over(members)).withColumn("next", F.lead("cid").over(members))
+    kept = F.when(F.col("r") == 1, F.col("next") != F.col("cid")).otherwise(F.col("prev") != F.col("cid"))
+    groups = scratch(ranked.where(kept).select("h", "cid", "n", "pos", "r", F.col("cid").alias("comp")), "jaccard-groups")
+    enough = lambda shared: shared * (100 + percent) >= percent * F.col("both")
+    room = F.aggregate(F.zip_with("residues_x", "residues_y", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    links = tested = comps = sets = None
     low, high = 1, 2
     while not groups.isEmpty():
         pairs = _candidates(groups, low, high, percent)
-        pairs = scratch(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "jaccard-pairs")
-        found = scratch(_verified(pairs, sets, percent), "jaccard-links")
-        tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            comps = scratch(_connected(links), "jaccard-components")
+        pairs = pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
+        pairs = scratch(_with(pairs, meta, "residues").where(enough(room)).select("x", "y", "both"), "jaccard-pairs")
+        ends = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
+        missing = scratch(ends if sets is None else ends.join(sets, "cid", "left_anti"), "jaccard-missing")
+        if not missing.isEmpty():
+            more = scratch(_sets(docs, classes.join(missing, "cid", "left_semi"), id_col, text_col), "jaccard-sets")
+            sets = more if sets is None else sets.unionByName(more)
+        if not pairs.isEmpty():
+            found = scratch(_with(pairs, sets, "members").where(enough(F.size(F.array_intersect("members_x", "members_y")))).select("x", "y"), "jaccard-links")
+            tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
+            links = found if links is None else links.unionByName(found)
+            if not found.isEmpty():
+                comps = scratch(_connected(links), "jaccard-components")
         low, high = high, high + GROWTH * (high - low)
         now = groups.drop("comp")
         now = now.withColumn("comp", F.col("cid")) if comps is None else now.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
