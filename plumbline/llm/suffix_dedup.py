@@ -37,7 +37,9 @@ from .common import chained, mixed, scratch, small_batches, text_of, utf8_buffer
 LENGTH = 200
 #: Bytes of an anchor.
 ANCHOR = 32
-SHARD_BYTES = 2_000_000
+#: Bytes whose anchors are sought at once; some 15 arrays of 8 bytes each go with a byte.
+ANCHOR_BYTES = 1_000_000
+SHARD_BYTES = 1_000_000
 #: Windows whose digests meet in one group of the merge, on average.
 RANGE_WINDOWS = 2_000_000
 #: Tables of up to so many bytes are broadcast; larger ones are shuffled with the texts.
@@ -262,7 +264,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def find(batches):
         for whole in batches:
-            for batch in small_batches(whole):
+            for batch in small_batches(whole, most=ANCHOR_BYTES):
                 data, offsets = utf8_buffers(batch.column("text"))
                 at, h = anchors(data, offsets, length)
                 of = np.searchsorted(offsets, at, side="right") - 1
@@ -280,7 +282,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def cut_out(batches):
         for whole in batches:
-            for batch in small_batches(whole):
+            for batch in small_batches(whole, most=ANCHOR_BYTES):
                 data, offsets = utf8_buffers(batch.column("text"))
                 known = batch.column("h")
                 first, last, route = stretches_of(data, offsets, np.unique(known.flatten().to_numpy().view(np.uint64)), length)
