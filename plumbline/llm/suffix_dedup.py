@@ -41,7 +41,7 @@ ANCHOR = 32
 ANCHOR_BYTES = 1_000_000
 SHARD_BYTES = 1_000_000
 #: Windows whose digests meet in one group of the merge, on average.
-RANGE_WINDOWS = 2_000_000
+RANGE_WINDOWS = 1_000_000
 #: Tables of up to so many bytes are broadcast; larger ones are shuffled with the texts.
 BROADCAST_BYTES = 48_000_000
 
@@ -205,8 +205,8 @@ def _runs(tid: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.
     return tid[first], at[first], at[last] + length
 
 
-NAMES = ["part", "tid", "start", "end", "once", "tids", "places", "several"]
-SCHEMA = "part int, tid bigint, start bigint, `end` bigint, once binary, tids binary, places binary, several binary"
+NAMES = ["part", "tid", "start", "end", "once", "tids", "owners", "places", "several"]
+SCHEMA = "part int, tid bigint, start bigint, `end` bigint, once binary, tids binary, owners binary, places binary, several binary"
 
 
 def shard_rows(stretches: list[tuple[int, int, bytes]], parts: int, length: int):
@@ -227,26 +227,31 @@ def shard_rows(stretches: list[tuple[int, int, bytes]], parts: int, length: int)
     repeated = np.repeat(times > 1, times)
     t, a, b = _runs(tid[repeated], place[repeated], length)
     # Runs go to a part each; the merge passes them on.
-    yield pa.RecordBatch.from_arrays([pa.array(t % parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 4], names=NAMES)
+    yield pa.RecordBatch.from_arrays([pa.array(t % parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
     digests = window_digests(data, length)[order[first]]
     single = times == 1
     one, many = digests[single], np.sort(digests[~single])
     o = np.argsort(one)
-    one, one_tid, one_place = one[o], tid[first][single][o], place[first][single][o]
+    # A window's text is told by its number in the shard, its place in 4 bytes.
+    tids, owners = np.unique(tid[first][single][o], return_inverse=True)
+    one, owners, one_place = one[o], owners.astype(np.int32), place[first][single][o].astype(np.int32)
     cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
     i, j = np.r_[0, np.searchsorted(one, cuts), len(one)], np.r_[0, np.searchsorted(many, cuts), len(many)]
-    cols = [[x[a:b].tobytes() for a, b in zip(c[:-1], c[1:])] for x, c in ((one, i), (one_tid.astype(np.int64), i), (one_place.astype(np.int64), i), (many, j))]
+    cols = [[x[a:b].tobytes() for a, b in zip(c[:-1], c[1:])] for x, c in ((one, i), (owners, i), (one_place, i), (many, j))]
+    cols.insert(1, [tids.astype(np.int64).tobytes()] * parts)
     none = pa.nulls(parts, pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in cols)], names=NAMES)
 
 
-def merged_part(rows: list[tuple[bytes, bytes, bytes, bytes]], length: int):
+def merged_part(rows: list[tuple[bytes, ...]], length: int):
     """Runs of the windows that a shard has once and another shard has, too."""
-    once, tids, places, several = ([np.frombuffer(r[k], kind) for r in rows] for k, kind in enumerate((np.uint64, np.int64, np.int64, np.uint64)))
+    once, tids, owners, places, several = ([np.frombuffer(r[k], kind) for r in rows] for k, kind in enumerate((np.uint64, np.int64, np.int32, np.int32, np.uint64)))
     everything = np.sort(np.concatenate([*once, *several]))
-    mine = np.concatenate(once)
-    found = np.searchsorted(everything, mine, side="right") - np.searchsorted(everything, mine, side="left") > 1
-    return _runs(np.concatenate(tids)[found], np.concatenate(places)[found], length)
+    runs = []
+    for mine, names, of, at in zip(once, tids, owners, places):
+        found = np.searchsorted(everything, mine, side="right") - np.searchsorted(everything, mine, side="left") > 1
+        runs.append((names[of[found]], at[found].astype(np.int64)))
+    return _runs(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]), length)
 
 
 def _join(texts: DataFrame, table: DataFrame, size: int, on: list[str]) -> DataFrame:
@@ -317,7 +322,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             runs = b.filter(b.column("tid").is_valid())
             yield runs.select(["tid", "start", "end"])
             lists = b.filter(b.column("tid").is_null())
-            held += list(zip(*(lists.column(c).to_pylist() for c in ("once", "tids", "places", "several"))))
+            held += list(zip(*(lists.column(c).to_pylist() for c in NAMES[4:])))
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged_part(held, length)], names=["tid", "start", "end"])
 
