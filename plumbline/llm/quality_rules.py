@@ -83,7 +83,9 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "n_distinct_words": F.size(F.array_distinct("_words")),
         "n_stop_words": F.size(F.filter(low, lambda w: w.isin(*STOP_WORDS))),
     }
-    return wide.select(id_col, *(c.cast("bigint").alias(k) for k, c in counts.items()))
+    counted = wide.select(id_col, *(c.cast("bigint").alias(k) for k, c in counts.items()))
+    # Always true; but a filter on the counts isn't pushed below it, where each figure would be computed anew within the others.
+    return counted.where(F.monotonically_increasing_id() >= 0)
 
 
 def base_failed() -> Column:
