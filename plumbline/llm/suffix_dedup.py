@@ -5,15 +5,16 @@ corpus. Texts are UTF-8 bytes; matches never cross documents.
 
 1. Equal texts count as one text with copies, which is removed whole if it is long enough.
 2. Anchors: each window of ``length`` bytes has one, the 32-byte string of least hash in it, at the same
-   place in each occurrence. A window whose anchor is no other window's anchor elsewhere in the
-   corpus is unique. Only stretches of the other windows go on.
-3. Stretches are dealt into shards, those with a common anchor to the same one where that keeps
-   shards even. A shard's suffix array is refined in numpy as by Larsson and Sadakane: groups of equal
-   prefixes are split by the ranks of what follows, twice as far each time, singletons are done.
-   Kasai's walk, over all stretches of a shard in step, gives the common prefixes of neighbours.
-4. Cross-shard merging: each shard cuts its sorted windows' digests by binary search into ranges;
-   for each range the arrays of all shards meet, and those that a shard has only once are searched in
-   the others'.
+   place in each occurrence. A window whose anchor is no window's anchor elsewhere in the
+   corpus is unique. The others go on in pieces: runs of windows with equal anchors.
+3. Pieces are dealt into shards by anchor. Equal ones are found at once, as they stream in; only
+   anchors that also have a piece of their own kind go through a suffix array, refined in numpy as by
+   Larsson and Sadakane: groups of equal prefixes are split by the ranks of what follows, twice as far
+   each time, singletons are done. Kasai's walk, over all pieces of a shard in step, gives the common
+   prefixes of neighbours.
+4. Cross-shard merging: an anchor with too many pieces for one shard (or, if its count says so before, for one
+   task) is split. Its shards cut their sorted windows' digests by binary search into ranges;
+   for each range the arrays of all shards meet, and each shard's are searched in the others'.
 
 Digests have 64 bits, so two of 10 ** 9 different windows are taken for equal with a chance of some
 3 %; within a shard the bytes themselves decide. Null and empty texts, and texts
@@ -23,6 +24,7 @@ than the id and the text are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,8 @@ ANCHOR = 32
 #: Bytes whose anchors are sought at once; some 15 arrays of 8 bytes each go with a byte.
 ANCHOR_BYTES = 1_000_000
 SHARD_BYTES = 1_000_000
+#: An anchor with so many occurrences, or with this part of all, is dealt over SPLIT tasks by its pieces.
+HOT, HOT_PART, SPLIT = 20_000, 1e-4, 16
 #: Windows whose digests meet in one group of the merge, on average.
 RANGE_WINDOWS = 1_000_000
 #: Tables of up to so many bytes are broadcast; larger ones are shuffled with the texts.
@@ -91,15 +95,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     return at, h[at]
 
 
-def stretches_of(data: np.ndarray, offsets: np.ndarray, repeated: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows whose own anchor is among the repeated digests: first bytes, ends, and a digest of each."""
+def pieces_of(data: np.ndarray, offsets: np.ndarray, repeated: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with equal anchors, of those among the repeated digests: first bytes, ends, and the anchor's digest."""
     _, least = window_anchors(data, offsets, length)
     begin = np.flatnonzero(np.r_[True, least[1:] != least[:-1]]) if len(least) else np.zeros(0, np.int64)
     good = np.isin(least[begin], repeated)
-    first = begin[good & ~np.r_[False, good[:-1]]]
-    after = np.r_[begin[1:], len(least)][good & ~np.r_[good[1:], False]]
-    route = np.minimum.reduceat(np.r_[least, np.uint64(0)], np.column_stack([first, after]).ravel())[::2] if len(first) else least[:0]
-    return first, after + length - 1, route
+    after = np.r_[begin[1:], len(least)]
+    return begin[good], after[good] + length - 1, least[begin][good]
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, lasts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,38 +211,80 @@ NAMES = ["part", "tid", "start", "end", "once", "tids", "owners", "places", "sev
 SCHEMA = "part int, tid bigint, start bigint, `end` bigint, once binary, tids binary, owners binary, places binary, several binary"
 
 
-def shard_rows(stretches: list[tuple[int, int, bytes]], parts: int, length: int):
-    """The shard's rows: runs of windows it has several times, and the digests of all windows by part of the merge."""
-    data = np.frombuffer(b"".join(s[2] for s in stretches), np.uint8)
-    sizes = np.array([len(s[2]) for s in stretches])
-    lasts = np.cumsum(sizes)
-    starts = lasts - sizes
-    order, _ = suffix_order(data, starts, lasts, length)
-    common = kasai(data, order, starts, lasts, length)
-    fresh = common < length
-    fresh[:1] = True
-    first = np.flatnonzero(fresh)
-    times = np.diff(np.r_[first, len(order)])
-    of = np.searchsorted(lasts, order, side="right")
-    tid = np.array([s[0] for s in stretches])[of]
-    place = np.array([s[1] for s in stretches])[of] + order - starts[of]
-    repeated = np.repeat(times > 1, times)
-    t, a, b = _runs(tid[repeated], place[repeated], length)
-    # Runs go to a part each; the merge passes them on.
-    yield pa.RecordBatch.from_arrays([pa.array(t % parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
-    digests = window_digests(data, length)[order[first]]
-    single = times == 1
-    one, many = digests[single], np.sort(digests[~single])
-    o = np.argsort(one)
-    # A window's text is told by its number in the shard, its place in 4 bytes.
-    tids, owners = np.unique(tid[first][single][o], return_inverse=True)
-    one, owners, one_place = one[o], owners.astype(np.int32), place[first][single][o].astype(np.int32)
-    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-    i, j = np.r_[0, np.searchsorted(one, cuts), len(one)], np.r_[0, np.searchsorted(many, cuts), len(many)]
-    cols = [[x[a:b].tobytes() for a, b in zip(c[:-1], c[1:])] for x, c in ((one, i), (owners, i), (one_place, i), (many, j))]
-    cols.insert(1, [tids.astype(np.int64).tobytes()] * parts)
-    none = pa.nulls(parts, pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in cols)], names=NAMES)
+class Shard:
+    """Collects the pieces of anchors; ``rows`` gives the runs found and the digests of the windows of split anchors."""
+
+    def __init__(self, parts: int, length: int):
+        self.parts, self.length = parts, length
+        self.runs: list[tuple[int, int, int]] = []
+        self.start()
+
+    def start(self) -> None:
+        self.first: dict[bytes, tuple[int, int] | None] = {}  # None once a piece came twice
+        self.anchors: list[list[bytes]] = []
+        self.split: list[bool] = []
+        self.bytes = 0
+
+    def add(self, fresh: bool, split: bool, tid: int, start: int, piece: bytes) -> None:
+        """fresh: the anchor is another one than before."""
+        if fresh or not self.anchors:
+            self.anchors.append([])
+            self.split.append(split)
+        self.split[-1] |= split
+        if piece not in self.first:
+            self.first[piece] = (tid, start)
+            self.anchors[-1].append(piece)
+            self.bytes += len(piece)
+            return
+        before = self.first[piece]
+        for t, s in ([before] if before else []) + [(tid, start)]:
+            self.runs.append((t, s, s + len(piece)))
+        self.first[piece] = None
+
+    def rows(self):
+        """What was found so far; begins anew after it."""
+        length, chosen = self.length, [(p, s) for own, s in zip(self.anchors, self.split) if s or any(self.first[x] for x in own) for p in own]
+        tables = []
+        if chosen:
+            data = np.frombuffer(b"".join(p for p, _ in chosen), np.uint8)
+            sizes = np.array([len(p) for p, _ in chosen])
+            lasts = np.cumsum(sizes)
+            starts = lasts - sizes
+            twice = np.array([self.first[p] is None for p, _ in chosen])
+            homes = np.array([self.first[p] or (-1, 0) for p, _ in chosen], np.int64)
+            order, _ = suffix_order(data, starts, lasts, length)
+            common = kasai(data, order, starts, lasts, length)
+            fresh = common < length
+            fresh[:1] = True
+            first = np.flatnonzero(fresh)
+            group = np.cumsum(fresh) - 1
+            of = np.searchsorted(lasts, order, side="right")
+            several = np.bincount(group, 1 + twice[of]) > 1
+            hit = several[group] & ~twice[of]
+            tables.append(_runs(homes[of[hit], 0], homes[of[hit], 1] + order[hit] - starts[of[hit]], length))
+            across = np.array([s for _, s in chosen])[of[first]]
+            if across.any():
+                yield self._digests(data, order, first[across], several[across], of, homes, starts)
+        t, a, b = (np.concatenate([np.array([r[k] for r in self.runs], np.int64), *(x[k] for x in tables)]) for k in range(3))
+        # Runs go to a part each; the merge passes them on.
+        yield pa.RecordBatch.from_arrays([pa.array(t % self.parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
+        self.runs = []
+        self.start()
+
+    def _digests(self, data, order, first, several, of, homes, starts):
+        digests, parts = window_digests(data, self.length)[order[first]], self.parts
+        one, many = digests[~several], np.sort(digests[several])
+        o = np.argsort(one)
+        at = first[~several][o]
+        # A window's text is told by its number in the shard, its place in 4 bytes.
+        tids, owners = np.unique(homes[of[at], 0], return_inverse=True)
+        one, owners, place = one[o], owners.astype(np.int32), (homes[of[at], 1] + order[at] - starts[of[at]]).astype(np.int32)
+        cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+        i, j = np.r_[0, np.searchsorted(one, cuts), len(one)], np.r_[0, np.searchsorted(many, cuts), len(many)]
+        cols = [[x[a:b].tobytes() for a, b in zip(c[:-1], c[1:])] for x, c in ((one, i), (owners, i), (place, i), (many, j))]
+        cols.insert(1, [tids.astype(np.int64).tobytes()] * parts)
+        none = pa.nulls(parts, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in cols)], names=NAMES)
 
 
 def merged_part(rows: list[tuple[bytes, ...]], length: int):
@@ -282,39 +326,50 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     own = found.join(texts.select("digest", "id", "tid"), ["digest", "id"]).dropDuplicates(["digest", "id"]).select("tid", F.explode("h").alias("h"))
     same = W.partitionBy("h").orderBy("tid")
     again = own.withColumn("p", F.lag("h").over(same)).withColumn("q", F.lead("h").over(same)).where(F.col("p").isNotNull() | F.col("q").isNotNull())
+    again = again.select("tid", "h")
     places = scratch(again.groupBy("tid").agg(F.collect_set("h").alias("h")).join(texts.select("tid", "digest", "id"), "tid"), "suffix-anchors")
-    size = places.agg(F.sum(F.size("h") * 8 + 120)).first()[0] or 0
+    size, total = places.agg(F.sum(F.size("h") * 8 + 120), F.sum(F.size("h"))).first()
+    frequent = places.select(F.explode("h").alias("h")).groupBy("h").count().where(F.col("count") >= max(HOT, int(HOT_PART * (total or 0)))).agg(F.collect_list("h"), F.sum("count")).first()
+    hot = np.sort(np.array(frequent[0], np.int64).view(np.uint64))  # 1 / HOT_PART at most
+    parts = max(1, -(-(frequent[1] or 0) * (length - ANCHOR) // range_windows))
 
     def cut_out(batches):
         for whole in batches:
             for batch in small_batches(whole, most=ANCHOR_BYTES):
                 data, offsets = utf8_buffers(batch.column("text"))
                 known = batch.column("h")
-                first, last, route = stretches_of(data, offsets, np.unique(known.flatten().to_numpy().view(np.uint64)), length)
+                first, last, anchor = pieces_of(data, offsets, np.unique(known.flatten().to_numpy().view(np.uint64)), length)
                 of = np.searchsorted(offsets, first, side="right") - 1
-                tids = batch.column("tid").to_numpy()[of]
                 pieces = [data[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(tids, pa.int64()), pa.array(first - offsets[of]), pa.array(pieces, pa.binary())], names=["route", "tid", "start", "bytes"])
+                frequent = np.isin(anchor, hot)
+                salt = [zlib.crc32(p) % SPLIT if f else -1 for p, f in zip(pieces, frequent.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor.view(np.int64)), pa.array(salt, pa.int32()), pa.array(batch.column("tid").to_numpy()[of], pa.int64()), pa.array(first - offsets[of]), pa.array(pieces, pa.binary())], names=["anchor", "salt", "tid", "start", "bytes"]
+                )
 
-    stretches = _join(long.select("id", "digest", "text"), places, size, ["digest", "id"]).select("tid", "h", "text").mapInArrow(cut_out, "route bigint, tid bigint, start bigint, bytes binary")
-    stretches = scratch(stretches, "suffix-stretches")
-    windows = stretches.agg(F.sum(F.octet_length("bytes") - (length - 1))).first()[0] or 0
-    parts = max(1, -(-windows // range_windows))
+    pieces = _join(long.select("id", "digest", "text"), places, size or 0, ["digest", "id"]).select("tid", "h", "text").mapInArrow(cut_out, "anchor bigint, salt int, tid bigint, start bigint, bytes binary")
 
     def shard(batches):
-        held, size = [], 0
+        held, last = Shard(parts, length), None
         for batch in batches:
-            for t, s, b in zip(*(batch.column(c).to_pylist() for c in ("tid", "start", "bytes"))):
-                held.append((t, s, b))
-                size += len(b)
-                if size >= shard_bytes:
-                    yield from shard_rows(held, parts, length)
-                    held, size = [], 0
-        if held:
-            yield from shard_rows(held, parts, length)
-
-    # Shards needn't hold all of a route: what they miss, the merge finds. So large routes may be split.
-    sharded = stretches.hint("rebalance", "route").mapInArrow(shard, SCHEMA)
+            for anchor, salt, tid, start, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "salt", "tid", "start", "bytes"))):
+                fresh = (anchor, salt) != last
+                full = held.bytes >= shard_bytes
+                if full:
+                    held.split[-1] |= not fresh  # the anchor goes on in another shard
+                    cut = not fresh
+                    yield from held.rows()
+                elif fresh:
+                    cut = False
+                if len(held.runs) >= 100_000:
+                    held.runs, runs = [], held.runs
+                    t, a, b = (np.array(x, np.int64) for x in zip(*runs))
+                    yield pa.RecordBatch.from_arrays([pa.array(t % parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
+                held.add(fresh, cut or salt >= 0, tid, start, piece)
+                last = (anchor, salt)
+        yield from held.rows()
+
+    sharded = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(shard, SCHEMA)
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
