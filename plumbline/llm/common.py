@@ -32,6 +32,12 @@ def words(text: Column) -> Column:
     return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK_RUN))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows under names that clash with none of an operator's own, and the new name of each column."""
+    names = {c: f"_in{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; one of our own only where none is set, as in local tests."""
     found = spark.sparkContext._jsc.sc().getCheckpointDir()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, small_batches, text_of, utf8_buffers
+from .common import WordHasher, numbered, small_batches, text_of, utf8_buffers
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -239,9 +239,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     All columns come back; texts that are not hit are unchanged.
     """
-    rest = tuple(c for c in docs.columns if c != id_col)
-    found = contamination(docs, benchmark, window, id_col, text_col, carry=rest, **names)
-    raw = F.col(text_col).cast("binary")
+    rows, named = numbered(docs)
+    text = named[text_col]
+    found = contamination(rows, benchmark, window, named[id_col], text, carry=tuple(n for n in rows.columns if n != named[id_col]), **names)
+    raw = F.col(text).cast("binary")
     cleaned = F.aggregate(
         "spans",
         F.struct(F.lit(b"").alias("out"), F.lit(0).cast("int").alias("at")),
@@ -249,7 +250,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
         lambda acc: F.decode(F.concat(acc["out"], F.substring(raw, acc["at"] + 1, F.octet_length(raw))), "UTF-8"),
     )
     kept = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    return kept.select(*(F.when(F.size("spans") > 0, cleaned).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return kept.select(*(F.when(F.size("spans") > 0, cleaned).otherwise(F.col(n)).alias(c) if n == text else F.col(n).alias(c) for c, n in named.items()))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -43,11 +43,10 @@ CELL_BITS = 22
 CHUNK = 1 << 16
 #: Prefix shingles that meet in one group when those that occur once are told from the others, on average.
 RANGE_SHINGLES = 2_000_000
-#: Up to so many shared shingles (8 bytes each) are broadcast; beyond that all prefixes are shuffled.
-SHARED_SHINGLES = 4_000_000
 RESIDUES = 64
-#: Bits of the table that tells which sets are worth sending for verification: 4 MB, whatever the input.
-FILTER_BITS = 25
+#: Bits of the tables that tell which prefix shingles and which sets are worth sending: 8 MB each, whatever the
+#: input. A bit set by another one only sends more; the joins that follow are exact.
+FILTER_BITS = 26
 #: Lists of ids of up to so many rows (some 20 bytes each) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 1_000_000
 #: How much larger each block of pivots is than the one before.
@@ -198,7 +197,7 @@ def _shared(docs: DataFrame, table: np.ndarray, total: int, percent: int, text_c
     return sent.groupBy("part").applyInArrow(merge, "h bigint")
 
 
-def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray | None, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, a, b, prefix, residues) of the rows that have a wanted prefix shingle; prefix: struct(h, pos)."""
     shared = docs.sparkSession.sparkContext.broadcast((table, wanted))
     rows, id_type = _rows(docs, id_col, text_col)
@@ -210,10 +209,8 @@ def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray | None, perc
             for batch in small_batches(whole):
                 h, at, ph, of, pos = _prefix(shingler, rare, percent, batch.column("text"))
                 n, (a, b) = np.diff(at), _set_digests(h, at)
-                if some is not None and len(ph):
-                    near = np.minimum(np.searchsorted(some, ph), len(some) - 1)
-                    keep = some[near] == ph if len(some) else np.zeros(len(ph), bool)
-                    ph, of, pos = ph[keep], of[keep], pos[keep]
+                keep = _marked(some, ph.view(np.int64))
+                ph, of, pos = ph[keep], of[keep], pos[keep]
                 count = np.bincount(of, minlength=len(n))
                 rows = count > 0
                 cell = np.repeat(np.arange(len(n)), n) * RESIDUES + (h & np.uint64(RESIDUES - 1)).astype(np.int64)
@@ -226,10 +223,15 @@ def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray | None, perc
     return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<struct<h:bigint,pos:bigint>>, residues array<int>")
 
 
-def _bits(classes: DataFrame) -> np.ndarray:
-    """A bit for each class at its digest's place in a table of fixed size."""
-    spot = F.pmod(F.col("a"), F.lit(1 << FILTER_BITS)) + 1
-    got = classes.groupBy(F.bitmap_bucket_number(spot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")).collect()
+def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    spot = numbers & ((1 << FILTER_BITS) - 1)
+    return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
+
+
+def _bits(rows: DataFrame, column: str) -> np.ndarray:
+    """A bit for each number at its place in a table of fixed size."""
+    spot = F.pmod(F.col(column), F.lit(1 << FILTER_BITS)) + 1
+    got = rows.groupBy(F.bitmap_bucket_number(spot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")).collect()
     table = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     for r in got:
         table[(r.k - 1) * 4096 : r.k * 4096] = np.frombuffer(r.bits, np.uint8)
@@ -238,7 +240,7 @@ def _bits(classes: DataFrame) -> np.ndarray:
 
 def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cid, members) of the classes given as cid, node, a, b, n."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(classes))
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(classes, "a"))
     rows, id_type = _rows(docs, id_col, text_col)
 
     def emit(batches):
@@ -247,8 +249,7 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
             for batch in small_batches(whole):
                 h, at = shingler(batch.column("text"))
                 n, (a, b) = np.diff(at), _set_digests(h, at)
-                spot = a & ((1 << FILTER_BITS) - 1)
-                some = (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1) & (n > 0)
+                some = _marked(bits, a) & (n > 0)
                 of = np.repeat(np.arange(len(n)), n)
                 yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), pa.array(n[some]), pa.array(a[some]), pa.array(b[some]), _lists(h[some[of]], np.r_[0, np.cumsum(n[some])])], names=["id", "n", "a", "b", "members"])
 
@@ -292,7 +293,7 @@ def _with(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", shared_shingles: int = SHARED_SHINGLES) -> DataFrame:
+def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id reachable by links)."""
     digests = scratch(_digests(docs, id_col, text_col), "jaccard-digests")
     table = _table(digests)
@@ -300,10 +301,7 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     classes = rows.where(F.col("n") > 0).groupBy("n", "a", "b").agg(F.min("id").alias("node"))
     classes = scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
     total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
-    several = scratch(_shared(docs, table, int(total), percent, text_col), "jaccard-shared")
-    wanted = None
-    if several.count() <= shared_shingles:
-        wanted = np.sort(several.toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    wanted = _bits(_shared(docs, table, int(total), percent, text_col), "h")
     # The row of the least id speaks for its class. If it is there twice, its ranks tie.
     own = _entries(docs, table, wanted, percent, id_col, text_col).withColumnRenamed("id", "node").join(classes, ["n", "a", "b", "node"])
     own = scratch(own.select("cid", "n", "prefix", "residues"), "jaccard-prefixes")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, BLANKS, text_of
+from .common import BLANK_RUN, BLANKS, numbered, text_of
 
 MIN_WORDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,9 +48,10 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
 
 def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the lines that stand earlier in the corpus; other columns are unchanged. Equal rows become one."""
+    rows, named = numbered(docs)
+    key, text = named[id_col], text_of(F.col(named[text_col]))
     found = repeated_lines(docs, min_words, id_col, text_col).where(F.size("removed") > 0).select(F.col(id_col).alias("_id"), F.col("digest").alias("_digest"), "removed")
-    text = text_of(F.col(text_col))
-    joined = docs.withColumn("_own", F.sha2(text, 256)).dropDuplicates([id_col, "_own"]).join(found, F.col("_own").eqNullSafe(F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    joined = rows.withColumn("_own", F.sha2(text, 256)).dropDuplicates([key, "_own"]).join(found, F.col("_own").eqNullSafe(F.col("_digest")) & F.col(key).eqNullSafe(F.col("_id")), "left")
     part = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
     kept = F.aggregate(
         "removed",
@@ -58,7 +59,7 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: s
         lambda acc, s: F.struct(F.concat(acc["out"], part(acc["at"], s["start"])).alias("out"), (s["end"] + 1).alias("at")),
         lambda acc: F.concat(acc["out"], part(acc["at"], F.length(text))),
     )
-    return joined.select(*(F.when(F.col("removed").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return joined.select(*(F.when(F.col("removed").isNull(), F.col(n)).otherwise(kept).alias(c) if c == text_col else F.col(n).alias(c) for c, n in named.items()))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

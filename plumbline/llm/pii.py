@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import numbered, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # none, then begin and inside of each kind
@@ -337,7 +337,7 @@ def _plausible(kind: int, text: str) -> bool:
     if kind == 0:
         return "@" in text and "." in text.partition("@")[2] and not re.search(r"\s", text)
     if kind == 1:
-        return len(text.split(".")) == 4 and digits >= 4
+        return re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", text) is not None and all(int(x) <= 255 for x in text.split("."))
     if kind == 2:
         return 12 <= digits <= 19 and luhn("".join(c for c in text if "0" <= c <= "9"))
     return 9 <= digits <= 15 and text[0] in "+(" and "(" in text + "+"
@@ -418,8 +418,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with each span's text replaced by its kind in brackets; other texts and columns are unchanged."""
-    found = find_pii(docs, id_col, text_col, carry=tuple(c for c in docs.columns if c != id_col))
-    text = F.col(text_col)
+    rows, named = numbered(docs)
+    found = find_pii(rows, named[id_col], named[text_col], carry=tuple(n for n in rows.columns if n != named[id_col]))
+    text = F.col(named[text_col])
     out = F.aggregate(
         "spans",
         F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
@@ -429,7 +430,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
     )
-    return found.select(*(F.when(F.size("spans") > 0, out).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return found.select(*(F.when(F.size("spans") > 0, out).otherwise(text).alias(c) if c == text_col else F.col(n).alias(c) for c, n in named.items()))
 
 
 def joined(spans: Column) -> Column:

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import numbered
 from .quality_rules import statistics
 
 THRESHOLD = 0.3
@@ -60,7 +61,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     """Newton boosting of the logistic loss on binned features; split gains come from cumulated histograms."""
     inner, leaves = 2**depth - 1, 2**depth
     share = float(np.mean(y)) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         base = float(np.log((share + 1e-6) / (1 - share + 1e-6))) if len(y) else 0.0
         return Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)), base)
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
@@ -130,8 +131,9 @@ def score(docs: DataFrame, model: Trees, threshold: float = THRESHOLD, id_col: s
 
 def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the model doesn't reject, all columns unchanged; nothing is shuffled."""
-    rest = tuple(c for c in docs.columns if c != id_col)
-    return score(docs, model, threshold, id_col, text_col, rest).where(F.col("predicted") == 1).select(*docs.columns)
+    rows, named = numbered(docs)
+    scored = score(rows, model, threshold, named[id_col], named[text_col], tuple(n for n in rows.columns if n != named[id_col]))
+    return scored.where(F.col("predicted") == 1).select(*(F.col(n).alias(c) for c, n in named.items()))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ RULES = (
     Rule("exclamation marks per word", "n_exclaim", "n_words", high=40),
     Rule("capitals per character", "n_capitals", "word_chars", high=45),
     Rule("repeated lines", "n_dup_lines", "n_lines", high=50),
-    Rule("different words", "n_distinct_words", "n_words", low=10),
+    Rule("different words", "n_distinct_words", "n_words", low=5),
     Rule("stop words", "n_stop_words", "n_words", low=1, least=150),
 )
 
