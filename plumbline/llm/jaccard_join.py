@@ -224,7 +224,7 @@ def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray, percent: in
 
 
 def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    spot = numbers & ((1 << FILTER_BITS) - 1)
+    spot = numbers & (8 * len(bits) - 1)
     return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
 
 
