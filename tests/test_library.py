@@ -47,7 +47,7 @@ def test_radius_join_is_exhaustive(spark):
     pts = [(i, -25 + (i * 7919 % 1000) / 20000, -57 + (i * 104729 % 1000) / 20000) for i in range(300)]
     df = spark.createDataFrame(pts, "id int, lat double, lng double")
     for side in ("left", "right"):
-        got = spatial.radius_join(df, df.selectExpr("id r, lat r_lat, lng r_lng"), 700.0, explode=side)
+        got = spatial.radius_join(df, df.selectExpr("id r", "lat r_lat", "lng r_lng"), 700.0, explode=side)
         assert {(r.id, r.r) for r in got.collect()} == {(a[0], b[0]) for a in pts for b in pts if distance(*a[1:], *b[1:]) <= 700}
 
 
