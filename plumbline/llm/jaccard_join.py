@@ -214,13 +214,15 @@ def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray, percent: in
                 count = np.bincount(of, minlength=len(n))
                 rows = count > 0
                 cell = np.repeat(np.arange(len(n)), n) * RESIDUES + (h & np.uint64(RESIDUES - 1)).astype(np.int64)
-                residues = np.bincount(cell, minlength=len(n) * RESIDUES).reshape(-1, RESIDUES)[rows].astype(np.int32)
+                residues = np.bincount(cell, minlength=len(n) * RESIDUES).reshape(-1, RESIDUES)[rows]
                 structs = pa.StructArray.from_arrays([pa.array(ph.view(np.int64)), pa.array(pos)], fields=list(pair))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count[rows])], pa.int32()), structs)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(residues) + 1) * RESIDUES, pa.int32()), pa.array(residues.ravel()))
+                # Counts past 16 bits would be cut; the filter lets rows without counts pass.
+                wide = residues.max(1, initial=0) > np.iinfo(np.int16).max
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(residues) + 1) * RESIDUES, pa.int32()), pa.array(residues.ravel().astype(np.int16)), mask=pa.array(wide))
                 yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(rows)), pa.array(n[rows]), pa.array(a[rows]), pa.array(b[rows]), lists, flat], names=["id", "n", "a", "b", "prefix", "residues"])
 
-    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<struct<h:bigint,pos:bigint>>, residues array<int>")
+    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<struct<h:bigint,pos:bigint>>, residues array<smallint>")
 
 
 def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -254,7 +256,7 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
                 yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), pa.array(n[some]), pa.array(a[some]), pa.array(b[some]), _lists(h[some[of]], np.r_[0, np.cumsum(n[some])])], names=["id", "n", "a", "b", "members"])
 
     found = rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, members array<bigint>")
-    own = classes.select("cid", F.col("node").alias("id"), "n", "a", "b")
+    own = _small(classes.select("cid", F.col("node").alias("id"), "n", "a", "b"))
     return found.join(own, ["id", "n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members")
 
 
@@ -275,22 +277,31 @@ def _connected(links: DataFrame) -> DataFrame:
             return labels.select(F.col("x").alias("cid"), F.col("l").alias("comp"))
 
 
-def _candidates(groups: DataFrame, low: int, high: int, percent: int) -> DataFrame:
-    """Pairs (x, y) of a pivot, by rank in [low, high), and a later member of its group; length and positional filters hold."""
-    pivots = groups.where((F.col("r") >= low) & (F.col("r") < high)).select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("r").alias("rx"), F.col("comp").alias("cx"))
+def _small(rows: DataFrame) -> DataFrame:
+    """Rows of a few numbers: broadcast if there are no more of them than BROADCAST_ROWS."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _candidates(groups: DataFrame, meta: DataFrame, low: int, high: int, percent: int) -> DataFrame:
+    """Pairs (x, y, both) of a pivot, by rank in [low, high), and a later member of its group, for which the length, positional and suffix filters hold."""
+    rich = groups.join(meta, "cid")
+    pivots = rich.where((F.col("r") >= low) & (F.col("r") < high)).select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("r").alias("rx"), F.col("comp").alias("cx"), F.col("residues").alias("residues_x"))
     both = F.col("n") + F.col("nx")
+    enough = lambda shared: shared * (100 + percent) >= percent * both
     # Ranks rise with the sizes, so the pivot's set is the smaller one.
     length = F.col("nx") * 100 >= percent * F.col("n")
-    positional = (F.least("pos", "px") + F.least(F.col("n") - F.col("pos"), F.col("nx") - F.col("px"))) * (100 + percent) >= percent * both
-    pairs = groups.join(pivots, "h").where((F.col("r") > F.col("rx")) & (F.col("comp") != F.col("cx")) & length & positional)
-    return pairs.select("x", F.col("cid").alias("y"), (both).alias("both")).distinct()
+    positional = enough(F.least("pos", "px") + F.least(F.col("n") - F.col("pos"), F.col("nx") - F.col("px")))
+    room = F.aggregate(F.zip_with("residues", "residues_x", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    pairs = rich.where(F.col("r") > low).join(pivots, "h").where((F.col("r") > F.col("rx")) & (F.col("comp") != F.col("cx")) & length & positional & enough(F.coalesce(room, F.col("n"))))
+    return pairs.select("x", F.col("cid").alias("y"), both.alias("both")).distinct()
 
 
-def _with(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """The pairs with both sides' values of a column of (cid, column), as column_x and column_y."""
-    for side in ("y", "x"):
-        pairs = pairs.join(table.select(F.col("cid").alias(side), F.col(column).alias(f"{column}_{side}")), side)
-    return pairs
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link. The sets of the later members go to their pivots; only sets of the pairs' ends are sent."""
+    later = sets.withColumnRenamed("cid", "y").withColumnRenamed("members", "members_y").join(_small(pairs), "y")
+    pivots = sets.withColumnRenamed("cid", "x").join(_small(pairs.select("x").distinct()), "x", "left_semi")
+    shared = F.size(F.array_intersect("members", "members_y"))
+    return later.join(pivots, "x").where(shared * (100 + percent) >= percent * F.col("both")).select("x", "y")
 
 
 def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -311,21 +322,19 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     ranked = ranked.withColumn("r", F.dense_rank().over(members)).withColumn("prev", F.lag("cid").over(members)).withColumn("next", F.lead("cid").over(members))
     kept = F.when(F.col("r") == 1, F.col("next") != F.col("cid")).otherwise(F.col("prev") != F.col("cid"))
     groups = scratch(ranked.where(kept).select("h", "cid", "n", "pos", "r", F.col("cid").alias("comp")), "jaccard-groups")
-    enough = lambda shared: shared * (100 + percent) >= percent * F.col("both")
-    room = F.aggregate(F.zip_with("residues_x", "residues_y", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
     links = tested = comps = sets = None
     low, high = 1, 2
     while not groups.isEmpty():
-        pairs = _candidates(groups, low, high, percent)
+        pairs = _candidates(groups, meta, low, high, percent)
         pairs = pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
-        pairs = scratch(_with(pairs, meta, "residues").where(enough(room)).select("x", "y", "both"), "jaccard-pairs")
+        pairs = scratch(pairs, "jaccard-pairs")
         ends = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
         missing = scratch(ends if sets is None else ends.join(sets, "cid", "left_anti"), "jaccard-missing")
         if not missing.isEmpty():
             more = scratch(_sets(docs, classes.join(missing, "cid", "left_semi"), id_col, text_col), "jaccard-sets")
             sets = more if sets is None else sets.unionByName(more)
         if not pairs.isEmpty():
-            found = scratch(_with(pairs, sets, "members").where(enough(F.size(F.array_intersect("members_x", "members_y")))).select("x", "y"), "jaccard-links")
+            found = scratch(_verified(pairs, sets, percent), "jaccard-links")
             tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
             links = found if links is None else links.unionByName(found)
             if not found.isEmpty():
@@ -349,11 +358,10 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     ids = found.groupBy(F.col(id_col).alias("_id")).agg(F.min("component_id").alias("c"), F.count("*").alias("times"))
     known = F.col(id_col).eqNullSafe(F.col("_id"))
     lesser, repeated = (scratch(ids.where(t).select("_id"), "jaccard-ids") for t in (F.col("c") != F.col("_id"), (F.col("times") > 1) & ((F.col("c") == F.col("_id")) | F.col("_id").isNull())))
-    small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-    rest = docs.join(small(lesser), known, "left_anti")
+    rest = docs.join(_small(lesser), known, "left_anti")
     if repeated.isEmpty():
         return rest
-    again = small(repeated)
+    again = _small(repeated)
     return rest.join(again, known, "left_anti").unionByName(rest.join(again, known, "left_semi").dropDuplicates([id_col, text_col]))
 
 
