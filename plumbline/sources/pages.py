@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +52,6 @@ def bracketed(text: str | None, marker: str) -> str | None:
 
 def script_array(html: Column, marker: str, schema: str) -> Column:
     """The array that a page's script assigns after ``marker``, as array<struct>; null if there is none."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(pages: pd.Series) -> pd.Series:
         return pages.map(lambda x: bracketed(x, marker))
