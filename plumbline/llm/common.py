@@ -38,6 +38,15 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
 
 
+def matched(left: DataFrame, right: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
+    """Inner equi-join on the keys and on an id of the same name that may be null: null meets null."""
+    other = right.withColumnRenamed(id_col, "_matched").withColumnsRenamed({k: f"_matched_{k}" for k in keys})
+    on = F.col(id_col).eqNullSafe(F.col("_matched"))
+    for k in keys:
+        on &= F.col(k) == F.col(f"_matched_{k}")
+    return left.join(other, on).drop("_matched", *(f"_matched_{k}" for k in keys))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; one of our own only where none is set, as in local tests."""
     found = spark.sparkContext._jsc.sc().getCheckpointDir()

@@ -20,7 +20,8 @@ Blocks grow fourfold, so groups of n members take log(n) rounds. Words are maxim
 characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
 five words are one shingle; null, empty and blank ones have none, link with nothing and form
 components of their own. Repeated rows get the same component; rows of one id with different
-texts are different documents. Columns other than the id and the text are not read.
+texts are different documents. Rows with a null id link like others, but name no component as long as
+another row of it has an id. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WordHasher, chained, cut, mixed, scratch, small_batches, utf8_buffers
+from .common import WordHasher, chained, cut, matched, mixed, scratch, small_batches, utf8_buffers
 
 SHINGLE = 5
 #: Similarity in hundredths.
@@ -257,7 +258,7 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
 
     found = rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, members array<bigint>")
     own = _small(classes.select("cid", F.col("node").alias("id"), "n", "a", "b"))
-    return found.join(own, ["id", "n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members")
+    return matched(found, own, ["n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members")
 
 
 def _connected(links: DataFrame) -> DataFrame:
@@ -314,7 +315,7 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
     wanted = _bits(_shared(docs, table, int(total), percent, text_col), "h")
     # The row of the least id speaks for its class. If it is there twice, its ranks tie.
-    own = _entries(docs, table, wanted, percent, id_col, text_col).withColumnRenamed("id", "node").join(classes, ["n", "a", "b", "node"])
+    own = matched(_entries(docs, table, wanted, percent, id_col, text_col), classes.withColumnRenamed("node", "id"), ["n", "a", "b"])
     own = scratch(own.select("cid", "n", "prefix", "residues"), "jaccard-prefixes")
     meta = own.select("cid", "residues").dropDuplicates(["cid"])
     members = W.partitionBy("h").orderBy("n", "cid")

@@ -18,8 +18,8 @@ corpus. Texts are UTF-8 bytes; matches never cross documents.
 
 Digests have 64 bits, so two of 10 ** 9 different windows are taken for equal with a chance of some
 3 %; within a shard the bytes themselves decide. Null and empty texts, and texts
-shorter than ``length``, have nothing to remove. Repeated rows are copies of each other. Columns other
-than the id and the text are not read.
+shorter than ``length``, have nothing to remove. Repeated rows are copies of each other. Rows with a null id
+are searched like others. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import chained, mixed, scratch, small_batches, text_of, utf8_buffers
+from .common import chained, matched, mixed, scratch, small_batches, text_of, utf8_buffers
 
 LENGTH = 200
 #: Bytes of an anchor.
@@ -299,8 +299,8 @@ def merged_part(rows: list[tuple[bytes, ...]], length: int):
 
 
 def _join(texts: DataFrame, table: DataFrame, size: int, on: list[str]) -> DataFrame:
-    """Broadcasts the table if its size, counted before, allows; else the texts are shuffled to it."""
-    return texts.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, on)
+    """On the id, which may be null, and other columns. Broadcasts the table if its size, counted before, allows; else the texts are shuffled to it."""
+    return matched(texts, F.broadcast(table) if size <= BROADCAST_BYTES else table, on)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
@@ -323,7 +323,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     found = long.select("id", "digest", "text").mapInArrow(find, f"id {id_type}, digest string, h array<bigint>")
     # The row of the least id speaks for its text; if that row itself repeats, one of it is enough.
-    own = found.join(texts.select("digest", "id", "tid"), ["digest", "id"]).dropDuplicates(["digest", "id"]).select("tid", F.explode("h").alias("h"))
+    own = matched(found, texts.select("digest", "id", "tid"), ["digest"]).dropDuplicates(["digest", "id"]).select("tid", F.explode("h").alias("h"))
     same = W.partitionBy("h").orderBy("tid")
     again = own.withColumn("p", F.lag("h").over(same)).withColumn("q", F.lead("h").over(same)).where(F.col("p").isNotNull() | F.col("q").isNotNull())
     again = again.select("tid", "h")
@@ -347,7 +347,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     [pa.array(anchor.view(np.int64)), pa.array(salt, pa.int32()), pa.array(batch.column("tid").to_numpy()[of], pa.int64()), pa.array(first - offsets[of]), pa.array(pieces, pa.binary())], names=["anchor", "salt", "tid", "start", "bytes"]
                 )
 
-    pieces = _join(long.select("id", "digest", "text"), places, size or 0, ["digest", "id"]).select("tid", "h", "text").mapInArrow(cut_out, "anchor bigint, salt int, tid bigint, start bigint, bytes binary")
+    pieces = _join(long.select("id", "digest", "text"), places, size or 0, ["digest"]).select("tid", "h", "text").mapInArrow(cut_out, "anchor bigint, salt int, tid bigint, start bigint, bytes binary")
 
     def shard(batches):
         held, last = Shard(parts, length), None

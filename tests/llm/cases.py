@@ -94,3 +94,13 @@ def contamination(docs: list, items: list, window: int = 10) -> list:
                     names |= windows[tuple(w[i : i + n])]
         out.append((k, len(w), len(hit), tuple(sorted(names))))
     return out
+
+
+def null_id_rows() -> list:
+    """Rows of (id, text), some without an id: they share a passage, are near copies, and connect others."""
+    words = [f"word{i}" for i in range(400)]
+    passage = " ".join(words[200:260])
+    chain = [" ".join(words[10 * i : 10 * i + 100]) for i in range(3)]  # each links with the next one only
+    near = " ".join(words[300:360] + ["changed"] + words[360:400])
+    rows = [(1, "left of it " + passage), (None, passage + " right of it"), (2, chain[0]), (None, chain[1]), (3, chain[2])]
+    return rows + [(4, " ".join(words[300:400])), (None, near), (None, near), (None, "alone " * 60), (None, " ".join(words[100:150])), (None, " ".join(words[100:150]) + " more")]

@@ -104,6 +104,13 @@ def test_suffix_dedup_empty(empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_of_rows_without_id(spark):
+    rows = cases.null_id_rows()
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    same(got.select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256)).collect(), cases.without_repeats(rows, 200))
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
@@ -135,6 +142,12 @@ def test_jaccard_chains_and_crowds(spark):
     same(got.collect(), cases.component_ids(rows))
 
 
+def test_jaccard_components_of_rows_without_id(spark):
+    rows = cases.null_id_rows()
+    got = jaccard_join.components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    same(got.collect(), cases.component_ids(rows))
+
+
 def test_one_of_each(docs, empty):
     kept = jaccard_join.one_of_each(docs)
     ids = [r.doc_id for r in kept.collect()]
