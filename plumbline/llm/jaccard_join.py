@@ -307,6 +307,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id reachable by links)."""
+    return _found(docs, percent, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: id, n, a, b, comp (a number of the component, null without shingles), component_id."""
     digests = scratch(_digests(docs, id_col, text_col), "jaccard-digests")
     table = _table(digests)
     rows = digests.where(F.col("chunk").isNull()).select("id", "n", "a", "b")
@@ -346,24 +351,52 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
         open_ = now.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("r").alias("last")).where((F.col("least") != F.col("most")) & (F.col("last") > low)).select("h")
         groups = scratch(now.join(open_, "h", "left_semi"), "jaccard-groups")
     if comps is None:
-        named = classes.select("n", "a", "b", F.col("node").alias("component_id"))
+        named = classes.select("n", "a", "b", F.col("cid").alias("comp"), F.col("node").alias("component_id"))
     else:
         whole = classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        named = whole.join(whole.groupBy("comp").agg(F.min("node").alias("component_id")), "comp").select("n", "a", "b", "component_id")
-    return rows.join(named, ["n", "a", "b"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+        named = whole.join(whole.groupBy("comp").agg(F.min("node").alias("component_id")), "comp").select("n", "a", "b", "comp", "component_id")
+    return rows.join(named, ["n", "a", "b"], "left").select("id", "n", "a", "b", "comp", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def _with_digests(texts: DataFrame) -> DataFrame:
+    """(id, text, n, a, b) of rows (id, text)."""
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def digest(batches):
+        shingler = Shingler()
+        for whole in batches:
+            for batch in small_batches(whole):
+                h, at = shingler(batch.column("text"))
+                a, b = _set_digests(h, at)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(np.diff(at)), pa.array(a), pa.array(b)], names=["id", "text", "n", "a", "b"])
+
+    return texts.mapInArrow(digest, f"id {id_type}, text string, n bigint, a bigint, b bigint")
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those whose component has a lesser id; equal rows become one. Columns are unchanged."""
-    found = scratch(components(docs, percent, id_col, text_col), "jaccard-found")
-    ids = found.groupBy(F.col(id_col).alias("_id")).agg(F.min("component_id").alias("c"), F.count("*").alias("times"))
+    """Of each component the document of least id; equal rows become one. Columns are unchanged.
+
+    A null id comes after all others. Of different texts with one id in one component, that of the lesser set
+    digest stays, then the lesser text. Documents without shingles are components of their own.
+    """
+    found = scratch(_found(docs, percent, id_col, text_col), "jaccard-found")
+    ids = found.groupBy("id").agg(F.first("component_id").alias("c"), F.count("*").alias("times"))
+    # An id that one row has tells the row. Rows of the others are told by their texts.
+    alone = F.col("id").isNotNull() & (F.col("times") == 1)
+    lesser, others = (scratch(ids.where(t).select(F.col("id").alias("_id")), "jaccard-ids") for t in (alone & (F.col("c") != F.col("id")), ~alone))
     known = F.col(id_col).eqNullSafe(F.col("_id"))
-    lesser, repeated = (scratch(ids.where(t).select("_id"), "jaccard-ids") for t in (F.col("c") != F.col("_id"), (F.col("times") > 1) & ((F.col("c") == F.col("_id")) | F.col("_id").isNull())))
     rest = docs.join(_small(lesser), known, "left_anti")
-    if repeated.isEmpty():
+    if others.isEmpty():
         return rest
-    again = _small(repeated)
-    return rest.join(again, known, "left_anti").unionByName(rest.join(again, known, "left_semi").dropDuplicates([id_col, text_col]))
+    again = _small(others)
+    firsts = found.where(F.col("n") > 0).groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n", "a", "b")).alias("k")).select("k.id", "k.n", "k.a", "k.b")
+    texts = docs.join(again, known, "left_semi").select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).distinct()
+    texts = scratch(_with_digests(texts), "jaccard-texts")
+    stay = matched(texts, firsts, ["n", "a", "b"]).groupBy("id", "n", "a", "b").agg(F.min("text").alias("text"))
+    stay = texts.where(F.col("n") == 0).select("id", "text").unionByName(stay.select("id", "text"))
+    stay = stay.select(F.col("id").alias("_id"), F.col("text").alias("_text"))
+    one = docs.join(again, known, "left_semi").dropDuplicates([id_col, text_col])
+    return rest.join(again, known, "left_anti").unionByName(one.join(stay, known & F.col(text_col).eqNullSafe(F.col("_text")), "left_semi"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -155,6 +155,17 @@ def test_one_of_each(docs, empty):
     assert jaccard_join.components(empty).count() == 0
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    words = [f"w{i}" for i in range(300)]
+    a, b, c, d = (" ".join(words[k : k + 70]) for k in (0, 70, 140, 210))
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (None, a + " more"), (None, c), (None, c + " end"), (None, c), (3, d), (3, d.replace(" ", "  ")), (3, None), (3, ""), (None, ""), (None, None), (None, None)]
+    kept = [tuple(r) for r in jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    long = [r for r in kept if r[1]]
+    same([r for r in kept if not r[1]], [(3, None), (3, ""), (None, ""), (None, None)])
+    assert len(long) == 4 and {(1, a), (2, b)} < set(long)
+    assert [k for k, t in long if t in (c, c + " end")] == [None] and [k for k, t in long if t.split() == d.split()] == [3]
+
+
 @pytest.mark.parametrize("most", [decontaminate.AUTOMATON_WORDS, 8])
 def test_contamination(docs, benchmark, most):
     got = decontaminate.contamination(docs, benchmark, most=most).select("doc_id", "n_words", "n_hit", "items")
