@@ -13,8 +13,9 @@ corpus. Texts are UTF-8 bytes; matches never cross documents.
    each time, singletons are done. Kasai's walk, over all pieces of a shard in step, gives the common
    prefixes of neighbours.
 4. Cross-shard merging: an anchor with too many pieces for one shard (or, if its count says so before, for one
-   task) is split. Its shards cut their sorted windows' digests by binary search into ranges;
-   for each range the arrays of all shards meet, and each shard's are searched in the others'.
+   task) is split. The digests of its windows are counted when all shards are done, which gives the number of
+   ranges; the shards' sorted digests are cut into these by binary search, for each range the arrays of all
+   shards meet, and each shard's are searched in the others'. Runs found within a shard don't pass through it.
 
 Digests have 64 bits, so two of 10 ** 9 different windows are taken for equal with a chance of some
 3 %; within a shard the bytes themselves decide. Null and empty texts, and texts
@@ -207,15 +208,20 @@ def _runs(tid: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.
     return tid[first], at[first], at[last] + length
 
 
-NAMES = ["part", "tid", "start", "end", "once", "tids", "owners", "places", "several"]
-SCHEMA = "part int, tid bigint, start bigint, `end` bigint, once binary, tids binary, owners binary, places binary, several binary"
+LISTS = ["once", "tids", "owners", "places", "several"]
+NAMES = ["tid", "start", "end", *LISTS]
+SCHEMA = "tid bigint, start bigint, `end` bigint, once binary, tids binary, owners binary, places binary, several binary"
+
+
+def _run_rows(tid: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(tid), pa.array(start), pa.array(end), *[pa.nulls(len(tid), pa.binary())] * len(LISTS)], names=NAMES)
 
 
 class Shard:
     """Collects the pieces of anchors; ``rows`` gives the runs found and the digests of the windows of split anchors."""
 
-    def __init__(self, parts: int, length: int):
-        self.parts, self.length = parts, length
+    def __init__(self, length: int):
+        self.length = length
         self.runs: list[tuple[int, int, int]] = []
         self.start()
 
@@ -266,25 +272,42 @@ class Shard:
             if across.any():
                 yield self._digests(data, order, first[across], several[across], of, homes, starts)
         t, a, b = (np.concatenate([np.array([r[k] for r in self.runs], np.int64), *(x[k] for x in tables)]) for k in range(3))
-        # Runs go to a part each; the merge passes them on.
-        yield pa.RecordBatch.from_arrays([pa.array(t % self.parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
+        yield _run_rows(t, a, b)
         self.runs = []
         self.start()
 
     def _digests(self, data, order, first, several, of, homes, starts):
-        digests, parts = window_digests(data, self.length)[order[first]], self.parts
+        digests = window_digests(data, self.length)[order[first]]
         one, many = digests[~several], np.sort(digests[several])
         o = np.argsort(one)
         at = first[~several][o]
         # A window's text is told by its number in the shard, its place in 4 bytes.
         tids, owners = np.unique(homes[of[at], 0], return_inverse=True)
         one, owners, place = one[o], owners.astype(np.int32), (homes[of[at], 1] + order[at] - starts[of[at]]).astype(np.int32)
-        cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-        i, j = np.r_[0, np.searchsorted(one, cuts), len(one)], np.r_[0, np.searchsorted(many, cuts), len(many)]
-        cols = [[x[a:b].tobytes() for a, b in zip(c[:-1], c[1:])] for x, c in ((one, i), (owners, i), (place, i), (many, j))]
-        cols.insert(1, [tids.astype(np.int64).tobytes()] * parts)
-        none = pa.nulls(parts, pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in cols)], names=NAMES)
+        none = pa.nulls(1, pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, *(pa.array([x.tobytes()], pa.binary()) for x in (one, tids.astype(np.int64), owners, place, many))], names=NAMES)
+
+
+def ranges(lists: DataFrame, range_windows: int) -> DataFrame:
+    """The shards' digests cut into ranges (part) of so many windows on average, as counted over all of them."""
+    windows = lists.agg(F.sum(F.octet_length("once") + F.octet_length("several"))).first()[0] or 0
+    parts = max(1, -(-(windows // 8) // range_windows))
+    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+    def deal(batches):
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in LISTS)):
+                once, tids, owners, places, several = (np.frombuffer(x.as_py(), kind) for x, kind in zip(row, (np.uint64, np.int64, np.int32, np.int32, np.uint64)))
+                i, j = np.r_[0, np.searchsorted(once, cuts), len(once)], np.r_[0, np.searchsorted(several, cuts), len(several)]
+                out: list[tuple] = []
+                for k in np.flatnonzero((np.diff(i) > 0) | (np.diff(j) > 0)).tolist():
+                    own, of = np.unique(owners[i[k] : i[k + 1]], return_inverse=True)  # only the texts of the range go with it
+                    out.append((k, *(x.tobytes() for x in (once[i[k] : i[k + 1]], tids[own], of.astype(np.int32), places[i[k] : i[k + 1]], several[j[k] : j[k + 1]]))))
+                if out:
+                    part, *columns = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["part", *LISTS])
+
+    return lists.select(*LISTS).mapInArrow(deal, "part int, once binary, tids binary, owners binary, places binary, several binary")
 
 
 def merged_part(rows: list[tuple[bytes, ...]], length: int):
@@ -329,9 +352,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     again = again.select("tid", "h")
     places = scratch(again.groupBy("tid").agg(F.collect_set("h").alias("h")).join(texts.select("tid", "digest", "id"), "tid"), "suffix-anchors")
     size, total = places.agg(F.sum(F.size("h") * 8 + 120), F.sum(F.size("h"))).first()
-    frequent = places.select(F.explode("h").alias("h")).groupBy("h").count().where(F.col("count") >= max(HOT, int(HOT_PART * (total or 0)))).agg(F.collect_list("h"), F.sum("count")).first()
+    frequent = places.select(F.explode("h").alias("h")).groupBy("h").count().where(F.col("count") >= max(HOT, int(HOT_PART * (total or 0)))).agg(F.collect_list("h")).first()
     hot = np.sort(np.array(frequent[0], np.int64).view(np.uint64))  # 1 / HOT_PART at most
-    parts = max(1, -(-(frequent[1] or 0) * (length - ANCHOR) // range_windows))
 
     def cut_out(batches):
         for whole in batches:
@@ -350,7 +372,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     pieces = _join(long.select("id", "digest", "text"), places, size or 0, ["digest"]).select("tid", "h", "text").mapInArrow(cut_out, "anchor bigint, salt int, tid bigint, start bigint, bytes binary")
 
     def shard(batches):
-        held, last = Shard(parts, length), None
+        held, last = Shard(length), None
         for batch in batches:
             for anchor, salt, tid, start, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "salt", "tid", "start", "bytes"))):
                 fresh = (anchor, salt) != last
@@ -363,25 +385,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     cut = False
                 if len(held.runs) >= 100_000:
                     held.runs, runs = [], held.runs
-                    t, a, b = (np.array(x, np.int64) for x in zip(*runs))
-                    yield pa.RecordBatch.from_arrays([pa.array(t % parts, pa.int32()), pa.array(t), pa.array(a), pa.array(b), *[pa.nulls(len(t), pa.binary())] * 5], names=NAMES)
+                    yield _run_rows(*(np.array(x, np.int64) for x in zip(*runs)))
                 held.add(fresh, cut or salt >= 0, tid, start, piece)
                 last = (anchor, salt)
         yield from held.rows()
 
-    sharded = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(shard, SCHEMA)
+    sharded = scratch(pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(shard, SCHEMA), "suffix-shards")
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for b in batches:
-            runs = b.filter(b.column("tid").is_valid())
-            yield runs.select(["tid", "start", "end"])
-            lists = b.filter(b.column("tid").is_null())
-            held += list(zip(*(lists.column(c).to_pylist() for c in NAMES[4:])))
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged_part(held, length)], names=["tid", "start", "end"])
-
-    runs = sharded.groupBy("part").applyInArrow(merge, "tid bigint, start bigint, `end` bigint")
+        held = [row for b in batches for row in zip(*(b.column(c).to_pylist() for c in LISTS))]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged_part(held, length)], names=["tid", "start", "end"])
+
+    across = ranges(sharded.where(F.col("tid").isNull()), range_windows).groupBy("part").applyInArrow(merge, "tid bigint, start bigint, `end` bigint")
+    runs = sharded.where(F.col("tid").isNotNull()).select("tid", "start", "end").unionByName(across)
     copies = texts.where(F.col("copies") > 1).select("tid", F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").cast("bigint").alias("end"))
     spans = runs.unionByName(copies).groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     joined = F.aggregate(

@@ -111,6 +111,27 @@ def test_suffix_dedup_of_rows_without_id(spark):
     same(got.select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256)).collect(), cases.without_repeats(rows, 200))
 
 
+def test_suffix_merge_is_dealt_without_hot_anchors(spark, monkeypatch):
+    ranges, sizes = suffix_dedup.ranges, []
+
+    def counted(lists, range_windows):
+        got = ranges(lists, range_windows)
+        sizes.extend(r.n for r in got.groupBy("part").agg((F.sum(F.octet_length("once") + F.octet_length("several")) / 8).alias("n")).collect())
+        return got
+
+    monkeypatch.setattr(suffix_dedup, "ranges", counted)
+    r = np.random.default_rng(4)
+    word = lambda: "".join(map(chr, r.integers(97, 123, 8)))
+    passage = " ".join(word() for _ in range(8))
+    # Repeats of one passage in other surroundings, in many texts and within one: cut by shards, far from hot.
+    rows = [(k, " ".join([word() for _ in range(9)] + [passage] + [word() for _ in range(9)])) for k in range(60)]
+    rows += [(60, " ".join(" ".join([word() for _ in range(9)] + [passage]) for _ in range(40))), (61, rows[0][1] + " end"), (62, "start " + rows[1][1])]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 100, shard_bytes=2000, range_windows=500)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    same(got.select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256)).collect(), cases.without_repeats(rows, 100))
+    assert len(sizes) > 5 and max(sizes) < 1500
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
