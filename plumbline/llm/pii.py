@@ -1,8 +1,9 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with a CRF.
 
 The patterns (email, ip, card, phone) are the base and always stay. The model adds spans
-that the patterns miss, such as phone numbers without a country code. It is trained here,
-in numpy, from labelled spans in generated lines; no data of the corpus is needed.
+that the patterns miss. Of phone numbers it may add those that begin with ( or + and have a bracket, such as
+(555) 123-4567; national forms without brackets (555-123-4567, 0171 1234567) are found by neither. It is
+trained here, in numpy, from labelled spans in generated lines; no data of the corpus is needed.
 
 Every span, of either kind, holds a digit or an at-sign, so windows without one can't hold
 any and are not decoded. The windows overlap by half; each is decoded by itself, a span that
