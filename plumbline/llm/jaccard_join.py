@@ -14,7 +14,7 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| for their sets of 5-wor
    classes (suffix filter) leave room for a link. Each pair is verified once, with the whole
    sets. A group is done when all members are connected or each has been a pivot; so every pair
    of different components is compared, but members of a group of near copies are not
-   paired with each other once one pivot connects them.
+   paired with each other once one pivot connects them. The result is the components, not all links.
 
 Blocks grow fourfold, so groups of n members take log(n) rounds. Words are maximal runs of
 characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
