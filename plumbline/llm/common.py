@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 import numpy as np
@@ -48,12 +47,12 @@ def matched(left: DataFrame, right: DataFrame, keys: list[str], id_col: str = "i
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where none is set, as in local tests."""
+    """The shared folder of spark.checkpoint.dir; one below the warehouse only where none is set, as in local tests."""
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
+    spark.sparkContext.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
@@ -70,8 +69,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    Unlike ``checkpoint`` the columns stay compressed and later reads prune them.
-    The table goes when the driver ends.
+    Unlike ``checkpoint`` the columns stay compressed and later reads prune them. The table goes when the driver
+    ends, or by ``discard``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -82,7 +81,16 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(CLEANUP, before)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes scratch tables that nothing reads any more."""
+    for t in tables:
+        if t is not None:
+            _remove(t.sparkSession, t._scratch_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -5,19 +5,24 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| for their sets of 5-wor
 1. One pass over the texts hashes all shingles, counts them in a table of fixed size (how common
    a shingle is only decides the order; results don't depend on it) and digests each set.
    Documents with equal sets form a class and go on as one.
-2. Each class has a prefix: the rarest |A| - ceil(0.75 |A|) + 1 of its shingles. Classes that
-   link share one of them. A first pass sorts out the shingles that only one prefix has (by their sorted
-   digests, in ranges), so only the others are sent with their places.
-3. In the group of a shingle the members are ordered. Round by round, a block of pivots is
-   paired with the later members that aren't known to be connected to them, if sizes (length
-   filter), places in the prefixes (positional filter) and counts of the shingles in residue
-   classes (suffix filter) leave room for a link. Each pair is verified once, with the whole
-   sets. A group is done when all members are connected or each has been a pivot; so every pair
-   of different components is compared, but members of a group of near copies are not
-   paired with each other once one pivot connects them. The result is the components, not all links.
-
-Blocks grow fourfold, so groups of n members take log(n) rounds. Words are maximal runs of
-characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
+2. A pass over one text of each class writes its prefix, the rarest |A| - ceil(0.75 |A|) + 1 of its
+   shingles, and a signature: one bit for each cell of its hash range that holds a shingle. Classes that
+   link share a prefix shingle. Shingles that only one prefix has are told by a count and dropped.
+3. Members of a shingle's group are ordered by a random number that each class has. Round by round, the
+   members below a threshold are pivots, joined with the later members that aren't known to be connected to them, if
+   sizes (length filter), places in the prefixes (positional filter) and signatures (suffix filter) leave room
+   for a link. Each pair is verified once, with the whole sets. A group is done when all members are connected or each
+   has been a pivot; so every pair of different components is compared, but members of a group of
+   near copies are not paired with each other once one pivot connects them. The result is the
+   components, not all links.
+
+The suffix filter halves the hash range again and again, down to cells of a fraction of a shingle on average,
+and counts the cells that one set has and the other has not: so many shingles at least are not shared. That is the
+recursive partition of the suffixes at fixed places instead of their own medians, and deeper.
+
+Thresholds grow eightfold, so groups of n members take log(n) rounds; a group of any size is counted by partial
+aggregates and joined with few pivots, so its rows need not meet in one task (adaptive execution splits them).
+Words are maximal runs of characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
 five words are one shingle; null, empty and blank ones have none, link with nothing and form
 components of their own. Repeated rows get the same component; rows of one id with different
 texts are different documents. Rows with a null id link like others, but name no component as long as
@@ -30,28 +35,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, chained, cut, matched, mixed, scratch, small_batches, utf8_buffers
+from .common import WordHasher, chained, cut, discard, matched, mixed, scratch, small_batches, utf8_buffers
 
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 75
-#: Cells of the table of shingle counts: 2 ** 22, of one byte each when it is broadcast, whatever the input.
-CELL_BITS = 22
+#: Cells of the table of shingle counts: 2 ** 24, of one byte each in a task and when it is broadcast, whatever the input.
+CELL_BITS = 24
 CHUNK = 1 << 16
-#: Prefix shingles that meet in one group when those that occur once are told from the others, on average.
-RANGE_SHINGLES = 2_000_000
-RESIDUES = 64
-#: Bits of the tables that tell which prefix shingles and which sets are worth sending: 8 MB each, whatever the
-#: input. A bit set by another one only sends more; the joins that follow are exact.
+#: UTF-8 bytes that are hashed at once, so that the arrays stay in the processor's caches.
+BATCH_BYTES = 400_000
+#: Longs of the short signature that the groups' rows carry; the whole one has 4 to 8 bits for each shingle.
+SHORT = 16
+#: Bits of the table that tells which prefix shingles are worth sending: 8 MB. A bit set by another shingle only sends
+#: more; single ones are dropped exactly in their groups.
 FILTER_BITS = 26
-#: Lists of ids of up to so many rows (some 20 bytes each) are broadcast, larger ones shuffled.
+#: Lists of ids of up to so many rows (some 40 bytes each) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 1_000_000
-#: How much larger each block of pivots is than the one before.
-GROWTH = 4
+#: How many more pivots each round has than the one before.
+GROWTH = 8
 
 
 def _word_bytes() -> np.ndarray:
@@ -59,6 +64,11 @@ def _word_bytes() -> np.ndarray:
     return ~((b == 0x20) | ((b >= 0x09) & (b <= 0x0D)))
 
 
+def _by_owner(of: np.ndarray, order: np.ndarray, owners: int) -> np.ndarray:
+    """``order`` sorted once more by owner, ties kept; few bits sort in linear time."""
+    return order[np.argsort(of[order].astype(np.min_scalar_type(owners)), kind="stable")]
+
+
 class Shingler:
     """Distinct shingle hashes of each text of a batch, sorted."""
 
@@ -87,7 +97,7 @@ class Shingler:
                 more = count[short] > k
                 own[more] = chained(own[more], h[begin[short][more] + k])
             shingles, of = np.r_[shingles, mixed(own ^ np.uint64(self.n))], np.r_[of, short]
-        order = np.lexsort((shingles, of))
+        order = _by_owner(of, np.argsort(shingles), len(texts))
         shingles, of = shingles[order], of[order]
         first = np.ones(len(of), bool)
         first[1:] = (of[1:] != of[:-1]) | (shingles[1:] != shingles[:-1])
@@ -111,154 +121,146 @@ def _set_digests(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a, b
 
 
+def signatures(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bit for each cell of the hashes that a set has, as longs, set by set, and the sets' offsets in them.
+
+    A set of n shingles has 2 ** k cells, 4 n to 8 n of them and 64 at least; its cells at 2 ** (k - 1) are the two halves' union.
+    """
+    n = np.diff(at)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+    begin = np.r_[0, np.cumsum(bits)]
+    flags = np.zeros(begin[-1], bool)
+    flags[np.repeat(begin[:-1], n) + (h & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64), begin >> 6
+
+
+def _short(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SHORT longs for each set."""
+    n = np.diff(at)
+    flags = np.zeros((len(n), SHORT * 64), bool)
+    flags[np.repeat(np.arange(len(n)), n), (h & np.uint64(SHORT * 64 - 1)).astype(np.int64)] = True
+    return np.packbits(flags.ravel(), bitorder="little").view(np.uint64)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows, rows.schema["id"].dataType.simpleString()
 
 
 def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row (id, n, a, b) for each document, and (chunk, counts) rows with each task's counts of shingles."""
+    """A row (id, n, a, b) for each document, and (chunk, counts) rows with each task's counts of shingles, compressed."""
     rows, id_type = _rows(docs, id_col, text_col)
     names = ["id", "n", "a", "b", "chunk", "counts"]
 
     def digest(batches):
-        shingler, counts, id_arrow = Shingler(), np.zeros(1 << CELL_BITS, np.int64), None
+        shingler, counts, id_arrow = Shingler(), np.zeros(1 << CELL_BITS, np.uint8), None
         for whole in batches:
             id_arrow = whole.column("id").type
-            for batch in small_batches(whole):
+            for batch in small_batches(whole, most=BATCH_BYTES):
                 h, at = shingler(batch.column("text"))
-                counts += np.bincount(cells(h), minlength=len(counts))
+                own, times = np.unique(cells(h), return_counts=True)
+                counts[own] = np.minimum(255, counts[own] + times)  # of one task
                 n, (a, b) = np.diff(at), _set_digests(h, at)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(a), pa.array(b), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
         if id_arrow is not None:
-            k = len(counts) // CHUNK
-            counts = np.minimum(counts, np.iinfo(np.uint16).max).astype(np.uint16)  # of one task
-            parts = [counts[i * CHUNK : (i + 1) * CHUNK].tobytes() for i in range(k)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, id_arrow), *[pa.nulls(k, pa.int64())] * 3, pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], names=names)
+            pack, parts = pa.Codec("zstd"), counts.reshape(-1, min(CHUNK, len(counts)))
+            some = np.flatnonzero(parts.any(1)).tolist()
+            packed, k = [pack.compress(parts[i].tobytes(), asbytes=True) for i in some], len(some)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, id_arrow), *[pa.nulls(k, pa.int64())] * 3, pa.array(some, pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return rows.mapInArrow(digest, f"id {id_type}, n bigint, a bigint, b bigint, chunk int, counts binary")
 
 
 def _table(digests: DataFrame) -> np.ndarray:
     """The counts of all tasks, as one byte a cell: the logarithm in eighths. Of fixed size; a group streams."""
+    size = min(CHUNK, 1 << CELL_BITS)
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CHUNK, np.int64)
+        total, pack = np.zeros(size, np.int64), pa.Codec("zstd")
         for b in batches:
             for row in b.column("counts"):
-                total += np.frombuffer(row.as_py(), np.uint16)
+                total += np.frombuffer(pack.decompress(row.as_py(), size, asbytes=True), np.uint8)
         small = np.minimum(255, np.round(8 * np.log2(1 + total))).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([small.tobytes()], pa.binary())], names=["chunk", "counts"])
 
     rows = digests.where(F.col("chunk").isNotNull()).select("chunk", "counts")
     table = np.zeros(1 << CELL_BITS, np.uint8)
     for r in rows.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():
-        table[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.counts, np.uint8)
+        table[r.chunk * size : (r.chunk + 1) * size] = np.frombuffer(r.counts, np.uint8)
     return table
 
 
-def _prefix(shingler: Shingler, rare: np.ndarray, percent: int, texts: pa.Array):
-    """Sets of a batch (hashes, offsets), and the prefixes: hashes, text numbers and places of the rarest shingles."""
-    h, at = shingler(texts)
-    n = np.diff(at)
-    of = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((h, rare[cells(h)], of))
-    size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
-    place = np.arange(len(h)) - at[:-1][of]
-    keep = place < size[of]
-    return h, at, h[order][keep], of[keep], place[keep]
-
-
-def _shared(docs: DataFrame, table: np.ndarray, total: int, percent: int, text_col: str) -> DataFrame:
-    """(h): prefix shingles that several rows have. Each batch sends the sorted digests of a range as one row."""
+def _prefixes(docs: DataFrame, table: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, a, b, prefix, whole, short): the rarest shingles in order, and the signatures."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    parts = max(1, -(-total // RANGE_SHINGLES))
-    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-
-    def send(batches):
-        shingler, rare = Shingler(), shared.value
-        for whole in batches:
-            for batch in small_batches(whole):
-                _, _, h, _, _ = _prefix(shingler, rare, percent, batch.column("text"))
-                own, times = np.unique(h, return_counts=True)
-                at = np.r_[0, np.searchsorted(own, cuts), len(own)]
-                twice = np.minimum(times, 2).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()) for x in (own, twice))], names=["part", "own", "times"])
-
-    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, times = ([], [])
-        for b in batches:
-            own += [np.frombuffer(x.as_py(), np.uint64) for x in b.column("own")]
-            times += [np.frombuffer(x.as_py(), np.uint8) for x in b.column("times")]
-        h, index = np.unique(np.concatenate(own), return_inverse=True)
-        several = h[np.bincount(index, np.concatenate(times), len(h)) > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(several.view(np.int64))], names=["h"])
-
-    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(send, "part int, own binary, times binary")
-    return sent.groupBy("part").applyInArrow(merge, "h bigint")
-
-
-def _entries(docs: DataFrame, table: np.ndarray, wanted: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, a, b, prefix, residues) of the rows that have a wanted prefix shingle; prefix: struct(h, pos)."""
-    shared = docs.sparkSession.sparkContext.broadcast((table, wanted))
     rows, id_type = _rows(docs, id_col, text_col)
-    pair = pa.struct([("h", pa.int64()), ("pos", pa.int64())])
 
     def emit(batches):
-        shingler, (rare, some) = Shingler(), shared.value
-        for whole in batches:
-            for batch in small_batches(whole):
-                h, at, ph, of, pos = _prefix(shingler, rare, percent, batch.column("text"))
+        shingler, rare = Shingler(), shared.value
+        for full in batches:
+            for batch in small_batches(full, most=BATCH_BYTES):
+                h, at = shingler(batch.column("text"))
                 n, (a, b) = np.diff(at), _set_digests(h, at)
-                keep = _marked(some, ph.view(np.int64))
-                ph, of, pos = ph[keep], of[keep], pos[keep]
-                count = np.bincount(of, minlength=len(n))
-                rows = count > 0
-                cell = np.repeat(np.arange(len(n)), n) * RESIDUES + (h & np.uint64(RESIDUES - 1)).astype(np.int64)
-                residues = np.bincount(cell, minlength=len(n) * RESIDUES).reshape(-1, RESIDUES)[rows]
-                structs = pa.StructArray.from_arrays([pa.array(ph.view(np.int64)), pa.array(pos)], fields=list(pair))
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count[rows])], pa.int32()), structs)
-                # Counts past 16 bits would be cut; the filter lets rows without counts pass.
-                wide = residues.max(1, initial=0) > np.iinfo(np.int16).max
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(residues) + 1) * RESIDUES, pa.int32()), pa.array(residues.ravel().astype(np.int16)), mask=pa.array(wide))
-                yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(rows)), pa.array(n[rows]), pa.array(a[rows]), pa.array(b[rows]), lists, flat], names=["id", "n", "a", "b", "prefix", "residues"])
-
-    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<struct<h:bigint,pos:bigint>>, residues array<smallint>")
-
+                of = np.repeat(np.arange(len(n)), n)
+                order = _by_owner(of, np.argsort(rare[cells(h)], kind="stable"), len(n))  # then by hash, as they come
+                size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+                keep = order[np.arange(len(h)) - at[:-1][of] < size[of]]
+                whole, ends = signatures(h, at)
+                columns = [_lists(h[keep], np.r_[0, np.cumsum(size)]), _lists(whole, ends), _lists(_short(h, at), SHORT * np.arange(len(n) + 1))]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(a), pa.array(b), *columns], names=["id", "n", "a", "b", "prefix", "whole", "short"])
 
-def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    spot = numbers & (8 * len(bits) - 1)
-    return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
+    return rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, prefix array<bigint>, whole array<bigint>, short array<bigint>")
 
 
 def _bits(rows: DataFrame, column: str) -> np.ndarray:
     """A bit for each number at its place in a table of fixed size."""
     spot = F.pmod(F.col(column), F.lit(1 << FILTER_BITS)) + 1
     got = rows.groupBy(F.bitmap_bucket_number(spot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")).collect()
-    table = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    table = np.zeros(max(4096, 1 << FILTER_BITS >> 3), np.uint8)
     for r in got:
         table[(r.k - 1) * 4096 : r.k * 4096] = np.frombuffer(r.bits, np.uint8)
-    return table
+    return table[: 1 << FILTER_BITS >> 3]
+
+
+def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    spot = numbers & (8 * len(bits) - 1)
+    return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
+
+
+def _entries(prefixes: DataFrame) -> DataFrame:
+    """(h, cid, n, pos) of the prefix shingles that several classes may have."""
+    several = prefixes.select(F.explode("prefix").alias("h")).groupBy("h").count().where(F.col("count") > 1)
+    shared = prefixes.sparkSession.sparkContext.broadcast(_bits(several, "h"))
+
+    def emit(batches):
+        for batch in batches:
+            lists = batch.column("prefix")
+            h = lists.flatten().to_numpy()
+            count = np.diff(lists.offsets.to_numpy())
+            of = np.repeat(np.arange(len(count)), count)
+            pos = np.arange(len(h)) - np.repeat(np.cumsum(count) - count, count)
+            keep = np.flatnonzero(_marked(shared.value, h))
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), *(batch.column(c).take(pa.array(of[keep])) for c in ("cid", "n")), pa.array(pos[keep])], names=["h", "cid", "n", "pos"])
+
+    return prefixes.select("cid", "n", "prefix").mapInArrow(emit, "h bigint, cid bigint, n bigint, pos bigint")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cid, members) of the classes given as cid, node, a, b, n."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(classes, "a"))
+    """(cid, members) of the classes given as cid, node, a, b, n; only their nodes' texts are hashed."""
+    own = _small(classes.select("cid", F.col("node").alias("id"), "n", "a", "b"))
     rows, id_type = _rows(docs, id_col, text_col)
+    rows = rows.join(own.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
 
     def emit(batches):
-        shingler, bits = Shingler(), shared.value
+        shingler = Shingler()
         for whole in batches:
-            for batch in small_batches(whole):
+            for batch in small_batches(whole, most=BATCH_BYTES):
                 h, at = shingler(batch.column("text"))
                 n, (a, b) = np.diff(at), _set_digests(h, at)
-                some = _marked(bits, a) & (n > 0)
-                of = np.repeat(np.arange(len(n)), n)
-                yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), pa.array(n[some]), pa.array(a[some]), pa.array(b[some]), _lists(h[some[of]], np.r_[0, np.cumsum(n[some])])], names=["id", "n", "a", "b", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(a), pa.array(b), _lists(h, at)], names=["id", "n", "a", "b", "members"])
 
     found = rows.mapInArrow(emit, f"id {id_type}, n bigint, a bigint, b bigint, members array<bigint>")
-    own = _small(classes.select("cid", F.col("node").alias("id"), "n", "a", "b"))
-    return matched(found, own, ["n", "a", "b"]).dropDuplicates(["cid"]).select("cid", "members")
+    return matched(found, own, ["n", "a", "b"]).select("cid", "members")
 
 
 def _connected(links: DataFrame) -> DataFrame:
@@ -283,26 +285,50 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _candidates(groups: DataFrame, meta: DataFrame, low: int, high: int, percent: int) -> DataFrame:
-    """Pairs (x, y, both) of a pivot, by rank in [low, high), and a later member of its group, for which the length, positional and suffix filters hold."""
-    rich = groups.join(meta, "cid")
-    pivots = rich.where((F.col("r") >= low) & (F.col("r") < high)).select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("r").alias("rx"), F.col("comp").alias("cx"), F.col("residues").alias("residues_x"))
-    both = F.col("n") + F.col("nx")
-    enough = lambda shared: shared * (100 + percent) >= percent * both
-    # Ranks rise with the sizes, so the pivot's set is the smaller one.
-    length = F.col("nx") * 100 >= percent * F.col("n")
-    positional = enough(F.least("pos", "px") + F.least(F.col("n") - F.col("pos"), F.col("nx") - F.col("px")))
-    room = F.aggregate(F.zip_with("residues", "residues_x", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    pairs = rich.where(F.col("r") > low).join(pivots, "h").where((F.col("r") > F.col("rx")) & (F.col("comp") != F.col("cx")) & length & positional & enough(F.coalesce(room, F.col("n"))))
-    return pairs.select("x", F.col("cid").alias("y"), both.alias("both")).distinct()
+def _random(cid: Column) -> Column:
+    """The place of a class in the order of its groups: evenly spread from 0 to 1."""
+    return F.pmod(F.xxhash64(cid), F.lit(1 << 52)) / F.lit(float(1 << 52))
+
+
+def _enough(shared: Column, percent: int) -> Column:
+    return shared * (100 + percent) >= percent * (F.col("n") + F.col("nx"))
+
+
+def _room(own: Column, other: Column, n: Column, terms: int) -> Column:
+    """n less the cells that only the first signature has."""
+    return n - sum((F.bit_count(own[k].bitwiseAND(F.bitwise_not(other[k]))) for k in range(terms)), F.lit(0))
+
+
+def _candidates(groups: DataFrame, pivots: DataFrame, percent: int, short: bool) -> DataFrame:
+    """Pairs (x, y) of a pivot (h, x, nx, px, rx, cx) and a later member of its group (h, cid, n, pos, r, comp) for which the length, positional and (with short signatures) suffix filters hold."""
+    n, nx = F.col("n"), F.col("nx")
+    length = (F.least(n, nx) * 100 >= percent * F.greatest(n, nx)) & (F.col("r") > F.col("rx")) & (F.col("comp") != F.col("cx"))
+    # Linked sets pass at the first shingle that their prefixes share: none before it is shared.
+    fits = length & _enough(F.least(n - F.col("pos"), nx - F.col("px")), percent)
+    if short:
+        a, b = F.col("short"), F.col("short_x")
+        fits = fits & _enough(F.least(_room(a, b, n, SHORT), _room(b, a, nx, SHORT)), percent)
+    return groups.join(pivots, "h").where(fits).select("x", F.col("cid").alias("y")).distinct()
+
+
+def _suffix_filtered(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose whole signatures leave room for a link, with their sizes."""
+    with_y = _small(pairs).join(signs.select(F.col("cid").alias("y"), "n", F.col("whole").alias("b")), "y")
+    both = with_y.join(signs.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("whole").alias("a")), "x")
+    least = F.least(F.size("a"), F.size("b"))
+    # Sizes of linked sets differ by a third at most, so one signature is twice as long as the other, if not equal.
+    fold = lambda s: F.when(F.size(s) <= least, s).otherwise(F.zip_with(F.slice(s, F.lit(1), least), F.slice(s, least + 1, least), lambda p, q: p.bitwiseOR(q)))
+    only = lambda p, q: F.aggregate(F.zip_with(p, q, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))), F.lit(0), lambda acc, v: acc + v)
+    folded = both.select("x", "y", "n", "nx", fold(F.col("a")).alias("a"), fold(F.col("b")).alias("b"))
+    room = F.least(F.col("nx") - only(F.col("a"), F.col("b")), F.col("n") - only(F.col("b"), F.col("a")))
+    return folded.where(_enough(room, percent)).select("x", "y", "n", "nx").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link. The sets of the later members go to their pivots; only sets of the pairs' ends are sent."""
     later = sets.withColumnRenamed("cid", "y").withColumnRenamed("members", "members_y").join(_small(pairs), "y")
     pivots = sets.withColumnRenamed("cid", "x").join(_small(pairs.select("x").distinct()), "x", "left_semi")
-    shared = F.size(F.array_intersect("members", "members_y"))
-    return later.join(pivots, "x").where(shared * (100 + percent) >= percent * F.col("both")).select("x", "y")
+    return later.join(pivots, "x").where(_enough(F.size(F.array_intersect("members", "members_y")), percent)).select("x", "y").distinct()
 
 
 def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,46 +336,69 @@ def components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     return _found(docs, percent, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _classes(digests: DataFrame) -> DataFrame:
+    """(cid, n, a, b, node): documents with equal sets; the row of the least id speaks for its class."""
+    classes = digests.where(F.col("n") > 0).groupBy("n", "a", "b").agg(F.min("id").alias("node"))
+    return scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+
+
+def _one_text_each(docs: DataFrame, digests: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    """The documents without those whose id speaks for no class."""
+    ids = lambda df, c: df.select(F.col(c).alias("_id")).distinct()
+    nodes = ids(classes, "node").withColumnRenamed("_id", "_node")
+    rest = ids(digests.where(F.col("chunk").isNull()), "id").join(nodes, F.col("_id").eqNullSafe(F.col("_node")), "left_anti")
+    return docs.join(_small(scratch(rest, "jaccard-copies")), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+
+
 def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """One row per document: id, n, a, b, comp (a number of the component, null without shingles), component_id."""
     digests = scratch(_digests(docs, id_col, text_col), "jaccard-digests")
-    table = _table(digests)
     rows = digests.where(F.col("chunk").isNull()).select("id", "n", "a", "b")
-    classes = rows.where(F.col("n") > 0).groupBy("n", "a", "b").agg(F.min("id").alias("node"))
-    classes = scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
-    total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
-    wanted = _bits(_shared(docs, table, int(total), percent, text_col), "h")
-    # The row of the least id speaks for its class. If it is there twice, its ranks tie.
-    own = matched(_entries(docs, table, wanted, percent, id_col, text_col), classes.withColumnRenamed("node", "id"), ["n", "a", "b"])
-    own = scratch(own.select("cid", "n", "prefix", "residues"), "jaccard-prefixes")
-    meta = own.select("cid", "residues").dropDuplicates(["cid"])
-    members = W.partitionBy("h").orderBy("n", "cid")
-    ranked = own.select("cid", "n", F.explode("prefix").alias("p")).select("cid", "n", "p.h", "p.pos")
-    ranked = ranked.withColumn("r", F.dense_rank().over(members)).withColumn("prev", F.lag("cid").over(members)).withColumn("next", F.lead("cid").over(members))
-    kept = F.when(F.col("r") == 1, F.col("next") != F.col("cid")).otherwise(F.col("prev") != F.col("cid"))
-    groups = scratch(ranked.where(kept).select("h", "cid", "n", "pos", "r", F.col("cid").alias("comp")), "jaccard-groups")
-    links = tested = comps = sets = None
-    low, high = 1, 2
-    while not groups.isEmpty():
-        pairs = _candidates(groups, meta, low, high, percent)
-        pairs = pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
+    classes = _classes(digests)
+    once = _one_text_each(docs, digests, classes, id_col)
+    prefixes = _prefixes(once, _table(digests), percent, id_col, text_col)
+    # A row that is there twice has its entries twice; pairs are made distinct.
+    own = matched(prefixes, _small(classes.withColumnRenamed("node", "id")), ["n", "a", "b"])
+    own = scratch(own.select("cid", "n", "prefix", "whole", "short"), "jaccard-prefixes")
+    groups = scratch(_entries(own).withColumn("r", _random(F.col("cid"))).withColumn("comp", F.col("cid")), "jaccard-groups")
+    links = comps = sets = None
+    # First pivots: the first member of each group, told by one aggregate; later ones: all below a threshold.
+    known = groups.groupBy("h").agg(F.min(F.struct("r", "cid", "n", "pos")).alias("p"), F.count("*").alias("m")).where(F.col("m") > 1)
+    pivots = known.select("h", F.col("p.cid").alias("x"), F.col("p.n").alias("nx"), F.col("p.pos").alias("px"), F.col("p.r").alias("rx"), F.col("p.cid").alias("cx"))
+    first, share, tested = True, 1, None
+    while True:
+        pairs = _candidates(groups, pivots, percent, short=not first)
+        if tested is not None:  # a pair may meet in a group of which the pivot was another one before
+            pairs = pairs.join(tested, ["x", "y"], "left_anti")
         pairs = scratch(pairs, "jaccard-pairs")
-        ends = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
-        missing = scratch(ends if sets is None else ends.join(sets, "cid", "left_anti"), "jaccard-missing")
-        if not missing.isEmpty():
-            more = scratch(_sets(docs, classes.join(missing, "cid", "left_semi"), id_col, text_col), "jaccard-sets")
+        close = scratch(_suffix_filtered(pairs, own.select("cid", "n", "whole"), percent), "jaccard-close")
+        tested, before = scratch(pairs if tested is None else tested.unionByName(pairs), "jaccard-tested"), tested
+        discard(pairs, before)
+        found = None
+        if not close.isEmpty():
+            ends = close.select(F.col("x").alias("cid")).union(close.select("y")).distinct()
+            missing = scratch(ends if sets is None else ends.join(sets.select("cid"), "cid", "left_anti"), "jaccard-missing")
+            more = scratch(_sets(docs, classes.join(_small(missing), "cid", "left_semi"), id_col, text_col).dropDuplicates(["cid"]), "jaccard-sets")
             sets = more if sets is None else sets.unionByName(more)
-        if not pairs.isEmpty():
-            found = scratch(_verified(pairs, sets, percent), "jaccard-links")
-            tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
+            found = scratch(_verified(close, sets, percent), "jaccard-links")
+            discard(missing)
+        discard(close)
+        if found is not None and not found.isEmpty():
             links = found if links is None else links.unionByName(found)
-            if not found.isEmpty():
-                comps = scratch(_connected(links), "jaccard-components")
-        low, high = high, high + GROWTH * (high - low)
-        now = groups.drop("comp")
-        now = now.withColumn("comp", F.col("cid")) if comps is None else now.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        open_ = now.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("r").alias("last")).where((F.col("least") != F.col("most")) & (F.col("last") > low)).select("h")
-        groups = scratch(now.join(open_, "h", "left_semi"), "jaccard-groups")
+            comps, before = scratch(_connected(links), "jaccard-components"), comps
+            discard(before)
+        # Groups go on while members of different components are left and not all were pivots.
+        now = groups.drop("comp", "m", "short")
+        now = now.withColumn("comp", F.col("cid")) if comps is None else now.join(_small(comps), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        done, share, first_was = share, share * GROWTH, first
+        open_ = now.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("m")).where((F.col("least") != F.col("most")) & (F.col("m") > (2 if first_was else done))).select("h", "m")
+        now = now.join(open_, "h").join(own.select("cid", "short"), "cid").dropDuplicates(["h", "cid"])
+        groups, before, first = scratch(now, "jaccard-groups"), groups, False
+        discard(before)
+        if groups.isEmpty():
+            break
+        low, high = (0.0 if first_was else done / F.col("m")), share / F.col("m")
+        pivots = groups.where((F.col("r") >= low) & (F.col("r") < high)).select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("r").alias("rx"), F.col("comp").alias("cx"), F.col("short").alias("short_x"))
     if comps is None:
         named = classes.select("n", "a", "b", F.col("cid").alias("comp"), F.col("node").alias("component_id"))
     else:
