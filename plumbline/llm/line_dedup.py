@@ -1,9 +1,11 @@
 """Line dedup: equal lines are kept once in the corpus, where they rank first.
 
-Lines are normalised (A-Z lower-cased, blanks trimmed and runs of them made one space) and hashed.
-Only digests are shuffled: they are grouped globally, the earliest occurrence by document id and
-place stays, the others are removed, and their code point offsets in the original text are kept. A
-removed line goes with the line feed after it. Lines of fewer than ``min_words`` words always stay.
+Lines are normalised (A-Z lower-cased, blanks trimmed and runs of them made one space) and hashed, once, into a
+scratch table. Only digests are shuffled: they are counted globally, which drops those that occur once; of the others the
+earliest occurrence by document id and place stays, the rest is removed, and the code point offsets in the
+original text are kept. A removed line goes with the line feed after it. Lines of fewer than ``min_words`` words
+have no digest and always stay. A very common line is counted by partial aggregates; its occurrences are joined with one
+row, broadcast or, beyond BROADCAST_ROWS repeated lines, by a join that adaptive execution can split.
 
 Null and empty texts have one empty line. Rows with equal id and text are one document; of different texts with one
 id, the one with the lesser SHA-256 ranks first. Null ids rank first. Columns other than the id and
@@ -12,38 +14,70 @@ the text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, BLANKS, numbered, text_of
+from .common import BLANK_RUN, BLANKS, numbered, scratch, text_of
 
 MIN_WORDS = 5
+#: Lists of digests of up to so many rows (some 40 bytes each) are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def normalised(line: Column) -> Column:
+    low = F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(F.translate(line, _UPPER, _LOWER))
+    trimmed = F.btrim(low, F.lit(BLANKS))
+    return F.when(trimmed.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
+
+
+def _lines(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, pos, n, a, b, id, digest): the lines of all rows; a and b are null below min_words, id and digest stand at the first line."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text"))
+    lines = rows.select("row", "id", F.sha2("text", 256).alias("digest"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select("row", "pos", "id", "digest", F.length("line").alias("n"), normalised(F.col("line")).alias("norm"))
+    # One blank stands between two words.
+    enough = (F.col("norm") != "") if min_words <= 1 else F.substring_index("norm", " ", min_words - 1) != F.col("norm")
+    first = F.col("pos") == 0
+    key = [F.when(enough, h).alias(k) for k, h in (("a", F.xxhash64("norm")), ("b", F.xxhash64(F.lit(1), "norm")))]
+    lines = scratch(lines.select("row", "pos", "n", *key, F.when(first, F.col("id")).alias("id"), F.when(first, F.col("digest")).alias("digest")), "lines")
+    own = lines.where(first).select("row", "id", "digest")
+    again = own.groupBy("id", "digest").agg(F.min("row").alias("least"), F.count("*").alias("times")).where(F.col("times") > 1)
+    again = again.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "least")
+    copies = scratch(own.join(_small(scratch(again, "lines-again")), F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))).where(F.col("row") != F.col("least")).select("row"), "lines-copies")
+    return lines if copies.isEmpty() else lines.join(_small(copies), "row", "left_anti")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, digest (SHA-256 of the text), n_lines, removed (start and end of each line removed)."""
-    rows = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).withColumn("digest", F.sha2("text", 256))
-    lines = rows.select("id", "digest", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    norm = F.regexp_replace(F.btrim(F.translate("line", _UPPER, _LOWER), F.lit(BLANKS)), BLANK_RUN, " ")
-    n_words = F.when(norm == "", 0).otherwise(F.length(norm) - F.length(F.translate(norm, " ", "")) + 1)
-    lines = lines.select("id", "digest", "pos", F.length("line").alias("n"), F.when(n_words >= min_words, F.struct(F.xxhash64(norm).alias("a"), F.xxhash64(F.lit(1), norm).alias("b"))).alias("key"))
-    rank = F.struct("id", "digest", "pos")
-    firsts = lines.where(F.col("key").isNotNull()).groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("times")).where(F.col("times") > 1)
-    marked = lines.join(firsts.select("key", "first"), "key", "left").select("id", "digest", "pos", "n", F.coalesce(F.col("first") != rank, F.lit(False)).alias("gone"))
-    # The lines of a document meet again; equal rows of equal documents fall together.
-    whole = marked.groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("pos", "n", "gone"))).alias("lines"))
+    lines = _lines(docs, min_words, id_col, text_col)
+    repeated = scratch(lines.where(F.col("a").isNotNull()).groupBy("a", "b").count().where(F.col("count") > 1).select("a", "b"), "lines-repeated")
+    members = scratch(lines.select("row", "pos", "a", "b").join(_small(repeated), ["a", "b"]), "lines-members")
+    names = lines.where(F.col("pos") == 0).select("row", "id", "digest")
+    ranked = members.join(names, "row").select("a", "b", "row", "pos", F.struct("id", "digest", "pos").alias("rank"))
+    firsts = scratch(ranked.groupBy("a", "b").agg(F.min("rank").alias("first")), "lines-firsts")
+    gone = ranked.join(_small(firsts), ["a", "b"]).where(F.col("rank") != F.col("first")).select("row", "pos")
+    # The lines of a document meet; a mark follows each line that goes.
+    none = F.lit(None)
+    marks = lines.select("row", "pos", "n", "id", "digest").unionByName(gone.select("row", "pos", none.cast("int").alias("n"), none.cast(lines.schema["id"].dataType).alias("id"), none.cast("string").alias("digest")))
+    whole = marks.groupBy("row").agg(F.max("id").alias("id"), F.max("digest").alias("digest"), F.count("n").alias("n_lines"), F.array_sort(F.collect_list(F.struct("pos", F.col("n").isNull().alias("gone"), "n"))).alias("lines"))
     span = "array<struct<start:bigint,end:bigint>>"
+    at = lambda acc, x: F.when(x["gone"], acc["at"]).otherwise(acc["at"] + x["n"] + 1)
     removed = F.aggregate(
         "lines",
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(span).alias("out")),
+        F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("start"), F.array().cast(span).alias("out")),
         lambda acc, x: F.struct(
-            (acc["at"] + x["n"] + 1).cast("bigint").alias("at"),
-            F.when(x["gone"], F.array_append(acc["out"], F.struct(acc["at"].cast("bigint").alias("start"), (acc["at"] + x["n"]).cast("bigint").alias("end")))).otherwise(acc["out"]).cast(span).alias("out"),
+            at(acc, x).cast("bigint").alias("at"),
+            F.when(x["gone"], acc["start"]).otherwise(acc["at"]).alias("start"),
+            F.when(x["gone"], F.array_append(acc["out"], F.struct(acc["start"].alias("start"), (acc["at"] - 1).alias("end")))).otherwise(acc["out"]).cast(span).alias("out"),
         ),
         lambda acc: acc["out"],
     )
-    return whole.select(F.col("id").alias(id_col), "digest", F.size("lines").cast("bigint").alias("n_lines"), removed.alias("removed"))
+    return whole.select(F.col("id").alias(id_col), "digest", "n_lines", removed.alias("removed"))
 
 
 def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
