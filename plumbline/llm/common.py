@@ -21,10 +21,6 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
-def without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-blank characters; empty for null, empty and blank texts."""
     trimmed = F.btrim(text_of(text), F.lit(BLANKS))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, text_of, without, words
+from .common import BLANKS, text_of, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -50,14 +50,25 @@ RULES = (
 )
 
 
+def _joined_hashes(hashes: str, apart: int) -> Column:
+    """Of each hash with the one so many places after it."""
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(F.col(hashes), i + apart)))
+
+
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id and the counts that rules refer to (all long)."""
     text = text_of(F.col(text_col))
     base = docs.select(F.col(id_col), text.alias("_text"), words(F.col(text_col)).alias("_words"))
     n = F.size("_words")
-    window_hashes = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(without(x, BLANKS)) > 0)
-    wide = base.select(id_col, "_text", "_words", window_hashes.alias("_windows"), lines.alias("_lines"), without(F.col("_text"), BLANKS).alias("_solid"))
+    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    wide = base.select(id_col, "_text", "_words", F.transform("_words", lambda w: F.xxhash64(w)).alias("_h1"), lines.alias("_lines"), F.array_join("_words", "").alias("_solid"))
+    # Hashes of windows of 2, 4 and 8 words, each from two of half the width; the last ones reach past the end and are cut off.
+    width = 1
+    while width < WINDOW:
+        wide = wide.withColumn(f"_h{2 * width}", _joined_hashes(f"_h{width}", width))
+        width *= 2
+    windows = F.when(n >= WINDOW, F.slice(f"_h{WINDOW}", F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<bigint>"))
+    wide = wide.withColumn("_windows", windows)
     ordered = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     wide = wide.select("*", ordered.alias("_ordered"))
     at = lambda k: F.get(F.col("_ordered"), k)["h"]
@@ -70,20 +81,20 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         lambda acc, p: F.struct((acc["n"] + p + WINDOW - F.greatest(p, acc["end"])).alias("n"), (p + WINDOW).alias("end")),
         lambda acc: acc["n"],
     )
-    low = F.transform("_words", F.lower)
+    longest = max(map(len, STOP_WORDS))
     counts = {
         "n_words": F.size("_words"),
         "word_chars": F.length("_solid"),
-        "n_symbols": F.length("_solid") - F.length(without(F.col("_solid"), SYMBOLS)),
+        "n_symbols": F.regexp_count("_solid", F.lit(f"[{SYMBOLS}]")),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         # The last term is 0. It keeps filters on the counts above this projection; pushed below, each figure would be
         # computed anew within the others.
         "n_repeat_words": F.coalesce(covered, F.lit(0)) + F.monotonically_increasing_id() * 0,
         "n_lines": F.size("_lines"),
-        "n_exclaim": F.length("_solid") - F.length(without(F.col("_solid"), "!")),
-        "n_capitals": F.length("_solid") - F.length(without(F.col("_solid"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
-        "n_distinct_words": F.size(F.array_distinct("_words")),
-        "n_stop_words": F.size(F.filter(low, lambda w: w.isin(*STOP_WORDS))),
+        "n_exclaim": F.regexp_count("_solid", F.lit("!")),
+        "n_capitals": F.regexp_count("_solid", F.lit("[A-Z]")),
+        "n_distinct_words": F.size(F.array_distinct("_h1")),
+        "n_stop_words": F.size(F.filter("_words", lambda w: (F.length(w) <= longest) & F.lower(w).isin(*STOP_WORDS))),
     }
     return wide.select(id_col, *(c.cast("bigint").alias(k) for k, c in counts.items()))
 
