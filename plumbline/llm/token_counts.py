@@ -3,7 +3,9 @@
 Offline, before any text is read, each string of the vocabulary is tried: those that the
 splitting pattern keeps whole and the merges turn into a single token are proven. Pieces of
 text that are proven strings count 1 by a lookup; only the rest goes through the merges,
-and their counts are remembered up to a bound.
+and their counts are remembered up to a bound. Each code point is also tried: a text that has one which the
+library's splitter takes for another kind of character than ours is split by the library's, and its pieces
+are counted like all others.
 
 The tokenizer is a byte-level BPE file of the ``tokenizers`` library; its path is a parameter
 and must be readable on every executor. Strings of special tokens inside a text count as
@@ -15,10 +17,7 @@ are counted each. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 import functools
-import re
-import sys
 from itertools import groupby
-from unicodedata import ucd_3_2_0
 
 import numpy as np
 import pyarrow as pa
@@ -66,12 +65,26 @@ class Counter(dict):
         return n
 
 
-@functools.lru_cache(1)
-def young() -> re.Pattern:
-    """One character that Unicode 3.2 doesn't know."""
-    codes = (c for c in range(128, sys.maxunicode + 1) if ucd_3_2_0.category(chr(c)) == "Cn")
-    runs = ([c for _, c in g] for _, g in groupby(enumerate(codes), lambda x: x[1] - x[0]))
-    return re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]")
+#: Code points outside these ranges are private or unassigned, in planes that no splitter knows.
+ASSIGNED = ((0, 0xD800), (0xE000, 0x40000), (0xE0000, 0xE1000))
+
+
+@functools.lru_cache(2)
+def disputed(path: str) -> str:
+    """A pattern of the code points that the library's splitter takes for another kind (letter, number, blank, other) than ours; it may be empty."""
+    import regex
+    from tokenizers import Tokenizer
+
+    theirs, ours, step = Tokenizer.from_file(path).pre_tokenizer, regex.compile(PATTERN), 4000
+    codes, found = [c for a, b in ASSIGNED for c in range(a, b)], []
+    for i in range(0, len(codes), step):
+        own = codes[i : i + step]
+        tried = "".join(f" a{chr(c)}1!{chr(c)}!" for c in own)  # each kind is cut in another way
+        other = {at for _, (at, _) in theirs.pre_tokenize_str(tried)} ^ {m.start() for m in ours.finditer(tried)}
+        found += [own[k] for k in sorted({at // 7 for at in other})]
+    runs = ([c for _, c in g] for _, g in groupby(enumerate(found), lambda x: x[1] - x[0]))
+    body = "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
+    return f"[{body}]" if body else ""
 
 
 @functools.lru_cache(4)
@@ -103,13 +116,13 @@ def prove(path: str) -> tuple[str, ...]:
     return tuple(sorted(proven))
 
 
-def count_text(text: str, counter: Counter, pattern, special) -> int:
-    if not text.isascii() and young().search(text):
-        return len(counter.tokenizer.encode(text, add_special_tokens=False).ids)
+def count_text(text: str, counter: Counter, pattern, special, odd) -> int:
     parts = special.split(text) if special else [text]
     total = len(parts) - 1
     for part in parts:
-        if len(part) <= AT_ONCE:
+        if odd and not part.isascii() and odd.search(part):
+            total += sum(counter[part[a:b]] for _, (a, b) in counter.tokenizer.pre_tokenizer.pre_tokenize_str(part))
+        elif len(part) <= AT_ONCE:
             total += sum(map(counter.__getitem__, pattern.findall(part)))
         else:
             total += sum(counter[m.group()] for m in pattern.finditer(part))
@@ -118,16 +131,17 @@ def count_text(text: str, counter: Counter, pattern, special) -> int:
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes, n_tokens, over_limit."""
-    proven = docs.sparkSession.sparkContext.broadcast(prove(path))  # as many strings as the vocabulary has, at most
+    shared = docs.sparkSession.sparkContext.broadcast((prove(path), disputed(path)))  # as many strings as the vocabulary has, at most
 
     def count(batches):
         import regex
 
-        counter, pattern, special = Counter(path, proven.value), regex.compile(PATTERN), specials(path)
+        proven, odd = shared.value
+        counter, pattern, special, odd = Counter(path, proven), regex.compile(PATTERN), specials(path), regex.compile(odd) if odd else None
         for whole in batches:
             for batch in small_batches(whole):
                 texts = batch.column("text")
-                n = np.fromiter((count_text(t.as_py() or "", counter, pattern, special) for t in texts), np.int64, len(texts))
+                n = np.fromiter((count_text(t.as_py() or "", counter, pattern, special, odd) for t in texts), np.int64, len(texts))
                 size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("id"), size, pa.array(n)], names=["id", "n_bytes", "n_tokens"])
 

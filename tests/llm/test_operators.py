@@ -215,6 +215,18 @@ def test_token_counts(docs, empty):
     assert token_counts.token_counts(empty, TOKENIZER).count() == 0
 
 
+def test_token_counts_of_any_characters(spark):
+    from tokenizers import Tokenizer
+
+    library, r = Tokenizer.from_file(TOKENIZER), np.random.default_rng(8)
+    odd = [c for c in (0x558, 0xC5C, 0x1F642, 0x1FAE0, 0x2EBF0, 0x323AF, 0x10D4A, 0xA0, 0x3000, 0x200B, 0xE0041, 0x301, 0xFFFD)]
+    text = lambda: "".join(chr(c) for c in np.where(r.random(300) < 0.2, r.choice(odd, 300), r.choice([*range(32, 127), 10, 233, 0x4E2D], 300)))
+    rows = [(k, text()) for k in range(40)] + [(40, "a <|endoftext|>" + chr(0x558) * 3 + " b" * 5), (41, "word " * 400_000)]
+    got = token_counts.token_counts(spark.createDataFrame(rows, "doc_id bigint, text string"), TOKENIZER)
+    expected = [(k, len(t.encode()), n := len(library.encode(t, add_special_tokens=False).ids), n > token_counts.LIMIT) for k, t in rows]
+    same(got.collect(), expected)
+
+
 def test_proven_strings_are_single_tokens():
     from tokenizers import Tokenizer
 
