@@ -104,3 +104,18 @@ def null_id_rows() -> list:
     near = " ".join(words[300:360] + ["changed"] + words[360:400])
     rows = [(1, "left of it " + passage), (None, passage + " right of it"), (2, chain[0]), (None, chain[1]), (3, chain[2])]
     return rows + [(4, " ".join(words[300:400])), (None, near), (None, near), (None, "alone " * 60), (None, " ".join(words[100:150])), (None, " ".join(words[100:150]) + " more")]
+
+
+def base_pii(text) -> list:
+    """(start, rank, end) of the contract's four patterns, as they are written there."""
+    patterns = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def fits(rank: int, x: str) -> bool:
+        digits = [int(c) for c in x if c in "0123456789"]
+        if rank == 1:
+            return all(int(p) <= 255 for p in x.split("."))
+        if rank == 2:
+            return 12 <= len(digits) <= 19 and sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits))) % 10 == 0
+        return rank == 0 or 9 <= len(digits) <= 15
+
+    return sorted((m.start(), rank, m.end()) for rank, p in enumerate(patterns) for m in re.finditer(p, text or "") if fits(rank, m.group()))

@@ -272,12 +272,35 @@ def test_pii_base_and_model(docs, empty):
     assert pii.find_pii(empty).count() == 0
 
 
-def test_tagger_on_new_lines_and_its_gradient():
-    lines, spans = pii.labelled(150, 99)
-    found = pii.model_spans(lines, pii.trained())
-    truth = {(n, *s) for n, own in enumerate(spans) for s in own}
-    got = {(n, *s[:3]) for n, own in enumerate(found) for s in own}
-    assert len(truth & got) / len(got) > 0.95 and len(truth & got) / len(truth) > 0.7
+def test_pii_base_is_the_contracts_patterns():
+    r = np.random.default_rng(6)
+    parts = ["1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "0001.2.3.4", "4539 1488 0343 6467", "4539148803436467", "4539-1488 03436467 12", "+1 (555) 123-4567", "+49 30", "+1 (826) 555-4081 190.137.2.3", "a.b@c.de", "@x.y", "a@b", "a@b.c@d.e", "é@x.com", "..@..", "a@-.-", " ", "-", ".", "12", "+", "(", "1" * 25, "9" * 16, "\n", "𝟙𝟚", "٣٤"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts, 6)) if r.random() < 0.5 else " ".join(r.choice(parts, 6))
+        assert pii.base_spans(text) == cases.base_pii(text), text
+
+
+def test_op2_on_whole_documents(spark):
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()
+    name = lambda spans: ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    count = lambda spans, k: sum(x[1] == k for x in spans)
+    base = {r.doc_id: cases.base_pii(r.text) for r in docs}
+    got = pii.op2(spark, d).collect()
+    same([r[:6] for r in got], [(k, *(count(s, i) for i in range(4)), hashlib.sha256(name(s).encode()).hexdigest()) for k, s in base.items()])
+    for r in got:
+        assert set(filter(None, name(base[r.doc_id]).split(","))) <= set(r.spans.split(","))
+
+
+def test_tagger_on_formats_that_it_never_saw_and_its_gradient():
+    for lines, spans in (pii.labelled(200, 99), pii.held_out(200, 98)):
+        found = pii.model_spans(lines, pii.trained())
+        truth = {(n, *s) for n, own in enumerate(spans) for s in own}
+        got = {(n, *s[:3]) for n, own in enumerate(found) for s in own}
+        assert len(truth & got) / len(got) > 0.97 and len(truth & got) / len(truth) > 0.9
+    lines, spans = pii.labelled(3, 97)
+    text = "Call 555-123-4567 or 0171 1234567, write to jane.doe (at) mail.example.com; order 2024-05-06, pages 1990-1995, 9807915762804490."
+    assert [(pii.KINDS[k], text[a:b]) for a, k, b, _ in pii.model_spans([text], pii.trained())[0]] == [("phone", "555-123-4567"), ("phone", "0171 1234567"), ("email", "jane.doe (at) mail.example.com")]
     tagger = pii.Tagger(1)
     ids, tags = (x[:3].T for x in pii.training_windows(lines[:3], spans[:3]))
     _, gradient = tagger.loss_and_gradient(ids, tags)
