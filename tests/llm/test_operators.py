@@ -81,6 +81,21 @@ def test_ledger_scans_only_what_is_new(spark):
     assert secrets.secret_scan(make([("a", "x")]), ledger, rule_version="other")[1].count() == 1
 
 
+@pytest.mark.parametrize("broadcast", [secrets.BROADCAST_ROWS, 0])
+def test_ledger_over_several_runs(docs, monkeypatch, broadcast):
+    monkeypatch.setattr(secrets, "BROADCAST_ROWS", broadcast)
+    scanned = []
+    scan = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: scanned.append(blobs.count()) or scan(blobs, rules))
+    at_once, _ = secrets.secret_scan(docs)
+    runs = [docs.where("row % 3 = 0"), docs.where("row % 3 = 1"), docs.where("row % 3 = 2 or row is null"), docs]
+    got = secrets.scan_history(runs[:3]).withColumn("findings", F.to_json("findings"))
+    same(got.collect(), [tuple(r) for r in at_once.withColumn("findings", F.to_json("findings")).collect()])
+    scanned.clear()
+    secrets.scan_history(runs)
+    assert scanned[-1] == 0  # all is in the ledger by then
+
+
 def test_line_dedup(docs, empty, duck):
     got = line_dedup.repeated_lines(docs)
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
