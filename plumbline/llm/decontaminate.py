@@ -9,22 +9,25 @@ words are hit. Spans of hit words are removed; a document of which more than
 Stretches in which two neighbouring words never stand together in any item are skipped by
 array operations; no run of the automaton can pass through them.
 
-Items are broadcast as long as they have at most ``AUTOMATON_WORDS`` words, counted before;
-beyond that they are dealt into parts of that size, one pass over the documents for each,
-and the passes are joined. Null or wordless texts have no words and are never hit; null or
+The automaton is built once, on the driver, flattened into arrays and broadcast, as long as the items have at most
+``AUTOMATON_WORDS`` words, summed before anything is collected. Beyond that they are dealt into parts whose sums
+are checked; only one part is on the driver at a time, each takes one pass over the documents, written to a
+scratch table, and the passes are joined. Null or wordless texts have no words and are never hit; null or
 wordless items match nothing. Repeated documents are judged each; items with equal texts
-all count. An empty table on either side hits nothing. Columns other than those named, or
-carried on request, are not read.
+all count; an item without an id hits words, but has no name. An empty table on either side hits nothing. Columns
+other than those named, or carried on request, are not read.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, numbered, small_batches, text_of, utf8_buffers
+from .common import WordHasher, numbered, scratch, small_batches, text_of, utf8_buffers
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -37,35 +40,19 @@ def word_bytes() -> np.ndarray:
     return (b >= 0x80) | ((b >= 0x30) & (b <= 0x39)) | ((b >= 0x61) & (b <= 0x7A)) | ((b >= 0x41) & (b <= 0x5A))
 
 
-class Automaton:
-    """Generalised suffix automaton of items, each a list of word numbers."""
+class _Builder:
+    """Generalised suffix automaton of items, each a list of word numbers, as it grows."""
 
-    def __init__(self, items: list[list[int]], window: int):
+    def __init__(self):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.size = [-1], [0]
-        ends = []
-        for words in items:
-            last = 0
-            for w in words:
-                last = self._extend(last, w)
-            ends.append(last)
-        #: Items that have the windows of a state, and the short items that end in it.
-        self.holders: list[set[int]] = [set() for _ in self.size]
-        self.short: list[list[tuple[int, int]]] = [[] for _ in self.size]
-        for k, (words, end) in enumerate(zip(items, ends)):
-            if 0 < len(words) < window:
-                self.short[end].append((len(words), k))
-            elif words:
-                state = length = 0
-                for w in words:
-                    state, length = self.step(state, length, w)
-                    at = self.holding(state, window)
-                    if length >= window:
-                        self.holders[at].add(k)
-        #: The next state up the links, itself included, in which a short item ends; -1 if there is none.
-        self.up = [-1] * len(self.size)
-        for s in sorted(range(len(self.size)), key=self.size.__getitem__):
-            self.up[s] = s if self.short[s] else (self.up[self.link[s]] if self.link[s] >= 0 else -1)
+
+    def add(self, words: list[int]) -> int:
+        """The state of the whole item."""
+        last = 0
+        for w in words:
+            last = self._extend(last, w)
+        return last
 
     def _extend(self, last: int, w: int) -> int:
         nxt, link, size = self.next, self.link, self.size
@@ -93,25 +80,66 @@ class Automaton:
             p = link[p]
         return new
 
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers, and where each list begins and ends."""
+    return np.array([x for one in lists for x in one], np.int64), np.r_[0, np.cumsum([len(one) for one in lists], dtype=np.int64)]
+
+
+class Automaton:
+    """The finished automaton in arrays: its transitions are sorted by state and word."""
+
+    def __init__(self, items: list[list[int]], window: int, n_words: int):
+        built = _Builder()
+        ends = [built.add(words) for words in items]
+        self.n_words = max(n_words, 1)
+        rows = sorted((s * self.n_words + w, t) for s, out in enumerate(built.next) for w, t in out.items())
+        self.keys, self.to = (np.array(x, np.int64) for x in (zip(*rows) if rows else ((), ())))
+        self.link, self.size = np.array(built.link, np.int64), np.array(built.size, np.int64)
+        #: Items that have the windows of a state, and the short items that end in it.
+        holders: list[set[int]] = [set() for _ in built.size]
+        short: list[list[int]] = [[] for _ in built.size]
+        for k, (words, end) in enumerate(zip(items, ends)):
+            if 0 < len(words) < window:
+                short[end].append(k)
+            elif words:
+                state = length = 0
+                for w in words:
+                    state, length = self.step(state, length, w)
+                    if length >= window:
+                        holders[self.holding(state, window)].add(k)
+        self.holders, self.held = _flat([sorted(x) for x in holders])
+        self.short, self.ends = _flat(short)
+        self.lengths = np.array([len(x) for x in items], np.int64)
+        #: The next state up the links, itself included, in which a short item ends; -1 if there is none.
+        up = [-1] * len(built.size)
+        for s in sorted(range(len(up)), key=built.size.__getitem__):
+            up[s] = s if short[s] else (up[built.link[s]] if built.link[s] >= 0 else -1)
+        self.up = np.array(up, np.int64)
+
     def step(self, state: int, length: int, w: int) -> tuple[int, int]:
-        while state and w not in self.next[state]:
-            state = self.link[state]
-            length = self.size[state]
-        got = self.next[state].get(w)
-        return (0, 0) if got is None else (got, length + 1)
+        while True:
+            key = state * self.n_words + w
+            at = int(self.keys.searchsorted(key))
+            if at < len(self.keys) and self.keys[at] == key:
+                return int(self.to[at]), length + 1
+            if state == 0:
+                return 0, 0
+            state = int(self.link[state])
+            length = int(self.size[state])
 
     def holding(self, state: int, n: int) -> int:
         """The state, up the links, of the last n words."""
-        while self.link[state] >= 0 and self.size[self.link[state]] >= n:
-            state = self.link[state]
+        while (up := int(self.link[state])) >= 0 and self.size[up] >= n:
+            state = up
         return state
 
 
 class Matcher:
-    """Finds hit words in batches of texts."""
+    """Finds hit words in batches of texts. Made of arrays but for the items' names, so it is cheap to send."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        self.names = [str(i) for i, _ in items]
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
+        self.names = [i for i, _ in items]
         self.hasher, self.window = WordHasher(word_bytes()), window
         data, offsets = utf8_buffers(pa.array([t or "" for _, t in items], pa.large_string()))
         _, _, owner, hashes = self.hasher(data, offsets)
@@ -119,7 +147,7 @@ class Matcher:
         words: list[list[int]] = [[] for _ in items]
         for k, w in zip(owner.tolist(), ids.tolist()):
             words[k].append(w)
-        self.automaton = Automaton(words, window)
+        self.automaton = Automaton(words, window, len(self.vocabulary))
         lengths = [len(x) for x in words if x]
         self.least = min([window, *lengths])
         same = owner[1:] == owner[:-1]
@@ -164,60 +192,70 @@ class Matcher:
             state, length = auto.step(state, length, w)
             if length >= window:
                 hits.append((at + j + 1 - window, at + j + 1))
-                names.update(self.names[k] for k in auto.holders[auto.holding(state, window)])
-            s = auto.up[state]
+                top = auto.holding(state, window)
+                names.update(self.names[k] for k in auto.holders[auto.held[top] : auto.held[top + 1]].tolist())
+            s = int(auto.up[state])
             while s >= 0:
-                for n, k in auto.short[s]:
+                for k in auto.short[auto.ends[s] : auto.ends[s + 1]].tolist():
+                    n = int(auto.lengths[k])
                     if n <= length:
                         hits.append((at + j + 1 - n, at + j + 1))
                         names.add(self.names[k])
-                s = auto.up[auto.link[s]] if auto.link[s] >= 0 else -1
+                s = int(auto.up[auto.link[s]]) if auto.link[s] >= 0 else -1
 
 
 FIELDS = ("first", "end", "word", "end_word")
 SPANS = f"array<struct<{','.join(f'{x}:bigint' for x in FIELDS)}>>"
 
 
-def _pass(rows: DataFrame, items: list[tuple[str, str]], window: int, drop_text: bool) -> DataFrame:
-    """Adds n_words, spans and items to the rows, whose texts are in ``text``."""
-    shared = rows.sparkSession.sparkContext.broadcast(items)
+def _pass(rows: DataFrame, items: list[tuple[str | None, str]], window: int) -> DataFrame:
+    """Adds n_words, spans and items to the rows, whose texts are in ``text``; the text is left out."""
+    shared = rows.sparkSession.sparkContext.broadcast(Matcher(items, window))
     span = pa.list_(pa.struct([(x, pa.int64()) for x in FIELDS]))
-    kept = [f for f in rows.schema if not (drop_text and f.name == "text")]
+    kept = [f for f in rows.schema if f.name != "text"]
     names = [f.name for f in kept]
 
     def match(batches):
-        matcher = Matcher(shared.value, window)
+        matcher = shared.value
         for whole in batches:
             for batch in small_batches(whole):
                 got = list(matcher(batch.column("text")))
                 spans = pa.array([[dict(zip(FIELDS, s)) for s in x[1]] for x in got], span)
                 cols = [batch.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([x[0] for x in got], pa.int64()), spans, pa.array([sorted(x[2]) for x in got], pa.list_(pa.string()))], names=[*names, "n_words", "spans", "items"])
+                found = [sorted(x[2], key=lambda i: (i is None, i)) for x in got]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([x[0] for x in got], pa.int64()), spans, pa.array(found, pa.list_(pa.string()))], names=[*names, "n_words", "spans", "items"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return rows.mapInArrow(match, f"{schema}, n_words bigint, spans {SPANS}, items array<string>")
 
 
 def benchmark_parts(benchmark: DataFrame, item_col: str, text_col: str, most: int):
-    """The items, in lists of about ``most`` words at most each; the sizes are summed before anything is collected."""
+    """The items, in lists of ``most`` words at most each, or of one item; one list is collected at a time, after its size is known."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), text_of(F.col(text_col)).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // (3 * most)))  # a word and its space take two bytes at the least, some six in the mean
+    size = F.floor(F.octet_length("text") / 2) + 1  # a word and its blank take two bytes at the least
+    total, n = items.agg(F.sum(size), F.count("*")).first()
+    parts = max(1, -(-(total or 0) // most))
+    part = lambda: F.pmod(F.xxhash64("item", "text"), F.lit(parts))
+    while parts > 1 and not items.groupBy(part().alias("p")).agg(F.sum(size).alias("s"), F.count_distinct("item", "text").alias("n")).where((F.col("s") > most) & (F.col("n") > 1)).isEmpty() and parts < 64 * n:
+        parts *= 2
     for k in range(parts):
-        yield [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k).orderBy("item", "text").collect()]
+        own = [(r.item, r.text) for r in items.where(part() == k).orderBy("item", "text").collect()]
+        if own or parts == 1:
+            yield own
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most: int = AUTOMATON_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, n_words, n_hit, spans of hit words (bytes and words, ends exclusive), items (names, sorted), and the columns to carry."""
     held = {f"_carry{k}": c for k, c in enumerate(carry)}
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(h) for h, c in held.items()))
-    parts = list(benchmark_parts(benchmark, item_col, item_text_col, most))
-    if len(parts) == 1:
-        got = _pass(rows, parts[0], window, drop_text=True)
+    parts = benchmark_parts(benchmark, item_col, item_text_col, most)
+    items, more = next(parts), next(parts, None)
+    if more is None:
+        got = _pass(rows, items, window)
     else:
         rows = rows.withColumn("digest", F.sha2(text_of(F.col("text")), 256))
         once = rows.select("id", "digest", "text")
-        got = _merged([_pass(once, p, window, drop_text=True) for p in parts])
+        got = _merged([scratch(_pass(once, p, window), "contamination") for p in chain((items, more), parts)])
         got = rows.drop("text").withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest").join(got, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end_word"] - s["word"])
     return got.select(F.col("id").alias(id_col), "n_words", hit.alias("n_hit"), "spans", F.array_sort("items").alias("items"), *(F.col(h).alias(c) for h, c in held.items()))

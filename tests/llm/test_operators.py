@@ -209,6 +209,20 @@ def test_contamination(docs, benchmark, most):
     same([(r.doc_id, r.n_words, r.n_hit, tuple(r.items)) for r in got.collect()], cases.contamination(pairs(), items))
 
 
+def test_contamination_by_items_without_id_or_repeated(spark, docs):
+    rows = [(None, "one two three four five six seven eight nine ten eleven twelve"), (7, "short item"), (7, "short item"), (8, "short item"), (9, "wörds äre words")]
+    got = decontaminate.contamination(docs, spark.createDataFrame(rows, "item_id bigint, text string"))
+    by_id = {r.doc_id: (r.n_hit, r["items"]) for r in got.collect()}
+    assert by_id[18] == (11, [None]) and by_id[19] == (5, ["7", "8", "9"]) and by_id[10] == (0, [])
+
+
+def test_benchmark_parts_are_bounded(spark):
+    rows = [(k, " ".join(["ab"] * 50)) for k in range(60)] + [(100, "x " * 400)]
+    parts = list(decontaminate.benchmark_parts(spark.createDataFrame(rows, "item_id bigint, text string"), "item_id", "text", 300))
+    assert sorted(int(i) for p in parts for i, _ in p) == [*range(60), 100]
+    assert all(len(p) == 1 or sum(len(t.split()) for _, t in p) <= 300 for p in parts)
+
+
 def test_decontaminate_cuts_spans(docs, benchmark, empty):
     out = decontaminate.decontaminate(docs, benchmark)
     texts = {r.doc_id: r.text for r in out.collect()}
