@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import chained, matched, mixed, scratch, small_batches, text_of, utf8_buffers
@@ -49,6 +48,8 @@ HOT, HOT_PART, SPLIT = 20_000, 1e-4, 16
 RANGE_WINDOWS = 1_000_000
 #: Tables of up to so many bytes are broadcast; larger ones are shuffled with the texts.
 BROADCAST_BYTES = 48_000_000
+#: Repeated anchors, of 8 bytes each, that are broadcast to the texts' lists of anchors.
+BROADCAST_ANCHORS = 1_000_000
 
 
 def packed(data: np.ndarray) -> np.ndarray:
@@ -345,15 +346,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), lists], names=["id", "digest", "h"])
 
     found = long.select("id", "digest", "text").mapInArrow(find, f"id {id_type}, digest string, h array<bigint>")
-    # The row of the least id speaks for its text; if that row itself repeats, one of it is enough.
-    own = matched(found, texts.select("digest", "id", "tid"), ["digest"]).dropDuplicates(["digest", "id"]).select("tid", F.explode("h").alias("h"))
-    same = W.partitionBy("h").orderBy("tid")
-    again = own.withColumn("p", F.lag("h").over(same)).withColumn("q", F.lead("h").over(same)).where(F.col("p").isNotNull() | F.col("q").isNotNull())
-    again = again.select("tid", "h")
+    # The row of the least id speaks for its text; if that row itself repeats, its anchors are counted apart.
+    own = scratch(matched(found, texts.select("digest", "id", "tid"), ["digest"]).dropDuplicates(["digest", "id"]).select("tid", "h"), "suffix-own")
+    each = own.select("tid", F.explode("h").alias("h"))
+    # Partial counts first: an anchor that very many texts have doesn't bring them together in one task.
+    several = scratch(each.groupBy("h").count().where(F.col("count") > 1), "suffix-several")
+    wide = several.count() > BROADCAST_ANCHORS
+    again = each.join(several.select("h") if wide else F.broadcast(several.select("h")), "h")
     places = scratch(again.groupBy("tid").agg(F.collect_set("h").alias("h")).join(texts.select("tid", "digest", "id"), "tid"), "suffix-anchors")
     size, total = places.agg(F.sum(F.size("h") * 8 + 120), F.sum(F.size("h"))).first()
-    frequent = places.select(F.explode("h").alias("h")).groupBy("h").count().where(F.col("count") >= max(HOT, int(HOT_PART * (total or 0)))).agg(F.collect_list("h")).first()
-    hot = np.sort(np.array(frequent[0], np.int64).view(np.uint64))  # 1 / HOT_PART at most
+    frequent = several.where(F.col("count") >= max(HOT, int(HOT_PART * (total or 0)))).agg(F.collect_list("h")).first()
+    hot = np.sort(np.array(frequent[0], np.int64).view(np.uint64))  # some 1 / HOT_PART at most
 
     def cut_out(batches):
         for whole in batches:
