@@ -5,39 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import norm, rating_category
+from ..functions.text import rating_category, unaccented
+from .lookup import small
 
-#: Confidence of each source (fixed values).
-CONFIDENCE = {"google": 0.9, "search": 0.6, "keyword": 0.4}
-#: Closing notes after a category, removed once (fixed values).
-STATUS = r"\s*[·.]?\s*(abierto|cerrado|cierra pronto|abre pronto)\b.*$"
+#: Source of each tier and its confidence, in order (fixed values).
+TIERS = (("google_categoria", 0.90), ("categoria_original", 0.85), ("search_category", 0.60), ("nombre", 0.50))
+#: Closing notes of a category, cut off once (fixed value).
+STATUS = r"\s+(cerrado|abierto|cierra pronto|abre pronto)(\s+(temporalmente|permanentemente|24 horas))?$"
 KEYWORD_LEAST = 5
+#: Characters of all keys together that one pattern is made of.
+PATTERN_MOST = 2_000_000
 
 
 def lookup_key(x: Column) -> Column:
-    return norm(F.regexp_replace(norm(x), STATUS, ""))
+    return F.regexp_replace(unaccented(x), STATUS, "")
+
+
+def name_pattern(keys: list[str]) -> str:
+    """Matches the keys of KEYWORD_LEAST letters or more as whole words, at each place the longest."""
+    quoted = ["".join(c if c.isalnum() or c == " " else "\\" + c for c in k) for k in sorted(keys, key=lambda k: (-len(k), k)) if len(k) >= KEYWORD_LEAST]
+    return rf"\b({'|'.join(quoted)})\b" if quoted else ""
 
 
 def curate(df: DataFrame, mappings: DataFrame) -> DataFrame:
     """Adds raw category, type, category, source and confidence; the first tier that hits counts.
 
-    Tiers: the record's category as it is, the category within a card's rating text, the search term, then the longest mapping key of five
-    letters or more that stands as whole words in the name (the first in order of equals).
-    mappings: raw_norm, type, category; a lookup table, broadcast.
+    Tiers: the tail of the record's category after a rating, the category itself, the search term, and the longest
+    mapping key of five letters or more among those that the name holds as whole words (the first of equals). The
+    raw category is the tail, whatever tier hits.
+    mappings: raw_norm (unique), type, category; a lookup table, whose keys become one pattern on the driver.
     """
-    m = F.broadcast(mappings.select(F.col("raw_norm").alias("k"), F.struct(F.col("type"), F.col("category")).alias("v")))
-    rows = df.withColumn("_c", lookup_key(F.col("category"))).withColumn("_r", lookup_key(rating_category(F.col("category")))).withColumn("_s", lookup_key(F.col("search_category")))
-    for key in ("_c", "_r", "_s"):
-        rows = rows.join(m.select(F.col("k").alias(f"{key}k"), F.col("v").alias(f"{key}v")), F.col(key) == F.col(f"{key}k"), "left").drop(f"{key}k")
-    # Words and runs of words of the name meet the keys as an equi-join; names have few words.
-    words = F.split(F.trim(F.regexp_replace(norm(F.col("name")), "[^a-z0-9]+", " ")), " ")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size(words) - i + 1)), lambda n: F.array_join(F.slice(words, i, n), " "))))
-    named = df.select("id", F.explode(F.array_distinct(runs)).alias("w")).where(F.length("w") >= KEYWORD_LEAST)
-    hits = named.join(m, F.col("w") == F.col("k")).groupBy("id").agg(F.min_by("v", F.struct(-F.length("k"), "k")).alias("_kv"))
-    rows = rows.join(hits, "id", "left")
-    tier = lambda v, raw, source: F.when(v.isNotNull(), F.struct(raw.alias("raw"), v["type"].alias("type"), v["category"].alias("category"), F.lit(source).alias("source"), F.lit(CONFIDENCE[source]).alias("confidence")))
-    best = F.coalesce(tier(F.col("_cv"), F.col("category"), "google"), tier(F.col("_rv"), F.col("category"), "google"), tier(F.col("_sv"), F.col("search_category"), "search"), tier(F.col("_kv"), F.col("name"), "keyword"))
-    return rows.withColumn("_b", best).select(*df.columns, F.col("_b.raw").alias("raw_category"), F.col("_b.type").alias("business_type"), F.col("_b.category").alias("business_category"), F.col("_b.source").alias("category_source"), F.col("_b.confidence").alias("category_confidence"))
+    if (mappings.agg(F.sum(F.length("raw_norm"))).first()[0] or 0) > PATTERN_MOST:
+        raise ValueError("the mapping table is too large for a lookup table")
+    pattern = name_pattern([r.raw_norm for r in mappings.select("raw_norm").where(F.col("raw_norm").isNotNull()).collect()])
+    found = F.regexp_extract_all(unaccented(F.col("name")), F.lit(pattern), F.lit(1)) if pattern else F.array().cast("array<string>")
+    longest = F.array_max(F.transform(found, lambda m, i: F.struct(F.length(m).alias("n"), (-i).alias("first"), m.alias("key"))))["key"]
+    m = small(mappings.select(F.col("raw_norm").alias("k"), F.struct(F.col("type"), F.col("category")).alias("v")))
+    keys = (lookup_key(rating_category(F.col("category"))), lookup_key(F.col("category")), lookup_key(F.col("search_category")), longest)
+    rows = df.withColumns({f"_k{t}": F.nullif(k, F.lit("")) for t, k in enumerate(keys)})
+    for t in range(len(TIERS)):
+        rows = rows.join(m.select(F.col("k").alias("_m"), F.col("v").alias(f"_v{t}")), F.col(f"_k{t}") == F.col("_m"), "left").drop("_m")
+    hit = lambda t: F.when(F.col(f"_v{t}").isNotNull(), F.struct(F.col(f"_v{t}.type").alias("type"), F.col(f"_v{t}.category").alias("category"), F.lit(TIERS[t][0]).alias("source"), F.lit(TIERS[t][1]).alias("confidence")))
+    best = F.coalesce(*map(hit, range(len(TIERS))))
+    return rows.withColumn("_b", best).select(*df.columns, rating_category(df["category"]).alias("raw_category"), F.col("_b.type").alias("business_type"), F.col("_b.category").alias("business_category"), F.col("_b.source").alias("category_source"), F.col("_b.confidence").alias("category_confidence"))
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .spatial import radius_join
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder that the session names; one below its warehouse only where none is set, as in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration's state with a checkpoint in the shared folder the session names."""
+    """Cut the lineage of an iteration's state with a checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -29,7 +32,7 @@ def dedup_exact_name(df: DataFrame, name: str = "name", seq: str = "id") -> Data
     return first_by(df, [F.lower(F.trim(F.col(name)))], [F.length(name).desc(), seq])
 
 
-def proximity_clusters(df: DataFrame, metres: float, seq: str = "id", lat: str = "lat", lng: str = "lng", max_abs_lat: float = 60.0) -> DataFrame:
+def proximity_clusters(df: DataFrame, metres: float, seq: str = "id", lat: str = "lat", lng: str = "lng") -> DataFrame:
     """(seq, seed) by the greedy rule: in order of seq, a row that no seed is nearer to than ``metres`` is a seed itself;
     any other joins its first seed.
 
@@ -38,7 +41,7 @@ def proximity_clusters(df: DataFrame, metres: float, seq: str = "id", lat: str =
     """
     points = df.select(F.col(seq).alias("hi"), F.col(lat).alias("lat"), F.col(lng).alias("lng"))
     other = df.select(F.col(seq).alias("lo"), F.col(lat).alias("r_lat"), F.col(lng).alias("r_lng"))
-    edges = cut(radius_join(points, other, metres, max_abs_lat=max_abs_lat).where((F.col("lo") < F.col("hi")) & (F.col("distance_m") < metres)).select("lo", "hi").distinct())
+    edges = cut(radius_join(points, other, metres).where((F.col("lo") < F.col("hi")) & (F.col("distance_m") < metres)).select("lo", "hi").distinct())
     open_ = cut(edges.select(F.col("hi").alias("v")).union(edges.select("lo")).distinct())
     # Whoever has no neighbour is a seed at once.
     seeds, gone = None, None

@@ -1,8 +1,11 @@
 """Spatial joins as equi-joins on grid buckets.
 
-Points fall into square buckets as wide as the search radius or wider. One side is exploded to
-its bucket and the eight around it; then it is an ordinary equi-join, which Spark can shuffle,
+Points fall into buckets as high and wide as the search radius or more. The width follows the latitude of the bucket's row, and
+each row closes around the globe, so the date line and the poles need no care. One side is exploded to
+its bucket and those around it; then it is an ordinary equi-join, which Spark can shuffle,
 broadcast or split where a bucket is hot. The exact distance is checked last.
+
+Boxes and polygons meet on a grid of levels: each stands in at most four cells of the level that fits its size.
 """
 
 from __future__ import annotations
@@ -13,40 +16,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.geo import DEGREE_M, haversine_m
+from ..functions.geo import DEGREE_M, RADIUS_M, haversine_m
+
+
+def _columns_of(row: Column, metres: float) -> Column:
+    """How many buckets a row has: so few that none is narrower than the radius anywhere in the row or its neighbours."""
+    step = metres / DEGREE_M * 1.001
+    far = F.least(F.greatest(F.abs((row - 1) * step), F.abs((row + 2) * step)), F.lit(90.0))
+    reach = math.sin(min(math.pi / 2, metres / RADIUS_M / 2)) / F.greatest(F.cos(F.radians(far)), F.lit(1e-12))
+    width = F.degrees(2 * F.asin(F.least(reach, F.lit(1.0)))) * 1.001
+    return F.greatest(F.floor(360.0 / width), F.lit(1)).cast("bigint")
 
 
-def bucket_steps(metres: float, max_abs_lat: float) -> tuple[float, float]:
-    """Bucket heights and widths in degrees for which three by three buckets hold a circle."""
-    return metres / DEGREE_M * 1.001, metres / (DEGREE_M * math.cos(math.radians(min(89.0, max_abs_lat)))) * 1.001
+def _buckets(df: DataFrame, lat: str, lng: str, metres: float, around: bool) -> DataFrame:
+    by = F.floor(F.col(lat) / (metres / DEGREE_M * 1.001))
 
+    def cell(row: Column) -> tuple[Column, Column]:
+        n = _columns_of(row, metres)
+        return n, F.floor((F.col(lng) + 180.0) / 360.0 * n).cast("bigint")
 
-def _buckets(df: DataFrame, lat: str, lng: str, steps: tuple[float, float], around: bool) -> DataFrame:
-    dy, dx = steps
-    by, bx = F.floor(F.col(lat) / dy), F.floor(F.col(lng) / dx)
     if not around:
-        return df.withColumn("_by", by).withColumn("_bx", bx)
-    near = F.array(*(F.struct((by + i).alias("y"), (bx + j).alias("x")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+        n, x = cell(by)
+        return df.withColumn("_by", by).withColumn("_bx", F.pmod(x, n))
+    rows = []
+    for i in (-1, 0, 1):
+        n, x = cell(by + i)
+        rows += [F.struct((by + i).alias("y"), F.pmod(x + j, n).alias("x")) for j in (-1, 0, 1)]
+    near = F.array_distinct(F.array(*rows))
     return df.withColumn("_b", F.explode(near)).withColumn("_by", F.col("_b.y")).withColumn("_bx", F.col("_b.x")).drop("_b")
 
 
-def radius_join(left: DataFrame, right: DataFrame, metres: float, left_at=("lat", "lng"), right_at=("r_lat", "r_lng"), max_abs_lat: float = 60.0, explode: str = "left", distance: str = "distance_m") -> DataFrame:
+def _paired(left: DataFrame, right: DataFrame, metres: float, left_at, right_at, explode: str) -> DataFrame:
+    a = _buckets(left.where(F.col(left_at[0]).isNotNull() & F.col(left_at[1]).isNotNull()), *left_at, metres, explode == "left")
+    b = _buckets(right.where(F.col(right_at[0]).isNotNull() & F.col(right_at[1]).isNotNull()), *right_at, metres, explode == "right")
+    return a.join(b, ["_by", "_bx"]).drop("_by", "_bx")
+
+
+def radius_join(left: DataFrame, right: DataFrame, metres: float, left_at=("lat", "lng"), right_at=("r_lat", "r_lng"), explode: str = "left", distance: str = "distance_m") -> DataFrame:
     """Pairs of points within ``metres``, with their distance. Name the smaller side to ``explode``. Null coordinates match nothing."""
-    steps = bucket_steps(metres, max_abs_lat)
-    a = _buckets(left, *left_at, steps, explode == "left")
-    b = _buckets(right, *right_at, steps, explode == "right")
-    pairs = a.join(b, ["_by", "_bx"]).drop("_by", "_bx")
+    pairs = _paired(left, right, metres, left_at, right_at, explode)
     return pairs.withColumn(distance, haversine_m(*left_at, *right_at)).where(F.col(distance) <= metres)
 
 
-def radius_sums(left: DataFrame, right: DataFrame, key: str, sums: dict[str, tuple[Column, float]], **where) -> DataFrame:
+def _on_sphere(lat: str, lng: str, prefix: str) -> dict[str, Column]:
+    """The point's place on the unit sphere."""
+    phi, lam = F.radians(F.col(lat)), F.radians(F.col(lng))
+    return {f"{prefix}x": F.cos(phi) * F.cos(lam), f"{prefix}y": F.cos(phi) * F.sin(lam), f"{prefix}z": F.sin(phi)}
+
+
+def radius_sums(left: DataFrame, right: DataFrame, key: str, sums: dict[str, tuple[Column, float]], left_at=("lat", "lng"), right_at=("r_lat", "r_lng"), explode: str = "left") -> DataFrame:
     """For each left row the sums of right values within several radii, from one join at the largest; 0 where nothing is near.
 
+    Pairs are compared by their chords through the sphere, which takes no trigonometry for a pair.
     sums: result column -> (value, metres).
     """
     metres = max(m for _, m in sums.values())
-    near = radius_join(left, right, metres, **where)
-    got = near.groupBy(key).agg(*(F.sum(F.when(F.col("distance_m") <= m, v)).alias(name) for name, (v, m) in sums.items()))
+    squared = lambda m: (2 * math.sin(min(math.pi / 2, m / RADIUS_M / 2))) ** 2
+    names = {name: f"_v{k}" for k, name in enumerate(sums)}
+    a = left.select(F.col(key), *left_at).withColumns(_on_sphere(*left_at, "_l"))
+    b = right.select(*right_at, *(v.alias(names[n]) for n, (v, _) in sums.items())).withColumns(_on_sphere(*right_at, "_r"))
+    near = _paired(a, b, metres, left_at, right_at, explode)
+    chord = sum(((F.col(f"_l{c}") - F.col(f"_r{c}")) * (F.col(f"_l{c}") - F.col(f"_r{c}")) for c in "xyz"), F.lit(0.0))
+    near = near.withColumn("_d", chord).where(F.col("_d") <= squared(metres))
+    got = near.groupBy(key).agg(*(F.sum(F.when(F.col("_d") <= squared(m), F.col(names[name]))).alias(name) for name, (_, m) in sums.items()))
     return left.join(got, key, "left").select(*left.columns, *(F.coalesce(name, F.lit(0)).alias(name) for name in sums))
 
 
@@ -57,40 +89,79 @@ def nearest_within(left: DataFrame, right: DataFrame, key: str, metres: float, i
     return near.groupBy(key).agg(best).select(key, "best.*")
 
 
-def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query_key: str, point_key: str, skip_self: bool = False, max_rounds: int = 12, **where) -> DataFrame:
-    """The k nearest points of each query, ranks from 1, ties by key.
+def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query_key: str, point_key: str, skip_self: bool = False, **where) -> DataFrame:
+    """The k nearest points of each query, ranks from 1, ties by key; all points if there are fewer.
 
     The search radius starts at ``metres`` and doubles for those queries only that have fewer than k points
-    yet, or until every query has seen all there are; each round is a bucket join.
+    yet, up to half the globe's girth, so no query is left incomplete; each round is a bucket join.
     """
+    most = min(k, points.count() - (1 if skip_self else 0))
     ranked_by = W.partitionBy(query_key).orderBy("distance_m", point_key)
-    done, rest, total = None, queries, None
-    for step in range(max_rounds):
-        near = radius_join(rest, points, metres * 2**step, **where)
+    done, rest, step = None, queries, 0
+    while most > 0 or done is None:
+        reach = metres * 2**step
+        last = reach > math.pi * RADIUS_M
+        near = radius_join(rest, points, reach, **where)
         near = near.where(F.col(query_key) != F.col(point_key)) if skip_self else near
         ranked = near.withColumn("rank", F.row_number().over(ranked_by)).where(F.col("rank") <= k)
-        full = ranked.where(F.col("rank") == k).select(query_key)
-        last = step == max_rounds - 1 or metres * 2**step > math.pi * 6_371_000
+        full = ranked.where(F.col("rank") == most).select(query_key)
         part = ranked if last else ranked.join(full, query_key, "left_semi")
         done = part if done is None else done.unionByName(part)
-        if last:
+        if last or most <= 0:
             break
         rest = rest.join(full, query_key, "left_anti")
         if rest.isEmpty():
             break
+        step += 1
     return done
 
 
-def point_in_polygon(points: DataFrame, rings: DataFrame, point_key: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """(point, polygon) for points inside; rings: polygon key and ``ring``, an array of struct(x, y), closed or not.
+#: Levels of the grid that boxes and polygons meet on: cells of 2 ** level degrees.
+LEVELS = (-20, 9)
+
+
+def _level(height: Column, width: Column) -> Column:
+    """The least level whose cells are as large as the box."""
+    size = F.greatest(height, width, F.lit(2.0 ** LEVELS[0]))
+    return F.least(F.ceil(F.log2(size)), F.lit(LEVELS[1])).cast("int")
 
-    Polygons are broadcast-sized boundary tables as a rule; their boxes are compared first, and only those that
-    hold the point count the ring's edges that a ray to the east crosses.
+
+def _cells(df: DataFrame, y0: Column, y1: Column, x0: Column, x1: Column, level: Column) -> DataFrame:
+    """A row for each cell (_y, _x) of the level that the box touches: four at most if the level fits."""
+    step = F.pow(F.lit(2.0), level)
+    steps = lambda a, b: F.sequence(F.floor(a / step), F.floor(b / step))
+    return df.withColumn("_y", F.explode(steps(y0, y1))).withColumn("_x", F.explode(steps(x0, x1)))
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1")) -> DataFrame:
+    """Pairs of points and boxes (y0, y1, x0, x1, edges included) that hold them, with the columns of both.
+
+    Points stand in one cell of each level that some box has; there are LEVELS[1] - LEVELS[0] of them at the most.
     """
+    y0, y1, x0, x1 = map(F.col, box)
+    dealt = _cells(boxes.withColumn("_level", _level(y1 - y0, x1 - x0)), y0, y1, x0, x1, F.col("_level"))
+    levels = sorted(r._level for r in dealt.where(F.col("_level").isNotNull()).select("_level").distinct().collect())
+    at = [F.struct(F.lit(k).alias("level"), F.floor(F.col(lat) / 2.0**k).alias("y"), F.floor(F.col(lng) / 2.0**k).alias("x")) for k in levels]
+    placed = points.withColumn("_at", F.explode(F.array(*at))) if at else points.where("false").withColumn("_at", F.lit(None).cast("struct<level:int,y:bigint,x:bigint>"))
+    placed = placed.select(*points.columns, F.col("_at.level").alias("_level"), F.col("_at.y").alias("_y"), F.col("_at.x").alias("_x"))
+    return placed.join(dealt, ["_level", "_y", "_x"]).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1)).drop("_level", "_y", "_x")
+
+
+def _boxed(rings: DataFrame, polygon_key: str) -> DataFrame:
+    """The closed rings with their boxes."""
     ring = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(F.concat("ring", F.slice("ring", 1, 1)))
     xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    closed = rings.select(polygon_key, ring.alias("ring"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
-    pairs = points.join(closed, F.col(lng).between(F.col("x0"), F.col("x1")) & F.col(lat).between(F.col("y0"), F.col("y1")))
+    some = rings.where(F.size("ring") > 0)
+    return some.select(polygon_key, ring.alias("ring"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
+
+
+def point_in_polygon(points: DataFrame, rings: DataFrame, point_key: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """(point, polygon) for points inside; rings: polygon key and ``ring``, an array of struct(x, y), closed or not.
+
+    Points meet the polygons' boxes by an equi-join on the level grid; only those in a box
+    count the ring's edges that a ray to the east crosses.
+    """
+    pairs = points_in_boxes(points.select(point_key, lat, lng), _boxed(rings, polygon_key), lat, lng)
     crossed = F.aggregate(
         F.sequence(F.lit(2), F.size("ring")),
         F.lit(0),
@@ -119,9 +190,18 @@ def vertex_mean(ring: Column) -> Column:
 def box_meets_polygon(boxes: DataFrame, rings: DataFrame, box_key: str, polygon_key: str) -> DataFrame:
     """(box, polygon) that touch: a vertex in the box, a box corner in the polygon, or crossing edges.
 
+    Both sides stand in the cells of their own level and of the coarser ones that occur; a pair meets at the coarser of its two levels.
     boxes: lat_min, lat_max, lng_min, lng_max.
     """
-    pairs = boxes.join(rings, F.exists("ring", lambda p: F.lit(True)))
+    closed = _boxed(rings, polygon_key)
+    sides = (boxes.withColumn("_own", _level(F.col("lat_max") - F.col("lat_min"), F.col("lng_max") - F.col("lng_min"))), closed.withColumn("_own", _level(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))))
+    levels = sorted({r._own for side in sides for r in side.select("_own").distinct().collect() if r._own is not None})
+    every = F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")
+    rise = lambda side: side.withColumn("_level", F.explode(F.filter(every, lambda k: k >= F.col("_own"))))
+    a = _cells(rise(sides[0]).withColumnRenamed("_own", "_a"), F.col("lat_min"), F.col("lat_max"), F.col("lng_min"), F.col("lng_max"), F.col("_level"))
+    b = _cells(rise(sides[1]).withColumnRenamed("_own", "_b"), F.col("y0"), F.col("y1"), F.col("x0"), F.col("x1"), F.col("_level"))
+    pairs = a.join(b, ["_level", "_y", "_x"]).where(F.col("_level") == F.greatest("_a", "_b"))
+    pairs = pairs.where((F.col("lat_min") <= F.col("y1")) & (F.col("lat_max") >= F.col("y0")) & (F.col("lng_min") <= F.col("x1")) & (F.col("lng_max") >= F.col("x0")))
     inside = F.exists("ring", lambda p: p["x"].between(F.col("lng_min"), F.col("lng_max")) & p["y"].between(F.col("lat_min"), F.col("lat_max")))
     corners = boxes.select(box_key, F.explode(F.array(*(F.struct(F.col(a).alias("lat"), F.col(b).alias("lng")) for a in ("lat_min", "lat_max") for b in ("lng_min", "lng_max")))).alias("c")).select(box_key, "c.lat", "c.lng")
     edge = lambda i: (F.element_at("ring", i - 1), F.element_at("ring", i))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_m, quadrants
+from ..operators.dedup import cut
+from ..operators.spatial import box_meets_polygon, points_in_boxes
 
 RESULT_CAP = 120
 METRO_KM, METRO_FACTOR = 25.0, 0.1
@@ -53,23 +55,57 @@ def tasks(cells: DataFrame, categories: list[str]) -> DataFrame:
 
 
 def split_overflow(cells: DataFrame, points: DataFrame, max_depth: int, cap: int = RESULT_CAP) -> DataFrame:
-    """(cell fields, depth, n): cells with ``cap`` points or more are quartered until max_depth.
+    """(cell fields, depth, n): cells with ``cap`` points or more are quartered until max_depth. Cells are half open.
 
-    The points know their cell at each depth by arithmetic, so each level is one count and one join. Cells are half open.
+    Points find their cell once, by an equi-join on the level grid; below it the quarter is arithmetic on the
+    cell itself, so each depth is one count and one join by cell. The state of each depth is checkpointed.
     """
-    cells = cells.select("lat_min", "lat_max", "lng_min", "lng_max").withColumn("root", F.struct("lat_min", "lat_max", "lng_min", "lng_max"))
-    # Points find their root by a range join on the grid's rows; roots are few, and a point has one.
-    rooted = points.join(F.broadcast(cells.select("root")), (F.col("lat") >= F.col("root.lat_min")) & (F.col("lat") < F.col("root.lat_max")) & (F.col("lng") >= F.col("root.lng_min")) & (F.col("lng") < F.col("root.lng_max")))
-    here, done = cells.select("root", F.col("root").alias("cell")), None
-    rooted = rooted.select("lat", "lng", F.col("root").alias("cell"))
+    box = ("lat_min", "lat_max", "lng_min", "lng_max")
+    roots = cells.select(*box)
+    held = points_in_boxes(points.select("lat", "lng"), roots, box=box).where((F.col("lat") < F.col("lat_max")) & (F.col("lng") < F.col("lng_max")))
+    rooted = cut(held.select("lat", "lng", F.struct(*box).alias("cell")))
+    here, done = roots.select(F.struct(*box).alias("cell")), None
     for depth in range(max_depth + 1):
-        counted = here.join(rooted.groupBy("cell").agg(F.count("*").alias("n")), "cell", "left").select("cell", F.coalesce("n", F.lit(0)).alias("n"))
-        over = counted.where((F.col("n") >= cap) & F.lit(depth < max_depth))
-        kept = counted.where((F.col("n") < cap) | F.lit(depth == max_depth)).select("cell.*", F.lit(depth).alias("depth"), "n")
+        counts = rooted.groupBy("cell").agg(F.count("*").alias("n"))
+        counted = cut(here.join(counts, "cell", "left").select("cell", F.coalesce("n", F.lit(0)).alias("n")))
+        split = (F.col("n") >= cap) & F.lit(depth < max_depth)
+        kept = counted.where(~split).select("cell.*", F.lit(depth).alias("depth"), "n")
         done = kept if done is None else done.unionByName(kept)
-        if depth == max_depth:
+        over = counted.where(split).select("cell")
+        if depth == max_depth or over.isEmpty():
             break
-        here = over.select(F.explode(quadrants(F.col("cell"))).alias("cell")).select(F.col("cell").alias("root"), "cell")
-        quarter = F.element_at(quadrants(F.col("cell")), (F.when(F.col("lat") >= (F.col("cell.lat_min") + F.col("cell.lat_max")) / 2, 2).otherwise(0) + F.when(F.col("lng") >= (F.col("cell.lng_min") + F.col("cell.lng_max")) / 2, 1).otherwise(0) + 1).cast("int"))
-        rooted = rooted.join(over.select("cell"), "cell", "left_semi").select("lat", "lng", quarter.alias("cell"))
+        here = over.select(F.explode(quadrants(F.col("cell"))).alias("cell"))
+        middle = lambda a, b: (F.col(f"cell.{a}") + F.col(f"cell.{b}")) / 2
+        quarter = F.element_at(quadrants(F.col("cell")), (F.when(F.col("lat") >= middle("lat_min", "lat_max"), 2).otherwise(0) + F.when(F.col("lng") >= middle("lng_min", "lng_max"), 1).otherwise(0) + 1).cast("int"))
+        rooted = cut(rooted.join(over, "cell", "left_semi").select("lat", "lng", quarter.alias("cell")))
     return done
+
+
+def circle_grid(spark: SparkSession, lat: float, lng: float, radius_km: float, cell_km: float) -> DataFrame:
+    """(row, col, cell fields) of the cells over the square around a point whose centres lie within the radius and one cell's width."""
+    dy, span = cell_km / KM_PER_DEGREE, radius_km / KM_PER_DEGREE
+    rows = spark.range(math.ceil(2 * span / dy - 1e-9)).select(F.col("id").alias("row"), (F.lit(lat - span) + F.col("id") * F.lit(dy)).alias("lat_min"))
+    per_degree = KM_PER_DEGREE * F.cos(F.radians("lat_min"))
+    rows = rows.withColumn("dx", cell_km / per_degree).withColumn("west", F.lit(lng) - radius_km / per_degree)
+    n = math.ceil(2 * radius_km / cell_km - 1e-9)
+    cells = rows.select("row", "lat_min", "dx", "west", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("bigint").alias("col"))
+    cells = cells.select("row", "col", "lat_min", (F.col("lat_min") + dy).alias("lat_max"), (F.col("west") + F.col("col") * F.col("dx")).alias("lng_min"), (F.col("west") + (F.col("col") + 1) * F.col("dx")).alias("lng_max"))
+    centre = ((F.col("lat_min") + F.col("lat_max")) / 2, (F.col("lng_min") + F.col("lng_max")) / 2)
+    return cells.where(haversine_m(F.lit(lat), F.lit(lng), *centre) <= (radius_km + cell_km) * 1000)
+
+
+def expand_to_depth(cells: DataFrame, depth: int, inside: DataFrame | None = None) -> DataFrame:
+    """The cells (cell fields) quartered ``depth`` times; after each time those that touch no ring of ``inside`` (boundary, ring) go."""
+    box = ("lat_min", "lat_max", "lng_min", "lng_max")
+    now = cells.select(*box)
+    for _ in range(depth):
+        now = now.select(F.explode(quadrants(F.struct(*box))).alias("c")).select("c.*")
+        if inside is not None:
+            named = now.withColumn("_cell", F.struct(*box))
+            now = now.join(box_meets_polygon(named, inside, "_cell", "boundary").select("_cell").distinct(), F.struct(*box) == F.col("_cell"), "left_semi")
+    return now
+
+
+def cell_key() -> Column:
+    """The cell's name: a JSON record of its four bounds in order of their names."""
+    return F.to_json(F.struct(*(F.col(c) for c in ("lat_max", "lat_min", "lng_max", "lng_min"))))

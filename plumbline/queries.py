@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -276,20 +274,21 @@ def _(spark, d):
     return load(spark, d, "part_name").select("id", text.clean_name(F.concat(F.lit('  "'), F.replace("name", F.lit(" "), F.lit("   ")), F.lit('" '))).alias("name"))
 
 
-_CASES = " ".join(f"WHEN contains(lower(coalesce(category, 'sin categoria')), '{k}') THEN '{v}'" for k, v in text.CATEGORY_PARTS)
+_CASES = " ".join(f"WHEN contains(low, '{k}') THEN '{v}'" for k, v in text.CATEGORY_PARTS)
+_WORDS = "concat(CASE id % 5 WHEN 0 THEN ' Gran HOTEL ' WHEN 1 THEN 'Hardware Store ' WHEN 2 THEN '' ELSE '  ' END, coalesce(business_category, ''))"
 
 
-@query("category_map", f"SELECT id, CASE WHEN trim(coalesce(category, 'x')) = '' THEN 'Sin categoria' {_CASES} ELSE coalesce(category, 'sin categoria') END AS category FROM (SELECT id, business_category AS category FROM {oracle('business')})")
+@query("category_map", f"SELECT id, CASE WHEN low = '' THEN 'Sin categoria' {_CASES} ELSE low END AS category FROM (SELECT id, trim(lower({_WORDS})) AS low FROM {oracle('business')})")
 def _(spark, d):
-    return load(spark, d, "business").select("id", text.category_by_part(F.col("business_category"), text.CATEGORY_PARTS).alias("category"))
+    return load(spark, d, "business").select("id", text.category_by_part(F.expr(_WORDS)).alias("category"))
 
 
-_LINK = "concat('https://maps.example.com/place/p', CAST(id AS STRING), CASE WHEN id % 3 = 0 THEN concat('/@-25.', CAST(100000 + id AS STRING), ',-57.', CAST(200000 + id AS STRING), ',17z') WHEN id % 3 = 1 THEN concat('/data=!3d-25.', CAST(100000 + id AS STRING), '!4d-57.', CAST(200000 + id AS STRING)) ELSE '' END)"
+_LINK = "concat('https://maps.example.com/place/p', CAST(id AS STRING), CASE WHEN id % 3 = 0 THEN concat('/@-25.', CAST(100000 + id AS STRING), ',-57.', CAST(200000 + id AS STRING), CASE WHEN id % 2 = 0 THEN ',17z' ELSE '?x#y' END) WHEN id % 3 = 1 THEN concat('/data=!3d-25.', CAST(100000 + id AS STRING), '!4d-57.', CAST(200000 + id AS STRING)) ELSE '' END)"
 
 
 @query(
     "url_coords",
-    f"""WITH u AS (SELECT id, {_LINK} AS u FROM {oracle('business')}), c AS (SELECT id, TRY_CAST(regexp_extract(u, '/@(-?[0-9]+\\.[0-9]+),(-?[0-9]+\\.[0-9]+)', 1) AS DOUBLE) AS a, TRY_CAST(regexp_extract(u, '/@(-?[0-9]+\\.[0-9]+),(-?[0-9]+\\.[0-9]+)', 2) AS DOUBLE) AS b,
+    f"""WITH u AS (SELECT id, {_LINK} AS u FROM {oracle('business')}), c AS (SELECT id, TRY_CAST(regexp_extract(u, '/@(-?[0-9]+\\.[0-9]+),(-?[0-9]+\\.[0-9]+),[0-9]+z', 1) AS DOUBLE) AS a, TRY_CAST(regexp_extract(u, '/@(-?[0-9]+\\.[0-9]+),(-?[0-9]+\\.[0-9]+),[0-9]+z', 2) AS DOUBLE) AS b,
  TRY_CAST(regexp_extract(u, '!3d(-?[0-9]+\\.[0-9]+)!4d(-?[0-9]+\\.[0-9]+)', 1) AS DOUBLE) AS e, TRY_CAST(regexp_extract(u, '!3d(-?[0-9]+\\.[0-9]+)!4d(-?[0-9]+\\.[0-9]+)', 2) AS DOUBLE) AS f FROM u) SELECT id, coalesce(a, e) AS lat, coalesce(b, f) AS lng FROM c""",
 )
 def _(spark, d):
@@ -323,21 +322,27 @@ def _(spark, d):
 
 
 # Curation.
-_MAP = (("building", "shop", "construction"), ("automobile", "shop", "vehicles"), ("furniture", "shop", "home"), ("widget", "trade", "metal"), ("gear", "trade", "metal"), ("small", "trade", "other"))
-_RAW = f"(SELECT c.id AS id, p.name AS name, CASE WHEN c.id % 4 = 0 THEN NULL WHEN c.id % 4 = 1 THEN concat(c.category, ' · Abierto') ELSE c.category END AS category, CASE WHEN c.id % 8 < 4 THEN c.category ELSE 'otro' END AS search_category, c.is_active AS is_active FROM {{b}} c JOIN {{p}} p ON p.id = c.id)"
+_MAP = (("construccion", "trade", "construction"), ("building", "shop", "construction"), ("automobile", "shop", "vehicles"), ("furniture", "shop", "home"), ("widget", "trade", "metal"), ("gear", "trade", "metal"), ("small", "trade", "other"))
+_RAW = """(SELECT c.id AS id, p.name AS name, CASE c.id % 7 WHEN 0 THEN NULL WHEN 1 THEN concat(p.name, ' 4.', CAST(c.id % 10 AS STRING), ' ', c.category) WHEN 2 THEN concat('x No hay OPINIONES ', c.category, ' cerrado temporalmente') WHEN 3 THEN concat(' ', c.category, ' Abierto 24 horas')
+ WHEN 4 THEN concat('Abierto ', c.category) WHEN 5 THEN 'Construcción' ELSE c.category END AS category, CASE WHEN c.id % 8 < 4 THEN c.category ELSE 'otro' END AS search_category, c.is_active AS is_active FROM {b} c JOIN {p} p ON p.id = c.id)"""
 _RAW_SQL = _RAW.format(b=oracle("business"), p=oracle("part_name"))
-_KEY = "nullif(trim(regexp_replace(lower({x}), '\\s*[·.]?\\s*(abierto|cerrado|cierra pronto|abre pronto)\\b.*$', '')), '')"
+_PLAIN = "strip_accents(lower(trim(coalesce({x}, ''))))"
+_KEY = f"nullif(regexp_replace({_PLAIN}, '{curate.STATUS}', ''), '')"
+_TAIL = rf"CASE WHEN regexp_matches(category, '\d\.\d\s+(.*)$') THEN trim(regexp_extract(category, '\d\.\d\s+(.*)$', 1)) WHEN regexp_matches(category, '(?i)no hay opiniones\s+(.*)$') THEN trim(regexp_extract(category, '(?i)no hay opiniones\s+(.*)$', 1)) END"
 _VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _MAP)
-_CURATED = f"""(WITH m(k, t, c) AS (VALUES {_VALUES}), r AS (SELECT *, {_KEY.format(x='category')} AS ck, {_KEY.format(x='search_category')} AS sk FROM {_RAW_SQL}),
- w AS (SELECT DISTINCT id, unnest(string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' ')) AS w FROM r), k AS (SELECT id, min_by(struct_pack(t := t, c := c), (-length(k), k)) AS v FROM w JOIN m ON w = k AND length(k) >= 5 GROUP BY id)
- SELECT r.id AS id, CASE WHEN a.k IS NOT NULL THEN r.category WHEN s.k IS NOT NULL THEN r.search_category WHEN k.id IS NOT NULL THEN r.name END AS raw_category, coalesce(a.t, s.t, k.v.t) AS business_type, coalesce(a.c, s.c, k.v.c) AS business_category,
- CASE WHEN a.k IS NOT NULL THEN 'google' WHEN s.k IS NOT NULL THEN 'search' WHEN k.id IS NOT NULL THEN 'keyword' END AS category_source FROM r LEFT JOIN m a ON a.k = ck LEFT JOIN m s ON s.k = sk LEFT JOIN k ON k.id = r.id)"""
+_NAMES = "|".join(sorted((k for k, _, _ in _MAP if len(k) >= 5), key=len, reverse=True))
+_CURATED = f"""(WITH m(k, t, c) AS (VALUES {_VALUES}), r AS (SELECT *, {_TAIL} AS raw_category FROM {_RAW_SQL}), q AS (SELECT *, {_KEY.format(x='raw_category')} AS k1, {_KEY.format(x='category')} AS k2, {_KEY.format(x='search_category')} AS k3, regexp_extract_all({_PLAIN.format(x='name')}, '\\b({_NAMES})\\b', 1) AS f FROM r),
+ w AS (SELECT id, arg_max(f[i], length(f[i]) * 1000 - i) AS k4 FROM (SELECT id, f, unnest(range(1, len(f) + 1)) AS i FROM q) GROUP BY id)
+ SELECT q.id AS id, raw_category, coalesce(a.t, b.t, s.t, n.t) AS business_type, coalesce(a.c, b.c, s.c, n.c) AS business_category,
+ CASE WHEN a.k IS NOT NULL THEN 'google_categoria' WHEN b.k IS NOT NULL THEN 'categoria_original' WHEN s.k IS NOT NULL THEN 'search_category' WHEN n.k IS NOT NULL THEN 'nombre' END AS category_source,
+ CAST(CASE WHEN a.k IS NOT NULL THEN 0.90 WHEN b.k IS NOT NULL THEN 0.85 WHEN s.k IS NOT NULL THEN 0.60 WHEN n.k IS NOT NULL THEN 0.50 END AS DOUBLE) AS category_confidence
+ FROM q LEFT JOIN w ON w.id = q.id LEFT JOIN m a ON a.k = k1 LEFT JOIN m b ON b.k = k2 LEFT JOIN m s ON s.k = k3 LEFT JOIN m n ON n.k = k4)"""
 
 
 def _raw(spark, d) -> DataFrame:
-    b, p = load(spark, d, "business"), load(spark, d, "part_name")
-    category = F.when(F.col("id") % 4 == 1, F.concat("category", F.lit(" · Abierto"))).when(F.col("id") % 4 != 0, F.col("category"))
-    return b.join(p.select("id", F.col("name").alias("part")), "id").select("id", F.col("part").alias("name"), category.alias("category"), F.when(F.col("id") % 8 < 4, F.col("category")).otherwise("otro").alias("search_category"), "is_active")
+    load(spark, d, "business").createOrReplaceTempView("plumbline_business")
+    load(spark, d, "part_name").createOrReplaceTempView("plumbline_part")
+    return spark.sql(f"SELECT * FROM {_RAW.format(b='plumbline_business', p='plumbline_part')}")
 
 
 def _curated(spark, d) -> DataFrame:
@@ -346,7 +351,7 @@ def _curated(spark, d) -> DataFrame:
 
 @query("curate_cascade", f"SELECT * FROM {_CURATED}")
 def _(spark, d):
-    return _curated(spark, d).select("id", "raw_category", "business_type", "business_category", "category_source")
+    return _curated(spark, d).select("id", "raw_category", "business_type", "business_category", "category_source", "category_confidence")
 
 
 @query("curate_distribution", f"SELECT category_source, count(*) AS n, floor(count(*) / (sum(count(*)) OVER ()) * 10000 + 0.5) / 10000 AS share FROM {_CURATED} GROUP BY category_source")
@@ -367,7 +372,7 @@ def _(spark, d):
 
 @query("dedup_proximity")
 def _(spark, d):
-    return dedup.dedup_proximity(load(spark, d, "business"), 12_000.0, max_abs_lat=27.0).select("id", "name")
+    return dedup.dedup_proximity(load(spark, d, "business"), 12_000.0).select("id", "name")
 
 
 _STORED = f"(SELECT id, name, lat, lng, CASE WHEN id % 3 = 0 THEN concat('p', CAST(id AS STRING)) END AS google_place_id, CASE WHEN id % 3 = 1 THEN concat('u', CAST(id AS STRING)) END AS source_url FROM {{b}} WHERE id % 2 = 0)"
@@ -459,9 +464,9 @@ def _(spark, d):
 
 # Coverage of a report.
 _SHIFT = f"(SELECT id, name, category, lat + CASE id % 4 WHEN 0 THEN CAST(0.0001 AS DOUBLE) WHEN 1 THEN CAST(0.0005 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS lat, lng FROM (SELECT id, CASE WHEN id % 4 = 3 THEN concat(name, 'x') ELSE name END AS name, category, lat, lng FROM {{b}}))"
-_FOUND = f"""(WITH r AS (SELECT *, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS n FROM {_SHIFT.format(b=oracle('business'))}), b AS (SELECT lat, lng, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS n FROM {oracle('business')}),
- c AS (SELECT r.id AS id, bool_or(m <= 25) AS near, bool_or(n <> '' AND k <> '' AND (contains(k, left(n, 8)) OR contains(n, left(k, 8)))) AS alike FROM (SELECT r.id AS id, r.n AS n, b.n AS k, {hav('r.lat', 'r.lng', 'b.lat', 'b.lng')} AS m FROM r JOIN b ON abs(r.lat - b.lat) < 0.001 AND abs(r.lng - b.lng) < 0.001) r WHERE m <= 70 GROUP BY r.id)
- SELECT r.id AS id, r.category AS category, CASE WHEN c.near THEN 'near' WHEN c.alike THEN 'near_name' WHEN r.n IN (SELECT n FROM b WHERE n <> '') THEN 'name' ELSE 'missing' END AS found FROM r LEFT JOIN c ON c.id = r.id)"""
+_FOUND = f"""(WITH r AS (SELECT *, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS n FROM {_SHIFT.format(b=oracle('business'))}), b AS (SELECT s.lat AS lat, s.lng AS lng, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS n FROM {oracle('business')} s JOIN (SELECT min(lat) AS a, max(lat) AS b, min(lng) AS c, max(lng) AS d FROM r) x ON s.lat BETWEEN a - 0.02 AND b + 0.02 AND s.lng BETWEEN c - 0.02 AND d + 0.02),
+ c AS (SELECT r.id AS id, bool_or(m <= 25) AS near, bool_or(n <> '' AND k <> '' AND (left(n, 8) = left(k, 8) OR contains(k, n) OR contains(n, k))) AS alike FROM (SELECT r.id AS id, r.n AS n, b.n AS k, {hav('r.lat', 'r.lng', 'b.lat', 'b.lng')} AS m FROM r JOIN b ON abs(r.lat - b.lat) < 0.001 AND abs(r.lng - b.lng) < 0.001) r WHERE m <= 70 GROUP BY r.id)
+ SELECT r.id AS id, r.category AS category, CASE WHEN c.near THEN 'near' WHEN c.alike THEN 'near_name' WHEN r.n IN (SELECT n FROM b WHERE length(n) >= 5) THEN 'name' ELSE 'missing' END AS found FROM r LEFT JOIN c ON c.id = r.id)"""
 
 
 def _gap(spark, d) -> DataFrame:
@@ -494,8 +499,7 @@ def _(spark, d):
 def _work(spark: SparkSession, name: str) -> str:
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="plumbline-stream-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{dedup.checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("stream_dedup_equiv", ORACLES["dedup_exact_name"])

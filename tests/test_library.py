@@ -154,7 +154,7 @@ def test_sources(spark, tmp_path):
 def test_normalize(spark):
     raw = spark.createDataFrame([("A", "1.5", "2.5", "autoshop", "u"), (" ", "1", "2", "c", "u"), ("B", None, "2", None, "x/@-25.5,-57.5,17z"), ("C", "x", "y", "c", "none")], "name string, lat string, lng string, category string, source_url string")
     got = {r.name: (r.lat, r.lng, r.category) for r in normalize.normalize(raw).collect()}
-    assert got == {"A": (1.5, 2.5, "vehicles"), "B": (-25.5, -57.5, "sin categoria")}
+    assert got == {"A": (1.5, 2.5, "autoshop"), "B": (-25.5, -57.5, "sin categoria")}
 
 
 def test_gap_order(spark):
