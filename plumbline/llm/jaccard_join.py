@@ -20,7 +20,7 @@ The suffix filter halves the hash range again and again, down to cells of a frac
 and counts the cells that one set has and the other has not: so many shingles at least are not shared. That is the
 recursive partition of the suffixes at fixed places instead of their own medians, and deeper.
 
-Thresholds grow eightfold, so groups of n members take log(n) rounds; a group of any size is counted by partial
+Thresholds grow sixteenfold, so groups of n members take log(n) rounds; a group of any size is counted by partial
 aggregates and joined with few pivots, so its rows need not meet in one task (adaptive execution splits them).
 Words are maximal runs of characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
 five words are one shingle; null, empty and blank ones have none, link with nothing and form
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ FILTER_BITS = 26
 #: Lists of ids of up to so many rows (some 40 bytes each) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 1_000_000
 #: How many more pivots each round has than the one before.
-GROWTH = 8
+GROWTH = 16
 
 
 def _word_bytes() -> np.ndarray:
@@ -190,9 +191,8 @@ def _table(digests: DataFrame) -> np.ndarray:
     return table
 
 
-def _prefixes(docs: DataFrame, table: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, a, b, prefix, whole, short): the rarest shingles in order, and the signatures."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def _prefixes(docs: DataFrame, shared: Broadcast, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, a, b, prefix, whole, short): the rarest shingles in order, and the signatures. shared: the table of counts."""
     rows, id_type = _rows(docs, id_col, text_col)
 
     def emit(batches):
@@ -227,10 +227,8 @@ def _marked(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
 
 
-def _entries(prefixes: DataFrame) -> DataFrame:
-    """(h, cid, n, pos) of the prefix shingles that several classes may have."""
-    several = prefixes.select(F.explode("prefix").alias("h")).groupBy("h").count().where(F.col("count") > 1)
-    shared = prefixes.sparkSession.sparkContext.broadcast(_bits(several, "h"))
+def _entries(prefixes: DataFrame, shared: Broadcast) -> DataFrame:
+    """(h, cid, n, pos) of the prefix shingles that several classes may have, as the bits of ``shared`` tell."""
 
     def emit(batches):
         for batch in batches:
@@ -270,11 +268,13 @@ def _connected(links: DataFrame) -> DataFrame:
     """
     both = cut(links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = cut(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")))
+    few = labels.count() <= BROADCAST_ROWS
+    small = F.broadcast if few else (lambda rows: rows)
     while True:
-        seen = both.join(labels.select(F.col("x").alias("y"), F.col("l").alias("ly")), "y").groupBy("x").agg(F.min("ly").alias("ly"))
-        near = labels.join(seen, "x").select("x", F.col("l").alias("old"), F.least("l", "ly").alias("l"))
+        seen = both.join(small(labels.select(F.col("x").alias("y"), F.col("l").alias("ly"))), "y").groupBy("x").agg(F.min("ly").alias("ly"))
+        near = seen.join(small(labels), "x").select("x", F.col("l").alias("old"), F.least("l", "ly").alias("l"))
         jump = labels.select(F.col("x").alias("l"), F.col("l").alias("ll"))
-        moved = cut(near.join(jump, "l", "left").select("x", "old", F.least("l", F.coalesce("ll", "l")).alias("l")))
+        moved = cut(near.join(small(jump), "l", "left").select("x", "old", F.least("l", F.coalesce("ll", "l")).alias("l")))
         labels = moved.select("x", "l")
         if moved.where(F.col("l") != F.col("old")).isEmpty():
             return labels.select(F.col("x").alias("cid"), F.col("l").alias("comp"))
@@ -356,11 +356,17 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
     rows = digests.where(F.col("chunk").isNull()).select("id", "n", "a", "b")
     classes = _classes(digests)
     once = _one_text_each(docs, digests, classes, id_col)
-    prefixes = _prefixes(once, _table(digests), percent, id_col, text_col)
+    spread = docs.sparkSession.sparkContext.broadcast
+    counts = spread(_table(digests))
+    prefixes = _prefixes(once, counts, percent, id_col, text_col)
     # A row that is there twice has its entries twice; pairs are made distinct.
     own = matched(prefixes, _small(classes.withColumnRenamed("node", "id")), ["n", "a", "b"])
     own = scratch(own.select("cid", "n", "prefix", "whole", "short"), "jaccard-prefixes")
-    groups = scratch(_entries(own).withColumn("r", _random(F.col("cid"))).withColumn("comp", F.col("cid")), "jaccard-groups")
+    counts.destroy()
+    several = own.select(F.explode("prefix").alias("h")).groupBy("h").count().where(F.col("count") > 1)
+    bits = spread(_bits(several, "h"))
+    groups = scratch(_entries(own, bits).withColumn("r", _random(F.col("cid"))).withColumn("comp", F.col("cid")), "jaccard-groups")
+    bits.destroy()
     links = comps = sets = None
     # First pivots: the first member of each group, told by one aggregate; later ones: all below a threshold.
     known = groups.groupBy("h").agg(F.min(F.struct("r", "cid", "n", "pos")).alias("p"), F.count("*").alias("m")).where(F.col("m") > 1)
@@ -369,7 +375,7 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
     while True:
         pairs = _candidates(groups, pivots, percent, short=not first)
         if tested is not None:  # a pair may meet in a group of which the pivot was another one before
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
+            pairs = pairs.join(_small(tested), ["x", "y"], "left_anti")
         pairs = scratch(pairs, "jaccard-pairs")
         close = scratch(_suffix_filtered(pairs, own.select("cid", "n", "whole"), percent), "jaccard-close")
         tested, before = scratch(pairs if tested is None else tested.unionByName(pairs), "jaccard-tested"), tested
