@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: The characters that separate words: space and U+0009 to U+000D.
@@ -66,22 +66,28 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Unlike ``checkpoint`` the columns stay compressed and later reads prune them. The table goes when the driver
-    ends, or by ``discard``.
+    ends, or by ``discard``. The rows are counted as they are written; ``rows_of`` tells their number without a job.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
+    before, counted = spark.conf.get(CLEANUP, "false"), Observation()
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.observe(counted, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     atexit.register(_remove, spark, path)
     written = spark.read.schema(df.schema).parquet(path)
-    written._scratch_path = path
+    written._scratch_path, written._rows = path, counted.get["n"]
     return written
 
 
+def rows_of(table: DataFrame) -> int:
+    """Rows of a scratch table, without a job; of any other by counting."""
+    known = getattr(table, "_rows", None)
+    return table.count() if known is None else known
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Removes scratch tables that nothing reads any more."""
     for t in tables:

@@ -36,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import WordHasher, chained, cut, discard, matched, mixed, scratch, small_batches, utf8_buffers
+from .common import WordHasher, chained, discard, matched, mixed, rows_of, scratch, small_batches, utf8_buffers
 
 SHINGLE = 5
 #: Similarity in hundredths.
@@ -243,11 +243,12 @@ def _entries(prefixes: DataFrame, shared: Broadcast) -> DataFrame:
     return prefixes.select("cid", "n", "prefix").mapInArrow(emit, "h bigint, cid bigint, n bigint, pos bigint")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cid, members) of the classes given as cid, node, a, b, n; only their nodes' texts are hashed."""
-    own = _small(classes.select("cid", F.col("node").alias("id"), "n", "a", "b"))
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cid, members) of the wanted ones (cid) of the classes; only their nodes' texts are hashed."""
+    some = classes.join(_small(wanted), "cid", "left_semi")
+    own = _small(some.select("cid", F.col("node").alias("id"), "n", "a", "b"), wanted)
     rows, id_type = _rows(docs, id_col, text_col)
-    rows = rows.join(own.select(F.col("id").alias("_id")), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = rows.join(_small(own.select(F.col("id").alias("_id")), wanted), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
 
     def emit(batches):
         shingler = Shingler()
@@ -261,28 +262,30 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
     return matched(found, own, ["n", "a", "b"]).select("cid", "members")
 
 
-def _connected(links: DataFrame) -> DataFrame:
+def _connected(links: DataFrame, n_links: int) -> DataFrame:
     """(cid, comp): the least node reachable by links (x, y), for the nodes that have any.
 
     Labels fall to the least among the neighbours' and then to their label's label, so long chains close fast.
     """
-    both = cut(links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = cut(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")))
-    few = labels.count() <= BROADCAST_ROWS
+    both = links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    labels = scratch(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")), "jaccard-labels")
+    few = 2 * n_links <= BROADCAST_ROWS
     small = F.broadcast if few else (lambda rows: rows)
     while True:
         seen = both.join(small(labels.select(F.col("x").alias("y"), F.col("l").alias("ly"))), "y").groupBy("x").agg(F.min("ly").alias("ly"))
         near = seen.join(small(labels), "x").select("x", F.col("l").alias("old"), F.least("l", "ly").alias("l"))
         jump = labels.select(F.col("x").alias("l"), F.col("l").alias("ll"))
-        moved = cut(near.join(small(jump), "l", "left").select("x", "old", F.least("l", F.coalesce("ll", "l")).alias("l")))
-        labels = moved.select("x", "l")
-        if moved.where(F.col("l") != F.col("old")).isEmpty():
+        moved = near.join(small(jump), "l", "left").select("x", F.least("l", F.coalesce("ll", "l")).alias("l"), "old")
+        before, falls = labels, Observation()
+        labels = scratch(moved.observe(falls, F.count_if(F.col("l") != F.col("old")).alias("n")).select("x", "l"), "jaccard-labels")
+        discard(before)
+        if not falls.get["n"]:
             return labels.select(F.col("x").alias("cid"), F.col("l").alias("comp"))
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """Rows of a few numbers: broadcast if there are no more of them than BROADCAST_ROWS."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+def _small(rows: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """Rows of a few numbers: broadcast if they, or the scratch table that they come from, are no more than BROADCAST_ROWS."""
+    return F.broadcast(rows) if rows_of(rows if table is None else table) <= BROADCAST_ROWS else rows
 
 
 def _random(cid: Column) -> Column:
@@ -327,7 +330,7 @@ def _suffix_filtered(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFr
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link. The sets of the later members go to their pivots; only sets of the pairs' ends are sent."""
     later = sets.withColumnRenamed("cid", "y").withColumnRenamed("members", "members_y").join(_small(pairs), "y")
-    pivots = sets.withColumnRenamed("cid", "x").join(_small(pairs.select("x").distinct()), "x", "left_semi")
+    pivots = sets.withColumnRenamed("cid", "x").join(_small(pairs.select("x"), pairs), "x", "left_semi")
     return later.join(pivots, "x").where(_enough(F.size(F.array_intersect("members", "members_y")), percent)).select("x", "y").distinct()
 
 
@@ -360,7 +363,7 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
     counts = spread(_table(digests))
     prefixes = _prefixes(once, counts, percent, id_col, text_col)
     # A row that is there twice has its entries twice; pairs are made distinct.
-    own = matched(prefixes, _small(classes.withColumnRenamed("node", "id")), ["n", "a", "b"])
+    own = matched(prefixes, _small(classes.withColumnRenamed("node", "id"), classes), ["n", "a", "b"])
     own = scratch(own.select("cid", "n", "prefix", "whole", "short"), "jaccard-prefixes")
     counts.destroy()
     several = own.select(F.explode("prefix").alias("h")).groupBy("h").count().where(F.col("count") > 1)
@@ -368,30 +371,31 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
     groups = scratch(_entries(own, bits).withColumn("r", _random(F.col("cid"))).withColumn("comp", F.col("cid")), "jaccard-groups")
     bits.destroy()
     links = comps = sets = None
+    known_links = 0
     # First pivots: the first member of each group, told by one aggregate; later ones: all below a threshold.
     known = groups.groupBy("h").agg(F.min(F.struct("r", "cid", "n", "pos")).alias("p"), F.count("*").alias("m")).where(F.col("m") > 1)
     pivots = known.select("h", F.col("p.cid").alias("x"), F.col("p.n").alias("nx"), F.col("p.pos").alias("px"), F.col("p.r").alias("rx"), F.col("p.cid").alias("cx"))
-    first, share, tested = True, 1, None
+    first, share, tested = True, 1, []
     while True:
         pairs = _candidates(groups, pivots, percent, short=not first)
-        if tested is not None:  # a pair may meet in a group of which the pivot was another one before
-            pairs = pairs.join(_small(tested), ["x", "y"], "left_anti")
+        for before in tested:  # a pair may meet in a group of which the pivot was another one before
+            pairs = pairs.join(_small(before), ["x", "y"], "left_anti")
         pairs = scratch(pairs, "jaccard-pairs")
         close = scratch(_suffix_filtered(pairs, own.select("cid", "n", "whole"), percent), "jaccard-close")
-        tested, before = scratch(pairs if tested is None else tested.unionByName(pairs), "jaccard-tested"), tested
-        discard(pairs, before)
+        tested.append(pairs)
         found = None
-        if not close.isEmpty():
+        if rows_of(close):
             ends = close.select(F.col("x").alias("cid")).union(close.select("y")).distinct()
             missing = scratch(ends if sets is None else ends.join(sets.select("cid"), "cid", "left_anti"), "jaccard-missing")
-            more = scratch(_sets(docs, classes.join(_small(missing), "cid", "left_semi"), id_col, text_col).dropDuplicates(["cid"]), "jaccard-sets")
+            more = scratch(_sets(docs, classes, missing, id_col, text_col).dropDuplicates(["cid"]), "jaccard-sets")
             sets = more if sets is None else sets.unionByName(more)
             found = scratch(_verified(close, sets, percent), "jaccard-links")
             discard(missing)
         discard(close)
-        if found is not None and not found.isEmpty():
+        if found is not None and rows_of(found):
             links = found if links is None else links.unionByName(found)
-            comps, before = scratch(_connected(links), "jaccard-components"), comps
+            known_links += rows_of(found)
+            comps, before = scratch(_connected(links, known_links), "jaccard-components"), comps
             discard(before)
         # Groups go on while members of different components are left and not all were pivots.
         now = groups.drop("comp", "m", "short")
@@ -401,7 +405,7 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
         now = now.join(open_, "h").join(own.select("cid", "short"), "cid").dropDuplicates(["h", "cid"])
         groups, before, first = scratch(now, "jaccard-groups"), groups, False
         discard(before)
-        if groups.isEmpty():
+        if not rows_of(groups):
             break
         low, high = (0.0 if first_was else done / F.col("m")), share / F.col("m")
         pivots = groups.where((F.col("r") >= low) & (F.col("r") < high)).select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("r").alias("rx"), F.col("comp").alias("cx"), F.col("short").alias("short_x"))
@@ -441,7 +445,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     lesser, others = (scratch(ids.where(t).select(F.col("id").alias("_id")), "jaccard-ids") for t in (alone & (F.col("c") != F.col("id")), ~alone))
     known = F.col(id_col).eqNullSafe(F.col("_id"))
     rest = docs.join(_small(lesser), known, "left_anti")
-    if others.isEmpty():
+    if not rows_of(others):
         return rest
     again = _small(others)
     firsts = found.where(F.col("n") > 0).groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n", "a", "b")).alias("k")).select("k.id", "k.n", "k.a", "k.b")
