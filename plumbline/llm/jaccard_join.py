@@ -20,7 +20,7 @@ The suffix filter halves the hash range again and again, down to cells of a frac
 and counts the cells that one set has and the other has not: so many shingles at least are not shared. That is the
 recursive partition of the suffixes at fixed places instead of their own medians, and deeper.
 
-Thresholds grow sixteenfold, so groups of n members take log(n) rounds; a group of any size is counted by partial
+Thresholds grow eightfold, so groups of n members take log(n) rounds; a group of any size is counted by partial
 aggregates and joined with few pivots, so its rows need not meet in one task (adaptive execution splits them).
 Words are maximal runs of characters other than space and U+0009 to U+000D, A-Z lower-cased. Texts of fewer than
 five words are one shingle; null, empty and blank ones have none, link with nothing and form
@@ -57,7 +57,7 @@ FILTER_BITS = 26
 #: Lists of ids of up to so many rows (some 40 bytes each) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 1_000_000
 #: How many more pivots each round has than the one before.
-GROWTH = 16
+GROWTH = 8
 
 
 def _word_bytes() -> np.ndarray:
@@ -262,25 +262,40 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, t
     return matched(found, own, ["n", "a", "b"]).select("cid", "members")
 
 
-def _connected(links: DataFrame, n_links: int) -> DataFrame:
-    """(cid, comp): the least node reachable by links (x, y), for the nodes that have any.
+def _connected(edges: DataFrame) -> DataFrame:
+    """(cid, comp): the least node reachable by the edges (v, w) of a scratch table, for the nodes that have any.
 
     Labels fall to the least among the neighbours' and then to their label's label, so long chains close fast.
     """
-    both = links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    labels = scratch(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")), "jaccard-labels")
-    few = 2 * n_links <= BROADCAST_ROWS
-    small = F.broadcast if few else (lambda rows: rows)
+    both = edges.select("v", "w").unionByName(edges.select(F.col("w").alias("v"), F.col("v").alias("w")))
+    labels = scratch(both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("l")), "jaccard-labels")
     while True:
-        seen = both.join(small(labels.select(F.col("x").alias("y"), F.col("l").alias("ly"))), "y").groupBy("x").agg(F.min("ly").alias("ly"))
-        near = seen.join(small(labels), "x").select("x", F.col("l").alias("old"), F.least("l", "ly").alias("l"))
-        jump = labels.select(F.col("x").alias("l"), F.col("l").alias("ll"))
-        moved = near.join(small(jump), "l", "left").select("x", F.least("l", F.coalesce("ll", "l")).alias("l"), "old")
+        seen = both.join(_small(labels.select(F.col("v").alias("w"), F.col("l").alias("lw")), labels), "w").groupBy("v").agg(F.min("lw").alias("lw"))
+        near = seen.join(_small(labels), "v").select("v", F.col("l").alias("old"), F.least("l", "lw").alias("l"))
+        jump = labels.select(F.col("v").alias("l"), F.col("l").alias("ll"))
+        moved = near.join(_small(jump, labels), "l", "left").select("v", F.least("l", F.coalesce("ll", "l")).alias("l"), "old")
         before, falls = labels, Observation()
-        labels = scratch(moved.observe(falls, F.count_if(F.col("l") != F.col("old")).alias("n")).select("x", "l"), "jaccard-labels")
+        labels = scratch(moved.observe(falls, F.count_if(F.col("l") != F.col("old")).alias("n")).select("v", "l"), "jaccard-labels")
         discard(before)
         if not falls.get["n"]:
-            return labels.select(F.col("x").alias("cid"), F.col("l").alias("comp"))
+            return labels.select(F.col("v").alias("cid"), F.col("l").alias("comp"))
+
+
+def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The components (cid, comp) after the links (x, y) of one more round; only links between different ones are followed."""
+    if comps is None:
+        edges = scratch(found.select(F.col("x").alias("v"), F.col("y").alias("w")), "jaccard-edges")
+    else:
+        at = lambda end: _small(comps.select(F.col("cid").alias(end), F.col("comp").alias(f"c{end}")), comps)
+        ends = found.join(at("x"), "x", "left").join(at("y"), "y", "left").select(F.coalesce("cx", "x").alias("v"), F.coalesce("cy", "y").alias("w"))
+        edges = scratch(ends.where(F.col("v") != F.col("w")).distinct(), "jaccard-edges")
+    roots = scratch(_connected(edges), "jaccard-roots")
+    discard(edges)
+    if comps is None:
+        return roots
+    names = _small(roots.select(F.col("cid").alias("comp"), F.col("comp").alias("root")), roots)
+    old = comps.join(names, "comp", "left").select("cid", F.coalesce("root", "comp").alias("comp"))
+    return scratch(old.unionByName(roots.join(_small(comps.select("cid"), comps), "cid", "left_anti")), "jaccard-components")
 
 
 def _small(rows: DataFrame, table: DataFrame | None = None) -> DataFrame:
@@ -370,8 +385,7 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
     bits = spread(_bits(several, "h"))
     groups = scratch(_entries(own, bits).withColumn("r", _random(F.col("cid"))).withColumn("comp", F.col("cid")), "jaccard-groups")
     bits.destroy()
-    links = comps = sets = None
-    known_links = 0
+    comps = sets = None
     # First pivots: the first member of each group, told by one aggregate; later ones: all below a threshold.
     known = groups.groupBy("h").agg(F.min(F.struct("r", "cid", "n", "pos")).alias("p"), F.count("*").alias("m")).where(F.col("m") > 1)
     pivots = known.select("h", F.col("p.cid").alias("x"), F.col("p.n").alias("nx"), F.col("p.pos").alias("px"), F.col("p.r").alias("rx"), F.col("p.cid").alias("cx"))
@@ -393,10 +407,8 @@ def _found(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFra
             discard(missing)
         discard(close)
         if found is not None and rows_of(found):
-            links = found if links is None else links.unionByName(found)
-            known_links += rows_of(found)
-            comps, before = scratch(_connected(links, known_links), "jaccard-components"), comps
-            discard(before)
+            comps, before = _merged(comps, found), comps
+            discard(before, found)
         # Groups go on while members of different components are left and not all were pivots.
         now = groups.drop("comp", "m", "short")
         now = now.withColumn("comp", F.col("cid")) if comps is None else now.join(_small(comps), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
