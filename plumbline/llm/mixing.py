@@ -11,7 +11,8 @@ errors cancel, and a last pass moves single copies to close what is left.
 Sums are decimal, hence the same in any order: reruns agree. Null and empty texts have
 size 0 and take nothing. A null source is a source of its own, last in order. Repeated
 rows are documents of their own. An empty table gives an empty result. Columns other than
-id, text and source are not read.
+id, text and source are not read. A source's rows are rounded in windows dealt by id and size, so only rows that agree in both
+can make one larger than WINDOW_ROWS; targets are shared out in one window with a row for each source.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, id_
     known = state.select(F.col("source").alias("_source"), "sid", "source_size", "n_docs", "target", "mean", "lam", "full")
     rated = sized.join(small(known), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("full"), float(cap)).otherwise(_rate(cap))
-    rated = rated.withColumn("rate", F.least(rate, F.lit(float(cap))).cast("decimal(18,12)")).withColumn("part", F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("n_docs") / WINDOW_ROWS).cast("bigint")))
+    rated = rated.withColumn("rate", F.least(rate, F.lit(float(cap))).cast("decimal(18,12)")).withColumn("part", F.pmod(F.xxhash64(F.col(id_col), F.col("size")), F.ceil(F.col("n_docs") / WINDOW_ROWS).cast("bigint")))
     along = W.partitionBy("sid", "part").orderBy(F.desc("size"), F.xxhash64(F.col(id_col)), F.col(id_col), "row")
     run = F.sum("rate").over(along.rowsBetween(W.unboundedPreceding, 0)) + F.lit(0.5).cast("decimal(18,12)")
     counted = rated.withColumn("run", run).withColumn("copies", (F.floor("run") - F.floor(F.col("run") - F.col("rate"))).cast("bigint"))

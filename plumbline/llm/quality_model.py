@@ -111,8 +111,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     joined = texts.join(F.broadcast(chosen), "id")  # max_rows pairs of numbers at most
-    counted = statistics(joined.select(F.struct("id", "y").alias("key"), "text"), "key", "text").select("key.y", *COUNTS)
-    rows = np.array(counted.orderBy(*COUNTS, "y").limit(max_rows).toPandas(), dtype=float).reshape(-1, 1 + len(COUNTS))
+    counted = statistics(joined.select(F.struct("id", "y").alias("key"), "text"), "key", "text").select(F.xxhash64("key.id").alias("h"), "key.y", *COUNTS)
+    # Rows of one id are more than one; the bound holds for them, too, in the same order.
+    rows = np.array(counted.orderBy("h", *COUNTS, "y").limit(max_rows).drop("h").toPandas(), dtype=float).reshape(-1, 1 + len(COUNTS))
     return fit(features(rows[:, 1:]), rows[:, 0])
 
 
