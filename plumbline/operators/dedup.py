@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .checkpoints import cut
 from .spatial import radius_join
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that the session names; one below its warehouse only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration's state with a checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def first_by(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row of each key in an order."""
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_n") == 1).drop("_n")

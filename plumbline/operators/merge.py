@@ -89,3 +89,24 @@ def repair_categories(stored: DataFrame, found: DataFrame, key: str = "source_ur
 def only_new(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """What an insert that ignores conflicts adds."""
     return incoming.join(stored, keys, "left_anti")
+
+
+def exists_similar(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """Adds ``known``: whether an active stored row has the same name but for case."""
+    names = stored.where("is_active").select(F.lower("name").alias("_known")).where(F.col("_known").isNotNull()).distinct()
+    return incoming.join(names, F.lower("name") == F.col("_known"), "left").withColumn("known", F.col("_known").isNotNull()).drop("_known")
+
+
+#: What a business record can't be stored without, and why.
+REASONS = (("name", "no name"), ("lat", "no latitude"), ("lng", "no longitude"))
+
+
+def quarantine(incoming: DataFrame, extra: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows that can be stored, and the others with the ``reason``, the first that applies; a bad row stops no batch.
+
+    extra: further reasons and the conditions under which they hold.
+    """
+    tests = [F.when(F.col(c).isNull() | ((F.trim(F.col(c).cast("string")) == "") if c == "name" else F.isnan(F.col(c).cast("double"))), why) for c, why in REASONS]
+    tests += [F.when(F.abs(F.col("lat")) > 90, "latitude out of range"), F.when(F.abs(F.col("lng")) > 180, "longitude out of range"), *(F.when(c, why) for why, c in (extra or {}).items())]
+    judged = incoming.withColumn("reason", F.coalesce(*tests))
+    return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())

@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import DEGREE_M, RADIUS_M, haversine_m
+from .checkpoints import cut
 
 
 def _columns_of(row: Column, metres: float) -> Column:
@@ -104,12 +105,13 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query
         near = radius_join(rest, points, reach, **where)
         near = near.where(F.col(query_key) != F.col(point_key)) if skip_self else near
         ranked = near.withColumn("rank", F.row_number().over(ranked_by)).where(F.col("rank") <= k)
+        ranked = ranked if last else cut(ranked)  # what a round has found is kept, not found anew by the next one
         full = ranked.where(F.col("rank") == most).select(query_key)
         part = ranked if last else ranked.join(full, query_key, "left_semi")
         done = part if done is None else done.unionByName(part)
         if last or most <= 0:
             break
-        rest = rest.join(full, query_key, "left_anti")
+        rest = cut(rest.join(full, query_key, "left_anti"))
         if rest.isEmpty():
             break
         step += 1
@@ -217,3 +219,32 @@ def box_meets_polygon(boxes: DataFrame, rings: DataFrame, box_key: str, polygon_
     crossing = F.exists(F.sequence(F.lit(2), F.size("ring")), cuts)
     touching = pairs.where(inside | crossing).select(box_key, polygon_key)
     return touching.unionByName(point_in_polygon(corners, rings, box_key, polygon_key)).distinct()
+
+
+def line_distances(points: DataFrame, lines: DataFrame, metres: float, point_key: str, line_key: str, lat: str = "lat", lng: str = "lng", path: str = "path") -> DataFrame:
+    """(point, line, distance_m) for the lines within ``metres``; lines: key and an array of struct(x, y), a single point included.
+
+    Points meet the segments' boxes, widened by the reach, on the level grid. The foot of the perpendicular is found on the plane that
+    touches the sphere at the point, and the distance to it on the sphere.
+    """
+    ends = F.when(F.size(path) == 1, F.array(F.struct(F.element_at(path, 1).alias("p"), F.element_at(path, 1).alias("q")))).otherwise(F.arrays_zip(F.slice(path, F.lit(1), F.size(path) - 1).alias("p"), F.slice(path, F.lit(2), F.size(path) - 1).alias("q")))
+    parts = lines.where(F.size(path) > 0).select(line_key, F.explode(ends).alias("_s")).select(line_key, F.col("_s.p").alias("_p"), F.col("_s.q").alias("_q"))
+    high = F.least(F.greatest(F.abs(F.col("_p.y")), F.abs(F.col("_q.y"))) + metres / DEGREE_M, F.lit(89.0))
+    up, side = F.lit(metres / DEGREE_M * 1.001), metres / (DEGREE_M * F.cos(F.radians(high))) * 1.001
+    parts = parts.select(line_key, "_p", "_q", (F.least("_p.y", "_q.y") - up).alias("y0"), (F.greatest("_p.y", "_q.y") + up).alias("y1"), (F.least("_p.x", "_q.x") - side).alias("x0"), (F.greatest("_p.x", "_q.x") + side).alias("x1"))
+    near = points_in_boxes(points.select(point_key, lat, lng), parts, lat, lng)
+    shrink = F.cos(F.radians(lat))
+    px, py = (F.col("_p.x") - F.col(lng)) * shrink, F.col("_p.y") - F.col(lat)
+    dx, dy = (F.col("_q.x") - F.col("_p.x")) * shrink, F.col("_q.y") - F.col("_p.y")
+    t = F.coalesce(F.least(F.greatest(-(px * dx + py * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    foot = near.withColumn("_t", t).withColumn("_fy", F.col("_p.y") + F.col("_t") * (F.col("_q.y") - F.col("_p.y"))).withColumn("_fx", F.col("_p.x") + F.col("_t") * (F.col("_q.x") - F.col("_p.x")))
+    far = foot.select(point_key, line_key, haversine_m(lat, lng, "_fy", "_fx").alias("distance_m")).where(F.col("distance_m") <= metres)
+    return far.groupBy(point_key, line_key).agg(F.min("distance_m").alias("distance_m"))
+
+
+def shape_distances(points: DataFrame, shapes: DataFrame, metres: float, point_key: str, shape_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """As ``line_distances`` for shapes (key, type, path): a point within a polygon is at distance 0."""
+    edges = line_distances(points, shapes, metres, point_key, shape_key, lat, lng)
+    rings = shapes.where(F.col("type") == "Polygon").select(shape_key, F.col("path").alias("ring"))
+    inside = point_in_polygon(points, rings, point_key, shape_key, lat, lng).withColumn("distance_m", F.lit(0.0))
+    return edges.unionByName(inside).groupBy(point_key, shape_key).agg(F.min("distance_m").alias("distance_m"))

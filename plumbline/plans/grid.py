@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_m, quadrants
-from ..operators.dedup import cut
+from ..operators.checkpoints import cut
 from ..operators.spatial import box_meets_polygon, points_in_boxes
 
 RESULT_CAP = 120
@@ -88,7 +88,7 @@ def circle_grid(spark: SparkSession, lat: float, lng: float, radius_km: float, c
     per_degree = KM_PER_DEGREE * F.cos(F.radians("lat_min"))
     rows = rows.withColumn("dx", cell_km / per_degree).withColumn("west", F.lit(lng) - radius_km / per_degree)
     n = math.ceil(2 * radius_km / cell_km - 1e-9)
-    cells = rows.select("row", "lat_min", "dx", "west", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("bigint").alias("col"))
+    cells = rows.select("row", "lat_min", "dx", "west", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("col"))
     cells = cells.select("row", "col", "lat_min", (F.col("lat_min") + dy).alias("lat_max"), (F.col("west") + F.col("col") * F.col("dx")).alias("lng_min"), (F.col("west") + (F.col("col") + 1) * F.col("dx")).alias("lng_max"))
     centre = ((F.col("lat_min") + F.col("lat_max")) / 2, (F.col("lng_min") + F.col("lng_max")) / 2)
     return cells.where(haversine_m(F.lit(lat), F.lit(lng), *centre) <= (radius_km + cell_km) * 1000)

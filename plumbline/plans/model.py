@@ -65,27 +65,70 @@ def predict_price(model, df: DataFrame, features: tuple[str, ...] = FEATURES) ->
     return model.transform(imputed(df, features)).withColumn("predicted", F.greatest(F.expm1("prediction"), F.lit(0.0)))
 
 
-def cross_validate(df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, folds: int = FOLDS, **how) -> DataFrame:
-    """Mean metrics over spatial folds (column ``fold``)."""
+METRICS = ("mae", "medae", "mape", "rmse", "r2")
+NEIGHBOUR_FEATURES = ("neighbour_target", "neighbour_distance_m")
+
+
+def with_neighbours(df: DataFrame, train: DataFrame, label: str, metres: float, k: int = NEIGHBOURS, skip_self: bool = False) -> DataFrame:
+    """Adds the neighbours' mean log price and distance, of training rows only."""
+    near = neighbour_features(df, train.withColumn("_log", F.log1p(F.col(label))), "_log", metres, k, skip_self=skip_self)
+    return df.join(near, "id", "left")
+
+
+def cross_validate(df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, folds: int = FOLDS, neighbours_m: float | None = None, **how) -> DataFrame:
+    """Mean metrics over spatial folds (column ``fold``); with neighbours_m the neighbours' features are made anew of each fold's training rows."""
     out = None
     for f in range(folds):
-        model = train_price_model(df.where(F.col("fold") != f), label, features, **how)
-        scored = regression_metrics(predict_price(model, df.where(F.col("fold") == f).withColumn("_y", F.col(label).cast("double")), features).select(F.col("_y").alias("y"), F.col("predicted").alias("p")))
+        train, test, own = df.where(F.col("fold") != f), df.where(F.col("fold") == f), features
+        if neighbours_m is not None:
+            test, train = with_neighbours(test, train, label, neighbours_m), with_neighbours(train, train, label, neighbours_m, skip_self=True)
+            own = (*features, *NEIGHBOUR_FEATURES)
+        model = train_price_model(train, label, own, **how)
+        scored = regression_metrics(predict_price(model, test.withColumn("_y", F.col(label).cast("double")), own).select(F.col("_y").alias("y"), F.col("predicted").alias("p")))
         out = scored if out is None else out.unionByName(scored)
-    return out.agg(*(F.avg(c).alias(c) for c in ("mae", "medae", "mape", "rmse", "r2")))
+    return out.agg(*(F.avg(c).alias(c) for c in METRICS))
+
+
+def baseline(df: DataFrame, label: str) -> DataFrame:
+    """The metrics of the one prediction that needs no model: the median of all rows."""
+    middle = df.agg(F.percentile(F.col(label), F.lit(0.5)).cast("double").alias("p"))
+    return regression_metrics(df.select(F.col(label).cast("double").alias("y")).join(F.broadcast(middle)))
+
+
+def winner(scores: dict[str, DataFrame]) -> str:
+    """The kind of least mean absolute error; the first of equals."""
+    return min(scores, key=lambda kind: scores[kind].first().mae)
+
+
+def save_bundle(model, path: str, features: tuple[str, ...], kind: str, n_train: int, metrics: DataFrame, train: DataFrame, label: str, k: int = NEIGHBOURS) -> None:
+    """The fitted pipeline, what it was fitted on, its metrics, and the training rows that neighbours are sought among."""
+    spark = train.sparkSession
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(list(features), f"log1p({label})", kind, n_train, k)], "features array<string>, target string, algorithm string, n_train bigint, k_neighbours int").crossJoin(metrics).write.mode("overwrite").json(f"{path}/about")
+    train.select("id", "lat", "lng", F.log1p(F.col(label)).alias("y_log")).write.mode("overwrite").parquet(f"{path}/neighbours")
+
+
+def load_bundle(spark, path: str):
+    """(pipeline, its description as a row, the neighbours' rows)."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(f"{path}/model"), spark.read.json(f"{path}/about").first(), spark.read.parquet(f"{path}/neighbours")
 
 
-def permutation_importance(model, df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, seed: int = 42) -> list[tuple[str, float]]:
-    """Rise of the mean absolute error when one column's values are dealt anew, the largest first. Values move within hashed
-    groups along two hash orders, so no global sort is needed."""
+def permutation_importance(model, df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, seed: int = 42, repeats: int = 10) -> list[tuple[str, float]]:
+    """Mean rise of the mean absolute error when one column's values are dealt anew, over several dealings, the largest first. Values move within
+    hashed groups along two hash orders, so no global sort is needed."""
     from pyspark.sql import Window as W
 
     rows = df.withColumn("_y", F.col(label).cast("double"))
     mae = lambda d: regression_metrics(predict_price(model, d, features).select(F.col("_y").alias("y"), F.col("predicted").alias("p"))).first().mae
     base, out = mae(rows), []
     for c in features:
-        part = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(64))
-        a = rows.withColumn("_g", part).withColumn("_a", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id"), "id")))
-        b = a.select("_g", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id", F.lit(c), F.lit(seed)), "id")).alias("_a"), F.col(c).alias("_v"))
-        out.append((c, mae(a.join(b, ["_g", "_a"]).drop(c, "_g", "_a").withColumnRenamed("_v", c)) - base))
+        rises = []
+        for n in range(seed, seed + repeats):
+            part = F.pmod(F.xxhash64("id", F.lit(n)), F.lit(64))
+            a = rows.withColumn("_g", part).withColumn("_a", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id"), "id")))
+            b = a.select("_g", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id", F.lit(c), F.lit(n)), "id")).alias("_a"), F.col(c).alias("_v"))
+            rises.append(mae(a.join(b, ["_g", "_a"]).drop(c, "_g", "_a").withColumnRenamed("_v", c)) - base)
+        out.append((c, sum(rises) / repeats))
     return sorted(out, key=lambda x: -x[1])

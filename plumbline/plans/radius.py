@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, in_box, within
-from ..operators.spatial import point_in_polygon
+from ..operators.spatial import line_distances, point_in_polygon
 
 NO_CATEGORY = "Sin clasificar"
 TYPES_M, TYPES_LEAST = 2000.0, 0.5
@@ -55,6 +55,30 @@ def named_or_label(near: DataFrame, key: str, named_m: float, label: str = "Via
     return best.select(key, F.coalesce("first.name", "named.name", label_text).alias("name"), F.when(F.col("first.name").isNotNull() | F.col("named").isNull(), F.col("first.distance_m")).otherwise(F.col("named.distance_m")).alias("distance_m"))
 
 
+#: Kinds of principal roads (fixed values), how far a named one may be, and the label of those without a name.
+PRINCIPAL, PRINCIPAL_NAMED_M, PRINCIPAL_LABEL = ("motorway", "trunk", "primary", "secondary", "tertiary"), 3000.0, "Vía principal sin nombre"
+
+
+def principal_road(points: DataFrame, roads: DataFrame, by_cell: DataFrame | None = None, key: str = "id", reach: float = 50_000.0) -> DataFrame:
+    """(key, nombre, tipo, distancia_m) for points that have any; roads: road, name, highway, path.
+
+    The nearest principal road if it has a name; else the nearest named one within 3000 m; else the nearest with a label; and
+    where none lies within ``reach``, the distance that by_cell (key, dist_via_principal_m) knows, without name and kind.
+    """
+    principal = roads.where(F.col("highway").isin(*PRINCIPAL))
+    near = line_distances(points, principal.select("road", "path"), reach, key, "road").join(principal.select("road", F.nullif("name", F.lit("")).alias("name"), "highway"), "road")
+    row = F.struct("distance_m", "road", "name", "highway")
+    named = F.col("name").isNotNull() & (F.col("distance_m") <= PRINCIPAL_NAMED_M)
+    best = near.groupBy(key).agg(F.min(row).alias("first"), F.min(F.when(named, row)).alias("named"))
+    taken = F.when(F.col("first.name").isNotNull(), F.col("first")).otherwise(F.coalesce("named", "first"))
+    label = F.concat(F.lit(f"{PRINCIPAL_LABEL} ("), F.col("t.highway"), F.lit(")"))
+    found = best.select(key, taken.alias("t")).select(key, F.coalesce("t.name", label).alias("nombre"), F.col("t.highway").alias("tipo"), F.col("t.distance_m").alias("distancia_m"))
+    if by_cell is not None:
+        rest = by_cell.join(found, key, "left_anti").where(F.col("dist_via_principal_m").isNotNull())
+        found = found.unionByName(rest.select(key, F.lit(None).cast("string").alias("nombre"), F.lit(None).cast("string").alias("tipo"), F.col("dist_via_principal_m").alias("distancia_m")))
+    return found.withColumn("distancia_m", F.floor(F.col("distancia_m") * 10 + 0.5) / 10)
+
+
 #: Order in which boundaries name a city (fixed values).
 CITY_ORDER = (("admin_level", "8"), ("admin_level", "9"), ("place", "city"), ("place", "town"))
 

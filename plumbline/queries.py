@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .fixtures import at, load, oracle
 from .functions import geo, text
 from .functions.geo import haversine_sql as hav
-from .operators import curate, dedup, gap, listings, merge, spatial
+from .operators import checkpoints, curate, dedup, gap, listings, merge, spatial
 from .plans import features, grid, model, radius
 from .sources import pages, tables
 from .streaming import steps
@@ -410,14 +410,6 @@ def _(spark, d):
     return merge.repair_categories(stored, b.select(F.col("id").cast("string").alias("source_url"), "category")).select("id", "category")
 
 
-@query("portal_union", f"SELECT fuente, operacion, count(*) AS n FROM {oracle('listing')} GROUP BY 1, 2")
-def _(spark, d):
-    rows = load(spark, d, "listing")
-    parts = [rows.where(F.col("fuente") == p).withColumn("operacion", F.when(F.col("operacion") == "alquiler", "renta").otherwise(F.col("operacion"))) for p in ("portal_a", "portal_b")]
-    both = parts[0].unionByName(parts[1]).withColumn("operacion", listings.normalise_operation(F.col("operacion")))
-    return both.groupBy("fuente", "operacion").agg(F.count("*").alias("n"))
-
-
 @query("portal_distinct_sources", f"SELECT count(DISTINCT fuente) AS fuentes, count(*) AS n FROM {oracle('listing')}")
 def _(spark, d):
     return load(spark, d, "listing").agg(F.count_distinct("fuente").alias("fuentes"), F.count("*").alias("n"))
@@ -450,11 +442,6 @@ def _(spark, d):
     return grid.priorities(_cells(spark), districts, districts.where("id < 5")).select("row", "col", "priority")
 
 
-@query("grid_overflow")
-def _(spark, d):
-    return grid.split_overflow(_cells(spark), load(spark, d, "listing").select("lat", "lng"), 3)
-
-
 @query("task_shards", f"SELECT id, CAST((row_number() OVER (ORDER BY id) - 1) % 7 AS INTEGER) AS shard, CAST(ntile(7) OVER (ORDER BY id) - 1 AS INTEGER) AS part FROM {oracle('poi')}")
 def _(spark, d):
     rows = load(spark, d, "poi").select("id")
@@ -499,7 +486,7 @@ def _(spark, d):
 def _work(spark: SparkSession, name: str) -> str:
     import uuid
 
-    return f"{dedup.checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoints.checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("stream_dedup_equiv", ORACLES["dedup_exact_name"])
@@ -548,3 +535,6 @@ def _(spark, d):
 def _(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("precio"), F.lit("PYG").alias("moneda"), F.date_add(F.to_date("o_orderdate"), (F.lit(10_000) + F.col("o_orderkey") % 5).cast("int")).alias("dia"))
     return listings.dollarize_as_of(o, load(spark, d, "rate"), "dia").select("id", cents(F.col("precio_usd")).alias("precio_usd"))
+
+
+from . import map_queries  # noqa: E402, F401  adds its queries to those above

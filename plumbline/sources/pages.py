@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,27 +28,21 @@ def embedded_points(pages: DataFrame, key: str = "page_id", text: str = "html")
     return rows.select(key, "pos", F.col("g.lng").try_cast("double").alias("lng"), F.col("g.lat").try_cast("double").alias("lat"), *(plain(F.col(f"g.{n}")).alias(n) for n in ("type", "cat", "name")))
 
 
+#: Strings as a whole, with their escapes, or a single bracket.
+_TOKENS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]]', re.S)
+
+
 def bracketed(text: str | None, marker: str) -> str | None:
-    """The balanced [...] after a marker; brackets in strings and escapes don't count."""
+    """The balanced [...] after a marker; brackets in double-quoted strings don't count."""
     start = -1 if text is None else text.find(marker)
     start = text.find("[", start) if start >= 0 else -1
     if start < 0:
         return None
-    depth, quote, skip = 0, "", False
-    for i in range(start, len(text)):
-        c = text[i]
-        if skip:
-            skip = False
-        elif quote:
-            skip, quote = c == "\\", "" if c == quote else quote
-        elif c in "\"'":
-            quote = c
-        elif c == "[":
-            depth += 1
-        elif c == "]":
-            depth -= 1
-            if not depth:
-                return text[start : i + 1]
+    depth = 0
+    for token in _TOKENS.finditer(text, start):
+        depth += {"[": 1, "]": -1}.get(token.group(), 0)
+        if not depth:
+            return text[start : token.end()]
     return None
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_exact_name
-from ..operators.merge import task_state
+from ..operators.merge import task_state, upsert
+from ..operators.normalize import normalize
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -26,6 +27,26 @@ def dedup_batches(stream: DataFrame, path: str, checkpoint: str, key: str = "nam
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def normalise_stream(stream: DataFrame) -> DataFrame:
+    """Raw records as business records, record by record: rows without a name or a place are dropped."""
+    return normalize(stream)
+
+
+def storage_batches(stream: DataFrame, path: str, checkpoint: str, empty: DataFrame, seq: str = "seq", metres: float = 100.0):
+    """Keeps the stored table: each micro-batch is deduplicated by name and merged into the last version by the three tiers.
+
+    A version is written for each batch, so a repeated batch writes the same one again; ``empty`` has the table's columns and is version -1.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        old = spark.read.parquet(f"{path}/v{number - 1}") if number else empty
+        one = dedup_exact_name(batch, "name", seq)
+        upsert(old, one, seq, metres).write.mode("overwrite").parquet(f"{path}/v{number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def ledger(stream: DataFrame, path: str, checkpoint: str):
     """Keeps the current state of each task in a table: every micro-batch is merged into the last version."""
 

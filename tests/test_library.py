@@ -165,10 +165,16 @@ def test_gap_order(spark):
 
 
 def test_curation_tiers(spark):
-    maps = spark.createDataFrame([("cafe", "t", "food"), ("hardware store", "t", "tools"), ("store", "t", "shops")], "raw_norm string, type string, category string")
-    rows = spark.createDataFrame([(1, "X", "Café · Abierto", "z"), (2, "X", "4,5(12) Café", "z"), (3, "X", None, "Cafe"), (4, "My Hardware Store", None, "z"), (5, "Restored", None, None)], "id int, name string, category string, search_category string")
-    got = {r.id: (r.business_category, r.category_source) for r in curate.curate(rows, maps).collect()}
-    assert got == {1: ("food", "google"), 2: ("food", "google"), 3: ("food", "search"), 4: ("tools", "keyword"), 5: (None, None)}
+    maps = spark.createDataFrame([("cafe", "t", "food"), ("hardware store", "t", "tools"), ("store", "t", "shops"), ("store of the very long name", "t", "long")], "raw_norm string, type string, category string")
+    rows = spark.createDataFrame(
+        [(1, "X", "Café Abierto 24 horas", "z"), (2, "X", "Bar 4.5 Café", "store"), (3, "X", None, "Cafe"), (4, "My Hardware Store", None, "z"), (5, "Restored", None, None), (6, "x no hay opiniones", "y No hay opiniones Store cerrado", "cafe"), (7, "A Störe of the very long name!", "4.5 none", "z"), (8, "X", "Abierto Cafe", "z")],
+        "id int, name string, category string, search_category string",
+    )
+    got = {r.id: (r.raw_category, r.business_category, r.category_source, r.category_confidence) for r in curate.curate(rows, maps).collect()}
+    assert got == {
+        1: (None, "food", "categoria_original", 0.85), 2: ("Café", "food", "google_categoria", 0.9), 3: (None, "food", "search_category", 0.6), 4: (None, "tools", "nombre", 0.5), 5: (None, None, None, None), 6: ("Store cerrado", "shops", "google_categoria", 0.9),
+        7: ("none", "long", "nombre", 0.5), 8: (None, None, None, None),
+    }
 
 
 def test_price_model(spark):
