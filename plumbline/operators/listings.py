@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lookup import small
+
 PIN_ROWS = 10
 LEAST_AREA = 30
 
@@ -42,7 +44,7 @@ def dollarize_as_of(listings: DataFrame, rates: DataFrame, day: str) -> DataFram
     from pyspark.sql import Window as W
 
     known = rates.select(F.col("fecha").alias("_d"), F.col("pyg_por_usd").alias("_r")).withColumn("_to", F.coalesce(F.lead("_d").over(W.orderBy("_d")), F.lit("9999-12-31").cast("date")))
-    joined = listings.join(F.broadcast(known), (F.col(day) >= F.col("_d")) & (F.col(day) < F.col("_to")), "left")
+    joined = listings.join(small(known), (F.col(day) >= F.col("_d")) & (F.col(day) < F.col("_to")), "left")
     return joined.withColumn("precio_usd", dollars(F.col("precio"), F.col("moneda"), F.col("_r"))).drop("_d", "_r", "_to")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import KM_PER_DEGREE, haversine_m, quadrants
 from ..operators.checkpoints import cut
-from ..operators.spatial import box_meets_polygon, points_in_boxes
+from ..operators.spatial import box_meets_polygon, knn_join, points_in_boxes
 
 RESULT_CAP = 120
 METRO_KM, METRO_FACTOR = 25.0, 0.1
@@ -36,17 +36,33 @@ def cell_of_point(lat, lng, lat_min: float, lng_min: float, cell_km: float):
 def priorities(cells: DataFrame, districts: DataFrame, metros: DataFrame) -> DataFrame:
     """Adds ``priority``: kilometres to the nearest district, a tenth of it within 25 km of a metro; 0 without districts.
 
-    districts and metros are lookup tables of a country (name, lat, lng) and are broadcast as arrays.
+    districts and metros (name, lat, lng) are lookup tables of a country and are broadcast as arrays, if they have at most
+    LOOKUP_SPOTS rows each; larger ones are searched by bucket joins.
     """
     centre = cells.withColumn("_y", (F.col("lat_min") + F.col("lat_max")) / 2).withColumn("_x", (F.col("lng_min") + F.col("lng_max")) / 2)
-    spots = lambda df, name: df.agg(F.collect_list(F.struct("lat", "lng")).alias(name))
-    both = centre.join(F.broadcast(spots(districts, "_d"))).join(F.broadcast(spots(metros, "_m")))
-    least = lambda c: F.array_min(F.transform(c, lambda p: haversine_m(F.col("_y"), F.col("_x"), p["lat"], p["lng"]) / 1000))
-    near = F.coalesce(least("_m") <= METRO_KM, F.lit(False))
-    km = F.coalesce(least("_d"), F.lit(0.0)) * F.when(near, METRO_FACTOR).otherwise(1.0)
+    both = _nearest_km(_nearest_km(centre, districts, "_d"), metros, "_m")
+    near = F.coalesce(F.col("_m") <= METRO_KM, F.lit(False))
+    km = F.coalesce("_d", F.lit(0.0)) * F.when(near, METRO_FACTOR).otherwise(1.0)
     return both.withColumn("priority", F.floor(km * 100 + 0.5) / 100).drop("_y", "_x", "_d", "_m")
 
 
+#: Rows of a table of places that goes to all tasks as one array, of 16 bytes each.
+LOOKUP_SPOTS = 20_000
+
+
+def _nearest_km(centre: DataFrame, spots: DataFrame, name: str) -> DataFrame:
+    """Adds the kilometres from (_y, _x) to the nearest spot; null without any."""
+    if spots.limit(LOOKUP_SPOTS + 1).count() <= LOOKUP_SPOTS:
+        held = spots.agg(F.collect_list(F.struct("lat", "lng")).alias("_s"))
+        least = F.array_min(F.transform("_s", lambda p: haversine_m(F.col("_y"), F.col("_x"), p["lat"], p["lng"]) / 1000))
+        return centre.join(F.broadcast(held)).withColumn(name, least).drop("_s")
+    at = F.struct("_y", "_x")
+    points = spots.select(F.monotonically_increasing_id().alias("_p"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
+    places = centre.select(at.alias("_q"), F.col("_y").alias("lat"), F.col("_x").alias("lng")).distinct()
+    near = knn_join(places, points, 1, METRO_KM * 1000, "_q", "_p").select("_q", (F.col("distance_m") / 1000).alias(name))
+    return centre.withColumn("_q", at).join(near, "_q", "left").drop("_q")
+
+
 def tasks(cells: DataFrame, categories: list[str]) -> DataFrame:
     """Each cell with each category, in order of priority."""
     names = F.array(*(F.struct(F.lit(k).alias("category_pos"), F.lit(c).alias("category")) for k, c in enumerate(categories)))
