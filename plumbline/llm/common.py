@@ -78,7 +78,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(CLEANUP, before)
     atexit.register(_remove, spark, path)
     written = spark.read.schema(df.schema).parquet(path)
-    written._scratch_path, written._rows = path, counted.get["n"]
+    written._scratch_path, written._rows = path, counted.get.get("n")
     return written
 
 

@@ -277,7 +277,7 @@ def _connected(edges: DataFrame) -> DataFrame:
         before, falls = labels, Observation()
         labels = scratch(moved.observe(falls, F.count_if(F.col("l") != F.col("old")).alias("n")).select("v", "l"), "jaccard-labels")
         discard(before)
-        if not falls.get["n"]:
+        if not falls.get.get("n"):
             return labels.select(F.col("v").alias("cid"), F.col("l").alias("comp"))
 
 
