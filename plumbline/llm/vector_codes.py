@@ -11,7 +11,7 @@ round is a scan of the input, so a lost executor costs a scan of its share.
 
 Rows whose vector is null or holds null or non-finite components are dropped, empty vectors likewise. Components beyond +-131,071 count as that, which
 keeps distances within 64 bits. The width is that of the kept row of least id; vectors of another width have no distance
-to the entries and are dropped. A width that isn't a multiple of the number of parts gives parts that differ in width by one. Ids order ascending,
+to the entries and are dropped. A width that isn't a multiple of the number of parts gives parts that differ in width by one (of fewer components than parts some are empty, with entry 0). Ids order ascending,
 null ones after all others, equal ids by their vectors; repeated rows are rows like others. Fewer rows than entries give fewer entries, an empty table an empty result.
 Only the id, the vector and columns carried on request are read; carried columns may have any name but those of the result.
 """
@@ -52,10 +52,10 @@ class Tree:
             points = self.entries[own]
             self.low[node], self.high[node] = points.min(0), points.max(0)
             spread = self.high[node] - self.low[node]
-            axis = int(np.argmax(spread))
-            if len(own) <= leaf or not spread[axis]:
+            if len(own) <= leaf or not spread.any():  # a part without components has no spread
                 self.members[node] = np.sort(own)
                 continue
+            axis = int(np.argmax(spread))
             order = own[np.argsort(points[:, axis], kind="stable")]
             half = len(order) // 2
             self.split[node] = axis, int(self.entries[order[half], axis])
