@@ -9,8 +9,8 @@ from .fixtures import at, load, oracle
 from .functions import text
 from .functions.geo import haversine_sql as hav
 from .operators import merge, spatial
-from .plans import grid, model, radius
-from .queries import _CLEAN, cents, cents_sql, query
+from .plans import features, grid, model, radius
+from .queries import _CLEAN, _REPS, cents, cents_sql, query
 from .operators import listings
 from .sources import cards, osm, portals
 
@@ -193,12 +193,41 @@ def _(spark, d):
     return out
 
 
+# Cells against the map's layers, every edge with every cell.
+_LAYERS = ("dist_via_principal_m", "dist_parque_m", "dist_agua_m", "dist_hospital_m", "dist_universidad_m")
+_SHUT = "list_append(path, path[1])"
+_NEAR_LAYERS = f"""WITH {_RING}, sh AS (SELECT 'dist_via_principal_m' AS layer, concat('w', CAST(id AS VARCHAR)) AS id, false AS area, path FROM p WHERE kind = 0 AND whole
+ UNION ALL SELECT 'dist_parque_m', concat('w', CAST(id AS VARCHAR)), true, CASE WHEN {_CLOSED} THEN path ELSE {_SHUT} END FROM p WHERE kind IN (1, 4) AND ({_CLOSED} OR k >= 3)
+ UNION ALL SELECT 'dist_agua_m', concat('w', CAST(id AS VARCHAR)), {_CLOSED}, path FROM p WHERE kind = 2 AND whole
+ UNION ALL SELECT 'dist_agua_m', concat('r', CAST(rid AS VARCHAR)), true, ring FROM z WHERE rid % 32 = 17
+ UNION ALL SELECT 'dist_hospital_m', concat('n', CAST(id AS VARCHAR)), false, [{{'i': 1, 'x': lng, 'y': lat}}] FROM n WHERE amenity = 'hospital'
+ UNION ALL SELECT 'dist_universidad_m', concat('w', CAST(id AS VARCHAR)), false, [{{'i': 1, 'x': list_avg(list_transform(path, lambda v: v.x)), 'y': list_avg(list_transform(path, lambda v: v.y))}}] FROM p WHERE kind = 3),
+ ed AS (SELECT layer, id, area, path[j].x AS px, path[j].y AS py, path[least(j + 1, len(path))].x AS qx, path[least(j + 1, len(path))].y AS qy FROM (SELECT *, unnest(range(1, greatest(len(path), 2))) AS j FROM sh)),
+ tt AS (SELECT c.cell, c.lat, c.lng, ed.*, coalesce(least(greatest(((lng - px) * (qx - px) + (lat - py) * (qy - py)) / nullif(power(qx - px, 2) + power(qy - py, 2), 0), 0), 1), 0) AS t FROM {_REPS} c, ed),
+ dd AS (SELECT *, px + t * (qx - px) AS fx, py + t * (qy - py) AS fy FROM tt), rr AS (SELECT *, (fx - lng) * (fx - lng) + (fy - lat) * (fy - lat) AS d FROM dd), least_d AS (SELECT cell, layer, min(d) AS d FROM rr GROUP BY cell, layer),
+ ff AS (SELECT cell, layer, min({hav('lat', 'lng', 'fy', 'fx')}) AS m FROM rr JOIN least_d USING (cell, layer, d) GROUP BY cell, layer),
+ ins AS (SELECT DISTINCT cell, layer FROM (SELECT cell, layer, id FROM tt WHERE area GROUP BY cell, layer, id HAVING sum(CASE WHEN (py > lat) <> (qy > lat) AND lng < (qx - px) * (lat - py) / nullif(qy - py, 0) + px THEN 1 ELSE 0 END) % 2 = 1)),
+ mm AS (SELECT ff.cell, ff.layer, CASE WHEN ins.cell IS NOT NULL THEN 0 ELSE ff.m END AS m FROM ff LEFT JOIN ins ON ins.cell = ff.cell AND ins.layer = ff.layer)"""
+
+
+@query(
+    "cell_layer_features",
+    f"""{_NEAR_LAYERS} SELECT cell, {', '.join(f"{cents_sql('v' + str(k))} AS {n}" for k, n in enumerate(_LAYERS))}, coalesce(v0 < 120, false) AS frente_avenida, coalesce(v2 < 400, false) AS cerca_agua
+ FROM (SELECT cell, {', '.join(f"max(m) FILTER (layer = '{n}') AS v{k}" for k, n in enumerate(_LAYERS))} FROM mm GROUP BY cell)""",
+)
+def _(spark, d):
+    got = features.layer_features(features.cell_representatives(load(spark, d, "population")), osm.layers(*_elements(spark, d)))
+    return got.select("cell", *(cents(F.col(c)).alias(c) for c in _LAYERS), "frente_avenida", "cerca_agua")
+
+
 # Roads: short lines beside every fortieth customer, of which two thirds are principal.
 _ROAD = """SELECT id AS road, CASE WHEN id % 80 = 0 THEN '' ELSE concat('Ruta ', CAST(id AS STRING)) END AS name, CASE id % 3 WHEN 0 THEN 'primary' WHEN 1 THEN 'trunk' ELSE 'residential' END AS highway, lng AS x1, lat AS y1, lng + CAST(0.02 AS DOUBLE) AS x2, lat + CAST(0.01 AS DOUBLE) AS y2 FROM {b} WHERE id % 40 = 0"""
 _SEGMENT = f"""(SELECT b.id AS id, r.road AS road, nullif(r.name, '') AS name, r.highway AS highway, {hav('b.lat', 'b.lng', 'r.y1 + b.t * (r.y2 - r.y1)', 'r.x1 + b.t * (r.x2 - r.x1)')} AS m FROM (SELECT b.id AS id, b.lat AS lat, b.lng AS lng, r.road AS road,
  least(greatest(-(((r.x1 - b.lng) * cos(radians(b.lat))) * ((r.x2 - r.x1) * cos(radians(b.lat))) + (r.y1 - b.lat) * (r.y2 - r.y1)) / (power((r.x2 - r.x1) * cos(radians(b.lat)), 2) + power(r.y2 - r.y1, 2)), 0), 1) AS t
  FROM {oracle('business')} b, ({_ROAD.format(b=oracle('business'))}) r WHERE r.highway <> 'residential' AND abs(r.y1 - b.lat) < 0.2 AND abs(r.x1 - b.lng) < 0.2) b JOIN ({_ROAD.format(b=oracle('business'))}) r ON r.road = b.road)"""
 
+_EVERY_SEGMENT = _SEGMENT.replace(" AND abs(r.y1 - b.lat) < 0.2 AND abs(r.x1 - b.lng) < 0.2", "")
+
 
 def _roads(spark, d) -> DataFrame:
     load(spark, d, "business").createOrReplaceTempView("plumbline_business")
@@ -208,7 +237,7 @@ def _roads(spark, d) -> DataFrame:
 
 @query(
     "principal_road",
-    f"""WITH c AS (SELECT * FROM {_SEGMENT} WHERE m <= 10000), f AS (SELECT id, min_by(struct_pack(name := name, highway := highway, m := m), m) AS a, min_by(struct_pack(name := name, highway := highway, m := m), m) FILTER (name IS NOT NULL AND m <= 3000) AS b FROM c GROUP BY id),
+    f"""WITH c AS (SELECT * FROM {_EVERY_SEGMENT}), f AS (SELECT id, min_by(struct_pack(name := name, highway := highway, m := m), m) AS a, min_by(struct_pack(name := name, highway := highway, m := m), m) FILTER (name IS NOT NULL AND m <= 3000) AS b FROM c GROUP BY id),
  g AS (SELECT id, CASE WHEN a.name IS NOT NULL THEN a WHEN b IS NOT NULL THEN b ELSE a END AS t FROM f)
  SELECT id, coalesce(t.name, concat('Vía principal sin nombre (', t.highway, ')')) AS nombre, t.highway AS tipo, floor(t.m * 10 + 0.5) / 10 AS distancia_m FROM g
  UNION ALL SELECT id, NULL, NULL, floor(CAST(id AS DOUBLE) * 10 + 0.5) / 10 FROM {oracle('business')} WHERE id % 2 = 0 AND id NOT IN (SELECT id FROM g)""",
@@ -216,7 +245,7 @@ def _roads(spark, d) -> DataFrame:
 def _(spark, d):
     b = load(spark, d, "business")
     by_cell = b.where("id % 2 = 0").select("id", F.col("id").cast("double").alias("dist_via_principal_m"))
-    return radius.principal_road(b, _roads(spark, d), by_cell, reach=10_000.0)
+    return radius.principal_road(b, _roads(spark, d), by_cell)
 
 
 @query("line_distances", f"SELECT id, count(*) AS n, {cents_sql('min(m)')} AS least_m, {cents_sql('max(m)')} AS most_m FROM {_SEGMENT} WHERE m <= 10000 GROUP BY id")

@@ -120,6 +120,8 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query
 
 #: Levels of the grid that boxes and polygons meet on: cells of 2 ** level degrees.
 LEVELS = (-20, 9)
+#: Levels below its own that a box meets points on: 25 cells at most.
+FINER = 2
 
 
 def _level(height: Column, width: Column) -> Column:
@@ -138,10 +140,12 @@ def _cells(df: DataFrame, y0: Column, y1: Column, x0: Column, x1: Column, level:
 def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1")) -> DataFrame:
     """Pairs of points and boxes (y0, y1, x0, x1, edges included) that hold them, with the columns of both.
 
-    Points stand in one cell of each level that some box has; there are LEVELS[1] - LEVELS[0] of them at the most.
+    Points stand in one cell of each level that some box has; there are LEVELS[1] - LEVELS[0] of them at the most. Boxes stand in cells of a quarter
+    of their size, so the points of a large box are dealt over as many keys, and few of them lie beside it.
     """
     y0, y1, x0, x1 = map(F.col, box)
-    dealt = _cells(boxes.withColumn("_level", _level(y1 - y0, x1 - x0)), y0, y1, x0, x1, F.col("_level"))
+    finer = F.greatest(_level(y1 - y0, x1 - x0) - FINER, F.lit(LEVELS[0]))
+    dealt = _cells(boxes.withColumn("_level", finer), y0, y1, x0, x1, F.col("_level"))
     levels = sorted(r._level for r in dealt.where(F.col("_level").isNotNull()).select("_level").distinct().collect())
     at = [F.struct(F.lit(k).alias("level"), F.floor(F.col(lat) / 2.0**k).alias("y"), F.floor(F.col(lng) / 2.0**k).alias("x")) for k in levels]
     placed = points.withColumn("_at", F.explode(F.array(*at))) if at else points.where("false").withColumn("_at", F.lit(None).cast("struct<level:int,y:bigint,x:bigint>"))
@@ -149,31 +153,37 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng:
     return placed.join(dealt, ["_level", "_y", "_x"]).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1)).drop("_level", "_y", "_x")
 
 
-def _boxed(rings: DataFrame, polygon_key: str) -> DataFrame:
-    """The closed rings with their boxes."""
-    ring = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(F.concat("ring", F.slice("ring", 1, 1)))
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    some = rings.where(F.size("ring") > 0)
-    return some.select(polygon_key, ring.alias("ring"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
+def closed_ring(ring: Column) -> Column:
+    return F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
 
 
-def point_in_polygon(points: DataFrame, rings: DataFrame, point_key: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """(point, polygon) for points inside; rings: polygon key and ``ring``, an array of struct(x, y), closed or not.
+def _boxed(polygons: DataFrame, polygon_key: str) -> DataFrame:
+    """The polygons' closed rings with their boxes; a table of single rings (``ring``) counts as polygons of one ring."""
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    some = polygons.select(polygon_key, F.filter(rings, lambda r: F.size(r) > 0).alias("rings")).where(F.size("rings") > 0)
+    axis = lambda f: F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p[f])))
+    xs, ys = axis("x"), axis("y")
+    return some.select(polygon_key, F.transform("rings", closed_ring).alias("rings"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
 
+
+def _edges(rings: Column) -> Column:
+    """The edges of closed rings that a ray to the east can cross, with what the crossing needs; level ones and those without coordinates can't be."""
+    pair = lambda p, q: F.struct(p["x"].alias("x"), p["y"].alias("y"), q["y"].alias("to"), (q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy"))
+    every = F.flatten(F.transform(rings, lambda r: F.zip_with(F.slice(r, F.lit(1), F.size(r) - 1), F.slice(r, F.lit(2), F.size(r) - 1), pair)))
+    return F.filter(every, lambda e: e["dx"].isNotNull() & (e["dy"] != 0))
+
+
+def point_in_polygon(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """(point, polygon) for points inside; polygons: key and ``ring``, an array of struct(x, y), closed or not, or ``rings``, several of them.
+
+    With several rings the even-odd rule holds over all: what a hole's ring encloses is outside, and parts of a multipolygon may lie apart.
     Points meet the polygons' boxes by an equi-join on the level grid; only those in a box
-    count the ring's edges that a ray to the east crosses.
+    count the edges that a ray to the east crosses.
     """
-    pairs = points_in_boxes(points.select(point_key, lat, lng), _boxed(rings, polygon_key), lat, lng)
-    crossed = F.aggregate(
-        F.sequence(F.lit(2), F.size("ring")),
-        F.lit(0),
-        lambda n, i: n
-        + F.when(
-            ((F.element_at("ring", i - 1)["y"] > F.col(lat)) != (F.element_at("ring", i)["y"] > F.col(lat)))
-            & (F.col(lng) < (F.element_at("ring", i)["x"] - F.element_at("ring", i - 1)["x"]) * (F.col(lat) - F.element_at("ring", i - 1)["y"]) / F.nullif(F.element_at("ring", i)["y"] - F.element_at("ring", i - 1)["y"], F.lit(0.0)) + F.element_at("ring", i - 1)["x"]),
-            1,
-        ).otherwise(0),
-    )
+    boxed = _boxed(polygons, polygon_key).withColumn("_edges", _edges(F.col("rings"))).drop("rings")
+    pairs = points_in_boxes(points.select(point_key, lat, lng), boxed, lat, lng)
+    x, y = F.col(lng), F.col(lat)
+    crossed = F.size(F.filter("_edges", lambda e: ((e["y"] > y) != (e["to"] > y)) & (x < e["dx"] * (y - e["y"]) / e["dy"] + e["x"])))
     return pairs.where(crossed % 2 == 1).select(point_key, polygon_key)
 
 
@@ -190,7 +200,7 @@ def vertex_mean(ring: Column) -> Column:
 
 
 def box_meets_polygon(boxes: DataFrame, rings: DataFrame, box_key: str, polygon_key: str) -> DataFrame:
-    """(box, polygon) that touch: a vertex in the box, a box corner in the polygon, or crossing edges.
+    """(box, polygon) that touch: a vertex in the box, a box corner in the polygon, or crossing edges; a box within a hole touches nothing.
 
     Both sides stand in the cells of their own level and of the coarser ones that occur; a pair meets at the coarser of its two levels.
     boxes: lat_min, lat_max, lng_min, lng_max.
@@ -204,19 +214,18 @@ def box_meets_polygon(boxes: DataFrame, rings: DataFrame, box_key: str, polygon_
     b = _cells(rise(sides[1]).withColumnRenamed("_own", "_b"), F.col("y0"), F.col("y1"), F.col("x0"), F.col("x1"), F.col("_level"))
     pairs = a.join(b, ["_level", "_y", "_x"]).where(F.col("_level") == F.greatest("_a", "_b"))
     pairs = pairs.where((F.col("lat_min") <= F.col("y1")) & (F.col("lat_max") >= F.col("y0")) & (F.col("lng_min") <= F.col("x1")) & (F.col("lng_max") >= F.col("x0")))
-    inside = F.exists("ring", lambda p: p["x"].between(F.col("lng_min"), F.col("lng_max")) & p["y"].between(F.col("lat_min"), F.col("lat_max")))
+    inside = F.exists(F.flatten("rings"), lambda p: p["x"].between(F.col("lng_min"), F.col("lng_max")) & p["y"].between(F.col("lat_min"), F.col("lat_max")))
     corners = boxes.select(box_key, F.explode(F.array(*(F.struct(F.col(a).alias("lat"), F.col(b).alias("lng")) for a in ("lat_min", "lat_max") for b in ("lng_min", "lng_max")))).alias("c")).select(box_key, "c.lat", "c.lng")
-    edge = lambda i: (F.element_at("ring", i - 1), F.element_at("ring", i))
 
-    def cuts(i):
-        p, q = edge(i)
+    def cuts(ring, i):
+        p, q = F.element_at(ring, i - 1), F.element_at(ring, i)
         at = lambda x: p["y"] + (q["y"] - p["y"]) * (x - p["x"]) / F.nullif(q["x"] - p["x"], F.lit(0.0))
         over = lambda y: p["x"] + (q["x"] - p["x"]) * (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0))
         sides = [F.col(c).between(F.least(p["x"], q["x"]), F.greatest(p["x"], q["x"])) & at(F.col(c)).between(F.col("lat_min"), F.col("lat_max")) for c in ("lng_min", "lng_max")]
         ends = [F.col(c).between(F.least(p["y"], q["y"]), F.greatest(p["y"], q["y"])) & over(F.col(c)).between(F.col("lng_min"), F.col("lng_max")) for c in ("lat_min", "lat_max")]
         return F.coalesce(sides[0] | sides[1] | ends[0] | ends[1], F.lit(False))
 
-    crossing = F.exists(F.sequence(F.lit(2), F.size("ring")), cuts)
+    crossing = F.exists("rings", lambda ring: F.exists(F.sequence(F.lit(2), F.greatest(F.size(ring), F.lit(2))), lambda i: (F.size(ring) > 1) & cuts(ring, i)))
     touching = pairs.where(inside | crossing).select(box_key, polygon_key)
     return touching.unionByName(point_in_polygon(corners, rings, box_key, polygon_key)).distinct()
 
@@ -242,9 +251,17 @@ def line_distances(points: DataFrame, lines: DataFrame, metres: float, point_key
     return far.groupBy(point_key, line_key).agg(F.min("distance_m").alias("distance_m"))
 
 
+def parts_of(shapes: DataFrame) -> Column:
+    """The paths of a shape: its ``rings``, or where there are none its one ``path``."""
+    one = F.array("path") if "path" in shapes.columns else None
+    if "rings" not in shapes.columns:
+        return one
+    return F.col("rings") if one is None else F.coalesce("rings", one)
+
+
 def shape_distances(points: DataFrame, shapes: DataFrame, metres: float, point_key: str, shape_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """As ``line_distances`` for shapes (key, type, path): a point within a polygon is at distance 0."""
-    edges = line_distances(points, shapes, metres, point_key, shape_key, lat, lng)
-    rings = shapes.where(F.col("type") == "Polygon").select(shape_key, F.col("path").alias("ring"))
-    inside = point_in_polygon(points, rings, point_key, shape_key, lat, lng).withColumn("distance_m", F.lit(0.0))
+    """As ``line_distances`` for shapes (key, type, path or rings): a point within a polygon is at distance 0, one in a hole isn't."""
+    edges = line_distances(points, shapes.select(shape_key, F.explode(parts_of(shapes)).alias("path")), metres, point_key, shape_key, lat, lng)
+    polygons = shapes.where(F.col("type").isin("Polygon", "MultiPolygon")).select(shape_key, parts_of(shapes).alias("rings"))
+    inside = point_in_polygon(points, polygons, point_key, shape_key, lat, lng).withColumn("distance_m", F.lit(0.0))
     return edges.unionByName(inside).groupBy(point_key, shape_key).agg(F.min("distance_m").alias("distance_m"))

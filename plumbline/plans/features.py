@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import cell_id, haversine_m
+from ..operators.checkpoints import cut
 from ..operators.listings import clean_listings, trim_outliers
-from ..operators.spatial import nearest_within, radius_sums
+from ..operators.nearest import nearest_shapes
+from ..operators.spatial import parts_of, radius_sums
 
 RADII = (500.0, 1000.0, 2000.0)
 FRONT_M, WATER_M = 120.0, 400.0
@@ -18,20 +20,28 @@ def cell_representatives(cells: DataFrame) -> DataFrame:
     return cells.withColumn("cell", cell_id("lat", "lng")).groupBy("cell").agg(F.min(F.struct("id", "lat", "lng")).alias("p")).select("cell", "p.lat", "p.lng")
 
 
-def cell_features(representatives: DataFrame, layers: dict[str, DataFrame], metres: float) -> DataFrame:
-    """Distances from each cell to the nearest point of each layer (id, lat, lng), null beyond ``metres`` or without a layer.
+def cell_features(representatives: DataFrame, layers: dict[str, DataFrame]) -> DataFrame:
+    """Distances from each cell to the nearest shape of each layer (id, type, and path or rings), null only where a layer has none.
 
-    The flags frente_avenida and cerca_agua belong to layers named dist_via_principal_m and dist_agua_m.
+    All layers are searched in one descent, nearest in plane degrees. The flags frente_avenida and cerca_agua belong to layers named dist_via_principal_m and dist_agua_m.
     """
-    out = representatives
+    every = None
     for name, layer in layers.items():
-        side = layer.select(F.col("id").alias("_id"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-        near = nearest_within(representatives, side, "cell", metres, "_id", (), explode="right").select("cell", F.col("distance_m").alias(name))
-        out = out.join(near, "cell", "left")
+        part = layer.select(F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), "type", parts_of(layer).alias("rings"))
+        every = part if every is None else every.unionByName(part)
+    near = nearest_shapes(representatives, cut(every), "cell")
+    wide = near.groupBy("cell").agg(*(F.max(F.when(F.col("layer") == name, F.col("distance_m"))).alias(name) for name in layers))
+    out = representatives.join(wide, "cell", "left")
     flag = lambda c, m: F.coalesce(F.col(c) < m, F.lit(False)) if c in layers else F.lit(False)
     return out.withColumn("frente_avenida", flag("dist_via_principal_m", FRONT_M)).withColumn("cerca_agua", flag("dist_agua_m", WATER_M))
 
 
+def layer_features(representatives: DataFrame, layers: dict[str, DataFrame]) -> DataFrame:
+    """``cell_features`` of the map's layers: roads, parks, water, and of the equipment the hospitals and universities."""
+    of = lambda kind: layers["equipamiento"].where(F.col("amenity") == kind)
+    return cell_features(representatives, {"dist_via_principal_m": layers["vias"], "dist_parque_m": layers["parques"], "dist_agua_m": layers["agua"], "dist_hospital_m": of("hospital"), "dist_universidad_m": of("university")})
+
+
 def population_radii(listings: DataFrame, cells: DataFrame) -> DataFrame:
     right = cells.select("population", F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
     return radius_sums(listings, right, "id", {f"pob_{int(m)}": (F.col("population"), m) for m in RADII})

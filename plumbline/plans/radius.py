@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, in_box, within
-from ..operators.spatial import line_distances, point_in_polygon
+from ..operators.nearest import nearest_shapes
+from ..operators.spatial import parts_of, point_in_polygon, shape_distances
 
 NO_CATEGORY = "Sin clasificar"
 TYPES_M, TYPES_LEAST = 2000.0, 0.5
@@ -45,34 +46,35 @@ def nearest_list(business: DataFrame, lat: float, lng: float, metres: float, k:
     return near.orderBy("distance_m", "id").limit(k).select("id", "name", "distance_m")
 
 
-def named_or_label(near: DataFrame, key: str, named_m: float, label: str = "Via sin nombre", kind: str = "kind") -> DataFrame:
-    """From candidate rows (key, distance_m, name, kind): the nearest if it has a name, else the nearest named within
-    ``named_m``, else a label with the nearest's kind."""
-    first = F.min(F.struct("distance_m", "id", "name", kind)).alias("first")
-    named = F.min(F.when(F.col("name").isNotNull() & (F.col("distance_m") <= named_m), F.struct("distance_m", "id", "name"))).alias("named")
-    best = near.groupBy(key).agg(first, named)
-    label_text = F.concat(F.lit(f"{label} ("), F.col(f"first.{kind}"), F.lit(")"))
-    return best.select(key, F.coalesce("first.name", "named.name", label_text).alias("name"), F.when(F.col("first.name").isNotNull() | F.col("named").isNull(), F.col("first.distance_m")).otherwise(F.col("named.distance_m")).alias("distance_m"))
+#: How far a road with a name may be to stand for a nearer one without (fixed values), and the labels where none is.
+NAMED_M, LABEL = 1000.0, "Via sin nombre"
+PRINCIPAL_NAMED_M, PRINCIPAL_LABEL = 3000.0, "Vía principal sin nombre"
+#: Kinds of principal roads (fixed values).
+PRINCIPAL = ("motorway", "trunk", "primary", "secondary", "tertiary")
 
 
-#: Kinds of principal roads (fixed values), how far a named one may be, and the label of those without a name.
-PRINCIPAL, PRINCIPAL_NAMED_M, PRINCIPAL_LABEL = ("motorway", "trunk", "primary", "secondary", "tertiary"), 3000.0, "Vía principal sin nombre"
+def nearest_named(points: DataFrame, shapes: DataFrame, key: str = "id", named_m: float = NAMED_M, label: str = LABEL) -> DataFrame:
+    """(key, name, kind, distance_m): the nearest shape at any distance if it has a name; else the nearest named one within ``named_m``; else
+    the nearest with a label of its kind. shapes: shape, name (null or empty if it has none), kind, type, and path or rings."""
+    own = shapes.select("shape", F.nullif("name", F.lit("")).alias("name"), "kind", "type", parts_of(shapes).alias("rings"))
+    about = own.select("shape", "name", "kind")
+    near = nearest_shapes(points, own.withColumn("layer", F.lit(0)), key, "shape", sphere=True).drop("layer").join(about, "shape").select(key, "name", "kind", "distance_m")
+    rest = points.join(near.where(F.col("name").isNull()).select(key), key, "left_semi")
+    named = shape_distances(rest, own.where(F.col("name").isNotNull()), named_m, key, "shape").groupBy(key).agg(F.min(F.struct("distance_m", "shape")).alias("n"))
+    named = named.select(key, F.col("n.shape").alias("shape"), F.col("n.distance_m").alias("n_distance")).join(about.withColumnsRenamed({"name": "n_name", "kind": "n_kind"}), "shape").drop("shape")
+    both = near.join(named, key, "left")
+    pick = lambda c: F.when(F.col("n_name").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(c))
+    return both.select(key, F.coalesce("name", "n_name", F.concat(F.lit(f"{label} ("), F.col("kind"), F.lit(")"))).alias("name"), pick("kind").alias("kind"), F.when(F.col("n_name").isNotNull(), F.col("n_distance")).otherwise(F.col("distance_m")).alias("distance_m"))
 
 
-def principal_road(points: DataFrame, roads: DataFrame, by_cell: DataFrame | None = None, key: str = "id", reach: float = 50_000.0) -> DataFrame:
-    """(key, nombre, tipo, distancia_m) for points that have any; roads: road, name, highway, path.
+def principal_road(points: DataFrame, roads: DataFrame, by_cell: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """(key, nombre, tipo, distancia_m); roads: road, name, highway, path.
 
-    The nearest principal road if it has a name; else the nearest named one within 3000 m; else the nearest with a label; and
-    where none lies within ``reach``, the distance that by_cell (key, dist_via_principal_m) knows, without name and kind.
+    The nearest principal road if it has a name; else the nearest named one within 3000 m; else the nearest with a label; and for points that have
+    none, as where no road is principal, the distance that by_cell (key, dist_via_principal_m) knows, without name and kind.
     """
-    principal = roads.where(F.col("highway").isin(*PRINCIPAL))
-    near = line_distances(points, principal.select("road", "path"), reach, key, "road").join(principal.select("road", F.nullif("name", F.lit("")).alias("name"), "highway"), "road")
-    row = F.struct("distance_m", "road", "name", "highway")
-    named = F.col("name").isNotNull() & (F.col("distance_m") <= PRINCIPAL_NAMED_M)
-    best = near.groupBy(key).agg(F.min(row).alias("first"), F.min(F.when(named, row)).alias("named"))
-    taken = F.when(F.col("first.name").isNotNull(), F.col("first")).otherwise(F.coalesce("named", "first"))
-    label = F.concat(F.lit(f"{PRINCIPAL_LABEL} ("), F.col("t.highway"), F.lit(")"))
-    found = best.select(key, taken.alias("t")).select(key, F.coalesce("t.name", label).alias("nombre"), F.col("t.highway").alias("tipo"), F.col("t.distance_m").alias("distancia_m"))
+    principal = roads.where(F.col("highway").isin(*PRINCIPAL)).select(F.col("road").alias("shape"), "name", F.col("highway").alias("kind"), F.lit("LineString").alias("type"), "path")
+    found = nearest_named(points, principal, key, PRINCIPAL_NAMED_M, PRINCIPAL_LABEL).select(key, F.col("name").alias("nombre"), F.col("kind").alias("tipo"), F.col("distance_m").alias("distancia_m"))
     if by_cell is not None:
         rest = by_cell.join(found, key, "left_anti").where(F.col("dist_via_principal_m").isNotNull())
         found = found.unionByName(rest.select(key, F.lit(None).cast("string").alias("nombre"), F.lit(None).cast("string").alias("tipo"), F.col("dist_via_principal_m").alias("distancia_m")))
@@ -86,5 +88,5 @@ CITY_ORDER = (("admin_level", "8"), ("admin_level", "9"), ("place", "city"), ("p
 def city_of(points: DataFrame, boundaries: DataFrame, point_key: str = "id") -> DataFrame:
     """(point, city): of the boundaries that hold a point, the first by CITY_ORDER; then by name. Other boundaries come last."""
     rank = F.coalesce(*(F.when(F.col(c) == v, F.lit(k)) for k, (c, v) in enumerate(CITY_ORDER)), F.lit(len(CITY_ORDER)))
-    held = point_in_polygon(points, boundaries.select("boundary", "ring"), point_key, "boundary").join(boundaries.select("boundary", "name", rank.alias("rank")), "boundary")
+    held = point_in_polygon(points, boundaries.select("boundary", "rings" if "rings" in boundaries.columns else "ring"), point_key, "boundary").join(boundaries.select("boundary", "name", rank.alias("rank")), "boundary")
     return held.groupBy(point_key).agg(F.min_by("name", F.struct("rank", "name")).alias("city"))

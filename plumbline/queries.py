@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import at, load, oracle
-from .functions import geo, text
+from .functions import geo, shapes, text
 from .functions.geo import haversine_sql as hav
 from .operators import checkpoints, curate, dedup, gap, listings, merge, spatial
 from .plans import features, grid, model, radius
@@ -164,16 +164,20 @@ def _(spark, d):
     return features.cell_representatives(load(spark, d, "population"))
 
 
+#: Kinds of place that stand for the layers in the query over points.
+_POI_LAYERS = (("dist_hospital_m", "hospital"), ("dist_universidad_m", "university"), ("dist_agua_m", "police"), ("dist_via_principal_m", "bus_station"))
+_NEAR = "min_by({m}, power(c.lat - p.lat, 2) + power(c.lng - p.lng, 2)) FILTER (amenity = '{kind}') AS {name}"
+
+
 @query(
     "cell_features",
-    f"""SELECT cell, {cents_sql('h')} AS dist_hospital_m, {cents_sql('u')} AS dist_universidad_m, {cents_sql('a')} AS dist_agua_m, false AS frente_avenida, coalesce(a < 400, false) AS cerca_agua FROM
- (SELECT cell, min(m) FILTER (amenity = 'hospital' AND m <= 20000) AS h, min(m) FILTER (amenity = 'university' AND m <= 20000) AS u, min(m) FILTER (amenity = 'police' AND m <= 20000) AS a FROM
-  (SELECT c.cell, p.amenity, {hav('c.lat', 'c.lng', 'p.lat', 'p.lng')} AS m FROM {_REPS} c LEFT JOIN {oracle('poi')} p ON abs(c.lat - p.lat) < 0.2 AND abs(c.lng - p.lng) < 0.25) GROUP BY cell)""",
+    f"""SELECT cell, {', '.join(f"{cents_sql(n)} AS {n}" for n, _ in _POI_LAYERS)}, coalesce(dist_via_principal_m < 120, false) AS frente_avenida, coalesce(dist_agua_m < 400, false) AS cerca_agua FROM
+ (SELECT c.cell, {', '.join(_NEAR.format(m=hav('c.lat', 'c.lng', 'p.lat', 'p.lng'), kind=k, name=n) for n, k in _POI_LAYERS)} FROM {_REPS} c, {oracle('poi')} p GROUP BY c.cell)""",
 )
 def _(spark, d):
-    poi = load(spark, d, "poi")
-    layers = {name: poi.where(F.col("amenity") == kind) for name, kind in (("dist_hospital_m", "hospital"), ("dist_universidad_m", "university"), ("dist_agua_m", "police"))}
-    got = features.cell_features(features.cell_representatives(load(spark, d, "population")), layers, 20_000.0)
+    poi = load(spark, d, "poi").select("id", "amenity", F.lit("Point").alias("type"), F.array(F.struct(F.col("lng").alias("x"), F.col("lat").alias("y"))).alias("path"))
+    layers = {name: poi.where(F.col("amenity") == kind) for name, kind in _POI_LAYERS}
+    got = features.cell_features(features.cell_representatives(load(spark, d, "population")), layers)
     return got.select("cell", *(cents(F.col(c)).alias(c) for c in layers), "frente_avenida", "cerca_agua")
 
 
@@ -210,15 +214,13 @@ def _(spark, d):
 
 @query(
     "nearest_with_fallback",
-    f"""WITH c AS (SELECT b.id AS id, p.id AS p, p.name AS name, p.amenity AS kind, {hav('b.lat', 'b.lng', 'p.lat', 'p.lng')} AS m FROM {oracle('business')} b JOIN {oracle('poi')} p ON abs(b.lat - p.lat) < 0.3 AND abs(b.lng - p.lng) < 0.35),
- n AS (SELECT * FROM c WHERE m <= 30000), f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, p) AS k FROM n), g AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, p) AS k FROM n WHERE name IS NOT NULL AND m <= 15000)
+    f"""WITH c AS (SELECT b.id AS id, p.id AS p, p.name AS name, p.amenity AS kind, {hav('b.lat', 'b.lng', 'p.lat', 'p.lng')} AS m FROM {oracle('business')} b, {oracle('poi')} p),
+ f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, p) AS k FROM c), g AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, p) AS k FROM c WHERE name IS NOT NULL AND m <= 15000)
  SELECT f.id, coalesce(f.name, g.name, concat('Via sin nombre (', f.kind, ')')) AS name, {cents_sql('CASE WHEN f.name IS NOT NULL OR g.id IS NULL THEN f.m ELSE g.m END')} AS distance_m FROM f LEFT JOIN g ON f.id = g.id AND g.k = 1 WHERE f.k = 1""",
 )
 def _(spark, d):
-    poi = load(spark, d, "poi").select("name", F.col("id").alias("p"), F.col("amenity").alias("kind"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-    own = load(spark, d, "business").select(F.col("id").alias("b"), "lat", "lng")
-    near = spatial.radius_join(own, poi, 30_000.0, explode="right").select("b", "distance_m", F.col("p").alias("id"), "name", "kind")
-    return radius.named_or_label(near, "b", 15_000.0).select(F.col("b").alias("id"), "name", cents(F.col("distance_m")).alias("distance_m"))
+    poi = load(spark, d, "poi").select(F.col("id").alias("shape"), "name", F.col("amenity").alias("kind"), F.lit("Point").alias("type"), F.array(F.struct(F.col("lng").alias("x"), F.col("lat").alias("y"))).alias("path"))
+    return radius.nearest_named(load(spark, d, "business").select("id", "lat", "lng"), poi, "id", 15_000.0).select("id", "name", cents(F.col("distance_m")).alias("distance_m"))
 
 
 # Polygons: one arrow-shaped ring for each region.
@@ -238,6 +240,27 @@ def _(spark, d):
     return spatial.point_in_polygon(load(spark, d, "business"), _rings(spark, d).select("boundary", "ring"), "id", "boundary")
 
 
+#: The same rings with a hole each, and the first ring shifted as a second part.
+_HOLE = ((0.1, 0.1), (0.3, 0.1), (0.3, 0.6), (0.1, 0.6))
+_PARTS = ((_ARROW, 0.0), (_HOLE, 0.0), (_HOLE, 1.0))
+
+
+def _part_edges(ring, shift) -> str:
+    return " UNION ALL ".join(f"SELECT r_regionkey AS boundary, {_X0} + CAST({a + shift} AS DOUBLE) AS x1, {_Y0} + CAST({b} AS DOUBLE) AS y1, {_X0} + CAST({e + shift} AS DOUBLE) AS x2, {_Y0} + CAST({f} AS DOUBLE) AS y2 FROM region" for (a, b), (e, f) in zip(ring, ring[1:] + ring[:1]))
+
+
+@query(
+    "point_in_rings",
+    f"SELECT id, boundary FROM {oracle('business')}, ({' UNION ALL '.join(_part_edges(*p) for p in _PARTS)}) GROUP BY id, boundary HAVING sum(CASE WHEN (y1 > lat) <> (y2 > lat) AND lng < (x2 - x1) * (lat - y1) / nullif(y2 - y1, 0) + x1 THEN 1 ELSE 0 END) % 2 = 1",
+)
+def _(spark, d):
+    """Multipolygons, written as GeoJSON texts and read from them."""
+    ring = lambda points, shift: "array(" + ", ".join(f"named_struct('x', {_X0} + CAST({a + shift} AS DOUBLE), 'y', {_Y0} + CAST({b} AS DOUBLE))" for a, b in points) + ")"
+    some = spark.sql(f"SELECT r_regionkey AS boundary, array({', '.join(ring(*p) for p in _PARTS)}) AS rings FROM parquet.`{d}/region.parquet`")
+    texts = some.select("boundary", shapes.geojson_of_shape(F.lit("MultiPolygon"), F.col("rings")).alias("geom"))
+    return spatial.point_in_polygon(load(spark, d, "business"), texts.select("boundary", shapes.shape_of_geojson(F.col("geom"))["rings"].alias("rings")), "id", "boundary")
+
+
 @query("city_priority", f"SELECT id, name AS city FROM (SELECT id, r_name AS name, row_number() OVER (PARTITION BY id ORDER BY CASE r_regionkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END, r_name) AS k FROM {_INSIDE} JOIN region ON r_regionkey = boundary) WHERE k = 1")
 def _(spark, d):
     return radius.city_of(load(spark, d, "business"), _rings(spark, d))

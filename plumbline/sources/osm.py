@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.checkpoints import cut
+
 #: Tag values that put an element into a layer (fixed values).
 HIGHWAY = ("motorway", "trunk", "primary", "secondary", "tertiary")
 AMENITY = ("hospital", "university", "bus_station", "police", "marketplace")
@@ -61,10 +63,10 @@ def relation_ring(relations: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def layers(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
-    """The five layers: vias, parques, agua, equipamiento, limites."""
-    paths = way_paths(ways, nodes)
+    """The five layers: vias, parques, agua, equipamiento, limites. The ways' paths, which all of them need, are assembled once and kept."""
+    paths = cut(way_paths(ways, nodes))
     point = lambda df, x, y: df.withColumn("type", F.lit("Point")).withColumn("path", F.array(F.struct(x.alias("x"), y.alias("y"))))
-    rings = relations.join(relation_ring(relations, paths), "id").withColumnRenamed("ring", "path").withColumn("type", F.lit("Polygon"))
+    rings = cut(relations.join(relation_ring(relations, paths), "id")).withColumnRenamed("ring", "path").withColumn("type", F.lit("Polygon"))
     out = lambda df, element, tags: df.select(F.lit(element).alias("element"), "id", tag("name").alias("name"), *(t.alias(n) for n, t in tags.items()), "type", "path")
     road = tag("highway").isin(*HIGHWAY)
     vias = out(paths.where(road & F.col("whole") & (F.size("path") > 1)).withColumn("type", F.lit("LineString")), "way", {"highway": tag("highway")})

@@ -29,15 +29,15 @@ def districts_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def boundary_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """(boundary, ring): the outer rings of the polygons in a GeoJSON feature collection, feature or geometry, numbered in order."""
+    """(boundary, ring, rings): the polygons in a GeoJSON feature collection, feature or geometry, numbered in order; ``ring`` is the outer one, ``rings`` has the holes after it."""
     polygon = F.from_json(F.col("g.coordinates"), "array<array<array<double>>>")
     many = F.from_json(F.col("g.coordinates"), "array<array<array<array<double>>>>")
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "type string, coordinates string, geometry struct<type:string,coordinates:string>, features array<struct<geometry:struct<type:string,coordinates:string>>>").alias("j"))
     shapes = F.when(F.col("j.features").isNotNull(), F.transform("j.features", lambda f: f["geometry"])).when(F.col("j.geometry").isNotNull(), F.array("j.geometry")).otherwise(F.array(F.struct(F.col("j.type").alias("type"), F.col("j.coordinates").alias("coordinates"))))
     rows = whole.select(F.posexplode(shapes).alias("feature", "g"))
-    rings = F.when(F.col("g.type") == "Polygon", F.slice(polygon, 1, 1)).otherwise(F.transform(many, lambda p: p[0]))
-    each = rows.select("feature", F.posexplode(rings).alias("part", "r"))
-    return each.select(F.concat_ws("-", "feature", "part").alias("boundary"), F.transform("r", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+    each = rows.select("feature", F.posexplode(F.when(F.col("g.type") == "Polygon", F.array(polygon)).otherwise(many)).alias("part", "p"))
+    rings = F.transform("p", lambda r: F.transform(r, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
+    return each.select(F.concat_ws("-", "feature", "part").alias("boundary"), rings.alias("rings")).select("boundary", F.col("rings")[0].alias("ring"), "rings")
 
 
 def _files(spark: SparkSession, path: str):
