@@ -50,9 +50,13 @@ def _(spark, d):
 
 _B = f"""SELECT o_orderkey AS k, CAST(o_orderkey % 4 AS INTEGER) AS segment, CAST(floor(o_orderkey / 2000) AS INTEGER) AS page, concat('c', CAST(o_custkey % 900 AS STRING)) AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'renta' ELSE 'venta' END AS op, CAST(o_totalprice AS DECIMAL(18, 2)) AS price,
  CASE WHEN o_orderkey % 6 = 0 THEN 'ha' ELSE 'm2' END AS unit, o_orderkey % 300 AS m2, CASE WHEN o_orderkey % 2 = 0 THEN 'Cordillera' ELSE 'Ñeembucú' END AS estado, concat('Ciudad [', CAST(o_orderkey % 9 AS STRING), '] "x"') AS muni, {at('o_orderkey')} FROM {{orders}}"""
-#: A segment ends before its first page whose records all stand on earlier pages.
-_B_KEPT = f"""(WITH r AS ({_B.format(orders='orders')}), f AS (SELECT id, min(segment * 100000 + page) AS one FROM r GROUP BY id), g AS (SELECT segment, page, bool_or(one = segment * 100000 + page) AS fresh FROM r JOIN f USING (id) GROUP BY segment, page),
- e AS (SELECT segment, min(page) FILTER (NOT fresh) AS stop FROM g GROUP BY segment) SELECT r.* FROM r JOIN e USING (segment) WHERE page < coalesce(stop, page + 1))"""
+#: A plain loop over the pages in order, which carries the ids kept so far, those of the page before and whether the segment has ended.
+_B_KEPT = f"""(WITH RECURSIVE r AS ({_B.format(orders='orders')}), g AS (SELECT segment, page, list(id ORDER BY k) AS ids FROM r GROUP BY segment, page), z AS (SELECT segment, max(page) AS page, max_by(ids, page) AS ids FROM g GROUP BY segment),
+ o AS (SELECT *, row_number() OVER (ORDER BY segment, page) AS i FROM (SELECT * FROM g UNION ALL SELECT segment, page + 1, ids FROM z UNION ALL SELECT segment, page + 2, ids FROM z)),
+ loop AS (SELECT CAST(0 AS BIGINT) AS i, CAST(-1 AS INTEGER) AS segment, CAST(-1 AS INTEGER) AS page, true AS ended, CAST([] AS VARCHAR[]) AS before, CAST([] AS VARCHAR[]) AS kept, CAST([] AS VARCHAR[]) AS new UNION ALL
+  SELECT i, segment, page, over OR len(new) = 0 AS ended, CASE WHEN over THEN before ELSE ids END, CASE WHEN over THEN kept ELSE list_concat(kept, new) END, CASE WHEN over THEN [] ELSE new END FROM
+  (SELECT o.i AS i, o.segment AS segment, o.page AS page, o.ids AS ids, l.before AS before, l.kept AS kept, (o.segment = l.segment AND (l.ended OR o.ids = l.before)) OR len(o.ids) = 0 AS over, list_filter(list_distinct(o.ids), lambda x: NOT list_contains(l.kept, x)) AS new FROM loop l JOIN o ON o.i = l.i + 1))
+ SELECT r.* FROM r JOIN loop ON loop.segment = r.segment AND loop.page = r.page AND list_contains(loop.new, r.id))"""
 _B_ROWS = f"""(SELECT id AS id_externo, op AS operacion, CAST(price AS DOUBLE) AS precio, CAST(m2 AS DOUBLE) AS m2t, unit AS unidad, estado AS departamento, muni AS ciudad, concat('Calle 1, ', estado) AS direccion, lat, lng, concat('https://b.example/', id) AS url
  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY segment, page, k) AS n FROM {_B_KEPT}) WHERE n = 1)"""
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import date_of_epoch, decimal_of, distinct_join, double_of, norm, short_url, stripped, timestamp_of_epoch
+from ..operators.checkpoints import cut
 from ..operators.dedup import first_by
 from .pages import script_array
 
@@ -52,23 +53,41 @@ def _fields(schema: str) -> list[str]:
     return out
 
 
+def pages_read(pages: DataFrame, ids: DataFrame, segment: str = "segment", page: str = "page") -> DataFrame:
+    """The pages (segment, page) of which a reader keeps records, who takes the segments in order and leaves each at its first page without an id not kept before.
+
+    Whether a page is new depends on which were read before it, so the answer is an ordered fixed point: a page is new if it has an id that no earlier page
+    of the set read has. Fewer pages read make more of them new, so the sets come from above and from below in turn, and each round settles
+    one segment more at least; usually a few rounds settle all. ids: (segment, page, id) of all pages.
+    """
+    here = F.struct(segment, page)
+    read, n = pages.select(segment, page), None
+    while True:
+        first = ids.join(read, [segment, page], "left_semi").groupBy("id").agg(F.min(here).alias("at"))
+        new = ids.join(first, "id", "left").where(F.col("at").isNull() | (F.col("at") >= here)).select(segment, page).distinct()
+        stops = pages.select(segment, page).join(new, [segment, page], "left_anti").groupBy(segment).agg(F.min(page).alias("_stop"))
+        read = cut(pages.select(segment, page).join(stops, segment, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).select(segment, page))
+        last, n = n, read.count()
+        if n == last:  # one set holds the other, so equal numbers mean equal sets
+            return read
+
+
 def segment_records(pages: DataFrame, site: str = "", segment: str = "segment", page: str = "page", html: str = "html") -> DataFrame:
     """Rows of the second portal from its pages (segment and page in order, html with a script's array).
 
-    A segment ends at its first page without records, with the records of the page before, or without any that earlier pages lack;
-    of records with one id the first stays.
+    Segments are read in order. One ends at its first page without records, with the records of the page before, or without any that is not
+    kept yet; pages behind an end count for nothing. Of records with one id the first stays; those without an id go.
     """
-    read = pages.select(segment, page, script_array(F.col(html), SCRIPT_MARK, ",".join(f"{n}:{t}" for n, t in (x.strip().split(" ", 1) for x in _fields(PROPERTY)))).alias("p"))
-    read = read.withColumn("ids", F.transform(F.coalesce("p", F.array().cast(read.schema["p"].dataType)), lambda x: x["id"]))
+    read = cut(pages.select(segment, page, script_array(F.col(html), SCRIPT_MARK, ",".join(f"{n}:{t}" for n, t in (x.strip().split(" ", 1) for x in _fields(PROPERTY)))).alias("p")))
+    read = read.withColumn("ids", F.filter(F.transform(F.coalesce("p", F.array().cast(read.schema["p"].dataType)), lambda x: x["id"]), lambda x: x.isNotNull()))
+    known = F.sha2(F.to_json("ids"), 256)
     along = W.partitionBy(segment).orderBy(page)
-    ended = (F.size("ids") == 0) | F.coalesce(F.col("ids") == F.lag("ids").over(along), F.lit(False))
-    going = W.partitionBy(segment).orderBy(page).rowsBetween(W.unboundedPreceding, 0)
-    kept = read.withColumn("end", ended).withColumn("past", F.max("end").over(going)).where(~F.col("past")).drop("end", "past")
-    firsts = kept.select(segment, page, F.explode("ids").alias("id")).groupBy("id").agg(F.min(F.struct(segment, page)).alias("at"))
-    fresh = firsts.groupBy(F.col(f"at.{segment}").alias(segment), F.col(f"at.{page}").alias(page)).agg(F.count("*").alias("new"))
-    kept = kept.join(fresh, [segment, page], "left").withColumn("past", F.max(F.col("new").isNull()).over(going)).where(~F.col("past"))
+    ended = read.select(segment, page, ((F.size("ids") == 0) | F.coalesce(known == F.lag(known).over(along), F.lit(False))).alias("end")).where("end").groupBy(segment).agg(F.min(page).alias("_end"))
+    going = read.join(ended, segment, "left").where(F.col("_end").isNull() | (F.col(page) < F.col("_end"))).drop("_end")
+    ids = cut(going.select(segment, page, F.explode(F.array_distinct("ids")).alias("id")))
+    kept = going.join(pages_read(cut(going.select(segment, page)), ids, segment, page), [segment, page], "left_semi")
     each = kept.select(segment, page, F.posexplode("p").alias("pos", "r"))
-    one = first_by(each, ["r.id"], [segment, page, "pos"])
+    one = first_by(each.where(F.col("r.id").isNotNull()), ["r.id"], [segment, page, "pos"])
     r = lambda n: F.col(f"r.{n}")
     return one.select(
         r("id").alias("id_externo"), r("tipoOperacion").alias("operacion"), r("subTipoPropiedad").alias("tipo"), decimal_of(r("precio")).alias("precio"), r("moneda").alias("moneda"), decimal_of(r("precioSecundario")).alias("precio_secundario"), r("monedaSecundaria").alias("moneda_secundaria"), decimal_of(r("m2T")).alias("m2t"),

@@ -117,6 +117,35 @@ def test_segments_end_where_pages_repeat(spark):
     assert one.superficie_m2 == 20_000 and one.departamento == "a]\\" and one.url is None
 
 
+def read_in_order(pages):
+    """The ids that a loop over segments and pages keeps; pages: {(segment, page): ids}."""
+    kept, ended, before, now = [], False, None, None
+    for (segment, _), ids in sorted(pages.items()):
+        if segment != now:
+            now, ended, before = segment, False, None
+        if ended or not ids or ids == before:
+            ended = True
+            continue
+        new = [i for i in dict.fromkeys(ids) if i not in kept]
+        kept += new
+        before, ended = ids, not new
+    return kept
+
+
+def test_pages_behind_an_end_count_for_nothing(spark):
+    html = lambda ids: "x propiedades: " + json.dumps([{"id": i} for i in ids])
+    cases = [{(0, 1): ["a", "b"], (0, 2): ["b", "a"], (0, 3): ["z", "y"], (1, 1): ["z", "y"], (1, 2): ["q"]}]
+    r = random.Random(6)
+    for _ in range(4):
+        cases.append({(s, p): [r.choice("abcdefghijklmnop") for _ in range(r.choice([0, 1, 2, 2, 3, 3]))] for s in range(9) for p in range(8)})
+    # A chain: each segment's second page is new only if the one before it ended early.
+    cases.append({(s, p): ids for s in range(12) for p, ids in enumerate([[f"x{s}"], [f"x{s}"] if s == 0 else [f"c{s - 1}"], [f"c{s}"]])})
+    assert read_in_order(cases[0]) == ["a", "b", "z", "y", "q"]
+    for pages in cases:
+        rows = spark.createDataFrame([(s, p, html(ids)) for (s, p), ids in pages.items()], "segment int, page int, html string")
+        assert sorted(x.id_externo for x in portals.segment_records(rows).collect()) == sorted(read_in_order(pages))
+
+
 def test_brackets_in_strings():
     assert pages.bracketed('a m: x["b]\\"]", [1]] c', "m:") == '["b]\\"]", [1]]'
     assert pages.bracketed("m: [1, [2]", "m:") is None and pages.bracketed("none", "m:") is None and pages.bracketed(None, "m:") is None
