@@ -300,6 +300,26 @@ def _(spark, d):
 
 
 # Storing.
+_TABLE = """SELECT id, name, lat, lng, category, CASE WHEN id % 6 = 0 THEN concat('p', CAST(id AS STRING)) END AS google_place_id, CASE WHEN id % 6 = 2 THEN concat('u', CAST(id AS STRING)) END AS source_url, id % 5 <> 0 AS is_active FROM {b} WHERE id % 2 = 0"""
+#: A third of the rows shares the place ids of stored rows, a third shares new urls among itself, a third has names only.
+_BATCH = """SELECT id AS seq, CASE WHEN id % 3 = 2 THEN upper(name) ELSE concat(name, ' x') END AS name, lat, lng, concat('c', CAST(id AS STRING)) AS category, CASE WHEN id % 3 = 0 THEN concat('p', CAST(id - id % 12 AS STRING)) END AS google_place_id, CASE WHEN id % 3 = 1 THEN concat('n', CAST(floor(id / 7) AS STRING)) END AS source_url FROM {b} WHERE id >= 12"""
+
+
+@query(
+    "merge_upsert",
+    f"""WITH s AS ({_TABLE.format(b=oracle('business'))}), n AS ({_BATCH.format(b=oracle('business')).replace("CAST(floor(id / 7) AS STRING)", "CAST(CAST(floor(id / 7) AS BIGINT) AS STRING)")}),
+ m AS (SELECT n.*, CASE seq % 3 WHEN 0 THEN CASE WHEN p.is_active THEN p.id END WHEN 2 THEN q.id END AS hit, CASE seq % 3 WHEN 0 THEN NULL WHEN 1 THEN min(seq) OVER (PARTITION BY n.source_url) ELSE seq END AS made
+  FROM n LEFT JOIN s p ON p.google_place_id = n.google_place_id LEFT JOIN s q ON q.is_active AND seq % 3 = 2 AND q.id = seq),
+ u AS (SELECT hit, max_by(category, seq) AS category FROM m WHERE hit IS NOT NULL GROUP BY hit), f AS (SELECT made, min_by(name, seq) AS name, max_by(category, seq) AS category, any_value(source_url) AS source_url FROM m WHERE hit IS NULL AND made IS NOT NULL GROUP BY made)
+ SELECT id, name, coalesce(u.category, s.category) AS category, google_place_id, source_url, is_active FROM s LEFT JOIN u ON u.hit = s.id
+ UNION ALL SELECT (SELECT max(id) FROM s) + row_number() OVER (ORDER BY made), name, category, NULL, source_url, true FROM f""",
+)
+def _(spark, d):
+    load(spark, d, "business").createOrReplaceTempView("plumbline_business")
+    stored, incoming = (spark.sql(x.format(b="plumbline_business")) for x in (_TABLE, _BATCH))
+    return merge.upsert(stored, incoming).select("id", "name", "category", "google_place_id", "source_url", "is_active")
+
+
 @query("exists_similar", f"SELECT id AS seq, EXISTS (SELECT 1 FROM {oracle('business')} s WHERE s.is_active AND lower(s.name) = lower(n.name)) AS known FROM (SELECT id, CASE WHEN id % 3 = 0 THEN upper(name) WHEN id % 3 = 1 THEN concat(name, '!') ELSE name END AS name FROM {oracle('business')}) n")
 def _(spark, d):
     b = load(spark, d, "business")

@@ -532,7 +532,7 @@ def _(spark, d):
     stream = spark.sql(TABLES["task_event"].replace("{events}", "plumbline_events"))
     q = steps.ledger(stream, f"{work}/out", f"{work}/checkpoint")
     q.awaitTermination()
-    return steps.ledger_state(spark, f"{work}/out", q.lastProgress["batchId"])
+    return steps.ledger_state(spark, f"{work}/out")
 
 
 @query("ext_tumbling_events", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -5,10 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.checkpoints import cut
+from ..operators.order import numbered
 
 TASK_SCHEMA = "grid_cell struct<lat_max: double, lat_min: double, lng_max: double, lng_min: double>, category string, depth int, retry_count int, priority double"
 POPULATION_SCHEMA = "longitude double, latitude double, population double"
@@ -96,17 +95,11 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def shards(tasks: DataFrame, order: list[str], n: int, contiguous: bool = False) -> DataFrame:
-    """Adds ``shard``: round robin over the order, or contiguous parts of which the first are the larger.
-
-    Rows are sorted in ranges and numbered within them; a range's offset is the count of those before it, so no task sees all rows.
-    """
-    ranged = cut(tasks.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # a row for each range
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("_total", F.sum("_n").over(W.partitionBy()))
-    numbered = ranged.join(F.broadcast(before.drop("_n")), "_range").withColumn("_i", F.col("_before") + F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1)
+    """Adds ``shard``: round robin over the order, or contiguous parts of which the first are the larger."""
+    numbers = numbered(tasks, order, total="_total")
     small, more = F.floor(F.col("_total") / n), F.col("_total") % n
     part = F.when(F.col("_i") < more * (small + 1), F.floor(F.col("_i") / (small + 1))).otherwise(more + F.floor((F.col("_i") - more * (small + 1)) / F.nullif(small, F.lit(0))))
-    return numbered.withColumn("shard", (part if contiguous else F.col("_i") % n).cast("int")).select(*tasks.columns, "shard")
+    return numbers.withColumn("shard", (part if contiguous else F.col("_i") % n).cast("int")).select(*tasks.columns, "shard")
 
 
 def publish(df: DataFrame, path: str, by: str | None = None) -> None:

@@ -115,7 +115,7 @@ def test_merge_goldens(spark):
     incoming = spark.createDataFrame([(1, "other", 10.0, 10.0, None, "p1", "u9"), (2, "B2", 11.0, 11.0, "q", None, "u2"), (3, "c", near - 1e-9, -57.0, "w", "p3", None), (4, "c", far, -57.0, "n", None, None)], schema.replace("id int", "seq int"))
     got = {r.id: r for r in merge.upsert(stored, incoming).collect()}
     assert (got[1].name, got[1].category, got[1].source_url, got[1].google_place_id) == ("A", None, "u9", "p1")
-    assert got[2].category == "q" and got[3].google_place_id == "p3" and got[7].name == "c" and len(got) == 4
+    assert got[2].category == "q" and got[3].google_place_id == "p3" and got[4].name == "c" and len(got) == 4
     by_name = merge.match_tiers(stored, incoming, metres=None)
     assert {(r.seq, r.id) for r in by_name.collect()} == {(1, 1), (2, 2), (3, 3), (4, 3)}
 

@@ -214,16 +214,41 @@ def test_texts(spark):
 
 
 def test_stream_into_the_stored_table(spark, tmp_path):
+    """Three runs of one query, each a restart from the checkpoint; a batch that failed half-way is repeated."""
     raw = "seq long, name string, lat string, lng string, category string, source_url string"
-    for k, rows in enumerate(([(1, "A", "1", "1", "x", "u1"), (2, "a", "1", "1", "x", None), (3, " ", "1", "1", None, None)], [(4, "B", "1", "1", "x", "u1"), (5, "C", None, None, "x", "/@2.5,3.5,17z")])):
-        spark.createDataFrame(rows, raw).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{k}")
+    batches = [
+        [(1, "A", "1", "1", "x", "https://e/a1"), (2, "a", "1", "1", "x", None), (3, " ", "1", "1", None, None)], [(4, "B", "1", "1", "x", "https://e/b1"), (5, "C", None, None, "x", "/@2.5,3.5,17z")],
+        [(6, "Other", "5", "5", "new", "https://e/b1"), (7, "A", "1", "1", "later", None), (8, "D", "9", "9", "x", "https://e/d1"), (9, "E", "9", "9", "y", "https://e/d1")],
+    ]
     empty = spark.createDataFrame([], "id long, name string, lat double, lng double, category string, source_url string, google_place_id string")
-    for k in range(2):  # the second run resumes where the first one ended
-        stream = spark.readStream.schema(raw).parquet(f"{tmp_path}/in/{k}" if k == 0 else f"{tmp_path}/in/*")
-        q = steps.storage_batches(steps.normalise_stream(stream), f"{tmp_path}/out{k}", f"{tmp_path}/check{k}", empty)
-        q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out0/v0")
-    assert [(r.name, r.lat) for r in got.collect()] == [("A", 1.0)]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, raw).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        if k == 2:  # what a run that was killed while it wrote would leave
+            (tmp_path / "out" / f"changes={k}").mkdir()
+            (tmp_path / "out" / f"changes={k}" / "part-0.parquet").write_bytes(b"half")
+        stream = spark.readStream.schema(raw).parquet(f"{tmp_path}/in/*")
+        steps.storage_batches(steps.normalise_stream(stream), f"{tmp_path}/out", f"{tmp_path}/check", empty, gather=2).awaitTermination()
+        got = {r.name: (r.id, r.category, r.source_url) for r in steps.stored_rows(spark, f"{tmp_path}/out", empty).collect()}
+        assert got.keys() == [{"A"}, {"A", "B", "C"}, {"A", "B", "C", "D"}][k]
+    assert got["B"] == (2, "new", "https://e/b1") and got["A"][:2] == (1, "later") and got["D"] == (4, "y", "https://e/d1")
+    assert (tmp_path / "out" / "whole=1").exists() and len(list((tmp_path / "out" / "changes=2").glob("*.parquet"))) >= 1
+
+
+def test_stream_ledger_resumes(spark, tmp_path):
+    """The state after each restart is that of all events so far."""
+    schema = "seq long, task string, status string, results_count long"
+    r = random.Random(2)
+    events = [(k, f"t{r.randrange(9)}", r.choice(["pending", "in_progress", "completed", "failed"]), r.randrange(50)) for k in range(90)]
+    for k in range(3):
+        spark.createDataFrame(events[30 * k : 30 * k + 30], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        steps.ledger(stream, f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+        expected = merge.task_state(spark.createDataFrame(events[: 30 * k + 30], schema))
+        state = steps.ledger_state(spark, f"{tmp_path}/out")
+        assert sorted(map(tuple, state.collect())) == sorted(map(tuple, expected.collect()))
+    tasks = spark.createDataFrame([(f"t{k}",) for k in range(12)], "task string")
+    done = {r.task for r in state.collect() if r.status == "completed"}
+    assert {r.task for r in steps.unfinished(tasks, state).collect()} == {f"t{k}" for k in range(12)} - done
 
 
 def test_quarantine_and_known(spark):
