@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.geo import DEGREE_M, RADIUS_M, haversine_m
 from .checkpoints import cut
-from .spatial import radius_join
+from .lookup import MOST_ROWS
 
 
 def first_by(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -20,31 +23,60 @@ def dedup_exact_name(df: DataFrame, name: str = "name", seq: str = "id") -> Data
     return first_by(df, [F.lower(F.trim(F.col(name)))], [F.length(name).desc(), seq])
 
 
+def _tiles(df: DataFrame, metres: float, lat: str, lng: str) -> DataFrame:
+    """Adds the tile (ty, tx) of a point: so small that any two points in one are nearer to each other than ``metres``."""
+    height = metres / DEGREE_M / math.sqrt(2) * 0.999
+    row = F.floor(F.col(lat) / height)
+    return df.withColumn("ty", row).withColumn("tx", F.floor((F.col(lng) + 180.0) / 360.0 * _tiles_of(row, height)).cast("bigint"))
+
+
+def _tiles_of(row: Column, height: float) -> Column:
+    """Tiles of a row around the globe: none is wider at its wide end than a tile is high."""
+    wide = F.cos(F.radians(F.least(F.when(row >= 0, row * height).otherwise(-(row + 1) * height), F.lit(90.0))))
+    return F.greatest(F.ceil(360.0 * wide / height), F.lit(1)).cast("bigint")
+
+
+#: More than there are tiles near one, but for the poles, where a row has few.
+NEAR_TILES = 40
+
+
+def _with_near_tiles(df: DataFrame, metres: float) -> DataFrame:
+    """A row for each tile (ty, tx) that has points within ``metres`` of some place in the row's own tile; some thirty of them."""
+    height = metres / DEGREE_M / math.sqrt(2) * 0.999
+    sine = math.sin(min(math.pi / 2, metres / RADIUS_M / 2))
+    rows = df.withColumn("_own", _tiles_of(F.col("ty"), height)).withColumn("_y", F.explode(F.sequence(F.col("ty") - 2, F.col("ty") + 2)))
+    far = F.least(F.greatest(F.abs("ty"), F.abs(F.col("ty") + 1), F.abs("_y"), F.abs(F.col("_y") + 1)) * height, F.lit(90.0))
+    rows = rows.withColumn("_n", _tiles_of(F.col("_y"), height)).withColumn("_reach", F.degrees(2 * F.asin(F.least(sine / F.greatest(F.cos(F.radians(far)), F.lit(1e-12)), F.lit(1.0)))) * 1.001)
+    rows = rows.withColumn("_a", F.floor((F.col("tx") * 360.0 / F.col("_own") - F.col("_reach")) / 360.0 * F.col("_n"))).withColumn("_b", F.floor(((F.col("tx") + 1) * 360.0 / F.col("_own") + F.col("_reach")) / 360.0 * F.col("_n")))
+    rows = rows.withColumn("_x", F.explode(F.sequence(F.col("_a"), F.least("_b", F.col("_a") + F.col("_n") - 1))))
+    return rows.withColumn("ty", F.col("_y")).withColumn("tx", F.pmod("_x", "_n")).select(*df.columns)
+
+
 def proximity_clusters(df: DataFrame, metres: float, seq: str = "id", lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """(seq, seed) by the greedy rule: in order of seq, a row that no seed is nearer to than ``metres`` is a seed itself;
-    any other joins its first seed.
+    """(seq, seed) by the greedy rule: in order of seq (unique), a row that no earlier seed is nearer to than ``metres`` is a seed itself;
+    any other joins its first seed. Rows without coordinates are seeds.
 
-    That is the lexicographically first independent set of the neighbour graph, which rounds find in
-    parallel: a row becomes a seed when all its earlier neighbours are absorbed.
+    Rounds find the seeds in parallel: the first open row of a tile is a seed if no tile around has an earlier one, and rows near a new seed are settled. Rows are compared
+    to seeds only, of which a tile holds one at most, so the work grows with the rows however dense they lie, and no list of neighbours is made. There are as many rounds as
+    the longest chain of ever earlier neighbours, a few for ids that don't follow the map.
     """
-    points = df.select(F.col(seq).alias("hi"), F.col(lat).alias("lat"), F.col(lng).alias("lng"))
-    other = df.select(F.col(seq).alias("lo"), F.col(lat).alias("r_lat"), F.col(lng).alias("r_lng"))
-    edges = cut(radius_join(points, other, metres).where((F.col("lo") < F.col("hi")) & (F.col("distance_m") < metres)).select("lo", "hi").distinct())
-    open_ = cut(edges.select(F.col("hi").alias("v")).union(edges.select("lo")).distinct())
-    # Whoever has no neighbour is a seed at once.
-    seeds, gone = None, None
+    points = _tiles(df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(F.col(seq).alias("v"), F.col(lat).cast("double").alias("lat"), F.col(lng).cast("double").alias("lng")), metres, "lat", "lng")
+    reach = lambda some, n: (F.broadcast if NEAR_TILES * n <= MOST_ROWS else lambda df: df)(_with_near_tiles(some.select("ty", "tx", F.col("v").alias("seed"), F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng")), metres))
+    open_, seeds, found = cut(points), None, 0
     while not open_.isEmpty():
-        live = edges.join(open_.withColumnRenamed("v", "hi"), "hi").join(open_.withColumnRenamed("v", "lo"), "lo").select("lo", "hi")
-        new = cut(open_.join(live.select(F.col("hi").alias("v")), "v", "left_anti"))
-        absorbed = live.join(new.withColumnRenamed("v", "lo"), "lo", "left_semi").select(F.col("hi").alias("v")).distinct()
-        absorbed = cut(absorbed.join(new, "v", "left_anti"))
-        seeds = new if seeds is None else seeds.union(new)
-        gone = absorbed if gone is None else gone.union(absorbed)
-        open_ = cut(open_.join(new, "v", "left_anti").join(absorbed, "v", "left_anti"))
+        firsts = open_.groupBy("ty", "tx").agg(F.min(F.struct("v", "lat", "lng")).alias("p")).select("ty", "tx", "p.*")
+        around = _with_near_tiles(firsts.select("ty", "tx", "v"), metres).groupBy("ty", "tx").agg(F.min("v").alias("least"))
+        new = cut(firsts.join(around, ["ty", "tx"]).where(F.col("v") == F.col("least")).drop("least"))
+        seeds = new if seeds is None else seeds.unionByName(new)
+        n = new.count()
+        found += n
+        near = open_.join(reach(new, n), ["ty", "tx"]).where((F.col("v") == F.col("seed")) | (haversine_m("lat", "lng", "s_lat", "s_lng") < metres)).select("v").distinct()
+        open_ = cut(open_.join(near, "v", "left_anti"))
     ids = df.select(F.col(seq).alias("v"))
-    if gone is None:
+    if seeds is None:
         return ids.select(F.col("v").alias(seq), F.col("v").alias("seed"))
-    joined = edges.join(seeds.withColumnRenamed("v", "lo"), "lo", "left_semi").join(gone.withColumnRenamed("v", "hi"), "hi", "left_semi").groupBy("hi").agg(F.min("lo").alias("seed"))
+    near = points.join(reach(seeds, found), ["ty", "tx"]).where((F.col("seed") < F.col("v")) & (haversine_m("lat", "lng", "s_lat", "s_lng") < metres))
+    joined = near.groupBy(F.col("v").alias("hi")).agg(F.min("seed").alias("seed"))
     return ids.join(joined, F.col("v") == F.col("hi"), "left").select(F.col("v").alias(seq), F.coalesce("seed", "v").alias("seed"))
 
 

@@ -393,7 +393,14 @@ def _(spark, d):
     return dedup.dedup_exact_name(load(spark, d, "part_name")).select("id", "name")
 
 
-@query("dedup_proximity")
+#: One row after another, with the list of seeds so far; a row joins the first one that is near.
+_GREEDY = f"""(WITH RECURSIVE b AS (SELECT id, name, lat, lng, row_number() OVER (ORDER BY id) AS i FROM {oracle('business')}), g AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS id, CAST(NULL AS BIGINT) AS seed, CAST([] AS STRUCT(id BIGINT, lat DOUBLE, lng DOUBLE)[]) AS seeds
+ UNION ALL SELECT i, id, coalesce(hit, id), CASE WHEN hit IS NULL THEN list_append(seeds, {{'id': id, 'lat': lat, 'lng': lng}}) ELSE seeds END FROM
+  (SELECT b.i AS i, CAST(b.id AS BIGINT) AS id, b.lat AS lat, b.lng AS lng, g.seeds AS seeds, list_filter(g.seeds, lambda s: {hav('s.lat', 's.lng', 'b.lat', 'b.lng')} < 12000)[1].id AS hit FROM g JOIN b ON b.i = g.i + 1))
+ SELECT g.id AS id, g.seed AS seed, b.name AS name FROM g JOIN b ON b.id = g.id)"""
+
+
+@query("dedup_proximity", f"SELECT id, name FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY length(name) DESC, id) AS k FROM {_GREEDY}) WHERE k = 1")
 def _(spark, d):
     return dedup.dedup_proximity(load(spark, d, "business"), 12_000.0).select("id", "name")
 

@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -184,3 +185,26 @@ def test_price_model(spark):
     got = model.cross_validate(rows, "price", ("a", "b"), folds=3, trees=10).first()
     assert got.r2 > 0.8
     assert model.permutation_importance(fitted, rows, "price", ("a", "b"))[0][0] == "a"
+
+
+def test_greedy_proximity_anywhere_and_dense(spark):
+    r = random.Random(12)
+    spots = [(0, 0), (70, 10), (-70, 179.999), (89.999, 0), (-89.9995, 90), (10, 180), (45, 179.9995)]
+    pts = [(k, max(-90.0, min(90.0, y + r.uniform(-0.01, 0.01))), (x + r.uniform(-0.01, 0.01) + 180) % 360 - 180) for k, (y, x) in enumerate(spots * 25)]
+    pts += [(1000 + k, 5.0, 5.0 + 1e-7 * k) for k in range(300)]  # one dense spot
+    r.shuffle(pts)
+    seeds, own = [], {}
+    for i, a, o in sorted(pts):
+        near = [s for s, b, p in seeds if distance(a, o, b, p) < 400]
+        own[i] = near[0] if near else i
+        seeds += [] if near else [(i, a, o)]
+    df = spark.createDataFrame([*pts, (5000, None, 1.0)], "id int, lat double, lng double")
+    assert {x.id: x.seed for x in dedup.proximity_clusters(df, 400.0).collect()} == {**own, 5000: 5000}
+    assert dedup.proximity_clusters(df.limit(0), 400.0).count() == 0
+
+
+def test_deduplicate_by_name_then_place(spark):
+    step = 40 / geo.DEGREE_M
+    rows = [(1, "Bar", -25.0, -57.0), (2, " bar ", 10.0, 10.0), (3, "Longer bar", -25.0 + step, -57.0), (4, "c", 30.0, 30.0)]
+    df = spark.createDataFrame(rows, "id int, name string, lat double, lng double")
+    assert sorted(x.id for x in dedup.deduplicate(df).collect()) == [2, 3, 4]
