@@ -10,6 +10,7 @@ Boxes and polygons meet on a grid of levels: each stands in at most four cells o
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -65,22 +66,103 @@ def _on_sphere(lat: str, lng: str, prefix: str) -> dict[str, Column]:
     return {f"{prefix}x": F.cos(phi) * F.cos(lam), f"{prefix}y": F.cos(phi) * F.sin(lam), f"{prefix}z": F.sin(phi)}
 
 
-def radius_sums(left: DataFrame, right: DataFrame, key: str, sums: dict[str, tuple[Column, float]], left_at=("lat", "lng"), right_at=("r_lat", "r_lng"), explode: str = "left") -> DataFrame:
-    """For each left row the sums of right values within several radii, from one join at the largest; 0 where nothing is near.
+#: Points of a cell of a quarter of the reach, as a point sees them on average, up to which pairs of points are cheaper than sums of cells; and of a leaf of the cells.
+DIRECT, LEAF_POINTS = 16, 64
+#: Cells of a level stand side by side in those of the next one, FAN by FAN; there are LEVELS_MOST levels at most.
+FAN, LEVELS_MOST = 8, 5
+#: Metres that a cell must keep from a circle's edge to count as whole or outside.
+MARGIN_M = 1e-6
 
-    Pairs are compared by their chords through the sphere, which takes no trigonometry for a pair.
+
+def _cell_pyramid(points: DataFrame, sums: list[str], reach: float) -> tuple[list[DataFrame], DataFrame, float]:
+    """The levels of cells over points of distinct places, coarse first, the points with the cells they lie in, and the crowd of the first level.
+
+    A cell (its middle in the grid, not among its points) knows its points' sums and the greatest distance of any from the middle.
+    """
+    high = reach / 4 / DEGREE_M
+    row0 = F.floor(F.col("r_lat") / high)
+    columns0 = F.greatest(F.ceil(360.0 * F.cos(F.radians(F.least(F.when(row0 >= 0, row0 * high).otherwise(-(row0 + 1) * high), F.lit(90.0)))) / high), F.lit(1)).cast("bigint")
+    placed = points.withColumn("_n0", columns0)
+
+    def at(level: int) -> tuple[Column, Column]:
+        fan = FAN**level
+        return F.floor(F.col("r_lat") / (high / fan)).cast("bigint"), F.floor((F.col("r_lng") + 180.0) / 360.0 * (F.col("_n0") * fan)).cast("bigint")
+
+    levels, crowd0 = [], 0.0
+    for level in range(LEVELS_MOST):
+        y, x = at(level)
+        placed = placed.withColumn(f"_c{level}", F.struct(y.alias("y"), x.alias("x"), F.col("_n0").alias("n")))
+        fan = FAN**level
+        own = F.col(f"_c{level}")
+        middle = placed.withColumn("m_lat", F.least(F.greatest((own["y"] + 0.5) * (high / fan), F.lit(-90.0)), F.lit(90.0))).withColumn("m_lng", (own["x"] + 0.5) / (own["n"] * fan) * 360.0 - 180.0)
+        up = [F.first(f"_c{level - 1}").alias("up")] if level else []
+        cells = cut(middle.groupBy(own.alias("cell")).agg(F.first("m_lat").alias("m_lat"), F.first("m_lng").alias("m_lng"), F.max(haversine_m("r_lat", "r_lng", "m_lat", "m_lng")).alias("wide"), F.count("*").alias("n"), *up, *(F.sum(c).alias(c) for c in sums)))
+        crowd = cells.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0.0
+        crowd0 = crowd if not level else crowd0
+        levels.append(cells.drop("n"))
+        if crowd <= (LEAF_POINTS if level else DIRECT):
+            break
+    return levels, placed, crowd0
+
+
+def radius_sums(left: DataFrame, right: DataFrame, sums: dict[str, tuple[Column, float]], left_at=("lat", "lng"), right_at=("r_lat", "r_lng")) -> DataFrame:
+    """For each left row the sums of right values within several radii; 0 where nothing is near or the row has no coordinates. Rows may be repeated.
+
+    Sums are taken for distinct places of the left side and of distinct places of the right side. Where the right points lie thinly, pairs within the largest radius are formed
+    in buckets, the smaller side dealt to the buckets around. Where they lie densely, a pyramid of cells is descended: a cell wholly within a circle adds its
+    sum, one outside nothing, and only cells that a circle's edge crosses give way to the cells within, down to points. So the work for a place follows its circles' edges
+    and not the number of points. Which of the two it is goes by how many points a cell holds on average.
     sums: result column -> (value, metres).
     """
-    metres = max(m for _, m in sums.values())
-    squared = lambda m: (2 * math.sin(min(math.pi / 2, m / RADIUS_M / 2))) ** 2
-    names = {name: f"_v{k}" for k, name in enumerate(sums)}
-    a = left.select(F.col(key), *left_at).withColumns(_on_sphere(*left_at, "_l"))
-    b = right.select(*right_at, *(v.alias(names[n]) for n, (v, _) in sums.items())).withColumns(_on_sphere(*right_at, "_r"))
-    near = _paired(a, b, metres, left_at, right_at, explode)
+    metres, radii, names = max(m for _, m in sums.values()), [m for _, m in sums.values()], [f"_v{k}" for k in range(len(sums))]
+    places = cut(left.select(F.col(left_at[0]).alias("lat"), F.col(left_at[1]).alias("lng")).where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).distinct())
+    points = right.select(F.col(right_at[0]).alias("r_lat"), F.col(right_at[1]).alias("r_lng"), *(v.alias(n) for n, (v, _) in zip(names, sums.values()))).where(F.col("r_lat").isNotNull() & F.col("r_lng").isNotNull())
+    points = cut(points.groupBy("r_lat", "r_lng").agg(*(F.sum(n).alias(n) for n in names)))
+    levels, placed, crowd = _cell_pyramid(points, names, metres)
+    parts = [_pair_sums(places, points, names, radii, metres)] if crowd <= DIRECT else _descended(places, levels, placed, names, radii, metres)
+    got = functools.reduce(DataFrame.unionByName, parts)
+    got = got.groupBy(F.col("lat").alias("_lat"), F.col("lng").alias("_lng")).agg(*(F.sum(n).alias(n) for n in names))
+    kept = left.join(got, (F.col(left_at[0]) == F.col("_lat")) & (F.col(left_at[1]) == F.col("_lng")), "left")
+    return kept.select(*(left[c] for c in left.columns), *(F.coalesce(n, F.lit(0)).alias(name) for n, name in zip(names, sums)))
+
+
+def _chord(metres: float) -> float:
+    """The squared chord through the unit sphere that spans so many metres."""
+    return (2 * math.sin(min(math.pi / 2, metres / RADIUS_M / 2))) ** 2
+
+
+def _pair_sums(places: DataFrame, points: DataFrame, names: list[str], radii: list[float], metres: float) -> DataFrame:
+    """The sums from pairs of points, which are compared by their chords; that takes no trigonometry for a pair."""
+    side = "left" if places.count() <= points.count() else "right"
+    a = _buckets(places.withColumns(_on_sphere("lat", "lng", "_l")), "lat", "lng", metres, side == "left")
+    b = _buckets(points.withColumns(_on_sphere("r_lat", "r_lng", "_r")), "r_lat", "r_lng", metres, side == "right")
+    # A merge join reads a bucket's points in a row and keeps a place's pairs together, which a hashed relation of this size doesn't.
+    near = a.hint("merge").join(b.drop("r_lat", "r_lng"), ["_by", "_bx"])
     chord = sum(((F.col(f"_l{c}") - F.col(f"_r{c}")) * (F.col(f"_l{c}") - F.col(f"_r{c}")) for c in "xyz"), F.lit(0.0))
-    near = near.withColumn("_d", chord).where(F.col("_d") <= squared(metres))
-    got = near.groupBy(key).agg(*(F.sum(F.when(F.col("_d") <= squared(m), F.col(names[name]))).alias(name) for name, (_, m) in sums.items()))
-    return left.join(got, key, "left").select(*left.columns, *(F.coalesce(name, F.lit(0)).alias(name) for name in sums))
+    near = near.withColumn("_d", chord).where(F.col("_d") <= _chord(metres))
+    return near.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col("_d") <= _chord(m), F.col(n))).alias(n) for n, m in zip(names, radii)))
+
+
+def _descended(places: DataFrame, levels: list[DataFrame], placed: DataFrame, names: list[str], radii: list[float], metres: float) -> list[DataFrame]:
+    """The sums of whole cells of each level, and of the points in what remains."""
+    parts, rest = [], None
+    for level, cells in enumerate(levels):
+        if level:
+            met = rest.join(cells.withColumnRenamed("up", "_up"), F.col("_cell") == F.col("_up")).drop("_cell", "_up")
+        else:
+            wide = cells.agg(F.max("wide")).first()[0]
+            met = _paired(places, cells, metres + wide + 1.0, ("lat", "lng"), ("m_lat", "m_lng"), "left").withColumns({f"_open{k}": F.lit(True) for k in range(len(radii))})
+        met = met.withColumn("_d", haversine_m("lat", "lng", "m_lat", "m_lng"))
+        whole = [F.col(f"_open{k}") & (F.col("_d") + F.col("wide") <= m - MARGIN_M) for k, m in enumerate(radii)]
+        crossed = [F.col(f"_open{k}") & (F.col("_d") + F.col("wide") > m - MARGIN_M) & (F.col("_d") - F.col("wide") <= m + MARGIN_M) for k, m in enumerate(radii)]
+        met = cut(met.select("lat", "lng", "cell", *names, *(w.alias(f"_whole{k}") for k, w in enumerate(whole)), *(c.alias(f"_open{k}") for k, c in enumerate(crossed))).where(functools.reduce(lambda p, q: p | q, [F.col(f"_{w}{k}") for k in range(len(radii)) for w in ("whole", "open")])))
+        parts.append(met.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col(f"_whole{k}"), F.col(n))).alias(n) for k, n in enumerate(names))))
+        rest = met.where(functools.reduce(lambda p, q: p | q, [F.col(f"_open{k}") for k in range(len(radii))])).select("lat", "lng", F.col("cell").alias("_cell"), *(f"_open{k}" for k in range(len(radii))))
+    last = placed.select(F.col(f"_c{len(levels) - 1}").alias("_leaf"), "r_lat", "r_lng", *names)
+    near = rest.join(last, F.col("_cell") == F.col("_leaf"))
+    far = sum(((a - b) * (a - b) for a, b in zip(_on_sphere("lat", "lng", "").values(), _on_sphere("r_lat", "r_lng", "").values())), F.lit(0.0))
+    near = near.withColumn("_d", far)
+    return [*parts, near.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col(f"_open{k}") & (F.col("_d") <= _chord(m)), F.col(n))).alias(n) for k, (n, m) in enumerate(zip(names, radii))))]
 
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, metres: float, id_col: str, carry: tuple[str, ...], **where) -> DataFrame:

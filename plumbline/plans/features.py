@@ -44,12 +44,12 @@ def layer_features(representatives: DataFrame, layers: dict[str, DataFrame]) ->
 
 def population_radii(listings: DataFrame, cells: DataFrame) -> DataFrame:
     right = cells.select("population", F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-    return radius_sums(listings, right, "id", {f"pob_{int(m)}": (F.col("population"), m) for m in RADII})
+    return radius_sums(listings, right, {f"pob_{int(m)}": (F.col("population"), m) for m in RADII})
 
 
 def business_radii(listings: DataFrame, business: DataFrame) -> DataFrame:
     right = business.where("is_active").select(F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-    return radius_sums(listings, right, "id", {f"neg_{int(m)}": (F.lit(1).cast("bigint"), m) for m in RADII})
+    return radius_sums(listings, right, {f"neg_{int(m)}": (F.lit(1).cast("bigint"), m) for m in RADII})
 
 
 def listing_features(listings: DataFrame, cells: DataFrame, business: DataFrame, by_cell: DataFrame, centre: tuple[float, float]) -> DataFrame:

@@ -34,12 +34,27 @@ def test_radius_join_anywhere(spark, globe, reach, side):
     right = left.selectExpr("id r_id", "lat r_lat", "lng r_lng")
     got = {(r.id, r.r_id) for r in spatial.radius_join(left, right, reach, explode=side).collect()}
     assert got == {(a[0], b[0]) for a in globe for b in globe if metres(*a[1:], *b[1:]) <= reach}
-    sums = spatial.radius_sums(left, right, "id", {"near": (F.lit(1), reach / 2), "all": (F.col("r_id"), reach)}, explode=side).collect()
+    sums = spatial.radius_sums(left.unionAll(left), right, {"near": (F.lit(1), reach / 2), "all": (F.col("r_id"), reach)}).collect()
+    assert len(sums) == 2 * (len(globe) + 1)  # repeated rows have the same sums each
     for r in sums:
         own = [(b[0], metres(r.lat, r.lng, *b[1:])) for b in globe] if r.lat is not None else []
         assert r.near == sum(m <= reach / 2 for _, m in own) and r["all"] == sum(k for k, m in own if m <= reach)
 
 
+@pytest.mark.parametrize("direct, leaf", [(1e9, 64), (0, 64), (0, 2)])
+def test_radius_sums_by_pairs_and_by_cells(spark, globe, monkeypatch, direct, leaf):
+    monkeypatch.setattr(spatial, "DIRECT", direct)
+    monkeypatch.setattr(spatial, "LEAF_POINTS", leaf)
+    r = random.Random(5)
+    dense = [(1000 + k, 5 + r.gauss(0, 0.01), 5 + r.gauss(0, 0.01)) for k in range(600)] + [(2000 + k, 5.0, 5.0) for k in range(50)] + [*globe]
+    left = [*globe, *dense[::20], (900, None, 1.0)]
+    got = spatial.radius_sums(spark.createDataFrame(left, "id int, lat double, lng double"), spark.createDataFrame(dense, "v int, r_lat double, r_lng double"), {"a": (F.lit(1), 300.0), "b": (F.col("v"), 900.0), "c": (F.col("v"), 2500.0)}).collect()
+    assert len(got) == len(left)
+    for x in got:
+        own = [(v, metres(x.lat, x.lng, y, z)) for v, y, z in dense] if x.lat is not None else []
+        assert (x.a, x.b, x.c) == (sum(m <= 300 for _, m in own), sum(v for v, m in own if m <= 900), sum(v for v, m in own if m <= 2500)), x
+
+
 def test_knn_is_complete_however_far(spark, globe):
     points = spark.createDataFrame(globe, "p int, r_lat double, r_lng double")
     queries = spark.createDataFrame([(1, 0.0, 100.0), (2, 10.0, -179.99)], "q int, lat double, lng double")
