@@ -44,3 +44,19 @@ def bounds(rings: Column) -> Column:
     """struct(x0, y0, x1, y1) around all paths."""
     axis = lambda f: F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p[f])))
     return F.struct(F.array_min(axis("x")).alias("x0"), F.array_min(axis("y")).alias("y0"), F.array_max(axis("x")).alias("x1"), F.array_max(axis("y")).alias("y1"))
+
+
+def area(rings: Column) -> Column:
+    """Area in squared degrees of a polygon or multipolygon: rings add up, those at an odd depth within others are holes and count off."""
+
+    def own(ring: Column) -> Column:
+        twice = F.aggregate(F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]), F.lit(0.0), lambda a, v: a + v)
+        return F.abs(twice) / 2
+
+    def holds(ring: Column, p: Column) -> Column:
+        ends = F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a["x"].alias("x"), a["y"].alias("y"), (b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy")))
+        crossed = F.filter(ends, lambda e: (e["dy"] != 0) & ((e["y"] > p["y"]) != (e["y"] + e["dy"] > p["y"])) & (p["x"] < e["dx"] * (p["y"] - e["y"]) / e["dy"] + e["x"]))
+        return F.size(crossed) % 2 == 1
+
+    signed = F.transform(rings, lambda ring, k: own(ring) * F.when(F.size(F.filter(rings, lambda other, j: (j != k) & holds(other, ring[0]))) % 2 == 1, -1.0).otherwise(1.0))
+    return F.aggregate(signed, F.lit(0.0), lambda a, v: a + v)

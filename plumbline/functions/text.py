@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Letters with marks that the stored function norm() replaces, and their plain forms (fixed values).
@@ -21,6 +21,11 @@ def norm(x: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(F.lower(plain(x)), r"\s+", " ")), F.lit(""))
 
 
+def create_norm(spark: SparkSession, name: str = "norm") -> None:
+    """Makes ``norm`` a temporary function of the session, for use in SQL texts."""
+    spark.sql(rf"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS STRING RETURN nullif(trim(regexp_replace(lower(translate(coalesce(t, ''), '{MARKED}', '{PLAIN}')), r'\s+', ' ')), '')""")
+
+
 def stripped(x: Column) -> Column:
     return F.regexp_replace(x, r"^\s+|\s+$", "")
 
@@ -39,8 +44,8 @@ def unaccented(x: Column) -> Column:
 
 
 def same_name(a: Column, b: Column) -> Column:
-    """Equal but for case and accents; false if either is missing or empty."""
-    return F.coalesce((norm(a) == norm(b)), F.lit(False))
+    """Equal but for case, accents and outer blanks; false if either is missing or empty."""
+    return F.coalesce((F.nullif(unaccented(a), F.lit("")) == unaccented(b)), F.lit(False))
 
 
 def norm_alnum(x: Column) -> Column:

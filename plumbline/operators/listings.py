@@ -40,12 +40,14 @@ def dollarize(listings: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def dollarize_as_of(listings: DataFrame, rates: DataFrame, day: str) -> DataFrame:
-    """Extension: at the latest rate up to each listing's day. Rates (one row a day) and listings meet in one window by day."""
+    """Extension: at the latest rate up to each listing's day. Only the distinct days of both sides (one row a day) meet, in one window; listings join them by equality."""
     from pyspark.sql import Window as W
 
-    known = rates.select(F.col("fecha").alias("_d"), F.col("pyg_por_usd").alias("_r")).withColumn("_to", F.coalesce(F.lead("_d").over(W.orderBy("_d")), F.lit("9999-12-31").cast("date")))
-    joined = listings.join(small(known), (F.col(day) >= F.col("_d")) & (F.col(day) < F.col("_to")), "left")
-    return joined.withColumn("precio_usd", dollars(F.col("precio"), F.col("moneda"), F.col("_r"))).drop("_d", "_r", "_to")
+    days = listings.select(F.col(day).cast("date").alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    known = rates.groupBy(F.col("fecha").alias("_d")).agg(F.max("pyg_por_usd").alias("_r"))
+    both = days.join(known, "_d", "full_outer").withColumn("_r", F.last("_r", ignorenulls=True).over(W.orderBy("_d").rowsBetween(W.unboundedPreceding, 0)))
+    joined = listings.join(small(both), F.col(day).cast("date") == F.col("_d"), "left")
+    return joined.withColumn("precio_usd", dollars(F.col("precio"), F.col("moneda"), F.col("_r"))).drop("_d", "_r")
 
 
 def trim_outliers(df: DataFrame, value: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
@@ -54,9 +56,9 @@ def trim_outliers(df: DataFrame, value: str, low: float = 0.01, high: float = 0.
     return df.join(F.broadcast(bounds)).where((F.col(value) >= F.col("_low")) & (F.col(value) <= F.col("_high"))).drop("_low", "_high")
 
 
-def normalise_operation(x: Column) -> Column:
-    return F.when(x == "renta", "alquiler").otherwise(x)
-
-
-def square_metres(area: Column, unit: Column) -> Column:
-    return F.when(unit == "ha", area * 10_000).otherwise(area)
+def price_summary(rows: DataFrame, by: str = "fuente") -> DataFrame:
+    """Rows, rows with a price in dollars, and least, mean and highest price of each source, with the means of prices named in dollars and of sales."""
+    p = F.col("precio_usd")
+    return rows.groupBy(by).agg(
+        F.count("*").alias("n"), F.count(p).alias("n_usd"), F.min(p).alias("low"), F.avg(p).alias("mean"), F.max(p).alias("high"), F.avg(F.when(F.col("moneda") == "USD", p)).alias("mean_in_usd"), F.avg(F.when(F.col("operacion") == "venta", p)).alias("mean_of_sales")
+    )

@@ -47,8 +47,8 @@ def match_tiers(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres
 class _Group:
     """The rows of one connected group as they are taken in order; what is kept grows with the stored and created rows, not with the incoming ones."""
 
-    def __init__(self, metres: float | None):
-        self.metres = metres
+    def __init__(self, metres: float | None, ignore: bool = False):
+        self.metres, self.ignore = metres, ignore
         self.place: dict = {}
         self.url: dict = {}
         self.names: dict = {}
@@ -87,7 +87,7 @@ class _Group:
 
     def take(self, row):
         """(outcome, stored id, creating seq, tier) of an incoming row."""
-        found, tier = self.match(row)
+        found, tier = (None, None) if self.ignore else self.match(row)
         owned = [owners.get(key) for owners, key in ((self.place, row["place"]), (self.url, row["url"])) if key is not None]
         if any(o is not None and o is not found for o in owned):
             return "rejected", None, None, tier
@@ -102,12 +102,13 @@ class _Group:
         return "updated", found["id"], found["made"], tier
 
 
-def resolve(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: float | None = 100.0) -> DataFrame:
+def resolve(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: float | None = 100.0, ignore: bool = False) -> DataFrame:
     """(seq, outcome, id, made, tier): what becomes of each incoming row when rows are taken one after another in the order of seq (unique).
 
     A row that matches an active stored row, or one that an earlier incoming row has made, by the three tiers is ``updated``: ``id`` tells the stored row or ``made`` the seq of the
     one that made it. Its place id and url become that row's, so what later rows match depends on it. A row without a match is ``inserted``. Place ids and urls are
-    unique among all stored rows, inactive ones included; a row whose own would belong to two rows is ``rejected``. Empty texts count as none.
+    unique among all stored rows, inactive ones included; a row whose own would belong to two rows is ``rejected``. Empty texts count as none. With ``ignore`` no row updates another: what conflicts
+    with a stored row or an earlier new one by its place id or url is rejected, names play no part.
 
     Rows can only meet through a place id, a url, or an equal name in a neighbouring cell. Those links make connected groups, found for distinct keys;
     the groups are taken in order each, row by row, all groups in parallel, keys only.
@@ -119,7 +120,9 @@ def resolve(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: fl
 
     def hubs(rows: DataFrame) -> DataFrame:
         """The rows with a number for each key they have; equal keys have equal numbers."""
-        if metres is not None:
+        if ignore:
+            rows, name = rows.withColumns({"_by": F.lit(0), "_bx": F.lit(0)}), F.lit(None).cast("bigint")
+        elif metres is not None:
             rows = _buckets(rows, "lat", "lng", metres, around=False)
             name = F.when(F.col("name").isNotNull() & F.col("_by").isNotNull() & F.col("_bx").isNotNull(), F.xxhash64(F.lit("n"), "name", "_by", "_bx"))
         else:
@@ -129,7 +132,7 @@ def resolve(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: fl
 
     fresh = hubs(n)
     around = None
-    if metres is not None:
+    if metres is not None and not ignore:
         spots = n.where(F.col("name").isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull()).select("name", "lat", "lng").distinct()
         own = _buckets(spots, "lat", "lng", metres, around=False).withColumn("a", F.xxhash64(F.lit("n"), "name", "_by", "_bx")).drop("_by", "_bx")
         around = _buckets(own, "lat", "lng", metres, around=True).select("a", F.xxhash64(F.lit("n"), "name", "_by", "_bx").alias("b")).distinct()
@@ -152,7 +155,7 @@ def resolve(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: fl
             out = []
             for row in batch.to_pylist():
                 if row["group"] != now:
-                    now, state = row["group"], _Group(metres)
+                    now, state = row["group"], _Group(metres, ignore)
                 if row["seq"] is None:
                     row.update(made=None, rank=(0, row["id"]))
                     state.add(row)
@@ -205,6 +208,20 @@ def upsert(stored: DataFrame, incoming: DataFrame, seq: str = "seq", metres: flo
     return both.select(*cols)
 
 
+def insert_ignoring(stored: DataFrame, incoming: DataFrame, seq: str = "seq", counters: Observation | None = None) -> DataFrame:
+    """The stored table with the incoming rows that conflict with none, stored or earlier, by place id or url; as a batch of inserts that does nothing on conflict."""
+    return upsert(stored, incoming, seq, None, cut(resolve(stored, incoming, seq, None, ignore=True)), counters)
+
+
+def flush(business: DataFrame, mappings: DataFrame, stored: DataFrame, seq: str = "id", counters: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """The stored table after the clean rows of ``business`` are curated and inserted, conflicts ignored; and how many rows each category source had, with its share."""
+    from .curate import clean_rows, curate, distribution
+
+    curated = curate(clean_rows(business), mappings)
+    table = insert_ignoring(stored, curated.drop("is_active").withColumnRenamed(seq, "_flush_seq"), "_flush_seq", counters)
+    return table, distribution(curated.withColumn("category_source", F.coalesce("category_source", F.lit(UNCLASSIFIED))), "category_source")
+
+
 def store_batch(spark: SparkSession, path: str, bad_path: str, incoming: DataFrame, seq: str = "seq", metres: float | None = 100.0) -> dict[str, int]:
     """Stores a batch in the table at ``path``; rows that can't be stored are appended to ``bad_path`` with their reason. Returns the counts of rows inserted, updated and quarantined.
 
@@ -273,6 +290,8 @@ def exists_similar(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 #: What a business record can't be stored without, and why.
 REASONS = (("name", "no name"), ("lat", "no latitude"), ("lng", "no longitude"))
 CONFLICT = "place id or url of another row"
+#: What rows without a category count as.
+UNCLASSIFIED = "sin clasificar"
 
 
 def quarantine(incoming: DataFrame, extra: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:

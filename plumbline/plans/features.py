@@ -53,8 +53,12 @@ def business_radii(listings: DataFrame, business: DataFrame) -> DataFrame:
 
 
 def listing_features(listings: DataFrame, cells: DataFrame, business: DataFrame, by_cell: DataFrame, centre: tuple[float, float]) -> DataFrame:
-    """Clean listings with price per m2 (trimmed at 1 % and 99 %), cell features, counts in three radii and distance to the centre."""
-    base = clean_listings(listings).withColumn("precio_m2", F.col("precio") / F.col("superficie_m2"))
-    base = trim_outliers(base, "precio_m2").withColumn("cell", cell_id("lat", "lng"))
-    base = base.join(by_cell.drop("lat", "lng"), "cell", "left")
-    return business_radii(population_radii(base, cells), business).withColumn("dist_centro_m", haversine_m("lat", "lng", *centre))
+    """The table that the price model is fitted on: clean listings (priced in ``precio_usd``) with usd_m2, what their cell knows of the map, people and businesses in three radii, and
+    kilometres to the centre; without the cheapest and the dearest hundredth by usd_m2. A listing whose cell ``by_cell`` lacks has no map features.
+    """
+    base = clean_listings(listings).where(F.col("precio_usd") > 0)
+    base = base.withColumn("usd_m2", F.floor(F.col("precio_usd") / F.col("superficie_m2") * 100 + 0.5) / 100).withColumn("cell", cell_id("lat", "lng"))
+    base = trim_outliers(base, "usd_m2").join(by_cell.drop("lat", "lng"), "cell", "left")
+    people = population_radii(base, cells).withColumnsRenamed({"pob_500": "pop_500m", "pob_1000": "pop_1km", "pob_2000": "pop_2km"})
+    both = business_radii(people, business).withColumnsRenamed({"neg_500": "biz_500m", "neg_1000": "biz_1km", "neg_2000": "biz_2km"})
+    return both.withColumn("dist_asuncion_km", F.floor(haversine_m("lat", "lng", *centre) / 10 + 0.5) / 100)

@@ -25,12 +25,17 @@ def grid_cells(spark: SparkSession, lat_min: float, lat_max: float, lng_min: flo
     return cells.select("row", "col", F.col("y").alias("lat_min"), F.least(F.col("y") + dy, F.lit(lat_max)).alias("lat_max"), (F.lit(lng_min) + F.col("col") * F.col("dx")).alias("lng_min"), F.least(F.lit(lng_min) + (F.col("col") + 1) * F.col("dx"), F.lit(lng_max)).alias("lng_max"))
 
 
-def cell_of_point(lat, lng, lat_min: float, lng_min: float, cell_km: float):
-    """(row, col) of a point on the grid above."""
-    dy = cell_km / KM_PER_DEGREE
-    row = F.floor((lat - lat_min) / dy)
-    dx = cell_km / (KM_PER_DEGREE * F.cos(F.radians(lat_min + row * dy)))
-    return F.struct(row.cast("bigint").alias("row"), F.floor((lng - lng_min) / dx).cast("bigint").alias("col"))
+def cell_of_point(lat: Column, lng: Column, lat_min: float, lat_max: float, lng_min: float, lng_max: float, cell_km: float) -> Column:
+    """struct(row, col, cell fields) of the grid's cell that a point lies in; null outside the box. Points on the last edges belong to the last cells."""
+    dy, dx_km = cell_km / KM_PER_DEGREE, cell_km
+    rows = max(1, math.ceil((lat_max - lat_min) / dy - 1e-9))
+    row = F.least(F.floor((lat - lat_min) / dy), F.lit(rows - 1)).cast("bigint")
+    south = F.lit(lat_min) + row * F.lit(dy)
+    dx = dx_km / (KM_PER_DEGREE * F.cos(F.radians(south)))
+    col = F.least(F.floor((lng - lng_min) / dx), F.greatest(F.ceil((lng_max - lng_min) / dx - 1e-9) - 1, F.lit(0))).cast("bigint")
+    west = F.lit(lng_min) + col * dx
+    cell = F.struct(row.alias("row"), col.alias("col"), south.alias("lat_min"), F.least(south + dy, F.lit(lat_max)).alias("lat_max"), west.alias("lng_min"), F.least(F.lit(lng_min) + (col + 1) * dx, F.lit(lng_max)).alias("lng_max"))
+    return F.when(lat.between(lat_min, lat_max) & lng.between(lng_min, lng_max), cell)
 
 
 def priorities(cells: DataFrame, districts: DataFrame, metros: DataFrame) -> DataFrame:
@@ -125,3 +130,22 @@ def expand_to_depth(cells: DataFrame, depth: int, inside: DataFrame | None = Non
 def cell_key() -> Column:
     """The cell's name: a JSON record of its four bounds in order of their names."""
     return F.to_json(F.struct(*(F.col(c) for c in ("lat_max", "lat_min", "lng_max", "lng_min"))))
+
+
+def finished_tasks(tasks: DataFrame, limit: int = 0) -> DataFrame:
+    """The distinct (cell, category) of completed tasks in order; the first ``limit`` if that isn't 0."""
+    done = tasks.where(F.col("status") == "completed").select("cell", "category").distinct().orderBy("cell", "category")
+    return done.limit(limit) if limit else done
+
+
+def circle_grids(centres: DataFrame, radius_km: float, cell_km: float) -> DataFrame:
+    """``circle_grid`` around each row of ``centres`` (id, lat, lng): id, row, col, cell fields."""
+    dy, span = cell_km / KM_PER_DEGREE, radius_km / KM_PER_DEGREE
+    n_rows, n = math.ceil(2 * span / dy - 1e-9), math.ceil(2 * radius_km / cell_km - 1e-9)
+    steps = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")))
+    rows = centres.select("id", "lat", "lng", steps(n_rows).alias("row")).withColumn("lat_min", F.col("lat") - span + F.col("row") * F.lit(dy))
+    rows = rows.withColumn("_d", KM_PER_DEGREE * F.cos(F.radians("lat_min"))).withColumn("col", steps(n))
+    west = lambda k: F.col("lng") - radius_km / F.col("_d") + (F.col("col") + k) * (cell_km / F.col("_d"))
+    cells = rows.select("id", "lat", "lng", "row", "col", "lat_min", (F.col("lat_min") + dy).alias("lat_max"), west(0).alias("lng_min"), west(1).alias("lng_max"))
+    centre = ((F.col("lat_min") + F.col("lat_max")) / 2, (F.col("lng_min") + F.col("lng_max")) / 2)
+    return cells.where(haversine_m("lat", "lng", *centre) <= (radius_km + cell_km) * 1000).drop("lat", "lng")

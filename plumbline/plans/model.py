@@ -9,12 +9,47 @@ from ..functions.geo import block_id
 from ..operators.spatial import knn_join
 
 FOLDS, NEIGHBOURS = 5, 10
-FEATURES = ("superficie_m2", "pob_500", "pob_1000", "pob_2000", "neg_500", "neg_1000", "neg_2000", "dist_centro_m")
+#: What the price model sees of a listing (fixed names), and what it adds from the neighbours of the training rows.
+FEATURES = (
+    "lat", "lng", "dist_asuncion_km", "dist_via_principal_m", "dist_parque_m", "dist_agua_m", "dist_hospital_m", "dist_universidad_m", "frente_avenida", "cerca_agua",
+    "pop_500m", "pop_1km", "pop_2km", "biz_500m", "biz_1km", "biz_2km", "log_superficie", "uso_comercial",
+)
+NEIGHBOUR_FEATURES = ("vecinos_log_usd_m2", "vecinos_dist_km")
 
 
-def fold_of(lat, lng, folds: int = FOLDS) -> Column:
-    """A block's rows share a fold, which its name's checksum tells."""
-    return (F.crc32(block_id(lat, lng).cast("binary")) % folds).cast("int")
+def balanced_folds(df: DataFrame, folds: int = FOLDS, block: str = "block") -> DataFrame:
+    """(block, n, fold): blocks by size, largest first (equal ones by name), each into the fold with the fewest rows so far, the first of equals.
+
+    Only the blocks' counts go through the one task that deals them in order, of which there are as many as the map has blocks; it keeps a sum for each fold.
+    """
+    sizes = df.groupBy(F.col(block).alias("block")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "block").coalesce(1)
+
+    def deal(batches):
+        import pyarrow as pa
+
+        load = [0] * folds
+        for batch in batches:
+            dealt = []
+            for n in batch.column("n").to_pylist():
+                fold = load.index(min(load))
+                load[fold] += n
+                dealt.append(fold)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("n"), pa.array(dealt, pa.int32())], names=["block", "n", "fold"])
+
+    return sizes.mapInArrow(deal, f"block {sizes.schema['block'].dataType.simpleString()}, n bigint, fold int")
+
+
+def with_folds(df: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """The rows with their block and its balanced fold."""
+    rows = df.withColumn("block", block_id("lat", "lng"))
+    return rows.join(balanced_folds(rows, folds).drop("n"), "block")
+
+
+def model_features(df: DataFrame) -> DataFrame:
+    """Adds log_superficie and uso_comercial (1 for comercial, 0 for habitacional, else missing); flags become numbers."""
+    use = F.when(F.col("uso") == "comercial", 1.0).when(F.col("uso") == "habitacional", 0.0)
+    rows = df.withColumn("log_superficie", F.log1p("superficie_m2")).withColumn("uso_comercial", use)
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("frente_avenida", "cerca_agua")})
 
 
 def neighbour_features(queries: DataFrame, train: DataFrame, target: str, metres: float, k: int = NEIGHBOURS, key: str = "id", skip_self: bool = False) -> DataFrame:
@@ -24,15 +59,6 @@ def neighbour_features(queries: DataFrame, train: DataFrame, target: str, metres
     return near.groupBy(key).agg(F.avg("_t").alias("neighbour_target"), F.avg("distance_m").alias("neighbour_distance_m"))
 
 
-def fold_neighbours(df: DataFrame, target: str, metres: float, k: int = NEIGHBOURS, folds: int = FOLDS) -> DataFrame:
-    """Neighbours of each row from the other folds only."""
-    out = None
-    for f in range(folds):
-        part = neighbour_features(df.where(F.col("fold") == f), df.where(F.col("fold") != f), target, metres, k)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def regression_metrics(df: DataFrame, truth: str = "y", predicted: str = "p") -> DataFrame:
     """MAE, median absolute error, MAPE, RMSE and R2 in one pass but for the median."""
     e, t = F.col(predicted) - F.col(truth), F.col(truth)
@@ -66,13 +92,12 @@ def predict_price(model, df: DataFrame, features: tuple[str, ...] = FEATURES) ->
 
 
 METRICS = ("mae", "medae", "mape", "rmse", "r2")
-NEIGHBOUR_FEATURES = ("neighbour_target", "neighbour_distance_m")
 
 
 def with_neighbours(df: DataFrame, train: DataFrame, label: str, metres: float, k: int = NEIGHBOURS, skip_self: bool = False) -> DataFrame:
     """Adds the neighbours' mean log price and distance, of training rows only."""
     near = neighbour_features(df, train.withColumn("_log", F.log1p(F.col(label))), "_log", metres, k, skip_self=skip_self)
-    return df.join(near, "id", "left")
+    return df.join(near.select("id", F.col("neighbour_target").alias(NEIGHBOUR_FEATURES[0]), (F.col("neighbour_distance_m") / 1000).alias(NEIGHBOUR_FEATURES[1])), "id", "left")
 
 
 def cross_validate(df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, folds: int = FOLDS, neighbours_m: float | None = None, **how) -> DataFrame:
@@ -115,18 +140,22 @@ def load_bundle(spark, path: str):
     return PipelineModel.load(f"{path}/model"), spark.read.json(f"{path}/about").first(), spark.read.parquet(f"{path}/neighbours")
 
 
-def permutation_importance(model, df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, seed: int = 42, repeats: int = 10) -> list[tuple[str, float]]:
-    """Mean rise of the mean absolute error when one column's values are dealt anew, over several dealings, the largest first. Values move within
+#: Rows of a group that values are dealt within.
+ROWS_DEALT = 100_000
+
+
+def permutation_importance(model, df: DataFrame, label: str, features: tuple[str, ...] = FEATURES, seed: int = 42, repeats: int = 10, columns: tuple[str, ...] | None = None) -> list[tuple[str, float]]:
+    """Mean rise of the mean absolute error when one column's values are dealt anew, over several dealings, the largest first; of all features, or of the ``columns`` named. Values move within
     hashed groups along two hash orders, so no global sort is needed."""
     from pyspark.sql import Window as W
 
     rows = df.withColumn("_y", F.col(label).cast("double"))
     mae = lambda d: regression_metrics(predict_price(model, d, features).select(F.col("_y").alias("y"), F.col("predicted").alias("p"))).first().mae
-    base, out = mae(rows), []
-    for c in features:
+    base, out, groups = mae(rows), [], max(64, rows.count() // ROWS_DEALT)
+    for c in columns or features:
         rises = []
         for n in range(seed, seed + repeats):
-            part = F.pmod(F.xxhash64("id", F.lit(n)), F.lit(64))
+            part = F.pmod(F.xxhash64("id", F.lit(n)), F.lit(groups))
             a = rows.withColumn("_g", part).withColumn("_a", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id"), "id")))
             b = a.select("_g", F.row_number().over(W.partitionBy("_g").orderBy(F.xxhash64("id", F.lit(c), F.lit(n)), "id")).alias("_a"), F.col(c).alias("_v"))
             rises.append(mae(a.join(b, ["_g", "_a"]).drop(c, "_g", "_a").withColumnRenamed("_v", c)) - base)

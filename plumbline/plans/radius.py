@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, in_box, within
+from ..functions.shapes import area as shape_area
+from ..functions.shapes import bounds, geojson_of_shape
+from ..functions.text import same_name, unaccented
 from ..operators.nearest import nearest_shapes
 from ..operators.spatial import parts_of, point_in_polygon, shape_distances
 
@@ -90,3 +93,17 @@ def city_of(points: DataFrame, boundaries: DataFrame, point_key: str = "id") ->
     rank = F.coalesce(*(F.when(F.col(c) == v, F.lit(k)) for k, (c, v) in enumerate(CITY_ORDER)), F.lit(len(CITY_ORDER)))
     held = point_in_polygon(points, boundaries.select("boundary", "rings" if "rings" in boundaries.columns else "ring"), point_key, "boundary").join(boundaries.select("boundary", "name", rank.alias("rank")), "boundary")
     return held.groupBy(point_key).agg(F.min_by("name", F.struct("rank", "name")).alias("city"))
+
+
+def largest_named(boundaries: DataFrame, name: str | None = None, admin_level: str | None = None) -> DataFrame:
+    """Of the polygons of a name, the one of largest area (the first by id of equals): id, name, admin_level, geojson, box and area; one for each name if none is given.
+
+    Names are equal but for case and accents. boundaries: id, name, admin_level, type, and rings or path; other geometries than polygons don't count.
+    """
+    some = boundaries.where(F.col("type").isin("Polygon", "MultiPolygon"))
+    some = some if name is None else some.where(same_name(F.col("name"), F.lit(name)))
+    some = some if admin_level is None else some.where(F.col("admin_level") == admin_level)
+    sized = some.withColumn("rings", parts_of(some)).withColumn("area", shape_area(F.col("rings")))
+    best = sized.groupBy(unaccented(F.col("name")).alias("_name")).agg(F.min(F.struct((-F.col("area")).alias("area"), "id", "name", "admin_level", "type", "rings")).alias("b")).where(F.col("_name") != "")
+    b = lambda c: F.col(f"b.{c}")
+    return best.select(b("id").alias("id"), b("name").alias("name"), b("admin_level").alias("admin_level"), geojson_of_shape(b("type"), b("rings")).alias("geojson"), bounds(b("rings")).alias("box"), (-b("area")).alias("area"))

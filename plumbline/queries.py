@@ -284,7 +284,8 @@ _NORM = f"nullif(trim(regexp_replace(lower(translate({{x}}, '{text.MARKED}', '{t
 
 @query("text_norm", f"SELECT doc_id, md5({_NORM.format(x='text')}) AS norm_md5 FROM documents")
 def _(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.md5(text.norm(F.col("text"))).alias("norm_md5"))
+    text.create_norm(spark, "plumbline_norm")
+    return spark.sql(f"SELECT doc_id, md5(plumbline_norm(text)) AS norm_md5 FROM parquet.`{d}/documents.parquet`")
 
 
 @query("text_norm_alnum", f"SELECT id, regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]', '', 'g') AS key FROM {oracle('part_name')}")
@@ -567,4 +568,4 @@ def _(spark, d):
     return listings.dollarize_as_of(o, load(spark, d, "rate"), "dia").select("id", cents(F.col("precio_usd")).alias("precio_usd"))
 
 
-from . import map_queries  # noqa: E402, F401  adds its queries to those above
+from . import map_queries, table_queries  # noqa: E402, F401  add their queries to those above

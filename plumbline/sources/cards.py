@@ -172,3 +172,11 @@ def extraction_rates(pages: DataFrame, cards: DataFrame, key: str = "page_id", h
     both = links.join(counts, key, "left").na.fill(0, ["unique_results", "with_category"])
     rate = F.round(F.col("with_category") / F.greatest("unique_results", F.lit(1)) * 100)
     return both.withColumn("without_category", F.col("unique_results") - F.col("with_category")).withColumn("success_rate", rate)
+
+
+def extraction_report(pages: DataFrame, cards: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """``extraction_rates`` with a line for all pages together (``overall``, without a key), both out of one rollup."""
+    each = extraction_rates(pages, cards, key, html)
+    sums = ("total_cards", "unique_results", "with_category", "without_category")
+    both = each.rollup(key).agg((F.grouping(key) == 1).alias("overall"), *(F.sum(c).alias(c) for c in sums))
+    return both.withColumn("success_rate", F.round(F.col("with_category") / F.greatest("unique_results", F.lit(1)) * 100))

@@ -7,7 +7,6 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -55,22 +54,6 @@ def script_array(html: Column, marker: str, schema: str) -> Column:
     return F.from_json(cut(html), f"array<struct<{schema}>>")
 
 
-CARD = T.StructType([T.StructField(n, T.StringType()) for n in ("rating", "reviews", "category", "address")])
-
-
-def card_metadata(lines: Column) -> Column:
-    """struct(rating, reviews, category, address) of a result card's lines: a rating line like "4,5(12)", then "category · address"."""
-    rated = F.get(F.filter(lines, lambda x: x.rlike(r"^[0-9][.,][0-9](\s*\([0-9.]+\))?$")), 0)
-    dotted = F.get(F.filter(lines, lambda x: x.contains(" · ")), 0)
-    parts = F.split(dotted, " · ")
-    return F.struct(
-        F.replace(F.regexp_extract(rated, r"^([0-9][.,][0-9])", 1), F.lit(","), F.lit(".")).try_cast("double").alias("rating"),
-        F.replace(F.regexp_extract(rated, r"\(([0-9.]+)\)", 1), F.lit("."), F.lit("")).try_cast("int").alias("reviews"),
-        F.trim(F.get(parts, 0)).alias("category"),
-        F.nullif(F.trim(F.array_join(F.slice(parts, 2, 10), " · ")), F.lit("")).alias("address"),
-    )
-
-
 def wiki_districts(text: DataFrame, column: str = "text") -> DataFrame:
     """(pos, name) of the first cell links in a wiki table's lines, first spelling of each name; file and header lines are skipped."""
     from ..operators.dedup import first_by

@@ -121,3 +121,17 @@ def publish(df: DataFrame, path: str, by: str | None = None) -> None:
         raise OSError(f"{beside} can't be moved to {path}")
     if had:
         files.delete(old, True)
+
+
+#: What a business record shows of itself (fixed names).
+RECORD = ("name", "lat", "lng", "category", "search_category")
+
+
+def records(df: DataFrame, fields: tuple[str, ...] = RECORD) -> DataFrame:
+    """The rows as records of the fields, missing ones null."""
+    return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in fields))
+
+
+def most_common(df: DataFrame, column: str, k: int) -> DataFrame:
+    """(value, n): the k most frequent values, of equals the first by value; a top-k report."""
+    return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col("value").asc_nulls_last()).limit(k)

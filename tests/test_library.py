@@ -142,8 +142,6 @@ def test_sources(spark, tmp_path):
     df = spark.createDataFrame([(1, page), (2, None), (3, "none")], "id int, html string")
     got = {r.id: r.x for r in df.select("id", pages.script_array(F.col("html"), "list =", "a string").alias("x")).collect()}
     assert [r.a for r in got[1]] == ["]", 'q"]'] and got[2] is None and got[3] is None
-    card = spark.createDataFrame([(["Name", "4,5(1.234)", "Cafe · Street 5"],)], "l array<string>").select(pages.card_metadata(F.col("l")).alias("m")).first().m
-    assert tuple(card) == (4.5, 1234, "Cafe", "Street 5")
     wiki = spark.createDataFrame([("| [[A (x)|Asunción (city)]]\n| colspan [[B]]\n| [[asunción]]\n| [[C]]",)], "text string")
     assert [r.name for r in pages.wiki_districts(wiki).orderBy("pos").collect()] == ["Asunción", "C"]
     (tmp_path / "p.csv").write_text("longitude,latitude,pop\n-57.1,-25.1,3.5\n-57.2,-25.2,0\n")
