@@ -260,7 +260,8 @@ def _(spark, d):
 
 # Grids.
 _DY, _SPAN = f"({_D.format(5)} / {_D.format(111.32)})", f"({_D.format(40)} / {_D.format(111.32)})"
-_LAT0, _LNG0 = _D.format(-25.2637), _D.format(-57.5759)
+#: The middle of the circle: the north-eastern corner of all businesses.
+_LAT0, _LNG0 = (f"(SELECT max({c}) FROM {oracle('business')})" for c in ("lat", "lng"))
 
 
 @query(
@@ -270,7 +271,8 @@ _LAT0, _LNG0 = _D.format(-25.2637), _D.format(-57.5759)
  SELECT CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, floor(lat_min * 1000000 + 0.5) / 1000000 AS lat_min, floor(lng_max * 1000000 + 0.5) / 1000000 AS lng_max FROM c WHERE {hav(_LAT0, _LNG0, '(lat_min + lat_max) / 2', '(lng_min + lng_max) / 2')} <= 45000""",
 )
 def _(spark, d):
-    return grid.circle_grid(spark, -25.2637, -57.5759, 40.0, 5.0).select("row", "col", _MILLIONTH(F.col("lat_min")).alias("lat_min"), _MILLIONTH(F.col("lng_max")).alias("lng_max"))
+    corner = load(spark, d, "business").agg(F.max("lat"), F.max("lng")).first()
+    return grid.circle_grid(spark, *corner, 40.0, 5.0).select("row", "col", _MILLIONTH(F.col("lat_min")).alias("lat_min"), _MILLIONTH(F.col("lng_max")).alias("lng_max"))
 
 
 def _overflow_sql(depth: int, cap: int) -> str:

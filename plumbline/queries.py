@@ -459,9 +459,18 @@ _GRID = f"""(SELECT CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, y AS
  (SELECT row, y, dx, unnest(range(CAST(ceil(CAST(2.5 AS DOUBLE) / dx - 1e-9) AS BIGINT))) AS col FROM (SELECT row, y, CAST(25 AS DOUBLE) / (CAST(111.32 AS DOUBLE) * cos(radians(y))) AS dx FROM (SELECT row, CAST(-26.5 AS DOUBLE) + row * {_STEP} AS y FROM (SELECT unnest(range(CAST(ceil(CAST(2.5 AS DOUBLE) / {_STEP} - 1e-9) AS BIGINT))) AS row)))))"""
 
 
-@query("grid_cells", f"SELECT row, col, floor(lat_min * 1000000 + 0.5) / 1000000 AS lat_min, floor(lng_max * 1000000 + 0.5) / 1000000 AS lng_max FROM {_GRID}")
+#: The box around all businesses, in place of the fixed one.
+_SPAN = f"(SELECT min(lat) AS s, max(lat) AS n, min(lng) AS w, max(lng) AS e FROM {oracle('business')})"
+
+
+@query(
+    "grid_cells",
+    f"""WITH x AS MATERIALIZED {_SPAN}, r AS (SELECT *, s + row * {_STEP} AS y FROM (SELECT *, unnest(range(CAST(ceil((n - s) / {_STEP} - 1e-9) AS BIGINT))) AS row FROM x)), c AS (SELECT *, CAST(25 AS DOUBLE) / (CAST(111.32 AS DOUBLE) * cos(radians(y))) AS dx FROM r)
+ SELECT CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, floor(y * 1000000 + 0.5) / 1000000 AS lat_min, floor(least(w + (col + 1) * dx, e) * 1000000 + 0.5) / 1000000 AS lng_max FROM (SELECT *, unnest(range(CAST(ceil((e - w) / dx - 1e-9) AS BIGINT))) AS col FROM c)""",
+)
 def _(spark, d):
-    return _cells(spark).select("row", "col", *((F.floor(F.col(c) * 1_000_000 + 0.5) / 1_000_000).alias(c) for c in ("lat_min", "lng_max")))
+    box = load(spark, d, "business").agg(F.min("lat"), F.max("lat"), F.min("lng"), F.max("lng")).first()
+    return grid.grid_cells(spark, *box, 25.0).select("row", "col", *((F.floor(F.col(c) * 1_000_000 + 0.5) / 1_000_000).alias(c) for c in ("lat_min", "lng_max")))
 
 
 @query(

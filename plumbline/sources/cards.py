@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import coordinates, place_id
 
+#: Ratings, labels of review counts and counts in brackets (fixed patterns).
+STARS, COUNTED, BRACKETED = r"\d+[.,]?\d*", "reseñas|opiniones", r"\((\d[\d,.]*)\s*(?:reseñas?|opiniones?|reviews?)?\)"
 #: Marks of the page's elements (fixed values).
 FEED, PLACE_LINK, CONTAINER, CARD, RATING = "feed", "/maps/place/", "Nv2PK", "hfpxzc", "ZkP5Je"
 #: Currency marks, notes of no opinions, and the beginnings of an opening state (fixed values).
@@ -96,10 +98,10 @@ def details(box: Element | None, name: str) -> tuple[str, str, float | None, int
     inside = list(box.all())
     rating = reviews = None
     starred = next((e for e in inside if e.name == "span" and e.has_class(RATING)), None)
-    if starred is not None and (m := re.search(r"\d+[.,]?\d*", starred.attributes.get("aria-label") or starred.text)):
+    if starred is not None and (m := re.search(STARS, starred.attributes.get("aria-label") or starred.text)):
         rating = float(m.group().replace(",", "."))
-    labelled = any(e.name == "span" and re.search("reseñas|opiniones", e.attributes.get("aria-label", "")) for e in inside)
-    if not labelled and (m := re.search(r"\((\d[\d,.]*)\s*(?:reseñas?|opiniones?|reviews?)?\)", box.text, re.I)):
+    labelled = any(e.name == "span" and re.search(COUNTED, e.attributes.get("aria-label", "")) for e in inside)
+    if not labelled and (m := re.search(BRACKETED, box.text, re.I)):
         reviews = int(re.sub("[,.]", "", m.group(1)))
     category, address = _dotted(inside) or (_lone(inside, name), "")
     for state in STATES:

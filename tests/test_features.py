@@ -9,7 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions import geo, shapes, text
-from plumbline.operators import listings, merge, order
+from plumbline.operators import curate, listings, merge, order
 from plumbline.plans import features, grid, model, radius
 from plumbline.sources import cards, tables
 
@@ -136,3 +136,10 @@ def test_reports(spark, tmp_path):
     assert tables.records(spark.createDataFrame([(1, "a", 2.0)], "id int, name string, lat double")).columns == list(tables.RECORD)
     prices = listings.price_summary(spark.createDataFrame([("a", 10.0, "USD", "venta"), ("a", 30.0, "PYG", "venta"), ("a", None, "EUR", "x")], "fuente string, precio_usd double, moneda string, operacion string")).first()
     assert (prices.n, prices.n_usd, prices.mean, prices.mean_in_usd, prices.mean_of_sales) == (3, 2, 20.0, 10.0, 20.0)
+
+
+def test_longest_keyword_of_a_name(spark):
+    keys = spark.createDataFrame([("casa blanca",), ("blanca azul grande",), ("bar",), ("hotel",), ("motel",), ("l'hotel d'or",), (None,)], "key string")
+    names = spark.createDataFrame([("casa blanca azul grande",), ("un hotel motel",), ("hotelito",), ("bar",), ("el l'hotel d'or.",), ("",), ("hotel-casa",)], "name string")
+    assert {x.name: x.key for x in curate.keywords_of(names, keys).collect()} == {"casa blanca azul grande": "blanca azul grande", "un hotel motel": "hotel", "el l'hotel d'or.": "l'hotel d'or", "hotel-casa": "hotel"}
+    assert curate.keywords_of(names, keys.limit(0)).count() == 0
