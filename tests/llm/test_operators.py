@@ -336,7 +336,7 @@ def test_tagger_on_formats_that_it_never_saw_and_its_gradient():
     _, gradient = tagger.loss_and_gradient(ids, tags)
     for name, value in tagger.p.items():
         at = np.unravel_index(np.abs(gradient[name]).argmax(), value.shape)
-        old, step, loss = value[at], 1e-2, []
+        old, step, loss = value[at], 1e-3, []  # bends too much over larger steps
         for v in (old + step, old - step):
             value[at] = v
             loss.append(tagger.loss_and_gradient(ids, tags)[0])
