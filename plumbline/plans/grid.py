@@ -132,6 +132,12 @@ def cell_key() -> Column:
     return F.to_json(F.struct(*(F.col(c) for c in ("lat_max", "lat_min", "lng_max", "lng_min"))))
 
 
+def cell_of_key(key: Column) -> Column:
+    """struct(cell fields) of a cell's name; null if it is none."""
+    cell = F.from_json(key, "lat_max double, lat_min double, lng_max double, lng_min double")
+    return F.when(cell["lat_max"].isNotNull() & cell["lat_min"].isNotNull() & cell["lng_max"].isNotNull() & cell["lng_min"].isNotNull(), cell)
+
+
 def finished_tasks(tasks: DataFrame, limit: int = 0) -> DataFrame:
     """The distinct (cell, category) of completed tasks in order; the first ``limit`` if that isn't 0."""
     done = tasks.where(F.col("status") == "completed").select("cell", "category").distinct().orderBy("cell", "category")

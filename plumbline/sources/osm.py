@@ -7,10 +7,11 @@ Point, LineString or Polygon; a missing tag is an empty text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checkpoints import cut
+from .tables import publish
 
 #: Tag values that put an element into a layer (fixed values).
 HIGHWAY = ("motorway", "trunk", "primary", "secondary", "tertiary")
@@ -88,6 +89,25 @@ def layers(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -> dict[str,
     return {"vias": vias, "parques": parks, "agua": water, "equipamiento": equipment, "limites": limits}
 
 
+#: What all layers' tables have, and the tags that only some have.
+SHAPE, TAGS = ("element", "id", "name", "type", "path"), ("highway", "leisure", "natural", "waterway", "amenity", "admin_level", "place")
+
+
+def save_layers(some: dict[str, DataFrame], path: str) -> None:
+    """Keeps the layers as one table, a folder for each, which replaces the one before; later runs read it and assemble nothing."""
+    every = None
+    for name, layer in some.items():
+        part = layer.select(*SHAPE, *(F.col(t) if t in layer.columns else F.lit(None).cast("string").alias(t) for t in TAGS), F.lit(name).alias("layer"))
+        every = part if every is None else every.unionByName(part)
+    publish(every, path, "layer")
+
+
+def load_layers(spark: SparkSession, path: str, names: tuple[str, ...] = ("vias", "parques", "agua", "equipamiento", "limites")) -> dict[str, DataFrame]:
+    """The kept layers; only the folders of those that are used are read."""
+    kept = spark.read.parquet(path)
+    return {name: kept.where(F.col("layer") == name).drop("layer") for name in names}
+
+
 def geojson(kind: Column, path: Column) -> Column:
     """The geometry as GeoJSON text."""
     pairs = F.transform(path, lambda p: F.array(p["x"], p["y"]))

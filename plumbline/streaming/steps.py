@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_exact_name
-from ..operators.merge import upsert
+from ..operators.merge import flush, upsert
 from ..operators.normalize import normalize
+from ..sources.tables import export_json, publish
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -85,6 +86,20 @@ def storage_batches(stream: DataFrame, path: str, checkpoint: str, empty: DataFr
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def drain(query, path: str, empty: DataFrame, mappings: DataFrame, table: str, export: str, seq: str = "id") -> dict[str, int]:
+    """Ends a run in order: the stream takes what is left, the stored rows that are clean are curated and inserted into ``table`` (conflicts ignored), and the table is
+    exported as JSON. Each step begins after the one before has ended, so a failure leaves later copies as they were; another drain goes on from there. Returns the counts of the insert.
+    """
+    query.processAllAvailable()
+    query.stop()
+    spark, counters = mappings.sparkSession, Observation()
+    rows = stored_rows(spark, path, empty)
+    flushed, _ = flush(rows if "is_active" in rows.columns else rows.withColumn("is_active", F.lit(True)), mappings, spark.read.parquet(table), seq, counters)
+    publish(flushed, table)
+    export_json(spark.read.parquet(table), export)
+    return {k: int(v or 0) for k, v in counters.get.items()}
+
+
 def ledger(stream: DataFrame, path: str, checkpoint: str):
     """Keeps the current state of each task as keyed state of the stream; every micro-batch writes the tasks that it has changed, and a repeated one the same."""
     state = stream.groupBy("task").agg(

@@ -170,6 +170,15 @@ def _(spark, d):
     return got.select("id", "row", "col", _MILLIONTH(F.col("lat_max")).alias("lat_max"), _MILLIONTH(F.col("lng_min")).alias("lng_min"))
 
 
+@query("cell_keys", f"SELECT row, col, floor(lat_max * 1000000 + 0.5) / 1000000 AS lat_max, floor(lng_min * 1000000 + 0.5) / 1000000 AS lng_min, count(p.id) AS n FROM {_GRID} JOIN {oracle('business')} p ON p.lat >= lat_min AND p.lat < lat_max AND p.lng >= lng_min AND p.lng < lng_max GROUP BY ALL")
+def _(spark, d):
+    """Businesses counted by the name of their cell, and the cell read from its name again."""
+    cell = grid.cell_of_point(F.col("lat"), F.col("lng"), *_BOX, 25.0)
+    named = load(spark, d, "business").select(cell.alias("c")).select("c.*").withColumn("key", grid.cell_key())
+    counted = named.groupBy("row", "col", "key").agg(F.count("*").alias("n")).withColumn("c", grid.cell_of_key(F.col("key")))
+    return counted.select("row", "col", _MILLIONTH(F.col("c.lat_max")).alias("lat_max"), _MILLIONTH(F.col("c.lng_min")).alias("lng_min"), "n")
+
+
 _TASKS = "SELECT concat('c', CAST(user_id % 40 AS STRING)) AS cell, concat('k', CAST(seq % 7 AS STRING)) AS category, status FROM {t}"
 
 

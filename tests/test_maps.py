@@ -166,13 +166,16 @@ def test_brackets_in_strings():
     assert pages.bracketed("m: [1, [2]", "m:") is None and pages.bracketed("none", "m:") is None and pages.bracketed(None, "m:") is None
 
 
-def test_osm_geometries(spark):
+def test_osm_geometries(spark, tmp_path):
     nodes = spark.createDataFrame([(k, float(k % 3), float(k // 3), {}) for k in range(9)], "id long, lon double, lat double, tags map<string,string>")
     ways = spark.createDataFrame([(1, {"highway": "primary", "leisure": "park"}, [0, 1, 4]), (2, {"leisure": "park"}, [0, 1, 4, 0]), (3, {"natural": "water"}, [0, 1, 77]), (4, {"shop": "x"}, [0, 1])], "id long, tags map<string,string>, nodes array<long>")
     relations = spark.createDataFrame([(1, {"place": "city"}, [("w", "outer", 3), ("w", "outer", 1), ("n", "outer", 2), ("w", "inner", 2)])], "id long, tags map<string,string>, members array<struct<type:string,role:string,ref:long>>")
     got = osm.layers(nodes, ways, relations)
     rows = {k: [(r.element, r.id, r.type, len(r.path)) for r in v.collect()] for k, v in got.items()}
     assert rows == {"vias": [("way", 1, "LineString", 3)], "parques": [("way", 2, "Polygon", 4)], "agua": [], "equipamiento": [], "limites": [("relation", 1, "Polygon", 3)]}
+    osm.save_layers(got, f"{tmp_path}/layers")
+    again = osm.load_layers(spark, f"{tmp_path}/layers")
+    assert {k: [(r.element, r.id, r.type, len(r.path)) for r in v.collect()] for k, v in again.items()} == rows and again["vias"].first().highway == "primary"
     shape = json.loads(got["parques"].select(osm.geojson(F.col("type"), F.col("path")).alias("g")).first().g)
     assert shape == {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}
 
@@ -182,6 +185,8 @@ def test_grids(spark):
     assert grid.expand_to_depth(cell, 3).count() == 64
     ring = spark.createDataFrame([("b", [{"x": x, "y": y} for x, y in ((0.1, 0.1), (0.2, 0.1), (0.2, 0.2), (0.1, 0.1))])], "boundary string, ring array<struct<x:double,y:double>>")
     assert grid.expand_to_depth(cell, 2, ring).count() == 1
+    named = cell.select(grid.cell_key().alias("k"))
+    assert tuple(named.select(grid.cell_of_key(F.col("k")).alias("c")).select("c.lat_min", "c.lat_max").first()) == (0.0, 1.0) and named.select(grid.cell_of_key(F.lit("x")).alias("c")).first().c is None
     assert cell.select(grid.cell_key().alias("k")).first().k == '{"lat_max":1.0,"lat_min":0.0,"lng_max":1.0,"lng_min":0.0}'
 
 
@@ -249,6 +254,20 @@ def test_stream_into_the_stored_table(spark, tmp_path):
     assert (tmp_path / "out" / "whole=1").exists() and len(list((tmp_path / "out" / "changes=2").glob("*.parquet"))) >= 1
 
 
+def test_drain_in_order(spark, tmp_path):
+    raw = "seq long, name string, lat string, lng string, category string, source_url string, search_category string"
+    spark.createDataFrame([(1, "A", "1", "1", "Bar x", "https://e/a1", "bar"), (2, "B", "2", "2", " ", "https://e/b1", "bar"), (3, "C", "3", "3", "Bar x", "https://e/p9", "bar")], raw).write.parquet(f"{tmp_path}/in")
+    columns = "id long, name string, lat double, lng double, category string, search_category string, source_url string, google_place_id string"
+    empty = spark.createDataFrame([], columns)
+    tables.publish(spark.createDataFrame([(5, "old", 0.0, 0.0, "x", "y", "https://e/p9", None)], columns), f"{tmp_path}/table")
+    mappings = spark.createDataFrame([("bar", "t", "food")], "raw_norm string, type string, category string")
+    q = steps.storage_batches(steps.normalise_stream(spark.readStream.schema(raw).parquet(f"{tmp_path}/in")), f"{tmp_path}/out", f"{tmp_path}/check", empty)
+    counts = steps.drain(q, f"{tmp_path}/out", empty, mappings, f"{tmp_path}/table", f"{tmp_path}/json")
+    assert counts == {"inserted": 1, "updated": 0}
+    whole = json.loads("".join(p.read_text() for p in sorted((tmp_path / "json").glob("part-*"))))
+    assert sorted(r["name"] for r in whole) == ["A", "old"]  # B has no category, C's link is known
+
+
 def test_stream_ledger_resumes(spark, tmp_path):
     """The state after each restart is that of all events so far."""
     schema = "seq long, task string, status string, results_count long"
