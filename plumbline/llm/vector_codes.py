@@ -33,6 +33,8 @@ SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 MOST = (1 << 27) - 1
 #: Entries of a leaf, and vectors searched at once.
 LEAF, AT_ONCE = 16, 8192
+#: Largest squared distance that products of doubles give exactly.
+EXACT = 1 << 52
 #: Sums of labels broadcast up to so many rows; beyond that a label's rows are dealt over so many keys.
 BROADCAST_ROWS, SALTS = 100_000, 32
 
@@ -42,6 +44,8 @@ class Tree:
 
     def __init__(self, entries: np.ndarray, leaf: int = LEAF):
         self.entries = np.ascontiguousarray(entries, np.int64)
+        self.floats = self.entries.astype(np.float64)
+        self.squares = (self.floats**2).sum(1)
         self.members: dict[int, np.ndarray] = {}
         self.split: dict[int, tuple[int, int]] = {}
         self.low: dict[int, np.ndarray] = {}
@@ -63,6 +67,9 @@ class Tree:
 
     def nearest(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lowest index among the nearest entries of each query, and the squared distance."""
+        most = int(max(np.abs(queries).max(initial=0), np.abs(self.entries).max(initial=0)))
+        # Whole numbers of this size are exact in doubles, whose matrix products are faster.
+        self.queried = (queries.astype(np.float64), (queries.astype(np.float64) ** 2).sum(1)) if 4 * most * most * max(queries.shape[1], 1) < EXACT else None
         best = np.full(len(queries), np.iinfo(np.int64).max)
         index = np.full(len(queries), len(self.entries))
         home = self._home(queries)
@@ -98,8 +105,12 @@ class Tree:
 
     def _compare(self, node: int, queries: np.ndarray, at: np.ndarray, best: np.ndarray, index: np.ndarray) -> None:
         own = self.members[node]
-        off = queries[at][:, None, :] - self.entries[own][None, :, :]
-        far = np.einsum("ijk,ijk->ij", off, off)
+        if self.queried is not None:
+            floats, squares = self.queried
+            far = (squares[at][:, None] + self.squares[own] - 2 * (floats[at] @ self.floats[own].T)).astype(np.int64)
+        else:
+            off = queries[at][:, None, :] - self.entries[own][None, :, :]
+            far = np.einsum("ijk,ijk->ij", off, off)
         pick = far.argmin(1)  # members ascend, so the first least one has the lowest index
         least, who = far[np.arange(len(at)), pick], own[pick]
         won = (least < best[at]) | ((least == best[at]) & (who < index[at]))

@@ -76,7 +76,7 @@ def test_few_rows_and_uneven_parts(spark, n, width, parts, entries):
 
 def test_tree_visits_equal_bounds():
     r = np.random.default_rng(2)
-    for size, width, most in ((256, 4, 4), (256, 16, 300), (7, 2, 3), (100, 1, 20)):
+    for size, width, most in ((256, 4, 4), (256, 16, 300), (7, 2, 3), (100, 1, 20), (64, 4, 1 << 26)):  # the last beyond what doubles hold
         entries, queries = r.integers(-most, most + 1, (size, width)), r.integers(-most - 2, most + 3, (500, width))
         far = ((queries[:, None, :] - entries[None]) ** 2).sum(2)
         for leaf in (1, 3, 16, 400):
