@@ -341,3 +341,6 @@ def _(spark, d):
 def _(spark, d):
     got = model.baseline(listings.clean_listings(load(spark, d, "listing")), "precio")
     return got.select(*(cents(F.col(c)).alias(c) for c in ("mae", "medae", "rmse")))
+
+
+from . import table_queries  # noqa: E402, F401  adds its queries, too

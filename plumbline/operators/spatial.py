@@ -202,8 +202,8 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query
 
 #: Levels of the grid that boxes and polygons meet on: cells of 2 ** level degrees.
 LEVELS = (-20, 9)
-#: Levels below its own that a box meets points on: 25 cells at most.
-FINER = 2
+#: Levels below its own that a box meets points on: 25 cells at most. A polygon of 2 ** WIDE degrees goes as many levels deeper: 289 cells.
+FINER, WIDE = 2, -3
 
 
 def _level(height: Column, width: Column) -> Column:
@@ -219,20 +219,30 @@ def _cells(df: DataFrame, y0: Column, y1: Column, x0: Column, x1: Column, level:
     return df.withColumn("_y", F.explode(steps(y0, y1))).withColumn("_x", F.explode(steps(x0, x1)))
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1")) -> DataFrame:
-    """Pairs of points and boxes (y0, y1, x0, x1, edges included) that hold them, with the columns of both.
-
-    Points stand in one cell of each level that some box has; there are LEVELS[1] - LEVELS[0] of them at the most. Boxes stand in cells of a quarter
-    of their size, so the points of a large box are dealt over as many keys, and few of them lie beside it.
-    """
+def _dealt(boxes: DataFrame, box, wide: int = 0) -> DataFrame:
+    """A row for each cell (_level, _y, _x) that a box touches, FINER levels below the box's size, and ``wide`` more for boxes of WIDE degrees."""
     y0, y1, x0, x1 = map(F.col, box)
-    finer = F.greatest(_level(y1 - y0, x1 - x0) - FINER, F.lit(LEVELS[0]))
-    dealt = _cells(boxes.withColumn("_level", finer), y0, y1, x0, x1, F.col("_level"))
+    level = _level(y1 - y0, x1 - x0)
+    finer = F.greatest(level - F.when(level >= WIDE, FINER + wide).otherwise(FINER), F.lit(LEVELS[0]))
+    return _cells(boxes.withColumn("_level", finer), y0, y1, x0, x1, F.col("_level"))
+
+
+def _placed(points: DataFrame, dealt: DataFrame, lat: str, lng: str) -> DataFrame:
+    """The points joined with what is dealt to their cells. They stand in one cell of each level that occurs; there are LEVELS[1] - LEVELS[0] of them at the most."""
     levels = sorted(r._level for r in dealt.where(F.col("_level").isNotNull()).select("_level").distinct().collect())
     at = [F.struct(F.lit(k).alias("level"), F.floor(F.col(lat) / 2.0**k).alias("y"), F.floor(F.col(lng) / 2.0**k).alias("x")) for k in levels]
     placed = points.withColumn("_at", F.explode(F.array(*at))) if at else points.where("false").withColumn("_at", F.lit(None).cast("struct<level:int,y:bigint,x:bigint>"))
     placed = placed.select(*points.columns, F.col("_at.level").alias("_level"), F.col("_at.y").alias("_y"), F.col("_at.x").alias("_x"))
-    return placed.join(dealt, ["_level", "_y", "_x"]).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1)).drop("_level", "_y", "_x")
+    return placed.join(dealt, ["_level", "_y", "_x"]).drop("_level", "_y", "_x")
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1")) -> DataFrame:
+    """Pairs of points and boxes (y0, y1, x0, x1, edges included) that hold them, with the columns of both.
+
+    Boxes stand in cells of a quarter of their size, so the points of a large box are dealt over as many keys, and few of them lie beside it.
+    """
+    y0, y1, x0, x1 = map(F.col, box)
+    return _placed(points, _dealt(boxes, box), lat, lng).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1))
 
 
 def closed_ring(ring: Column) -> Column:
@@ -249,24 +259,39 @@ def _boxed(polygons: DataFrame, polygon_key: str) -> DataFrame:
 
 
 def _edges(rings: Column) -> Column:
-    """The edges of closed rings that a ray to the east can cross, with what the crossing needs; level ones and those without coordinates can't be."""
+    """The edges of closed rings, with what tests need; those without coordinates are left out."""
     pair = lambda p, q: F.struct(p["x"].alias("x"), p["y"].alias("y"), q["y"].alias("to"), (q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy"))
     every = F.flatten(F.transform(rings, lambda r: F.zip_with(F.slice(r, F.lit(1), F.size(r) - 1), F.slice(r, F.lit(2), F.size(r) - 1), pair)))
-    return F.filter(every, lambda e: e["dx"].isNotNull() & (e["dy"] != 0))
+    return F.filter(every, lambda e: e["dx"].isNotNull() & e["dy"].isNotNull())
+
+
+def _odd(edges: Column, x: Column, y: Column) -> Column:
+    """Whether a ray to the east crosses an odd number of edges."""
+    crossed = F.filter(edges, lambda e: ((e["y"] > y) != (e["to"] > y)) & (x < e["dx"] * (y - e["y"]) / F.nullif(e["dy"], F.lit(0.0)) + e["x"]))
+    return F.size(crossed) % 2 == 1
+
+
+def _touches(edges: Column, x: Column, y: Column, half: Column) -> Column:
+    """Whether an edge meets the square around (x, y): neither an axis nor the edge's own direction parts them."""
+    wide = half * 1.0001  # a little more, for rounding
+    meets = lambda e: (F.abs(e["x"] + e["dx"] / 2 - x) <= F.abs(e["dx"]) / 2 + wide) & (F.abs(e["y"] + e["dy"] / 2 - y) <= F.abs(e["dy"]) / 2 + wide) & (F.abs(e["dx"] * (e["y"] - y) - e["dy"] * (e["x"] - x)) <= wide * (F.abs(e["dx"]) + F.abs(e["dy"])))
+    return F.exists(edges, meets)
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
     """(point, polygon) for points inside; polygons: key and ``ring``, an array of struct(x, y), closed or not, or ``rings``, several of them.
 
     With several rings the even-odd rule holds over all: what a hole's ring encloses is outside, and parts of a multipolygon may lie apart.
-    Points meet the polygons' boxes by an equi-join on the level grid; only those in a box
-    count the edges that a ray to the east crosses.
+    A polygon stands in the cells of the level grid that it touches. A cell that no edge meets is inside as a whole, so its points are without a test, or outside, and is
+    dropped; in the others points count the edges that a ray to the east crosses.
     """
     boxed = _boxed(polygons, polygon_key).withColumn("_edges", _edges(F.col("rings"))).drop("rings")
-    pairs = points_in_boxes(points.select(point_key, lat, lng), boxed, lat, lng)
-    x, y = F.col(lng), F.col(lat)
-    crossed = F.size(F.filter("_edges", lambda e: ((e["y"] > y) != (e["to"] > y)) & (x < e["dx"] * (y - e["y"]) / e["dy"] + e["x"])))
-    return pairs.where(crossed % 2 == 1).select(point_key, polygon_key)
+    step = F.pow(F.lit(2.0), F.col("_level"))
+    cells = _dealt(boxed, ("y0", "y1", "x0", "x1"), wide=2).withColumns({"_my": (F.col("_y") + 0.5) * step, "_mx": (F.col("_x") + 0.5) * step, "_half": step / 2})
+    cells = cells.withColumn("_border", _touches(F.col("_edges"), F.col("_mx"), F.col("_my"), F.col("_half")))
+    cells = cells.where(F.col("_border") | _odd(F.col("_edges"), F.col("_mx"), F.col("_my"))).withColumn("_edges", F.when(F.col("_border"), F.col("_edges")))
+    pairs = _placed(points.select(point_key, lat, lng), cells.select(polygon_key, "_edges", "_level", "_y", "_x"), lat, lng)
+    return pairs.where(F.col("_edges").isNull() | _odd(F.col("_edges"), F.col(lng), F.col(lat))).select(point_key, polygon_key)
 
 
 def ring_area(ring: Column) -> Column:

@@ -577,4 +577,4 @@ def _(spark, d):
     return listings.dollarize_as_of(o, load(spark, d, "rate"), "dia").select("id", cents(F.col("precio_usd")).alias("precio_usd"))
 
 
-from . import map_queries, table_queries  # noqa: E402, F401  add their queries to those above
+from . import map_queries  # noqa: E402, F401  adds its queries to those above, and those of table_queries

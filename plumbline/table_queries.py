@@ -1,4 +1,4 @@
-"""Queries over features, folds, boundaries, task tables and stored tables; imported by ``queries``, which owns the registry."""
+"""Queries over features, folds, boundaries, task tables and stored tables; imported by ``map_queries``, whose layers it uses."""
 
 from __future__ import annotations
 
