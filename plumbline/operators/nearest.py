@@ -23,6 +23,8 @@ from .spatial import parts_of, point_in_polygon
 FINEST, COARSEST, STEP, CROWD = -20, 10, 2, 48
 #: Pieces that an edge is cut into, on average, at the first choice of a leaf; at most 16 times as many where cells are crowded.
 PIECES = 8
+#: Types that have an inside.
+AREAS = ("Polygon", "MultiPolygon")
 
 
 def edges_of(shapes: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,10 +40,12 @@ class Tree:
 
     def __init__(self, shapes: DataFrame, layer: str, key: str):
         # Equal edges of a layer are one, so no cell is crowded by copies.
-        same = edges_of(shapes, [layer, key]).groupBy(F.col(layer).alias("layer"), "px", "py", "qx", "qy").agg(F.min(key).alias("key"))
+        held = edges_of(shapes.withColumn("_area", F.col("type").isin(*AREAS)), [layer, key, "_area"])
+        same = held.groupBy(F.col(layer).alias("layer"), "px", "py", "qx", "qy").agg(F.min(key).alias("key"), F.max("_area").alias("area"))
         self.edges = cut(same)
         wide, high = (lambda f, g: F.max(F.greatest(f, g)) - F.min(F.least(f, g))), F.greatest(F.abs(F.col("qx") - F.col("px")), F.abs(F.col("qy") - F.col("py")))
-        spread = self.edges.agg(F.count("*").alias("n"), F.count_distinct("layer").alias("layers"), F.greatest(wide("px", "qx"), wide("py", "qy")).alias("extent"), F.sum(high).alias("length")).first()
+        spread = self.edges.agg(F.count("*").alias("n"), F.count_distinct("layer").alias("layers"), F.greatest(wide("px", "qx"), wide("py", "qy")).alias("extent"), F.sum(high).alias("length"), F.max("area").alias("areas")).first()
+        self.areas = bool(spread.areas)
         self.n, self.layers, self.extent, self.length = spread.n, spread.layers, spread.extent or 0.0, spread.length or 0.0
         at_least = [max(self.extent, 1e-6) / math.sqrt(max(self.n / 8, 1)), self.length / (PIECES * max(self.n, 1)), 2.0**FINEST]
         self.leaf = min(math.ceil(math.log2(max(at_least))), COARSEST)
@@ -130,7 +134,13 @@ def nearest_shapes(points: DataFrame, shapes: DataFrame, point_key: str, shape_k
     foot = met.withColumn("t", t).withColumn("fx", F.col("px") + F.col("t") * (F.col("qx") - F.col("px"))).withColumn("fy", F.col("py") + F.col("t") * (F.col("qy") - F.col("py")))
     far = F.lit(0.0) if sphere else (F.col("fx") - F.col("x")) * (F.col("fx") - F.col("x")) + (F.col("fy") - F.col("y")) * (F.col("fy") - F.col("y"))
     outside = foot.select("point", "layer", far.alias("far"), haversine_m("y", "x", "fy", "fx").alias("distance_m"), "key")
-    areas = shapes.where(F.col("type").isin("Polygon", "MultiPolygon")).select(F.struct(F.col(layer).alias("layer"), F.col(shape_key).alias("key")).alias("area"), parts_of(shapes).alias("rings"))
+    if not tree.areas:
+        return _best(outside, point_key, shape_key, layer)
+    areas = shapes.where(F.col("type").isin(*AREAS)).select(F.struct(F.col(layer).alias("layer"), F.col(shape_key).alias("key")).alias("area"), parts_of(shapes).alias("rings"))
     inside = point_in_polygon(at, areas, "point", "area", "y", "x").select("point", "area.layer", F.lit(0.0).alias("far"), F.lit(0.0).alias("distance_m"), "area.key")
-    best = outside.unionByName(inside).groupBy("point", "layer").agg(F.min(F.struct("far", "distance_m", "key")).alias("b"))
+    return _best(outside.unionByName(inside), point_key, shape_key, layer)
+
+
+def _best(found: DataFrame, point_key: str, shape_key: str, layer: str) -> DataFrame:
+    best = found.groupBy("point", "layer").agg(F.min(F.struct("far", "distance_m", "key")).alias("b"))
     return best.select(F.col("point").alias(point_key), F.col("layer").alias(layer), F.col("b.key").alias(shape_key), F.col("b.distance_m").alias("distance_m"))
