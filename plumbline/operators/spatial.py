@@ -172,31 +172,65 @@ def nearest_within(left: DataFrame, right: DataFrame, key: str, metres: float, i
     return near.groupBy(key).agg(best).select(key, "best.*")
 
 
-def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query_key: str, point_key: str, skip_self: bool = False, **where) -> DataFrame:
+#: Points that a search circle of the first round holds on average, for each neighbour wanted; remaining queries that are broadcast; points of a task.
+ROOM, FEW_QUERIES, TASK_POINTS = 2, 20_000, 20_000
+
+
+def _first_reach(points: DataFrame, right_at, k: int, metres: float) -> float:
+    """At most ``metres``, and less where points lie so densely, as a point sees them on average, that a circle of ROOM * k points is smaller."""
+    most = ROOM * k / math.pi  # points of a bucket as wide as the reach
+    for _ in range(8):
+        held = _buckets(points, *right_at, metres, False).groupBy("_by", "_bx").count()
+        crowd = held.agg(F.sum(F.col("count") * F.col("count")) / F.sum("count") - 1).first()[0] or 0.0  # but for the point itself
+        if crowd <= 1.5 * most or metres <= 1.0:
+            break
+        metres = max(metres * math.sqrt(most / crowd), 1.0)
+    return metres
+
+
+def knn_join(queries: DataFrame, points: DataFrame, k: int, metres: float, query_key: str, point_key: str, skip_self: bool = False, left_at=("lat", "lng"), right_at=("r_lat", "r_lng"), distance: str = "distance_m") -> DataFrame:
     """The k nearest points of each query, ranks from 1, ties by key; all points if there are fewer.
 
-    The search radius starts at ``metres`` and doubles for those queries only that have fewer than k points
-    yet, up to half the globe's girth, so no query is left incomplete; each round is a bucket join.
+    The search radius starts at ``metres``, or less where points are crowded, and doubles for those queries only that have fewer than k points
+    yet, up to half the globe's girth, so no query is left incomplete; each round is a bucket join. While queries are many the points are dealt to the buckets
+    around, so that a query's pairs stand in its own bucket and are ranked there, without another shuffle. Of points at one place only those of
+    least key count, as many as may be wanted. Keys are unique; points without coordinates, or with skip_self without a key, are nobody's neighbours.
     """
-    most = min(k, points.count() - (1 if skip_self else 0))
-    ranked_by = W.partitionBy(query_key).orderBy("distance_m", point_key)
-    done, rest, step = None, queries, 0
+    somewhere = points.where(F.col(right_at[0]).isNotNull() & F.col(right_at[1]).isNotNull())
+    somewhere = somewhere.where(F.col(point_key).isNotNull()) if skip_self else somewhere
+    wanted = k + (1 if skip_self else 0)
+    at_place = W.partitionBy(*(F.col(c) + 0.0 for c in right_at)).orderBy(point_key)
+    somewhere = cut(somewhere.withColumn("_k", F.row_number().over(at_place)).where(F.col("_k") <= wanted).drop("_k"))
+    n = somewhere.count()
+    most = min(k, n - (1 if skip_self else 0))
+    reach = _first_reach(somewhere, right_at, k, metres) if most > 0 else metres
+    done, rest = None, queries if most <= 0 else cut(queries)
+    left = 0 if most <= 0 else rest.count()
     while most > 0 or done is None:
-        reach = metres * 2**step
-        last = reach > math.pi * RADIUS_M
-        near = radius_join(rest, points, reach, **where)
+        last = reach > math.pi * RADIUS_M or most <= 0
+        many = left * 9 >= n
+        a = _buckets(rest.where(F.col(left_at[0]).isNotNull() & F.col(left_at[1]).isNotNull()), *left_at, reach, not many)
+        b = _buckets(somewhere, *right_at, reach, many)
+        if many:  # as many tasks as points ask for: their pairs are far more than the rows shuffled
+            tasks = max(left, n) // TASK_POINTS + 1
+            a, b = a.repartition(tasks, "_by", "_bx"), b.repartition(tasks, "_by", "_bx")
+        a, b = a.withColumns(_on_sphere(*left_at, "_l")), b.withColumns(_on_sphere(*right_at, "_r"))
+        chord = sum(((F.col(f"_l{c}") - F.col(f"_r{c}")) * (F.col(f"_l{c}") - F.col(f"_r{c}")) for c in "xyz"), F.lit(0.0))  # spares the trigonometry of most pairs
+        near = (F.broadcast(a) if left <= FEW_QUERIES else a).join(b, ["_by", "_bx"]).where(chord <= _chord(reach) * 1.001 + 1e-15).drop(*(f"_{side}{c}" for side in "lr" for c in "xyz")).withColumn(distance, haversine_m(*left_at, *right_at)).where(F.col(distance) <= reach)
         near = near.where(F.col(query_key) != F.col(point_key)) if skip_self else near
-        ranked = near.withColumn("rank", F.row_number().over(ranked_by)).where(F.col("rank") <= k)
+        ranked_by = W.partitionBy(*(["_by", "_bx"] if many else []), query_key).orderBy(distance, point_key)
+        ranked = near.withColumn("rank", F.row_number().over(ranked_by)).where(F.col("rank") <= k).drop("_by", "_bx")
         ranked = ranked if last else cut(ranked)  # what a round has found is kept, not found anew by the next one
         full = ranked.where(F.col("rank") == most).select(query_key)
         part = ranked if last else ranked.join(full, query_key, "left_semi")
         done = part if done is None else done.unionByName(part)
-        if last or most <= 0:
+        if last:
             break
         rest = cut(rest.join(full, query_key, "left_anti"))
-        if rest.isEmpty():
+        left = rest.count()
+        if not left:
             break
-        step += 1
+        reach *= 2
     return done
 
 

@@ -98,3 +98,23 @@ def test_geojson_round_trip(spark):
     assert back == dict(enumerate(texts)) and rows.where("k >= 9 and s is not null").count() == 0
     box = rows.where("k = 3").select(geometry.bounds(F.col("s.rings")).alias("b")).first().b
     assert tuple(box) == (0.0, 0.0, 10.0, 4.0)
+
+
+def test_neighbours_of_a_crowd_take_a_radius_that_fits(spark):
+    """A first radius that holds the whole crowd gives way to one of few points; copies of a place and a far query are served as well."""
+    rng = random.Random(5)
+    points = [(i, -25 + rng.random() / 50, -57 + rng.random() / 50) for i in range(2000)] + [(2000 + i, -25.01, -56.99) for i in range(50)]
+    frame = spark.createDataFrame(points, "p int, r_lat double, r_lng double").persist()
+    assert spatial._first_reach(frame, ("r_lat", "r_lng"), 4, 50_000.0) < 500
+    queries = [*((i, y, x) for i, y, x in points[::25]), (9999, -24.0, -57.0)]
+    got = {}
+    for r in spatial.knn_join(spark.createDataFrame(queries, "q int, lat double, lng double"), frame, 4, 50_000.0, "q", "p", skip_self=True).collect():
+        got.setdefault(r.q, []).append((r["rank"], r.p))
+
+    def metres(a, b):
+        (y, x), (v, u) = map(lambda t: tuple(map(math.radians, t)), (a, b))
+        return 2 * 6_371_000 * math.asin(math.sqrt(math.sin((v - y) / 2) ** 2 + math.cos(y) * math.cos(v) * math.sin((u - x) / 2) ** 2))
+
+    for q, y, x in queries:
+        want = sorted((round(metres((y, x), p[1:]), 6), p[0]) for p in points if p[0] != q)[:4]
+        assert sorted(got[q]) == [(k, p) for k, (_, p) in enumerate(want, 1)]
