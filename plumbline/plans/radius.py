@@ -9,8 +9,9 @@ from ..functions.geo import haversine_m, in_box, within
 from ..functions.shapes import area as shape_area
 from ..functions.shapes import bounds, geojson_of_shape
 from ..functions.text import same_name, unaccented
+from ..operators.checkpoints import cut
 from ..operators.nearest import nearest_shapes
-from ..operators.spatial import parts_of, point_in_polygon, shape_distances
+from ..operators.spatial import parts_of, point_in_polygon
 
 NO_CATEGORY = "Sin clasificar"
 TYPES_M, TYPES_LEAST = 2000.0, 0.5
@@ -61,10 +62,11 @@ def nearest_named(points: DataFrame, shapes: DataFrame, key: str = "id", named_m
     the nearest with a label of its kind. shapes: shape, name (null or empty if it has none), kind, type, and path or rings."""
     own = shapes.select("shape", F.nullif("name", F.lit("")).alias("name"), "kind", "type", parts_of(shapes).alias("rings"))
     about = own.select("shape", "name", "kind")
-    near = nearest_shapes(points, own.withColumn("layer", F.lit(0)), key, "shape", sphere=True).drop("layer").join(about, "shape").select(key, "name", "kind", "distance_m")
+    near = cut(nearest_shapes(points, own.withColumn("layer", F.lit(0)), key, "shape", sphere=True).drop("layer").join(about, "shape").select(key, "name", "kind", "distance_m"))
     rest = points.join(near.where(F.col("name").isNull()).select(key), key, "left_semi")
-    named = shape_distances(rest, own.where(F.col("name").isNotNull()), named_m, key, "shape").groupBy(key).agg(F.min(F.struct("distance_m", "shape")).alias("n"))
-    named = named.select(key, F.col("n.shape").alias("shape"), F.col("n.distance_m").alias("n_distance")).join(about.withColumnsRenamed({"name": "n_name", "kind": "n_kind"}), "shape").drop("shape")
+    # Only the nearest named shape counts, so another descent finds it, whatever the number of those within ``named_m``.
+    named = nearest_shapes(rest, own.where(F.col("name").isNotNull()).withColumn("layer", F.lit(0)), key, "shape", sphere=True).where(F.col("distance_m") <= named_m)
+    named = named.select(key, "shape", F.col("distance_m").alias("n_distance")).join(about.withColumnsRenamed({"name": "n_name", "kind": "n_kind"}), "shape").drop("shape")
     both = near.join(named, key, "left")
     pick = lambda c: F.when(F.col("n_name").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(c))
     return both.select(key, F.coalesce("name", "n_name", F.concat(F.lit(f"{label} ("), F.col("kind"), F.lit(")"))).alias("name"), pick("kind").alias("kind"), F.when(F.col("n_name").isNotNull(), F.col("n_distance")).otherwise(F.col("distance_m")).alias("distance_m"))

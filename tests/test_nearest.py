@@ -118,3 +118,16 @@ def test_neighbours_of_a_crowd_take_a_radius_that_fits(spark):
     for q, y, x in queries:
         want = sorted((round(metres((y, x), p[1:]), 6), p[0]) for p in points if p[0] != q)[:4]
         assert sorted(got[q]) == [(k, p) for k, (_, p) in enumerate(want, 1)]
+
+
+def test_nearest_named_forms_no_pairs_within_its_reach(spark, monkeypatch):
+    """The nearest named shape is found by a descent, not among all that lie within the reach, which grow with both tables."""
+    from plumbline.plans import radius
+
+    monkeypatch.setattr(spatial, "line_distances", lambda *_, **__: pytest.fail("pairs within the reach"))
+    shape = lambda k, name, y, x: (k, name, "k", "Point", [[{"x": x, "y": y}]])
+    rows = [shape(1, None, 0.0, 0.0), shape(2, "b", 0.0, 0.01), shape(3, "a", 0.0, 0.02), shape(4, "", 5.0, 5.0), shape(5, "c", 9.0, 9.0)]
+    shapes = spark.createDataFrame(rows, "shape int, name string, kind string, type string, rings array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(1, 0.0, -0.001), (2, 5.0, 5.0), (3, 8.9, 9.0), (4, None, 1.0)], "id int, lat double, lng double")
+    got = {r.id: (r.name, round(r.distance_m)) for r in radius.nearest_named(points, shapes, named_m=2000.0, label="none").collect()}
+    assert got == {1: ("b", 1223), 2: ("none (k)", 0), 3: ("c", 11119)}
