@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import haversine_m
 from .checkpoints import cut
 from .lookup import MOST_ROWS
-from .spatial import parts_of, point_in_polygon
+from .spatial import first_polygons, parts_of
 
 #: Cells of 2 ** level degrees: the finest and the coarsest; a step of the descent; edges in a leaf, as an edge sees it on average.
 FINEST, COARSEST, STEP, CROWD = -20, 10, 2, 48
@@ -120,7 +120,12 @@ def nearest_shapes(points: DataFrame, shapes: DataFrame, point_key: str, shape_k
     at = points.where(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(F.col(point_key).alias("point"), F.col(lng).cast("double").alias("x"), F.col(lat).cast("double").alias("y"))
     at = at.withColumn("shrink", F.cos(F.radians("y")) if sphere else F.lit(1.0))
     top = tree.cells(tree.top).agg(F.collect_list(F.struct("layer", "cy", "cx", "x0", "x1", "y0", "y1", "some")).alias("top"))  # four cells a layer at most
-    frontier = _pruned(_bounds(at.join(F.broadcast(top)).withColumn("c", F.explode("top")).select("point", "x", "y", "shrink", "c.*")), sphere)
+    frontier, inside = at.join(F.broadcast(top)).withColumn("c", F.explode("top")).select("point", "x", "y", "shrink", "c.*"), None
+    if tree.areas:  # what lies within a polygon has found its nearest one
+        areas = shapes.where(F.col("type").isin(*AREAS)).select(F.col(layer).alias("layer"), F.col(shape_key).alias("key"), parts_of(shapes).alias("rings"))
+        inside = cut(first_polygons(at, areas, "point", "layer", "key", "y", "x"))
+        frontier = frontier.join(inside, ["point", "layer"], "left_anti")
+    frontier = _pruned(_bounds(frontier), sphere)
     for level in range(tree.top - STEP, tree.leaf - 1, -STEP):
         cells = tree.cells(level)
         cells = F.broadcast(cells) if tree.few(level) else cells
@@ -134,11 +139,9 @@ def nearest_shapes(points: DataFrame, shapes: DataFrame, point_key: str, shape_k
     foot = met.withColumn("t", t).withColumn("fx", F.col("px") + F.col("t") * (F.col("qx") - F.col("px"))).withColumn("fy", F.col("py") + F.col("t") * (F.col("qy") - F.col("py")))
     far = F.lit(0.0) if sphere else (F.col("fx") - F.col("x")) * (F.col("fx") - F.col("x")) + (F.col("fy") - F.col("y")) * (F.col("fy") - F.col("y"))
     outside = foot.select("point", "layer", far.alias("far"), haversine_m("y", "x", "fy", "fx").alias("distance_m"), "key")
-    if not tree.areas:
-        return _best(outside, point_key, shape_key, layer)
-    areas = shapes.where(F.col("type").isin(*AREAS)).select(F.struct(F.col(layer).alias("layer"), F.col(shape_key).alias("key")).alias("area"), parts_of(shapes).alias("rings"))
-    inside = point_in_polygon(at, areas, "point", "area", "y", "x").select("point", "area.layer", F.lit(0.0).alias("far"), F.lit(0.0).alias("distance_m"), "area.key")
-    return _best(outside.unionByName(inside), point_key, shape_key, layer)
+    if inside is not None:
+        outside = outside.unionByName(inside.select("point", "layer", F.lit(0.0).alias("far"), F.lit(0.0).alias("distance_m"), "key"))
+    return _best(outside, point_key, shape_key, layer)
 
 
 def _best(found: DataFrame, point_key: str, shape_key: str, layer: str) -> DataFrame:

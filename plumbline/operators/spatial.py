@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import DEGREE_M, RADIUS_M, haversine_m
 from .checkpoints import cut
+from .lookup import small
 
 
 def _columns_of(row: Column, metres: float) -> Column:
@@ -319,13 +320,57 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, point_key: str, pol
     A polygon stands in the cells of the level grid that it touches. A cell that no edge meets is inside as a whole, so its points are without a test, or outside, and is
     dropped; in the others points count the edges that a ray to the east crosses.
     """
+    pairs = _placed(points.select(point_key, lat, lng), _polygon_cells(polygons, polygon_key), lat, lng)
+    return pairs.where(F.col("_edges").isNull() | _odd(F.col("_edges"), F.col(lng), F.col(lat))).select(point_key, polygon_key)
+
+
+def _polygon_cells(polygons: DataFrame, polygon_key: str) -> DataFrame:
+    """(polygon_key, _edges, _level, _y, _x): the cells that a polygon touches, without edges those that lie within it as a whole."""
     boxed = _boxed(polygons, polygon_key).withColumn("_edges", _edges(F.col("rings"))).drop("rings")
+    return _met(_dealt(boxed, ("y0", "y1", "x0", "x1"), wide=2)).select(polygon_key, "_edges", "_level", "_y", "_x")
+
+
+def _met(cells: DataFrame) -> DataFrame:
+    """The cells that the polygon of ``_edges`` meets; those within it as a whole lose their edges."""
     step = F.pow(F.lit(2.0), F.col("_level"))
-    cells = _dealt(boxed, ("y0", "y1", "x0", "x1"), wide=2).withColumns({"_my": (F.col("_y") + 0.5) * step, "_mx": (F.col("_x") + 0.5) * step, "_half": step / 2})
+    cells = cells.withColumns({"_my": (F.col("_y") + 0.5) * step, "_mx": (F.col("_x") + 0.5) * step, "_half": step / 2})
     cells = cells.withColumn("_border", _touches(F.col("_edges"), F.col("_mx"), F.col("_my"), F.col("_half")))
     cells = cells.where(F.col("_border") | _odd(F.col("_edges"), F.col("_mx"), F.col("_my"))).withColumn("_edges", F.when(F.col("_border"), F.col("_edges")))
-    pairs = _placed(points.select(point_key, lat, lng), cells.select(polygon_key, "_edges", "_level", "_y", "_x"), lat, lng)
-    return pairs.where(F.col("_edges").isNull() | _odd(F.col("_edges"), F.col(lng), F.col(lat))).select(point_key, polygon_key)
+    return cells.drop("_my", "_mx", "_half", "_border")
+
+
+#: Polygons whose edges meet a cell, up to which points are tested against each; times that cells are split, by FINER levels each; how many times as many entries end that early.
+EDGED, SPLITS, MOST_SPLIT = 4, 4, 8
+
+
+def first_polygons(points: DataFrame, polygons: DataFrame, point_key: str, layer: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """(point, layer, polygon): of each layer's polygons that hold a point, the one of least key; polygons: layer, key and ``rings``.
+
+    However many polygons lie over each other, a cell keeps one of those that hold it as a whole, the first, and of those whose edges meet it only the ones of lesser keys. Where
+    these are still many, the cell gives way to those within. So a point meets few polygons, not all that hold it.
+    """
+    named = polygons.select(F.struct(F.col(layer).alias("layer"), F.col(polygon_key).alias("key")).alias("_polygon"), "rings")
+    own, at = ["_layer", "_key", "_edges", "_level", "_y", "_x"], ["_layer", "_level", "_y", "_x"]
+    cells = cut(_polygon_cells(named, "_polygon").select(F.col("_polygon.layer").alias("_layer"), F.col("_polygon.key").alias("_key"), *own[2:]))
+    parts, room = [], cells.count() * MOST_SPLIT
+    for k in range(SPLITS + 1):
+        whole = cut(cells.where(F.col("_edges").isNull()).groupBy(*at).agg(F.min("_key").alias("_first")))
+        parts.append(whole.select("_layer", F.col("_first").alias("_key"), F.lit(None).cast(cells.schema["_edges"].dataType).alias("_edges"), *at[1:]))
+        border = cells.where(F.col("_edges").isNotNull()).join(small(whole), at, "left").where(F.col("_first").isNull() | (F.col("_key") < F.col("_first"))).drop("_first")
+        border = cut(border)
+        crowded = border.groupBy(*at).count().where((F.col("count") > EDGED) & (F.col("_level") >= LEVELS[0] + FINER))
+        border = cut(border.join(crowded, at, "left"))
+        split = border.where(F.col("count").isNotNull()).select(*own)
+        if k == SPLITS or border.count() > room or split.isEmpty():
+            parts.append(border.select(*own))
+            break
+        parts.append(border.where(F.col("count").isNull()).select(*own))
+        within = lambda c: F.explode(F.sequence(F.col(c) * 2**FINER, F.col(c) * 2**FINER + (2**FINER - 1)))
+        split = split.withColumn("_level", F.col("_level") - FINER).withColumn("_y", within("_y")).withColumn("_x", within("_x"))
+        cells = cut(_met(split).select(*own))
+    pairs = _placed(points.select(point_key, lat, lng), functools.reduce(DataFrame.unionByName, parts), lat, lng)
+    held = pairs.where(F.col("_edges").isNull() | _odd(F.col("_edges"), F.col(lng), F.col(lat)))
+    return held.groupBy(point_key, F.col("_layer").alias(layer)).agg(F.min("_key").alias(polygon_key))
 
 
 def ring_area(ring: Column) -> Column:

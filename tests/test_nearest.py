@@ -131,3 +131,22 @@ def test_nearest_named_forms_no_pairs_within_its_reach(spark, monkeypatch):
     points = spark.createDataFrame([(1, 0.0, -0.001), (2, 5.0, 5.0), (3, 8.9, 9.0), (4, None, 1.0)], "id int, lat double, lng double")
     got = {r.id: (r.name, round(r.distance_m)) for r in radius.nearest_named(points, shapes, named_m=2000.0, label="none").collect()}
     assert got == {1: ("b", 1223), 2: ("none (k)", 0), 3: ("c", 11119)}
+
+
+@pytest.mark.parametrize("edged, splits", [(4, 4), (0, 2), (1000, 0)])
+def test_first_polygons(spark, monkeypatch, edged, splits):
+    """Of polygons that lie over each other the first by key, however cells are split."""
+    monkeypatch.setattr(spatial, "EDGED", edged)
+    monkeypatch.setattr(spatial, "SPLITS", splits)
+    rng = random.Random(3)
+    polygons = [("ab"[k % 2], k * 37 % 60, [[{"x": rng.random() * 2, "y": rng.random() * 2} for _ in range(3)]]) for k in range(60)]
+    points = [(k, rng.random() * 2, rng.random() * 2) for k in range(300)]
+    shapes = spark.createDataFrame(polygons, "layer string, id int, rings array<array<struct<x:double,y:double>>>")
+    got = {(r.k, r.layer): r.id for r in spatial.first_polygons(spark.createDataFrame(points, "k int, lat double, lng double"), shapes, "k", "layer", "id").collect()}
+    want = {}
+    for k, y, x in points:
+        for layer, i, rings in polygons:
+            ring = [(p["x"], p["y"]) for p in rings[0]]
+            if inside([[*ring, ring[0]]], y, x):
+                want[k, layer] = min(i, want.get((k, layer), i))
+    assert got == want and len(want) > 100
