@@ -206,3 +206,21 @@ def test_deduplicate_by_name_then_place(spark):
     rows = [(1, "Bar", -25.0, -57.0), (2, " bar ", 10.0, 10.0), (3, "Longer bar", -25.0 + step, -57.0), (4, "c", 30.0, 30.0)]
     df = spark.createDataFrame(rows, "id int, name string, lat double, lng double")
     assert sorted(x.id for x in dedup.deduplicate(df).collect()) == [2, 3, 4]
+
+
+def test_script_arrays_are_read_by_few_pages_at_once(spark):
+    """Whole pages don't reach Python in Arrow batches, which count rows and not bytes."""
+    df = spark.createDataFrame([(1, 'list = ["a", "]"];'), (2, None)], "id int, html string")
+    got = df.select("id", pages.script_array(F.col("html"), "list =", "a string").alias("x"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_records_of_repeated_ids_and_pages_come_once(spark):
+    """First records are settled by their places: repeated within a page, on later pages and on a page that stands twice."""
+    from plumbline.sources import portals
+
+    html = lambda *ids: "propiedades: [" + ",".join('{"id": "%s"}' % i for i in ids) + "]"
+    rows = [(0, 1, html("a", "b", "a")), (0, 2, html("b", "c")), (0, 3, html("c")), (1, 1, html("c", "d")), (1, 1, html("c", "d"))]
+    got = portals.segment_records(spark.createDataFrame(rows, "segment int, page int, html string"))
+    assert sorted(r.id_externo for r in got.collect()) == ["a", "b", "c", "d"]
