@@ -262,22 +262,24 @@ def _dealt(boxes: DataFrame, box, wide: int = 0) -> DataFrame:
     return _cells(boxes.withColumn("_level", finer), y0, y1, x0, x1, F.col("_level"))
 
 
-def _placed(points: DataFrame, dealt: DataFrame, lat: str, lng: str) -> DataFrame:
-    """The points joined with what is dealt to their cells. They stand in one cell of each level that occurs; there are LEVELS[1] - LEVELS[0] of them at the most."""
+def _placed(points: DataFrame, dealt: DataFrame, lat: str, lng: str, tasks: int = 0) -> DataFrame:
+    """The points joined with what is dealt to their cells, in so many tasks if given: a few points' pairs may be far more than their bytes tell. They stand in one cell of each level that occurs; there are LEVELS[1] - LEVELS[0] of them at the most."""
     levels = sorted(r._level for r in dealt.where(F.col("_level").isNotNull()).select("_level").distinct().collect())
     at = [F.struct(F.lit(k).alias("level"), F.floor(F.col(lat) / 2.0**k).alias("y"), F.floor(F.col(lng) / 2.0**k).alias("x")) for k in levels]
     placed = points.withColumn("_at", F.explode(F.array(*at))) if at else points.where("false").withColumn("_at", F.lit(None).cast("struct<level:int,y:bigint,x:bigint>"))
     placed = placed.select(*points.columns, F.col("_at.level").alias("_level"), F.col("_at.y").alias("_y"), F.col("_at.x").alias("_x"))
+    if tasks:
+        placed, dealt = (side.repartition(tasks, "_level", "_y", "_x") for side in (placed, dealt))
     return placed.join(dealt, ["_level", "_y", "_x"]).drop("_level", "_y", "_x")
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1")) -> DataFrame:
+def points_in_boxes(points: DataFrame, boxes: DataFrame, lat: str = "lat", lng: str = "lng", box=("y0", "y1", "x0", "x1"), tasks: int = 0) -> DataFrame:
     """Pairs of points and boxes (y0, y1, x0, x1, edges included) that hold them, with the columns of both.
 
     Boxes stand in cells of a quarter of their size, so the points of a large box are dealt over as many keys, and few of them lie beside it.
     """
     y0, y1, x0, x1 = map(F.col, box)
-    return _placed(points, _dealt(boxes, box), lat, lng).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1))
+    return _placed(points, _dealt(boxes, box), lat, lng, tasks).where(F.col(lat).between(y0, y1) & F.col(lng).between(x0, x1))
 
 
 def closed_ring(ring: Column) -> Column:
@@ -416,25 +418,88 @@ def box_meets_polygon(boxes: DataFrame, rings: DataFrame, box_key: str, polygon_
     return touching.unionByName(point_in_polygon(corners, rings, box_key, polygon_key)).distinct()
 
 
+def _segments(lines: DataFrame, metres: float, more: float, line_key: str, path: str) -> DataFrame:
+    """(line, _p, _q, box): the segments with their boxes, widened by the reach and by ``more`` degrees."""
+    ends = F.when(F.size(path) == 1, F.array(F.struct(F.element_at(path, 1).alias("p"), F.element_at(path, 1).alias("q")))).otherwise(F.arrays_zip(F.slice(path, F.lit(1), F.size(path) - 1).alias("p"), F.slice(path, F.lit(2), F.size(path) - 1).alias("q")))
+    parts = lines.where(F.size(path) > 0).select(line_key, F.explode(ends).alias("_s")).select(line_key, F.col("_s.p").alias("_p"), F.col("_s.q").alias("_q"))
+    high = F.least(F.greatest(F.abs(F.col("_p.y")), F.abs(F.col("_q.y"))) + metres / DEGREE_M, F.lit(89.0))
+    up, side = F.lit(metres / DEGREE_M * 1.001 + more), metres / (DEGREE_M * F.cos(F.radians(high))) * 1.001 + more
+    return parts.select(line_key, "_p", "_q", (F.least("_p.y", "_q.y") - up).alias("y0"), (F.greatest("_p.y", "_q.y") + up).alias("y1"), (F.least("_p.x", "_q.x") - side).alias("x0"), (F.greatest("_p.x", "_q.x") + side).alias("x1"))
+
+
+def _segment_m(near: DataFrame, lat: str, lng: str) -> DataFrame:
+    """With ``distance_m`` to the segment _p, _q. Each step is a column of its own; don't filter by it before an aggregate, as a filter repeats them all for each of their uses."""
+    shrink = F.cos(F.radians(lat))
+    near = near.withColumns({"_px": (F.col("_p.x") - F.col(lng)) * shrink, "_py": F.col("_p.y") - F.col(lat), "_dx": (F.col("_q.x") - F.col("_p.x")) * shrink, "_dy": F.col("_q.y") - F.col("_p.y")})
+    px, py, dx, dy = map(F.col, ("_px", "_py", "_dx", "_dy"))
+    near = near.withColumn("_t", F.coalesce(F.least(F.greatest(-(px * dx + py * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)), F.lit(0.0)))
+    foot = near.withColumns({"_fy": F.col("_p.y") + F.col("_t") * (F.col("_q.y") - F.col("_p.y")), "_fx": F.col("_p.x") + F.col("_t") * (F.col("_q.x") - F.col("_p.x"))})
+    return foot.withColumn("distance_m", haversine_m(lat, lng, "_fy", "_fx")).drop("_px", "_py", "_dx", "_dy", "_t", "_fy", "_fx")
+
+
+#: Points, or cells of points, of a task that compares them with lines.
+TASK_PLACES = 5_000
+
+
 def line_distances(points: DataFrame, lines: DataFrame, metres: float, point_key: str, line_key: str, lat: str = "lat", lng: str = "lng", path: str = "path") -> DataFrame:
     """(point, line, distance_m) for the lines within ``metres``; lines: key and an array of struct(x, y), a single point included.
 
     Points meet the segments' boxes, widened by the reach, on the level grid. The foot of the perpendicular is found on the plane that
-    touches the sphere at the point, and the distance to it on the sphere.
+    touches the sphere at the point, and the distance to it on the sphere. All pairs are listed, so the rows grow with the product of both sides;
+    ``lines_around`` counts them without.
     """
-    ends = F.when(F.size(path) == 1, F.array(F.struct(F.element_at(path, 1).alias("p"), F.element_at(path, 1).alias("q")))).otherwise(F.arrays_zip(F.slice(path, F.lit(1), F.size(path) - 1).alias("p"), F.slice(path, F.lit(2), F.size(path) - 1).alias("q")))
-    parts = lines.where(F.size(path) > 0).select(line_key, F.explode(ends).alias("_s")).select(line_key, F.col("_s.p").alias("_p"), F.col("_s.q").alias("_q"))
-    high = F.least(F.greatest(F.abs(F.col("_p.y")), F.abs(F.col("_q.y"))) + metres / DEGREE_M, F.lit(89.0))
-    up, side = F.lit(metres / DEGREE_M * 1.001), metres / (DEGREE_M * F.cos(F.radians(high))) * 1.001
-    parts = parts.select(line_key, "_p", "_q", (F.least("_p.y", "_q.y") - up).alias("y0"), (F.greatest("_p.y", "_q.y") + up).alias("y1"), (F.least("_p.x", "_q.x") - side).alias("x0"), (F.greatest("_p.x", "_q.x") + side).alias("x1"))
-    near = points_in_boxes(points.select(point_key, lat, lng), parts, lat, lng)
-    shrink = F.cos(F.radians(lat))
-    px, py = (F.col("_p.x") - F.col(lng)) * shrink, F.col("_p.y") - F.col(lat)
-    dx, dy = (F.col("_q.x") - F.col("_p.x")) * shrink, F.col("_q.y") - F.col("_p.y")
-    t = F.coalesce(F.least(F.greatest(-(px * dx + py * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
-    foot = near.withColumn("_t", t).withColumn("_fy", F.col("_p.y") + F.col("_t") * (F.col("_q.y") - F.col("_p.y"))).withColumn("_fx", F.col("_p.x") + F.col("_t") * (F.col("_q.x") - F.col("_p.x")))
-    far = foot.select(point_key, line_key, haversine_m(lat, lng, "_fy", "_fx").alias("distance_m")).where(F.col("distance_m") <= metres)
-    return far.groupBy(point_key, line_key).agg(F.min("distance_m").alias("distance_m"))
+    near = points_in_boxes(points.select(point_key, lat, lng), _segments(lines, metres, 0.0, line_key, path), lat, lng, tasks=points.count() // TASK_PLACES + 1)
+    far = _segment_m(near, lat, lng).groupBy(point_key, line_key).agg(F.min("distance_m").alias("distance_m"))
+    return far.where(F.col("distance_m") <= metres)
+
+
+#: Points of a cell, as a point sees them on average, beyond which cells are made smaller; the first are of an eighth of the reach.
+CELL_POINTS = 32
+
+
+def lines_around(points: DataFrame, lines: DataFrame, metres: float, point_key: str, line_key: str, lat: str = "lat", lng: str = "lng", path: str = "path") -> DataFrame:
+    """(point, n, least_m, most_m): the number of lines within ``metres`` of each point, and the least and greatest of their distances, as ``line_distances``
+    lists them; points without any are left out. Point keys are unique.
+
+    Cells of points meet the lines first. A line that is within the reach of all of a cell's points counts for them as a whole; points are compared only with lines that the
+    reach may part, and those that may be the nearest or the farthest. So the work for a point follows its circle's edge and not the number of lines within.
+    """
+    somewhere = points.select(point_key, lat, lng).where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+    step, n = metres / 8 / DEGREE_M, somewhere.count()
+    own = lambda step: F.struct(F.floor(F.col(lat) / step).alias("y"), F.floor(F.col(lng) / step).alias("x"))
+    for _ in range(12):
+        crowd = somewhere.groupBy(own(step).alias("cell")).count().agg(F.sum(F.col("count") * F.col("count")) / F.sum("count")).first()[0] or 0.0
+        if crowd <= CELL_POINTS:
+            break
+        step /= 2
+    placed = somewhere.withColumn("cell", own(step)).repartition(n // TASK_PLACES + 1, "cell")
+    middle = placed.withColumns({"m_lat": (F.col("cell.y") + 0.5) * step, "m_lng": (F.col("cell.x") + 0.5) * step})
+    cells = cut(middle.groupBy("cell", "m_lat", "m_lng").agg(F.max(haversine_m(lat, lng, "m_lat", "m_lng")).alias("wide")))
+    parts = cut(_segments(lines, metres, step * 0.5001, line_key, path))
+    single = parts.groupBy(line_key).count().where(F.col("count") > 1).isEmpty()
+    tasks = cells.count() // TASK_PLACES + 1
+    met = _segment_m(points_in_boxes(cells, parts, "m_lat", "m_lng", tasks=tasks), "m_lat", "m_lng").select("cell", line_key, "_p", "_q", "m_lat", "wide", F.col("distance_m").alias("_m"))
+    # A foot on the plane may be farther than the nearest place of the segment: by the ratio of the parallels around, at most.
+    far = (metres + 2 * F.col("wide")) * 1.05 / DEGREE_M + step
+    high, low = F.abs("m_lat") + far, F.greatest(F.abs("m_lat") - far, F.lit(0.0))
+    skew = F.when((high < 75.0) & (far < 1.0), F.sqrt(F.cos(F.radians(low)) / F.cos(F.radians(high)) * (1 + F.pow(F.radians(far) / F.cos(F.radians(high)), 2))))
+    met = met.withColumn("_skew", skew)
+    met = met.select("cell", line_key, "_p", "_q", F.coalesce(F.col("_m") / F.col("_skew") - F.col("wide") - MARGIN_M, F.lit(0.0)).alias("_lo"), F.coalesce(F.col("_skew") * (F.col("_m") + F.col("wide")) + MARGIN_M, F.lit(math.inf)).alias("_hi"))
+    met = met.repartition(n // TASK_PLACES + 1, "cell")
+    if single:
+        met = met.withColumns({"_near": F.col("_lo"), "_far": F.col("_hi"), "_one": F.lit(1)})
+    else:  # a line is as near as its nearest segment
+        line = W.partitionBy("cell", line_key)
+        met = met.withColumns({"_near": F.min("_lo").over(line), "_far": F.min("_hi").over(line), "_one": F.row_number().over(line.orderBy("_lo"))})
+    whole, cell = F.col("_far") <= metres, W.partitionBy("cell")
+    met = met.withColumns({"_whole": F.count_if(whole & (F.col("_one") == 1)).over(cell), "_least": F.min("_far").over(cell), "_most": F.max(F.when(whole, F.col("_near"))).over(cell)})
+    tested = met.where((F.col("_near") <= metres) & (F.col("_lo") <= F.col("_far")) & (~whole | (F.col("_near") <= F.col("_least")) | (F.col("_far") >= F.col("_most"))))
+    both = _segment_m(placed.join(tested.select("cell", line_key, "_p", "_q", "_whole", whole.alias("_in")), "cell"), lat, lng)
+    if not single:
+        both = both.groupBy("cell", point_key, line_key).agg(F.min("distance_m").alias("distance_m"), F.first("_whole").alias("_whole"), F.first("_in").alias("_in"))
+    inside = F.when(F.col("distance_m") <= metres, F.col("distance_m"))
+    found = both.groupBy("cell", point_key).agg((F.first("_whole") + F.count(F.when(~F.col("_in"), inside))).alias("n"), F.min(inside).alias("least_m"), F.max(inside).alias("most_m"))
+    return found.where(F.col("n") > 0).drop("cell")
 
 
 def parts_of(shapes: DataFrame) -> Column:

@@ -150,3 +150,30 @@ def test_first_polygons(spark, monkeypatch, edged, splits):
             if inside([[*ring, ring[0]]], y, x):
                 want[k, layer] = min(i, want.get((k, layer), i))
     assert got == want and len(want) > 100
+
+
+@pytest.mark.parametrize("bends, crowd", [(1, 32), (4, 2)])
+def test_lines_around_as_listed_pairs(spark, monkeypatch, bends, crowd):
+    """Counts, nearest and farthest without listing pairs: lines of one segment and of several, at the equator, at 60 degrees and where parallels are too short for bounds."""
+    r = random.Random(9)
+    spots = [(0.0, 20.0, 150), (60.0, -30.0, 150), (80.0, 40.0, 60)]
+    points = [(k, y + r.gauss(0, 0.05), x + r.gauss(0, 0.05)) for k, (y, x) in enumerate((y, x) for y, x, n in spots for _ in range(n))] + [(901, 0.0, 20.0), (902, 0.0, 20.0), (903, None, 20.0), (904, -40.0, 20.0)]
+    lines = [(k, [(x + r.gauss(0, 0.1) + j * r.uniform(-0.03, 0.03), y + r.gauss(0, 0.05) + j * r.uniform(-0.03, 0.03)) for j in range(bends + 1)] if k % 10 else [(x, y)]) for k, (y, x) in enumerate((y, x) for y, x, _ in spots for _ in range(60))] + [(999, [])]
+    p = spark.createDataFrame(points, "id int, lat double, lng double")
+    s = spark.createDataFrame(lines, "road int, path array<struct<x:double,y:double>>")
+    expected = spatial.line_distances(p, s, 10_000.0, "id", "road").groupBy("id").agg(F.count("*").alias("n"), F.min("distance_m").alias("least_m"), F.max("distance_m").alias("most_m"))
+    expected = {x.id: (x.n, x.least_m, x.most_m) for x in expected.collect()}
+    monkeypatch.setattr(spatial, "CELL_POINTS", crowd)
+    monkeypatch.setattr(spatial, "line_distances", lambda *_, **__: pytest.fail("all pairs within the reach"))
+    got = spatial.lines_around(p, s, 10_000.0, "id", "road").collect()
+    assert {x.id: (x.n, x.least_m, x.most_m) for x in got} == expected and len(got) == len(expected) and max(n for n, *_ in expected.values()) > 20
+
+
+def test_line_pairs_are_spread_and_compared_once(spark, monkeypatch):
+    """Points of one small file stand in several tasks, and the distance isn't repeated in a filter before the aggregate."""
+    monkeypatch.setattr(spatial, "TASK_PLACES", 50)
+    points = spark.range(200, numPartitions=1).selectExpr("id", "id / 100 lat", "id / 70 lng")
+    lines = points.selectExpr("id road", "array(struct(lng x, lat y), struct(lng + 0.01 x, lat y)) path")
+    got = spatial.line_distances(points, lines, 5000.0, "id", "road")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.count("ATAN2") <= 1, plan
