@@ -16,10 +16,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType
 
 from ..functions.geo import DEGREE_M, RADIUS_M, haversine_m
 from .checkpoints import cut
 from .lookup import small
+from .sweep import tile_sums
 
 
 def _columns_of(row: Column, metres: float) -> Column:
@@ -67,29 +71,43 @@ def _on_sphere(lat: str, lng: str, prefix: str) -> dict[str, Column]:
     return {f"{prefix}x": F.cos(phi) * F.cos(lam), f"{prefix}y": F.cos(phi) * F.sin(lam), f"{prefix}z": F.sin(phi)}
 
 
-#: Points of a cell of a quarter of the reach, as a point sees them on average, up to which pairs of points are cheaper than sums of cells; and of a leaf of the cells.
-DIRECT, LEAF_POINTS = 16, 64
+#: Points of a cell of a quarter of the reach, as a point sees them on average, up to which pairs of points are cheaper than circles swept over sorted points; and of a leaf of the cells.
+DIRECT, LEAF_POINTS = 4, 64
+#: Points and places of a tile that one task holds at a time; more are dealt to several. A tile is TILE times as wide as the reach.
+TILE_ROWS, TILE = 200_000, 8
 #: Cells of a level stand side by side in those of the next one, FAN by FAN; there are LEVELS_MOST levels at most.
 FAN, LEVELS_MOST = 8, 5
 #: Metres that a cell must keep from a circle's edge to count as whole or outside.
 MARGIN_M = 1e-6
 
 
-def _cell_pyramid(points: DataFrame, sums: list[str], reach: float) -> tuple[list[DataFrame], DataFrame, float]:
-    """The levels of cells over points of distinct places, coarse first, the points with the cells they lie in, and the crowd of the first level.
+def _first_cells(reach: float) -> tuple[float, Column, Column]:
+    """The height in degrees of cells of a quarter of the reach, a point's row, and how many cells its row has."""
+    high = reach / 4 / DEGREE_M
+    row = F.floor(F.col("r_lat") / high)
+    return high, row, F.greatest(F.ceil(360.0 * F.cos(F.radians(F.least(F.when(row >= 0, row * high).otherwise(-(row + 1) * high), F.lit(90.0)))) / high), F.lit(1)).cast("bigint")
+
+
+def _crowd(points: DataFrame, reach: float) -> float:
+    """How many points a cell of a quarter of the reach holds, as a point sees them on average."""
+    _, row, columns = _first_cells(reach)
+    held = points.groupBy(row.alias("y"), F.floor((F.col("r_lng") + 180.0) / 360.0 * columns).alias("x")).count()
+    return held.agg(F.sum(F.col("count") * F.col("count")) / F.sum("count")).first()[0] or 0.0
+
+
+def _cell_pyramid(points: DataFrame, sums: list[str], reach: float) -> tuple[list[DataFrame], DataFrame]:
+    """The levels of cells over points of distinct places, coarse first, and the points with the cells they lie in.
 
     A cell (its middle in the grid, not among its points) knows its points' sums and the greatest distance of any from the middle.
     """
-    high = reach / 4 / DEGREE_M
-    row0 = F.floor(F.col("r_lat") / high)
-    columns0 = F.greatest(F.ceil(360.0 * F.cos(F.radians(F.least(F.when(row0 >= 0, row0 * high).otherwise(-(row0 + 1) * high), F.lit(90.0)))) / high), F.lit(1)).cast("bigint")
+    high, _, columns0 = _first_cells(reach)
     placed = points.withColumn("_n0", columns0)
 
     def at(level: int) -> tuple[Column, Column]:
         fan = FAN**level
         return F.floor(F.col("r_lat") / (high / fan)).cast("bigint"), F.floor((F.col("r_lng") + 180.0) / 360.0 * (F.col("_n0") * fan)).cast("bigint")
 
-    levels, crowd0 = [], 0.0
+    levels = []
     for level in range(LEVELS_MOST):
         y, x = at(level)
         placed = placed.withColumn(f"_c{level}", F.struct(y.alias("y"), x.alias("x"), F.col("_n0").alias("n")))
@@ -99,28 +117,37 @@ def _cell_pyramid(points: DataFrame, sums: list[str], reach: float) -> tuple[lis
         up = [F.first(f"_c{level - 1}").alias("up")] if level else []
         cells = cut(middle.groupBy(own.alias("cell")).agg(F.first("m_lat").alias("m_lat"), F.first("m_lng").alias("m_lng"), F.max(haversine_m("r_lat", "r_lng", "m_lat", "m_lng")).alias("wide"), F.count("*").alias("n"), *up, *(F.sum(c).alias(c) for c in sums)))
         crowd = cells.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0.0
-        crowd0 = crowd if not level else crowd0
         levels.append(cells.drop("n"))
-        if crowd <= (LEAF_POINTS if level else DIRECT):
+        if crowd <= LEAF_POINTS:
             break
-    return levels, placed, crowd0
+    return levels, placed
 
 
 def radius_sums(left: DataFrame, right: DataFrame, sums: dict[str, tuple[Column, float]], left_at=("lat", "lng"), right_at=("r_lat", "r_lng")) -> DataFrame:
     """For each left row the sums of right values within several radii; 0 where nothing is near or the row has no coordinates. Rows may be repeated.
 
     Sums are taken for distinct places of the left side and of distinct places of the right side. Where the right points lie thinly, pairs within the largest radius are formed
-    in buckets, the smaller side dealt to the buckets around. Where they lie densely, a pyramid of cells is descended: a cell wholly within a circle adds its
-    sum, one outside nothing, and only cells that a circle's edge crosses give way to the cells within, down to points. So the work for a place follows its circles' edges
-    and not the number of points. Which of the two it is goes by how many points a cell holds on average.
+    in buckets, the smaller side dealt to the buckets around. Where they lie densely, tiles of points meet the places whose circles may reach them, and in a tile each circle is swept
+    over the sorted points: running totals give what lies wholly within, and only points at the circles' edges are compared. So the work for a place follows its circles' edges
+    and not the number of points. Which of the two it is goes by how many points a cell holds on average. Sums of decimals, dense ones, descend a pyramid of cells.
     sums: result column -> (value, metres).
     """
     metres, radii, names = max(m for _, m in sums.values()), [m for _, m in sums.values()], [f"_v{k}" for k in range(len(sums))]
     places = cut(left.select(F.col(left_at[0]).alias("lat"), F.col(left_at[1]).alias("lng")).where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).distinct())
     points = right.select(F.col(right_at[0]).alias("r_lat"), F.col(right_at[1]).alias("r_lng"), *(v.alias(n) for n, (v, _) in zip(names, sums.values()))).where(F.col("r_lat").isNotNull() & F.col("r_lng").isNotNull())
     points = cut(points.groupBy("r_lat", "r_lng").agg(*(F.sum(n).alias(n) for n in names)))
-    levels, placed, crowd = _cell_pyramid(points, names, metres)
-    parts = [_pair_sums(places, points, names, radii, metres)] if crowd <= DIRECT else _descended(places, levels, placed, names, radii, metres)
+    kinds = [points.schema[n].dataType for n in names]
+    fractions = [n for n, kind in zip(names, kinds) if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType)]
+    if _crowd(points, metres) <= DIRECT:
+        parts = [_pair_sums(places, points, names, radii, metres)]
+    elif all(isinstance(kind, IntegralType) or n in fractions for n, kind in zip(names, kinds)):
+        odd = functools.reduce(lambda a, b: a | b, [F.coalesce(F.isnan(F.abs(n) * 0.0), F.lit(False)) for n in fractions], F.lit(False))  # infinite or no number, which would spoil running totals
+        parts = [_swept(places, points.where(~odd), names, radii, metres)]
+        strange = points.where(odd)
+        parts += [] if not fractions or strange.isEmpty() else [_pair_sums(places, strange, names, radii, metres)]
+    else:
+        levels, placed = _cell_pyramid(points, names, metres)
+        parts = _descended(places, levels, placed, names, radii, metres)
     got = functools.reduce(DataFrame.unionByName, parts)
     got = got.groupBy(F.col("lat").alias("_lat"), F.col("lng").alias("_lng")).agg(*(F.sum(n).alias(n) for n in names))
     kept = left.join(got, (F.col(left_at[0]) == F.col("_lat")) & (F.col(left_at[1]) == F.col("_lng")), "left")
@@ -144,6 +171,42 @@ def _pair_sums(places: DataFrame, points: DataFrame, names: list[str], radii: li
     return near.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col("_d") <= _chord(m), F.col(n))).alias(n) for n, m in zip(names, radii)))
 
 
+def _met_tiles(places: DataFrame, metres: float, tile: float) -> DataFrame:
+    """A row for each tile (_by, _bx) that a place's circle may meet: its own, and those of the eight around whose border is within ``metres``."""
+    step, up = tile / DEGREE_M * 1.001, metres / DEGREE_M * 1.001
+    beside = lambda c: F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias(c)
+    rows = places.withColumn("_row", F.floor(F.col("lat") / step)).select("lat", "lng", "_row", beside("_i"))
+    rows = rows.where((F.col("_i") == 0) | ((F.col("_i") < 0) & (F.col("lat") - F.col("_row") * step <= up)) | ((F.col("_i") > 0) & ((F.col("_row") + 1) * step - F.col("lat") <= up)))
+    far = F.least(F.abs("lat") + up, F.lit(90.0))
+    side = F.degrees(2 * F.asin(F.least(math.sin(min(math.pi / 2, metres / RADIUS_M / 2)) / F.greatest(F.cos(F.radians(far)), F.lit(1e-12)), F.lit(1.0)))) * 1.001
+    rows = rows.select("lat", "lng", (F.col("_row") + F.col("_i")).alias("_by"), side.alias("_side")).withColumn("_n", _columns_of(F.col("_by"), tile))
+    rows = rows.withColumn("_at", (F.col("lng") + 180.0) / 360.0 * F.col("_n")).withColumn("_x", F.floor("_at").cast("bigint")).select("*", beside("_j"))
+    n, j = F.col("_n"), F.col("_j")
+    gap = F.when(j < 0, F.col("_at") - F.col("_x")).otherwise(F.col("_x") + 1 - F.col("_at")) * 360.0 / n
+    # Of one or two columns in a row none is met twice.
+    rows = rows.where((j == 0) | ((n > F.when(j < 0, 2).otherwise(1)) & ((n <= 3) | (gap <= F.col("_side")))))
+    return rows.select("lat", "lng", "_by", F.pmod(F.col("_x") + j, n).alias("_bx"))
+
+
+def _swept(places: DataFrame, points: DataFrame, names: list[str], radii: list[float], metres: float) -> DataFrame:
+    """The sums by circles swept over tiles of sorted points. Of a crowded tile points and places are each dealt to as many shares as keep a task's rows bounded; sums add up over shares."""
+    tile = ["_by", "_bx"]
+    finite = lambda df, *at: df.withColumns({c: F.col(c).cast("double") for c in at}).where(functools.reduce(lambda p, q: p & q, [F.abs(c) < F.lit(math.inf) for c in at]))
+    a = _met_tiles(finite(places, "lat", "lng"), metres, metres * TILE)
+    b = _buckets(finite(points, "r_lat", "r_lng"), "r_lat", "r_lng", metres * TILE, False)
+    held = cut(b.groupBy(*tile).agg(F.count("*").alias("n")).join(a.groupBy(*tile).agg(F.count("*").alias("m")), tile))
+    shares = small(held.select(*tile, F.ceil(F.col("n") / TILE_ROWS).cast("int").alias("_n"), F.ceil(F.col("m") / TILE_ROWS).cast("int").alias("_m")))
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = lambda at, c: F.pmod(F.xxhash64(*at), F.col(c)).cast("int")
+    key, rows = [*tile, "_i", "_j"], held.agg(F.sum(F.col("n") + F.col("m"))).first()[0] or 0
+    a = a.join(shares, tile).withColumn("_j", own(("lat", "lng"), "_m")).withColumn("_i", each("_n")).select(*key, "lat", "lng")
+    b = b.join(shares, tile).withColumn("_i", own(("r_lat", "r_lng"), "_n")).withColumn("_j", each("_m")).select(*key, "r_lat", "r_lng", *names)
+    tasks = rows // TILE_ROWS + 1
+    a, b = a.repartition(tasks, *key), b.repartition(tasks, *key)
+    schema = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType()), *(T.StructField(n, T.LongType() if isinstance(points.schema[n].dataType, IntegralType) else T.DoubleType()) for n in names)])
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(tile_sums(names, [m / RADIUS_M for m in radii], to_arrow_schema(schema)), schema)
+
+
 def _descended(places: DataFrame, levels: list[DataFrame], placed: DataFrame, names: list[str], radii: list[float], metres: float) -> list[DataFrame]:
     """The sums of whole cells of each level, and of the points in what remains."""
     parts, rest = [], None

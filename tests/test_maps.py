@@ -55,6 +55,25 @@ def test_radius_sums_by_pairs_and_by_cells(spark, globe, monkeypatch, direct, le
         assert (x.a, x.b, x.c) == (sum(m <= 300 for _, m in own), sum(v for v, m in own if m <= 900), sum(v for v, m in own if m <= 2500)), x
 
 
+@pytest.mark.parametrize("rows", [200_000, 40])
+def test_radius_sums_sweep_crowded_tiles(spark, globe, monkeypatch, rows):
+    """A crowd is neither paired nor descended: totals and edges only, a tile's rows in bounded shares; values that are no finite numbers or decimals have the same sums."""
+    r = random.Random(8)
+    monkeypatch.setattr(spatial, "TILE_ROWS", rows)
+    dense = [(float(k % 7), y + r.gauss(0, 0.004), x + r.gauss(0, 0.004)) for y, x in ((5, 5), (70, 179.999), (-89.995, 0)) for k in range(300)]
+    dense = [(v, max(-90.0, y), (x + 180) % 360 - 180) for v, y, x in dense] + [(math.inf, 5.0, 5.0), (None, 5.0, 5.001), (0.1, 5.001, 5.0)]
+    left = [*globe, *((2000 + k, y, x) for k, (_, y, x) in enumerate(dense[::9])), (900, None, 1.0), (901, math.nan, 1.0)]
+    places, points = spark.createDataFrame(left, "id int, lat double, lng double"), spark.createDataFrame(dense, "v double, r_lat double, r_lng double")
+    exact = spatial.radius_sums(places, points, {"n": (F.lit(1).cast("decimal(9,0)"), 400.0)}).collect()
+    monkeypatch.setattr(spatial, "_descended", lambda *_: pytest.fail("cells of each circle's edge"))
+    got = spatial.radius_sums(places, points, {"n": (F.lit(1), 400.0), "v": (F.col("v"), 2000.0)})
+    assert [t for _, t in got.dtypes] == ["int", "double", "double", "bigint", "double"]
+    for x in got.collect():
+        own = [(v, metres(x.lat, x.lng, y, z)) for v, y, z in dense] if x.lat is not None and not math.isnan(x.lat) else []
+        assert x.n == sum(m <= 400 for _, m in own) and x.v == pytest.approx(sum(v for v, m in own if m <= 2000 and v is not None), rel=1e-12, abs=0), x
+    assert sorted((x.id, int(x.n)) for x in exact) == sorted((x.id, x.n) for x in got.collect())
+
+
 def test_knn_is_complete_however_far(spark, globe):
     points = spark.createDataFrame(globe, "p int, r_lat double, r_lng double")
     queries = spark.createDataFrame([(1, 0.0, 100.0), (2, 10.0, -179.99)], "q int, lat double, lng double")
