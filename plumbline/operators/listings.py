@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .checkpoints import cut
 from .lookup import small
 
 PIN_ROWS = 10
@@ -21,7 +22,7 @@ def clean_listings(listings: DataFrame, operation: str | None = None) -> DataFra
     real = F.col("lat").isNotNull() & F.col("lng").isNotNull() & ~((F.col("lat") == 0) & (F.col("lng") == 0))
     kept = listings.where(real & (F.col("precio") > 0) & (F.col("superficie_m2") >= LEAST_AREA))
     kept = kept if operation is None else kept.where(F.col("operacion") == operation)
-    return kept.join(office_pins(listings).select("lat", "lng"), ["lat", "lng"], "left_anti").select(*listings.columns)
+    return kept.join(small(cut(office_pins(listings).select("lat", "lng"))), ["lat", "lng"], "left_anti").select(*listings.columns)
 
 
 def dollars(price: Column, currency: Column, rate: Column) -> Column:

@@ -3,7 +3,8 @@
 The shapes' edges, long ones in pieces, fall into square cells by their middles; a cell keeps the box around its edges and one place on them, and cells gather into
 cells of four times the size up to a handful at the top. All points descend together, one join a step: a cell whose box is farther than
 the least distance to such a place that a point has seen can't hold its nearest edge and is pruned, the others give way to the cells within.
-So a point meets the few cells around its nearest shape, wherever that is, and no reach has to be guessed.
+So a point meets the few cells around its nearest shape, wherever that is, and no reach has to be guessed. In the last cells points and edges are compared by arrays,
+which leave the nearest ones; these are measured exactly.
 """
 
 from __future__ import annotations
@@ -13,16 +14,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geo import haversine_m
 from .checkpoints import cut
-from .lookup import MOST_ROWS
+from .lookup import MOST_ROWS, small
 from .spatial import first_polygons, parts_of
 
 #: Cells of 2 ** level degrees: the finest and the coarsest; a step of the descent; edges in a leaf, as an edge sees it on average.
-FINEST, COARSEST, STEP, CROWD = -20, 10, 2, 48
-#: Pieces that an edge is cut into, on average, at the first choice of a leaf; at most 16 times as many where cells are crowded.
+FINEST, COARSEST, STEP, CROWD = -20, 10, 2, 256
+#: Pieces that an edge is cut into, on average, at the first choice of a leaf; at most twice as many where cells are crowded, as each is written.
 PIECES = 8
+#: Points of a leaf that are compared with its edges in one task; points and edges of a task; pairs of them at a time.
+LEAF_PLACES, TASK_ROWS, CHUNK = 50_000, 200_000, 32_000
 #: Types that have an inside.
 AREAS = ("Polygon", "MultiPolygon")
 
@@ -52,7 +56,7 @@ class Tree:
         while True:
             self.leaves, crowd = self._leaves()
             finer = self.leaf - STEP
-            if crowd <= CROWD or finer < FINEST or self.length / 2.0**finer > 16 * PIECES * self.n:
+            if crowd <= CROWD or finer < FINEST or self.length / 2.0**finer > 2 * PIECES * self.n:
                 break
             self.leaf = finer
         self.top = self.leaf
@@ -62,13 +66,23 @@ class Tree:
     def pieces(self) -> DataFrame:
         """The edges with the ends (ax, ay, bx, by) and the cell of each of their pieces."""
         dx, dy = F.col("qx") - F.col("px"), F.col("qy") - F.col("py")
-        n = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / 2.0**self.leaf), F.lit(1)).cast("int")
-        each = self.edges.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        each = self.edges.withColumn("n", self._parts()).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         along = lambda p, d, k: F.col(p) + d * (k / F.col("n"))
         each = each.select(*self.edges.columns, *(along(p, d, F.col("i") + k).alias(name) for name, p, d, k in (("ax", "px", dx, 0), ("ay", "py", dy, 0), ("bx", "px", dx, 1), ("by", "py", dy, 1))))
         cell = lambda a, b: F.floor((F.col(a) + F.col(b)) / 2 / 2.0**self.leaf)
         return each.withColumn("cy", cell("ay", "by")).withColumn("cx", cell("ax", "bx"))
 
+    def _parts(self) -> Column:
+        return F.greatest(F.ceil(F.greatest(F.abs(F.col("qx") - F.col("px")), F.abs(F.col("qy") - F.col("py"))) / 2.0**self.leaf), F.lit(1)).cast("int")
+
+    def placed(self) -> DataFrame:
+        """The edges with each leaf (cy, cx) that a piece of theirs falls into, once."""
+        dx, dy, n = F.col("qx") - F.col("px"), F.col("qy") - F.col("py"), F.col("n")
+        along = lambda p, d, k: F.col(p) + d * (k / n)
+        cell = lambda p, d, i: F.floor((along(p, d, i) + along(p, d, i + 1)) / 2 / 2.0**self.leaf)
+        cells = F.array_distinct(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(cell("py", dy, i).alias("cy"), cell("px", dx, i).alias("cx"))))
+        return self.edges.withColumn("n", self._parts()).withColumn("c", F.explode(cells)).select(*self.edges.columns, "c.cy", "c.cx")
+
     def _leaves(self) -> tuple[DataFrame, float]:
         low, high = (lambda a, b: F.min(F.least(a, b))), (lambda a, b: F.max(F.greatest(a, b)))
         cells = self.pieces().groupBy("layer", "cy", "cx").agg(
@@ -86,8 +100,8 @@ class Tree:
         return got.withColumn("uy", F.shiftright("cy", STEP)).withColumn("ux", F.shiftright("cx", STEP))
 
     def few(self, level: int) -> bool:
-        """Whether a level's cells are so few, by their number in the extent, that they may be broadcast."""
-        return min((1 + 16 * PIECES) * self.n, self.layers * (self.extent / 2.0**level + 2) ** 2) <= MOST_ROWS
+        """Whether a level's cells are so few, by their number in the extent or else counted, that they may be broadcast."""
+        return min((1 + 2 * PIECES) * self.n, self.layers * (self.extent / 2.0**level + 2) ** 2) <= MOST_ROWS or self.cells(level).limit(MOST_ROWS + 1).count() <= MOST_ROWS
 
 
 def _bounds(frontier: DataFrame) -> DataFrame:
@@ -98,14 +112,70 @@ def _bounds(frontier: DataFrame) -> DataFrame:
     return frontier.withColumn("least", dx * dx + dy * dy).withColumn("most", sx * sx + sy * sy).drop("x0", "x1", "y0", "y1", "some")
 
 
-def _pruned(frontier: DataFrame, sphere: bool) -> DataFrame:
-    seen = frontier.withColumn("most", F.min("most").over(W.partitionBy("point", "layer")))
+def _near(sphere: bool, least: Column, most: Column) -> Column:
     if not sphere:
-        return seen.where(F.col("least") <= F.col("most") * (1 + 1e-9) + 1e-20).drop("least", "most")
+        return least <= most * (1 + 1e-9) + 1e-20
     # East-west degrees shrink towards the poles, so the plane at the point over- and underrates what lies off its latitude; the margin covers both.
-    reach, lat = 2 * F.sqrt("most") + 1e-9, F.abs("y")
+    reach, lat = 2 * F.sqrt(most) + 1e-9, F.abs("y")
     cosine = lambda a: F.greatest(F.cos(F.radians(F.least(F.greatest(a, F.lit(0.0)), F.lit(90.0)))), F.lit(0.0))
-    return seen.where(F.col("least") * cosine(lat + reach) <= F.col("most") * cosine(lat - reach) * 1.01).drop("least", "most")
+    return least * cosine(lat + reach) <= most * cosine(lat - reach) * 1.01
+
+
+def _pruned(frontier: DataFrame, sphere: bool) -> DataFrame:
+    """The cells that may hold the nearest edge, with what the point has seen so far (``seen``)."""
+    if "seen" in frontier.columns:  # what the cells around have shown spares the others the shuffle
+        frontier = frontier.where(_near(sphere, F.col("least"), F.col("seen"))).withColumn("most", F.least("most", "seen")).drop("seen")
+    seen = frontier.withColumn("seen", F.min("most").over(W.partitionBy("point", "layer")))
+    return seen.where(_near(sphere, F.col("least"), F.col("seen"))).drop("least", "most")
+
+
+def nearest_edges(sphere: bool):
+    """The function that takes a leaf's points and its edges, as tables, and returns for each point the edges that are as near as any of them, but for rounding."""
+    import numpy as np
+    import pyarrow as pa
+
+    def nearest(points: pa.Table, edges: pa.Table) -> pa.Table:
+        of = lambda t, c: t.column(c).to_numpy()
+        x, y, shrink = of(points, "x"), of(points, "y"), of(points, "shrink")
+        px, py, qx, qy = (of(edges, c)[None, :] for c in ("px", "py", "qx", "qy"))
+        whose, which = [], []
+        step = max(1, CHUNK // max(1, px.shape[1]))
+        for at in range(0, len(x) if px.shape[1] else 0, step):
+            a, b, s = (v[at : at + step, None] for v in (x, y, shrink))
+            rx, ry, dx, dy = (px - a) * s, py - b, (qx - px) * s, qy - py
+            long = dx * dx + dy * dy
+            t = np.clip(-(rx * dx + ry * dy) / np.where(long == 0, 1.0, long), 0.0, 1.0)
+            fx, fy = px + t * (qx - px), py + t * (qy - py)
+            if sphere:
+                u, v = np.radians(b), np.radians(fy)
+                far = np.sin((v - u) / 2) ** 2 + np.cos(u) * np.cos(v) * np.sin(np.radians(fx - a) / 2) ** 2
+            else:
+                far = (fx - a) ** 2 + (fy - b) ** 2
+            k, j = np.nonzero(far <= far.min(1, keepdims=True) * (1 + 1e-9) + 1e-28)
+            whose.append(k + at)
+            which.append(j)
+        whose, which = (pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)) for v in (whose, which))
+        own, met = points.select(["point", "x", "y", "shrink"]).take(whose), edges.select(["layer", "key", "px", "py", "qx", "qy"]).take(which)
+        return pa.table([*own.columns, *met.columns], names=[*own.column_names, *met.column_names])
+
+    return nearest
+
+
+def _met_edges(frontier: DataFrame, tree: Tree, sphere: bool) -> DataFrame:
+    """Each point with the nearest edges of each leaf that it has come to; edges of leaves without points are left where they are. A leaf's points are dealt to shares that keep a task's rows bounded."""
+    leaf = ["layer", "cy", "cx"]
+    frontier = cut(frontier.drop("seen"))
+    held = cut(frontier.groupBy(*leaf).agg(F.count("*").alias("m")).withColumn("_m", F.ceil(F.col("m") / LEAF_PLACES).cast("int")))
+    shares, key = small(held.drop("m")), [*leaf, "_j"]
+    edges = tree.placed().join(shares, leaf).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1))).select(*key, "key", "px", "py", "qx", "qy")
+    crowded = small(held.where(F.col("_m") > 1).drop("m"))
+    points = frontier.join(crowded, leaf, "left").withColumn("_j", F.coalesce(F.pmod(F.xxhash64("point"), F.col("_m")).cast("int"), F.lit(0))).select(*key, "point", "x", "y", "shrink")
+    rows = frontier.count() + (2 * PIECES + 1) * tree.n
+    tasks = rows // TASK_ROWS + 1
+    kinds = {c: (frontier if c in frontier.columns else tree.edges).schema[c].dataType for c in ("point", "x", "y", "shrink", "layer", "key", "px", "py", "qx", "qy")}
+    schema = T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])
+    both = points.repartition(tasks, *key).groupBy(*key).cogroup(edges.repartition(tasks, *key).groupBy(*key))
+    return both.applyInArrow(nearest_edges(sphere), schema)
 
 
 def nearest_shapes(points: DataFrame, shapes: DataFrame, point_key: str, shape_key: str = "id", layer: str = "layer", lat: str = "lat", lng: str = "lng", sphere: bool = False) -> DataFrame:
@@ -119,20 +189,20 @@ def nearest_shapes(points: DataFrame, shapes: DataFrame, point_key: str, shape_k
     tree = Tree(shapes, layer, shape_key)
     at = points.where(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(F.col(point_key).alias("point"), F.col(lng).cast("double").alias("x"), F.col(lat).cast("double").alias("y"))
     at = at.withColumn("shrink", F.cos(F.radians("y")) if sphere else F.lit(1.0))
-    top = tree.cells(tree.top).agg(F.collect_list(F.struct("layer", "cy", "cx", "x0", "x1", "y0", "y1", "some")).alias("top"))  # four cells a layer at most
-    frontier, inside = at.join(F.broadcast(top)).withColumn("c", F.explode("top")).select("point", "x", "y", "shrink", "c.*"), None
+    top = cut(tree.cells(tree.top))  # four cells a layer at most
+    layers = F.array(*(F.lit(r.layer) for r in top.select("layer").distinct().collect())).cast(T.ArrayType(top.schema["layer"].dataType))
+    frontier, inside = at.withColumn("layer", F.explode(layers)), None
     if tree.areas:  # what lies within a polygon has found its nearest one
         areas = shapes.where(F.col("type").isin(*AREAS)).select(F.col(layer).alias("layer"), F.col(shape_key).alias("key"), parts_of(shapes).alias("rings"))
         inside = cut(first_polygons(at, areas, "point", "layer", "key", "y", "x"))
         frontier = frontier.join(inside, ["point", "layer"], "left_anti")
-    frontier = _pruned(_bounds(frontier), sphere)
+    frontier = _pruned(_bounds(frontier.join(F.broadcast(top.drop("uy", "ux")), "layer")), sphere)
     for level in range(tree.top - STEP, tree.leaf - 1, -STEP):
         cells = tree.cells(level)
         cells = F.broadcast(cells) if tree.few(level) else cells
         within = frontier.withColumnsRenamed({"cy": "uy", "cx": "ux"}).join(cells, ["layer", "uy", "ux"]).drop("uy", "ux")
         frontier = _pruned(_bounds(within), sphere)
-    edges = tree.pieces().drop("ax", "ay", "bx", "by").distinct()
-    met = frontier.join(edges, ["layer", "cy", "cx"])
+    met = _met_edges(frontier, tree, sphere)
     px, py = (F.col("px") - F.col("x")) * F.col("shrink"), F.col("py") - F.col("y")
     dx, dy = (F.col("qx") - F.col("px")) * F.col("shrink"), F.col("qy") - F.col("py")
     t = F.coalesce(F.least(F.greatest(-(px * dx + py * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))

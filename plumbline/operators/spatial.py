@@ -126,27 +126,33 @@ def _cell_pyramid(points: DataFrame, sums: list[str], reach: float) -> tuple[lis
 def radius_sums(left: DataFrame, right: DataFrame, sums: dict[str, tuple[Column, float]], left_at=("lat", "lng"), right_at=("r_lat", "r_lng")) -> DataFrame:
     """For each left row the sums of right values within several radii; 0 where nothing is near or the row has no coordinates. Rows may be repeated.
 
-    Sums are taken for distinct places of the left side and of distinct places of the right side. Where the right points lie thinly, pairs within the largest radius are formed
+    Sums are taken for distinct places of the left side. Where the right points lie thinly, pairs within the largest radius are formed
     in buckets, the smaller side dealt to the buckets around. Where they lie densely, tiles of points meet the places whose circles may reach them, and in a tile each circle is swept
     over the sorted points: running totals give what lies wholly within, and only points at the circles' edges are compared. So the work for a place follows its circles' edges
     and not the number of points. Which of the two it is goes by how many points a cell holds on average. Sums of decimals, dense ones, descend a pyramid of cells.
     sums: result column -> (value, metres).
     """
     metres, radii, names = max(m for _, m in sums.values()), [m for _, m in sums.values()], [f"_v{k}" for k in range(len(sums))]
+    values = list({id(v): v for v, _ in sums.values()}.values())  # a value that several radii share is carried once
+    owns = [f"_w{next(j for j, w in enumerate(values) if w is v)}" for v, _ in sums.values()]
+    held = [f"_w{j}" for j in range(len(values))]
     places = cut(left.select(F.col(left_at[0]).alias("lat"), F.col(left_at[1]).alias("lng")).where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).distinct())
-    points = right.select(F.col(right_at[0]).alias("r_lat"), F.col(right_at[1]).alias("r_lng"), *(v.alias(n) for n, (v, _) in zip(names, sums.values()))).where(F.col("r_lat").isNotNull() & F.col("r_lng").isNotNull())
-    points = cut(points.groupBy("r_lat", "r_lng").agg(*(F.sum(n).alias(n) for n in names)))
-    kinds = [points.schema[n].dataType for n in names]
-    fractions = [n for n, kind in zip(names, kinds) if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType)]
+    # Rows are dealt by all that they hold, so rows of one place need not meet in a task.
+    points = right.select(F.col(right_at[0]).alias("r_lat"), F.col(right_at[1]).alias("r_lng"), *(v.alias(n) for n, v in zip(held, values)), F.xxhash64(*right.columns).alias("_deal")).where(F.col("r_lat").isNotNull() & F.col("r_lng").isNotNull())
+    kinds = {n: points.schema[n].dataType for n in held}
+    fractions = [n for n, kind in kinds.items() if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType)]
+    points = points.withColumns({n: F.col(n).cast("double" if n in fractions else "bigint") for n, kind in kinds.items() if n in fractions or isinstance(kind, IntegralType)})
+    # Of equal places one row, where pairs are formed.
+    merged = lambda some: some.groupBy("r_lat", "r_lng").agg(*(F.sum(n).alias(n) for n in held))
     if _crowd(points, metres) <= DIRECT:
-        parts = [_pair_sums(places, points, names, radii, metres)]
-    elif all(isinstance(kind, IntegralType) or n in fractions for n, kind in zip(names, kinds)):
+        parts = [_pair_sums(places, cut(merged(points)), names, owns, radii, metres)]
+    elif all(isinstance(kind, IntegralType) or n in fractions for n, kind in kinds.items()):
         odd = functools.reduce(lambda a, b: a | b, [F.coalesce(F.isnan(F.abs(n) * 0.0), F.lit(False)) for n in fractions], F.lit(False))  # infinite or no number, which would spoil running totals
-        parts = [_swept(places, points.where(~odd), names, radii, metres)]
+        parts = [_swept(places, points.where(~odd), names, owns, radii, metres)]
         strange = points.where(odd)
-        parts += [] if not fractions or strange.isEmpty() else [_pair_sums(places, strange, names, radii, metres)]
+        parts += [] if not fractions or strange.isEmpty() else [_pair_sums(places, cut(merged(strange)), names, owns, radii, metres)]
     else:
-        levels, placed = _cell_pyramid(points, names, metres)
+        levels, placed = _cell_pyramid(cut(merged(points).select("r_lat", "r_lng", *(F.col(w).alias(n) for n, w in zip(names, owns)))), names, metres)
         parts = _descended(places, levels, placed, names, radii, metres)
     got = functools.reduce(DataFrame.unionByName, parts)
     got = got.groupBy(F.col("lat").alias("_lat"), F.col("lng").alias("_lng")).agg(*(F.sum(n).alias(n) for n in names))
@@ -159,7 +165,7 @@ def _chord(metres: float) -> float:
     return (2 * math.sin(min(math.pi / 2, metres / RADIUS_M / 2))) ** 2
 
 
-def _pair_sums(places: DataFrame, points: DataFrame, names: list[str], radii: list[float], metres: float) -> DataFrame:
+def _pair_sums(places: DataFrame, points: DataFrame, names: list[str], owns: list[str], radii: list[float], metres: float) -> DataFrame:
     """The sums from pairs of points, which are compared by their chords; that takes no trigonometry for a pair."""
     side = "left" if places.count() <= points.count() else "right"
     a = _buckets(places.withColumns(_on_sphere("lat", "lng", "_l")), "lat", "lng", metres, side == "left")
@@ -168,7 +174,7 @@ def _pair_sums(places: DataFrame, points: DataFrame, names: list[str], radii: li
     near = a.hint("merge").join(b.drop("r_lat", "r_lng"), ["_by", "_bx"])
     chord = sum(((F.col(f"_l{c}") - F.col(f"_r{c}")) * (F.col(f"_l{c}") - F.col(f"_r{c}")) for c in "xyz"), F.lit(0.0))
     near = near.withColumn("_d", chord).where(F.col("_d") <= _chord(metres))
-    return near.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col("_d") <= _chord(m), F.col(n))).alias(n) for n, m in zip(names, radii)))
+    return near.groupBy("lat", "lng").agg(*(F.sum(F.when(F.col("_d") <= _chord(m), F.col(w))).alias(n) for n, w, m in zip(names, owns, radii)))
 
 
 def _met_tiles(places: DataFrame, metres: float, tile: float) -> DataFrame:
@@ -188,7 +194,7 @@ def _met_tiles(places: DataFrame, metres: float, tile: float) -> DataFrame:
     return rows.select("lat", "lng", "_by", F.pmod(F.col("_x") + j, n).alias("_bx"))
 
 
-def _swept(places: DataFrame, points: DataFrame, names: list[str], radii: list[float], metres: float) -> DataFrame:
+def _swept(places: DataFrame, points: DataFrame, names: list[str], owns: list[str], radii: list[float], metres: float) -> DataFrame:
     """The sums by circles swept over tiles of sorted points. Of a crowded tile points and places are each dealt to as many shares as keep a task's rows bounded; sums add up over shares."""
     tile = ["_by", "_bx"]
     finite = lambda df, *at: df.withColumns({c: F.col(c).cast("double") for c in at}).where(functools.reduce(lambda p, q: p & q, [F.abs(c) < F.lit(math.inf) for c in at]))
@@ -197,14 +203,15 @@ def _swept(places: DataFrame, points: DataFrame, names: list[str], radii: list[f
     held = cut(b.groupBy(*tile).agg(F.count("*").alias("n")).join(a.groupBy(*tile).agg(F.count("*").alias("m")), tile))
     shares = small(held.select(*tile, F.ceil(F.col("n") / TILE_ROWS).cast("int").alias("_n"), F.ceil(F.col("m") / TILE_ROWS).cast("int").alias("_m")))
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    own = lambda at, c: F.pmod(F.xxhash64(*at), F.col(c)).cast("int")
+    own = lambda at, c: F.pmod(at, F.col(c)).cast("int")
+    carried = sorted(set(owns))
     key, rows = [*tile, "_i", "_j"], held.agg(F.sum(F.col("n") + F.col("m"))).first()[0] or 0
-    a = a.join(shares, tile).withColumn("_j", own(("lat", "lng"), "_m")).withColumn("_i", each("_n")).select(*key, "lat", "lng")
-    b = b.join(shares, tile).withColumn("_i", own(("r_lat", "r_lng"), "_n")).withColumn("_j", each("_m")).select(*key, "r_lat", "r_lng", *names)
+    a = a.join(shares, tile).withColumn("_j", own(F.xxhash64("lat", "lng"), "_m")).withColumn("_i", each("_n")).select(*key, "lat", "lng")
+    b = b.join(shares, tile).withColumn("_i", own(F.col("_deal"), "_n")).withColumn("_j", each("_m")).select(*key, "r_lat", "r_lng", *carried)
     tasks = rows // TILE_ROWS + 1
     a, b = a.repartition(tasks, *key), b.repartition(tasks, *key)
-    schema = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType()), *(T.StructField(n, T.LongType() if isinstance(points.schema[n].dataType, IntegralType) else T.DoubleType()) for n in names)])
-    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(tile_sums(names, [m / RADIUS_M for m in radii], to_arrow_schema(schema)), schema)
+    schema = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType()), *(T.StructField(n, T.LongType() if isinstance(points.schema[w].dataType, IntegralType) else T.DoubleType()) for n, w in zip(names, owns))])
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(tile_sums(names, owns, [m / RADIUS_M for m in radii], to_arrow_schema(schema)), schema)
 
 
 def _descended(places: DataFrame, levels: list[DataFrame], placed: DataFrame, names: list[str], radii: list[float], metres: float) -> list[DataFrame]:
@@ -404,8 +411,8 @@ def _met(cells: DataFrame) -> DataFrame:
     return cells.drop("_my", "_mx", "_half", "_border")
 
 
-#: Polygons whose edges meet a cell, up to which points are tested against each; times that cells are split, by FINER levels each; how many times as many entries end that early.
-EDGED, SPLITS, MOST_SPLIT = 4, 4, 8
+#: Polygons whose edges meet a cell, up to which points are tested against each; times that crowded cells are split, by FINER levels each; how many times as many entries as polygons end that early; entries that are broadcast.
+EDGED, SPLITS, MOST_SPLIT, FEW_CELLS = 4, 4, 16, 100_000
 
 
 def first_polygons(points: DataFrame, polygons: DataFrame, point_key: str, layer: str, polygon_key: str, lat: str = "lat", lng: str = "lng") -> DataFrame:
@@ -413,27 +420,49 @@ def first_polygons(points: DataFrame, polygons: DataFrame, point_key: str, layer
 
     However many polygons lie over each other, a cell keeps one of those that hold it as a whole, the first, and of those whose edges meet it only the ones of lesser keys. Where
     these are still many, the cell gives way to those within. So a point meets few polygons, not all that hold it.
+    Cells go from the coarsest down, and what a coarser cell keeps as its first holds for all within. A level's first ones are found before its edges are kept, so polygons that
+    an earlier one covers are written for no cell: what is kept follows the number of cells, and not of polygons, where these lie thickly.
     """
     named = polygons.select(F.struct(F.col(layer).alias("layer"), F.col(polygon_key).alias("key")).alias("_polygon"), "rings")
-    own, at = ["_layer", "_key", "_edges", "_level", "_y", "_x"], ["_layer", "_level", "_y", "_x"]
-    cells = cut(_polygon_cells(named, "_polygon").select(F.col("_polygon.layer").alias("_layer"), F.col("_polygon.key").alias("_key"), *own[2:]))
-    parts, room = [], cells.count() * MOST_SPLIT
-    for k in range(SPLITS + 1):
-        whole = cut(cells.where(F.col("_edges").isNull()).groupBy(*at).agg(F.min("_key").alias("_first")))
-        parts.append(whole.select("_layer", F.col("_first").alias("_key"), F.lit(None).cast(cells.schema["_edges"].dataType).alias("_edges"), *at[1:]))
-        border = cells.where(F.col("_edges").isNotNull()).join(small(whole), at, "left").where(F.col("_first").isNull() | (F.col("_key") < F.col("_first"))).drop("_first")
-        border = cut(border)
-        crowded = border.groupBy(*at).count().where((F.col("count") > EDGED) & (F.col("_level") >= LEVELS[0] + FINER))
-        border = cut(border.join(crowded, at, "left"))
-        split = border.where(F.col("count").isNotNull()).select(*own)
-        if k == SPLITS or border.count() > room or split.isEmpty():
-            parts.append(border.select(*own))
-            break
-        parts.append(border.where(F.col("count").isNull()).select(*own))
-        within = lambda c: F.explode(F.sequence(F.col(c) * 2**FINER, F.col(c) * 2**FINER + (2**FINER - 1)))
-        split = split.withColumn("_level", F.col("_level") - FINER).withColumn("_y", within("_y")).withColumn("_x", within("_x"))
-        cells = cut(_met(split).select(*own))
-    pairs = _placed(points.select(point_key, lat, lng), functools.reduce(DataFrame.unionByName, parts), lat, lng)
+    fit = _level(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))
+    boxed = _boxed(named, "_polygon").select(F.col("_polygon.layer").alias("_layer"), F.col("_polygon.key").alias("_key"), _edges(F.col("rings")).alias("_edges"), "y0", "y1", "x0", "x1", fit.alias("_fit"))
+    # Alone, a polygon is split as far as point_in_polygon deals it.
+    boxed = boxed.withColumn("_until", (F.col("_fit") - F.when(F.col("_fit") >= WIDE, FINER + 2).otherwise(FINER)).cast("int")).withColumn("_level", (F.ceil(F.col("_fit") / FINER) * FINER).cast("int"))
+    boxed = cut(boxed.where(F.col("_level").isNotNull()).drop("_fit"))
+    own, at = ["_layer", "_key", "_edges", "_level", "_y", "_x"], ["_layer", "_y", "_x"]
+    kept = [*own, "_until"]
+    levels = {r._level: r["count"] for r in boxed.groupBy("_level").count().collect()}
+    edges, room = boxed.schema["_edges"].dataType, sum(levels.values()) * MOST_SPLIT
+    parts, firsts, split, k = [], [], None, max(levels, default=LEVELS[0])
+    while levels or split is not None:
+        some = split
+        if levels.pop(k, 0):
+            fresh = _cells(boxed.where(F.col("_level") == k), *map(F.col, ("y0", "y1", "x0", "x1", "_level"))).select(*kept).withColumn("_first", F.lit(None).cast(boxed.schema["_key"].dataType))
+            for j, first in firsts:  # what coarser cells keep
+                above = first.select("_layer", F.col("_y").alias("_uy"), F.col("_x").alias("_ux"), "_own")
+                fresh = fresh.withColumns({"_uy": F.shiftright("_y", j - k), "_ux": F.shiftright("_x", j - k)}).join(small(above), ["_layer", "_uy", "_ux"], "left").select(*kept, F.least("_first", "_own").alias("_first"))
+            some = fresh if some is None else some.unionByName(fresh)
+        if some is not None:
+            open_ = F.col("_first").isNull() | (F.col("_key") < F.col("_first"))
+            met = _met(some.where(open_))
+            whole = cut(met.where(F.col("_edges").isNull()).groupBy(*at).agg(F.min("_key").alias("_own")))
+            firsts.append((k, whole))
+            parts.append(whole.select("_layer", F.col("_own").alias("_key"), F.lit(None).cast(edges).alias("_edges"), F.lit(k).alias("_level"), "_y", "_x"))
+            border = met.where(F.col("_edges").isNotNull()).join(small(whole), at, "left").select(*kept, F.least("_first", "_own").alias("_first"))
+            border, split = cut(border.where(open_)), None
+            again = F.col("_until") <= k - FINER
+            if border.count() <= room:
+                crowded = cut(border.groupBy(*at).count().where(F.col("count") > EDGED))
+                border, again = border.join(small(crowded), at, "left"), again | (F.col("count").isNotNull() & (F.col("_until") - SPLITS * FINER < k))
+            again = again & F.lit(k - FINER >= LEVELS[0])
+            parts.append(border.where(~again).select(*own))
+            if not border.where(again).isEmpty():
+                within = lambda c: F.explode(F.sequence(F.col(c) * 2**FINER, F.col(c) * 2**FINER + (2**FINER - 1)))
+                split = border.where(again).withColumn("_level", F.col("_level") - FINER).withColumn("_y", within("_y")).withColumn("_x", within("_x")).select(*kept, "_first")
+        k -= FINER
+    if not parts:
+        return points.where("false").select(point_key, F.lit(None).cast(polygons.schema[layer].dataType).alias(layer), F.lit(None).cast(polygons.schema[polygon_key].dataType).alias(polygon_key))
+    pairs = _placed(points.select(point_key, lat, lng), small(functools.reduce(DataFrame.unionByName, parts), FEW_CELLS), lat, lng)
     held = pairs.where(F.col("_edges").isNull() | _odd(F.col("_edges"), F.col(lng), F.col(lat)))
     return held.groupBy(point_key, F.col("_layer").alias(layer)).agg(F.min("_key").alias(polygon_key))
 

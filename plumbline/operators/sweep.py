@@ -116,13 +116,17 @@ def circle_sums(lat: np.ndarray, lng: np.ndarray, r_lat: np.ndarray, r_lng: np.n
     return out
 
 
-def tile_sums(names: list[str], angles: list[float], schema: pa.Schema):
-    """The function that takes a tile's places (lat, lng) and its points (r_lat, r_lng and the values), as tables."""
+def tile_sums(names: list[str], owns: list[str], angles: list[float], schema: pa.Schema):
+    """The function that takes a tile's places (lat, lng) and its points (r_lat, r_lng and the values), as tables; owns: the value that each of the sums adds up."""
 
     def sums(places: pa.Table, points: pa.Table) -> pa.Table:
         of = lambda t, c: t.column(c).to_numpy()
-        values = [points.column(n).combine_chunks().fill_null(0).to_numpy(zero_copy_only=False) for n in names]
-        got = circle_sums(of(places, "lat"), of(places, "lng"), of(points, "r_lat"), of(points, "r_lng"), values, angles)
-        return pa.table([places.column("lat"), places.column("lng"), *(pa.array(g.astype(schema.field(n).type.to_pandas_dtype())) for n, g in zip(names, got))], schema=schema)
+        got = {}
+        for own in dict.fromkeys(owns):  # a value's points are those that have it
+            some = points.filter(points.column(own).is_valid())
+            its = [k for k, o in enumerate(owns) if o == own]
+            values = [of(some, own)] * len(its)
+            got.update(zip(its, circle_sums(of(places, "lat"), of(places, "lng"), of(some, "r_lat"), of(some, "r_lng"), values, [angles[k] for k in its])))
+        return pa.table([places.column("lat"), places.column("lng"), *(pa.array(got[k].astype(schema.field(n).type.to_pandas_dtype())) for k, n in enumerate(names))], schema=schema)
 
     return sums

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from ..functions.geo import cell_id, haversine_m
 from ..operators.checkpoints import cut
 from ..operators.listings import clean_listings, trim_outliers
+from ..operators.lookup import small
 from ..operators.nearest import nearest_shapes
 from ..operators.spatial import parts_of, radius_sums
 
 RADII = (500.0, 1000.0, 2000.0)
 FRONT_M, WATER_M = 120.0, 400.0
+#: Cells, of some 70 bytes, whose features are broadcast.
+CELLS_SMALL = 1_000_000
 
 
 def cell_representatives(cells: DataFrame) -> DataFrame:
@@ -25,7 +28,7 @@ def cell_features(representatives: DataFrame, layers: dict[str, DataFrame]) -> D
 
     All layers are searched in one descent, nearest in plane degrees. The flags frente_avenida and cerca_agua belong to layers named dist_via_principal_m and dist_agua_m.
     """
-    every = None
+    representatives, every = cut(representatives), None
     for name, layer in layers.items():
         part = layer.select(F.lit(name).alias("layer"), F.col("id").cast("string").alias("id"), "type", parts_of(layer).alias("rings"))
         every = part if every is None else every.unionByName(part)
@@ -42,14 +45,30 @@ def layer_features(representatives: DataFrame, layers: dict[str, DataFrame]) ->
     return cell_features(representatives, {"dist_via_principal_m": layers["vias"], "dist_parque_m": layers["parques"], "dist_agua_m": layers["agua"], "dist_hospital_m": of("hospital"), "dist_universidad_m": of("university")})
 
 
+def _people(cells: DataFrame) -> DataFrame:
+    return cells.select("id", "population", F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
+
+
+def _active(business: DataFrame) -> DataFrame:
+    return business.where("is_active").select("id", F.lit(1).cast("bigint").alias("one"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
+
+
 def population_radii(listings: DataFrame, cells: DataFrame) -> DataFrame:
-    right = cells.select("population", F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-    return radius_sums(listings, right, {f"pob_{int(m)}": (F.col("population"), m) for m in RADII})
+    value = F.col("population")
+    return radius_sums(listings, _people(cells), {f"pob_{int(m)}": (value, m) for m in RADII})
 
 
 def business_radii(listings: DataFrame, business: DataFrame) -> DataFrame:
-    right = business.where("is_active").select(F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"))
-    return radius_sums(listings, right, {f"neg_{int(m)}": (F.lit(1).cast("bigint"), m) for m in RADII})
+    value = F.col("one")
+    return radius_sums(listings, _active(business), {f"neg_{int(m)}": (value, m) for m in RADII})
+
+
+def _all_radii(listings: DataFrame, cells: DataFrame, business: DataFrame) -> DataFrame:
+    """People and businesses in one pass, so the listings' places are dealt, and their sums met with them, once."""
+    people, active = _people(cells), _active(business)
+    both = people.withColumn("id", F.col("id").cast("bigint")).unionByName(active.withColumn("id", F.col("id").cast("bigint")), allowMissingColumns=True)
+    values = {"pop": F.col("population"), "biz": F.col("one")}
+    return radius_sums(listings, both, {f"{kind}_{name}": (value, m) for kind, value in values.items() for m, name in zip(RADII, ("500m", "1km", "2km"))})
 
 
 def listing_features(listings: DataFrame, cells: DataFrame, business: DataFrame, by_cell: DataFrame, centre: tuple[float, float]) -> DataFrame:
@@ -58,7 +77,5 @@ def listing_features(listings: DataFrame, cells: DataFrame, business: DataFrame,
     """
     base = clean_listings(listings).where(F.col("precio_usd") > 0)
     base = base.withColumn("usd_m2", F.floor(F.col("precio_usd") / F.col("superficie_m2") * 100 + 0.5) / 100).withColumn("cell", cell_id("lat", "lng"))
-    base = trim_outliers(base, "usd_m2").join(by_cell.drop("lat", "lng"), "cell", "left")
-    people = population_radii(base, cells).withColumnsRenamed({"pob_500": "pop_500m", "pob_1000": "pop_1km", "pob_2000": "pop_2km"})
-    both = business_radii(people, business).withColumnsRenamed({"neg_500": "biz_500m", "neg_1000": "biz_1km", "neg_2000": "biz_2km"})
+    both = _all_radii(trim_outliers(base, "usd_m2"), cells, business).join(small(cut(by_cell.drop("lat", "lng")), CELLS_SMALL), "cell", "left")
     return both.withColumn("dist_asuncion_km", F.floor(haversine_m("lat", "lng", *centre) / 10 + 0.5) / 100)
